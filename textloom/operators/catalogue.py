@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import fits_broadcast
-from textloom.operators.vectors import BROADCAST_VECTORS
+from textloom.operators.joins import BROADCAST_ENTRIES, vectors_fit_broadcast
 
 # Rows of a block when the catalogue is too large for one process.
 BLOCK_ROWS = 4096
@@ -81,8 +80,7 @@ def score_catalogue(
     queries: DataFrame,
     catalogue: DataFrame,
     bias: DataFrame | None = None,
-    bound: int | None = None,
-    limit: int = BROADCAST_VECTORS,
+    limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Dot product with each catalogue vector plus the bias of that item.
@@ -93,7 +91,7 @@ def score_catalogue(
     query and block of the catalogue.
     """
     schema = "query_id BIGINT, block INT, item_ids ARRAY<BIGINT>, scores ARRAY<DOUBLE>"
-    if fits_broadcast(catalogue, bound, limit):
+    if vectors_fit_broadcast(catalogue, "vector", limit):
         shared = queries.sparkSession.sparkContext.broadcast(_local_catalogue(catalogue, bias))
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +124,7 @@ def topk_catalogue(
     catalogue: DataFrame,
     k: int,
     bias: DataFrame | None = None,
-    bound: int | None = None,
-    limit: int = BROADCAST_VECTORS,
+    limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(query_id, item_id, score, rank)`` of the k best items, ties to the lower item.
@@ -135,7 +132,7 @@ def topk_catalogue(
     Each task keeps only the k best of its block, so the scores are never all written out.
     """
     schema = "query_id BIGINT, item_id BIGINT, score DOUBLE"
-    if fits_broadcast(catalogue, bound, limit):
+    if vectors_fit_broadcast(catalogue, "vector", limit):
         shared = queries.sparkSession.sparkContext.broadcast(_local_catalogue(catalogue, bias))
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table with at most this many rows is broadcast.
+# A table of ids with at most this many rows is broadcast.
 BROADCAST_ROWS = 200_000
 
+# A table of vectors with at most this many entries in all is broadcast (256 MB of doubles).
+BROADCAST_ENTRIES = 32_000_000
+
 # Copies of a larger table, so that one hot key spreads over as many tasks.
 SALTS = 32
 
 
 def fits_broadcast(table: DataFrame, bound: int | None = None, limit: int = BROADCAST_ROWS) -> bool:
     """Whether the table is small; counted unless the caller knows a bound on its rows."""
-    return (table.count() if bound is None else bound) <= limit
+    return limit > 0 and (table.count() if bound is None else bound) <= limit
+
+
+def vectors_fit_broadcast(table: DataFrame, vec: str, limit: int = BROADCAST_ENTRIES) -> bool:
+    """Whether all vectors of a table together are small; they have equal length."""
+    if limit <= 0:
+        return False
+    first = table.select(F.size(vec).alias("dims")).first()
+    return first is None or table.count() * first["dims"] <= limit
 
 
 def lookup_join(

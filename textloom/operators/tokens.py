@@ -68,13 +68,15 @@ def lookup_ids(
     return joined.withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
 
 
-def id_array_lookup(vocab: DataFrame, unk_id: int = UNK_ID):
+def id_array_lookup(vocab: DataFrame, unk_id: int = UNK_ID, limit: int = BROADCAST_ROWS):
     """A function from a token array to its id array, for a vocabulary that is small enough.
 
     The vocabulary is held by every worker and looked up a batch at a time, so encoding a
     document needs no shuffle.
     """
-    table = vocab.select("token", "token_id").toArrow().combine_chunks()
+    table = vocab.select("token", "token_id").limit(limit + 1).toArrow().combine_chunks()
+    if len(table) > limit:
+        raise ValueError(f"the vocabulary has more than the {limit} entries a worker may hold")
     known = vocab.sparkSession.sparkContext.broadcast(
         (table["token"].combine_chunks(), table["token_id"].to_numpy().astype(np.int32))
     )
@@ -117,7 +119,7 @@ def encode(
     room = content_length(max_length, add_special)
     content = truncate(token_array(F.col(text_col), pattern), room)
     if fits_broadcast(vocab, vocab_size, limit):
-        to_ids = id_array_lookup(vocab, unk_id)
+        to_ids = id_array_lookup(vocab, unk_id, limit)
         coded = df.select(id_col, *keep, to_ids(content).alias("ids"))
     else:
         coded = _encode_by_join(df.select(id_col, *keep, content.alias("tokens")), vocab, unk_id, id_col, keep)

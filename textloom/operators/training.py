@@ -8,6 +8,7 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -149,7 +150,6 @@ def train_head(
     values = matrix_rows(CLASSIFIER_WEIGHT, weight) + matrix_rows(CLASSIFIER_BIAS, bias)
     params = spark.createDataFrame(values, PARAMETER_SCHEMA)
     state = init_state(params, hp)
-    state_schema = state.schema
     log: list[tuple[str, int, int, int, float]] = []
     t = 0
     for epoch in range(epochs):
@@ -165,12 +165,11 @@ def train_head(
             gradient = head_gradient(batch, weight, bias, input, with_loss=True).observe(
                 seen, F.max(F.when(F.col("param") == LOSS, F.col("grad"))).alias(LOSS)
             )
-            rows = adam_step(state, gradient, hp, 1 if optimizer_lifetime == "step" else t).collect()
-            for r in rows:
-                if r["param"] == CLASSIFIER_WEIGHT:
-                    weight[r["row"], r["col"]] = r["theta"]
-                else:
-                    bias[r["col"]] = r["theta"]
-            state = spark.createDataFrame(rows, state_schema)
+            moved = adam_step(state, gradient, hp, 1 if optimizer_lifetime == "step" else t).toArrow()
+            is_weight = pc.equal(moved["param"], CLASSIFIER_WEIGHT).to_numpy()
+            row, col, theta = (moved[c].to_numpy() for c in ("row", "col", "theta"))
+            weight[row[is_weight], col[is_weight]] = theta[is_weight]
+            bias[col[~is_weight]] = theta[~is_weight]
+            state = spark.createDataFrame(moved)
             log.append((run_id, epoch, step, size, float(seen.get[LOSS])))
     return state, spark.createDataFrame(log, METRIC_SCHEMA)

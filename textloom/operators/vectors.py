@@ -6,34 +6,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import lookup_join
+from textloom.operators.joins import BROADCAST_ENTRIES, lookup_join, vectors_fit_broadcast
 
-# Vectors are wider than ids, so fewer of them are broadcast.
-BROADCAST_VECTORS = 50_000
+# Vector entries gathered at a time within a task (64 MB of doubles).
+ENTRIES_AT_ONCE = 8_000_000
 
 
 def embed_tokens(
-    token_rows: DataFrame,
-    table: DataFrame,
-    spread: list[str],
-    bound: int | None = None,
-    limit: int = BROADCAST_VECTORS,
+    token_rows: DataFrame, table: DataFrame, spread: list[str], limit: int = BROADCAST_ENTRIES
 ) -> DataFrame:
     """Add the ``vector`` of each ``token_id``; an id without vector is an error.
 
     ``table`` is ``(token_id, vector)``. ``spread`` are columns that tell rows of one token apart.
     """
-    found = lookup_join(token_rows, table, "token_id", spread, "left", bound, limit)
+    small = vectors_fit_broadcast(table, "vector", limit)
+    found = lookup_join(token_rows, table, "token_id", spread, "left", bound=0, limit=1 if small else 0)
     missing = F.raise_error(F.concat(F.lit("no vector for token "), F.col("token_id").cast("string")))
     return found.withColumn("vector", F.coalesce("vector", missing))
 
 
+def pool_ids(df: DataFrame, table: DataFrame, pooling: str, ids: str = "input_ids", mask: str = "attention_mask") -> DataFrame:
+    """Add ``pooled``: lookup and pooling of a whole id array at once, for a small table.
+
+    The vectors are held by every worker, so no token row is made and nothing is shuffled.
+    The result is that of ``embed_tokens`` with ``pool_cls`` or ``pool_mean``.
+    """
+    if not vectors_fit_broadcast(table, "vector"):
+        raise ValueError("the vector table is too large to hold whole; use embed_tokens")
+    if pooling not in ("cls", "mean"):
+        raise ValueError(f"unknown pooling {pooling!r}")
+    local = table.select("token_id", "vector").sort("token_id").toArrow().combine_chunks()
+    shared = df.sparkSession.sparkContext.broadcast((local["token_id"].to_numpy(), dense.to_matrix(local["vector"])))
+
+    @F.arrow_udf("array<double>")
+    def pool(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known, vectors = shared.value
+        for id_lists, masks in batches:
+            wanted, bits = dense.to_matrix(id_lists).astype(np.int64), dense.to_matrix(masks)
+            if pooling == "cls":
+                wanted, bits = wanted[:, :1], np.ones((len(wanted), 1))
+            slots = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            unknown = (known[slots] != wanted) & (bits == 1)
+            if unknown.any():
+                raise ValueError(f"no vector for token {wanted[unknown][0]}")
+            out = np.zeros((len(wanted), vectors.shape[1]))
+            step = max(1, ENTRIES_AT_ONCE // max(1, wanted.shape[1] * vectors.shape[1]))
+            for i in range(0, len(wanted), step):
+                out[i : i + step] = np.einsum("rp,rpd->rd", bits[i : i + step], vectors[slots[i : i + step]])
+            count = bits.sum(axis=1)
+            pooled = dense.to_lists(out / np.maximum(count, 1)[:, None])
+            yield pc.if_else(pa.array(count > 0), pooled, pa.scalar(None, pooled.type))
+
+    return df.withColumn("pooled", pool(ids, mask))
+
+
 def pool_cls(rows: DataFrame, by: str, vec: str = "vector", pos: str = "pos") -> DataFrame:
     """The vector at the first position of each group."""
     return rows.groupBy(by).agg(F.min_by(vec, pos).alias("pooled"))

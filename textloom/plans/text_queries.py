@@ -68,7 +68,7 @@ toks AS (
 def vocab_sql(size: int = VOCAB_SIZE) -> str:
     return f"""
 vocab AS (
-  SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS token_id, n
+  SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::INT AS token_id, n
   FROM (SELECT token, count(*) AS n FROM toks GROUP BY token)
   QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {size})"""
 
@@ -176,25 +176,27 @@ def _(spark, sf):
 
 @query(
     "l4_attach_labels",
-    "SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)",
+    """SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic
+       FROM documents d LEFT JOIN labels l USING (doc_id)""",
 )
 def _(spark, sf):
     given = spark.read.parquet(f"{sf}/labels.parquet")
-    return labels.attach_labels(documents(spark, sf).select("doc_id"), given)
+    rows = labels.attach_labels(documents(spark, sf).select("doc_id"), given)
+    return rows.fillna(-1, ["quality", "toxic"])
 
 
 AUDIT_SQL = """
 WITH given AS (SELECT doc_id, quality AS label FROM labels)
-SELECT doc_id, NULL::INT AS label, 'missing' AS issue FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM given)
-UNION ALL SELECT doc_id, NULL, 'orphan' FROM given WHERE doc_id NOT IN (SELECT doc_id FROM documents)
-UNION ALL SELECT doc_id, NULL, 'duplicate' FROM given GROUP BY doc_id HAVING count(*) > 1
+SELECT doc_id, -1 AS label, 'missing' AS issue FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM given)
+UNION ALL SELECT doc_id, -1, 'orphan' FROM given WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT doc_id, -1, 'duplicate' FROM given GROUP BY doc_id HAVING count(*) > 1
 UNION ALL SELECT doc_id, label, 'out_of_range' FROM given WHERE label IS NULL OR label < 0 OR label >= 1"""
 
 
 @query("l5_audit_labels", AUDIT_SQL)
 def _(spark, sf):
     given = spark.read.parquet(f"{sf}/labels.parquet")
-    return labels.audit_labels(documents(spark, sf), given, 1, "quality")
+    return labels.audit_labels(documents(spark, sf), given, 1, "quality").fillna(-1, ["label"])
 
 
 # ---- text to ids

@@ -12,6 +12,7 @@ from textloom.functions import encoding as enc
 from textloom.functions import math
 from textloom.functions.math import ERF_COEFFICIENTS, ERF_P
 from textloom.operators import batching, catalogue, head, labels, losses, neighbours, optimizer, scoring, training, vectors
+from textloom.operators.joins import BROADCAST_ENTRIES
 from textloom.operators.optimizer import AdamParams
 from textloom.plans import workflows
 from textloom.plans.text_queries import CLASSES, ORACLES, documents, encoded_sql, query
@@ -143,18 +144,23 @@ def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
     f"""{TOKEN_SQL} SELECT doc_id, count(*) AS n, {r("sum(embedding[1]::DOUBLE)")} AS first,
         {r(f"sum(embedding[{DIMS}]::DOUBLE * pos)")} AS last FROM embedded GROUP BY doc_id""",
 )
-def _(spark, sf):
+def embedded_tokens(spark: SparkSession, sf: str, limit: int = BROADCAST_ENTRIES) -> DataFrame:
     docs = documents(spark, sf)
     vocab = workflows.build_vocab(workflows.tokenize(docs), TOKEN_VOCAB)
     encoded = workflows.encode(docs, vocab, vocab_size=TOKEN_VOCAB)
     ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
-    rows = vectors.embed_tokens(encoded.select("doc_id", ids), token_vectors(spark, sf), ["doc_id", "pos"])
+    rows = vectors.embed_tokens(encoded.select("doc_id", ids), token_vectors(spark, sf), ["doc_id", "pos"], limit)
     first = F.get("vector", F.lit(0)).cast("double")
     last = F.get("vector", F.lit(DIMS - 1)).cast("double") * F.col("pos")
     sums = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(first).alias("first"), F.sum(last).alias("last"))
     return sums.select("doc_id", "n", rounded("first").alias("first"), rounded("last").alias("last"))
 
 
+@query("v1_embed_tokens_large_table", ORACLES["v1_embed_tokens"])
+def _(spark, sf):
+    return embedded_tokens(spark, sf, limit=0)
+
+
 @query(
     "v2_pool_cls",
     f"""WITH {CELLS_SQL} SELECT label, d::INT AS dim, {r("x")} AS value FROM cells
@@ -192,6 +198,22 @@ def _(spark, sf):
     return long_form(pooled, "doc_id", "pooled")
 
 
+@query("v3_pool_mean_documents_large_table", ORACLES["v3_pool_mean_documents"])
+def _(spark, sf):
+    pooled = workflows.document_vectors(documents(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, limit=0)
+    return long_form(pooled, "doc_id", "pooled")
+
+
+@query(
+    "v2_pool_cls_documents",
+    f"""{TOKEN_SQL} SELECT doc_id, (generate_subscripts(embedding, 1) - 1)::INT AS dim,
+        {r("unnest(embedding)::DOUBLE")} AS value FROM embedded WHERE pos = 0""",
+)
+def _(spark, sf):
+    pooled = workflows.document_vectors(documents(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, "cls")
+    return long_form(pooled, "doc_id", "pooled")
+
+
 @query("v4_layer_norm", f"WITH {NORM_SQL} SELECT vec_id, d::INT AS dim, {r('x')} AS value FROM normed")
 def _(spark, sf):
     weight = F.lit([float(w) for w in model().norm])

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from textloom.functions.encoding import MAX_LENGTH
 from textloom.operators.batching import assign_batches
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, Head, head_vector, predict, score_head
+from textloom.operators.joins import BROADCAST_ENTRIES, vectors_fit_broadcast
 from textloom.operators.labels import encode_labels, label_map_from
 from textloom.operators.optimizer import AdamParams
 from textloom.operators.ordering import build_order_index
 from textloom.operators.tokens import build_vocab, encode, tokenize
 from textloom.operators.training import train_head
-from textloom.operators.vectors import embed_tokens, pool_cls, pool_mean
+from textloom.operators.vectors import embed_tokens, pool_cls, pool_ids, pool_mean
 from textloom.sources.parameters import matrix
 
 
@@ -50,19 +51,25 @@ def document_vectors(
     vocab_size: int,
     pooling: str = "mean",
     max_length: int = MAX_LENGTH,
+    keep: tuple[str, ...] = (),
+    limit: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
-    """``(doc_id, pooled)``: vectors of the encoded tokens, pooled per document.
+    """``(doc_id, *keep, pooled)``: vectors of the encoded tokens, pooled per document.
 
-    ``pooling`` is ``"cls"`` or ``"mean"``. Padding is masked, so it is left out before the
-    lookup.
+    ``pooling`` is ``"cls"`` or ``"mean"``. With a small vector table a document stays one row
+    all the way; with a large one its tokens are joined to their vectors, padding left out.
     """
     vocab = build_vocab(tokenize(docs), vocab_size)
-    encoded = encode(docs, vocab, max_length, vocab_size=vocab_size)
+    encoded = encode(docs, vocab, max_length, vocab_size=vocab_size, keep=keep)
+    if vectors_fit_broadcast(token_vectors, "vector", limit):
+        return pool_ids(encoded, token_vectors, pooling).select("doc_id", *keep, "pooled")
     ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
-    rows = embed_tokens(encoded.select("doc_id", ids), token_vectors, ["doc_id", "pos"])
+    rows = embed_tokens(encoded.select("doc_id", ids), token_vectors, ["doc_id", "pos"], limit)
     if pooling == "cls":
-        return pool_cls(rows, "doc_id")
-    return pool_mean(rows.withColumn("mask", F.lit(1)), "doc_id", dims)
+        pooled = pool_cls(rows, "doc_id")
+    else:
+        pooled = pool_mean(rows.withColumn("mask", F.lit(1)), "doc_id", dims)
+    return docs.select("doc_id", *keep).join(pooled, "doc_id") if keep else pooled
 
 
 @dataclass(frozen=True)
@@ -87,9 +94,8 @@ def train_document_classifier(
 ) -> TrainedClassifier:
     """Encode, pool, train the classifier layer of ``head`` and classify the corpus with it."""
     classes = label_map_from(docs, label_col)
-    vectors = document_vectors(docs, token_vectors, head.dense.shape[1], vocab_size, pooling)
-    labelled = encode_labels(docs.select("doc_id", label_col), classes, label_col)
-    samples = vectors.join(labelled, "doc_id")
+    vectors = document_vectors(docs, token_vectors, head.dense.shape[1], vocab_size, pooling, keep=(label_col,))
+    samples = encode_labels(vectors, classes, label_col)
     featured = head_vector(samples, "pooled", head)
     params, metrics = train_head(
         featured.withColumnRenamed("label_id", "target"),
