@@ -41,7 +41,14 @@ def _chunks(rows: int, width: int) -> Iterator[slice]:
 
 def _top(scores: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best of each row, the earlier one among ties."""
-    return np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    rows, width = scores.shape
+    if k >= width:
+        return np.argsort(-scores, axis=1, kind="stable")
+    least = np.partition(scores, width - k, axis=1)[:, width - k, None]
+    row, col = np.nonzero(scores >= least)  # all that tie with the k-th too
+    order = np.lexsort((col, -scores[row, col], row))
+    first = np.searchsorted(row, np.arange(rows))
+    return col[order][first[:, None] + np.arange(k)]
 
 
 def _tiles(queries: DataFrame, catalogue: DataFrame, bias: DataFrame | None, block_rows: int) -> DataFrame:

@@ -11,8 +11,12 @@ from textloom.functions import dense
 from textloom.functions.encoding import MASKED_BIAS
 from textloom.functions.math import total
 
-# Positions per block of a long group, and rows per block in all-against-all work.
+# Positions per block of a long group, for a band and for all-against-all work.
 BLOCK = 1024
+TILE = 4096
+
+# Scores computed at a time within a task (64 MB of doubles).
+SCORES_AT_ONCE = 8_000_000
 
 
 def _band_blocks(rows: DataFrame, pos: str, w: int, block: int) -> DataFrame:
@@ -49,15 +53,25 @@ def band_pairs(
 
 
 def _partial_pool(
-    query: np.ndarray, key: np.ndarray, value: np.ndarray, bias: np.ndarray, outside: np.ndarray | None
+    query: np.ndarray, key: np.ndarray, value: np.ndarray, bias: np.ndarray, distance: tuple | None, w: int = 0
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query: the largest score, the sum of powers relative to it, and the weighted sum."""
-    scores = query @ key.T * query.shape[1] ** -0.5 + bias
-    if outside is not None:
-        scores[outside] = -np.inf
-    top = scores.max(axis=1)
-    powers = np.exp(scores - top[:, None])
-    return top, powers.sum(axis=1), powers @ value
+    """Per query: the largest score, the sum of powers relative to it, and the weighted sum.
+
+    ``distance`` holds the positions of queries and keys if only keys up to ``w`` away count.
+    """
+    top, weight = np.empty(len(query)), np.empty(len(query))
+    summed = np.empty((len(query), value.shape[1]))
+    step = max(1, SCORES_AT_ONCE // len(key))
+    for i in range(0, len(query), step):
+        part = slice(i, i + step)
+        scores = query[part] @ key.T * query.shape[1] ** -0.5 + bias
+        if distance is not None:
+            scores[np.abs(distance[0][part, None] - distance[1][None, :]) > w] = -np.inf
+        top[part] = scores.max(axis=1)
+        powers = np.exp(scores - top[part, None])
+        weight[part] = powers.sum(axis=1)
+        summed[part] = powers @ value
+    return top, weight, summed
 
 
 def neighbour_pool(
@@ -70,7 +84,7 @@ def neighbour_pool(
     value: str | None = None,
     mask: str = "mask",
     max_len: int | None = None,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """``(by, pos, pooled)``: the mean of the value vectors of a group, weighted per query row.
 
@@ -95,10 +109,10 @@ def neighbour_pool(
     )
     by_type = rows.schema[by].dataType.simpleString()
     if w is not None:
-        return _pool_band(table, by, by_type, pos, w, block)
-    if max_len is not None and max_len <= block:
+        return _pool_band(table, by, by_type, pos, w, block or BLOCK)
+    if max_len is not None and max_len <= (block or TILE):
         return _pool_whole(table, by, by_type, pos, max_len)
-    return _pool_tiles(table, by, by_type, pos, block)
+    return _pool_tiles(table, by, by_type, pos, block or TILE)
 
 
 def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -132,8 +146,7 @@ def _pool_band(table: DataFrame, by: str, by_type: str, pos: str, w: int, block:
     def pool(part: pa.Table) -> pa.Table:
         positions, q, k, v, bias = _columns(part)
         centre = part["_centre"].to_numpy()
-        outside = np.abs(positions[centre][:, None] - positions[None, :]) > w
-        _, weight, summed = _partial_pool(q[centre], k, v, bias, outside)
+        _, weight, summed = _partial_pool(q[centre], k, v, bias, (positions[centre], positions), w)
         return _result(part, by, pos, positions[centre], summed / weight[:, None])
 
     def pool_centres(part: pa.Table) -> pa.Table:

@@ -165,7 +165,8 @@ def train_head(
             gradient = head_gradient(batch, weight, bias, input, with_loss=True).observe(
                 seen, F.max(F.when(F.col("param") == LOSS, F.col("grad"))).alias(LOSS)
             )
-            moved = adam_step(state, gradient, hp, 1 if optimizer_lifetime == "step" else t).toArrow()
+            # one gradient row per row of the parameter table, which the driver holds anyway
+            moved = adam_step(state, F.broadcast(gradient), hp, 1 if optimizer_lifetime == "step" else t).toArrow()
             is_weight = pc.equal(moved["param"], CLASSIFIER_WEIGHT).to_numpy()
             row, col, theta = (moved[c].to_numpy() for c in ("row", "col", "theta"))
             weight[row[is_weight], col[is_weight]] = theta[is_weight]

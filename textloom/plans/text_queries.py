@@ -43,6 +43,11 @@ def documents(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     return read_documents(spark, f"{sf}/documents.parquet", keep=keep)
 
 
+def texts(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
+    """The same for queries that work on the text itself."""
+    return read_documents(spark, f"{sf}/documents.parquet", keep=keep, spread=True)
+
+
 def vocabulary(docs: DataFrame, size: int = VOCAB_SIZE) -> DataFrame:
     return tokens.build_vocab(tokens.tokenize(docs), size)
 
@@ -52,7 +57,7 @@ def encoded(docs: DataFrame) -> DataFrame:
 
 
 def batches(spark: SparkSession, sf: str) -> DataFrame:
-    return workflows.packed_batches(documents(spark, sf), VOCAB_SIZE, BATCH)
+    return workflows.packed_batches(texts(spark, sf), VOCAB_SIZE, BATCH)
 
 
 def joined(ids: str | Column) -> Column:
@@ -210,7 +215,7 @@ def _(spark, sf):
 def _(spark, sf):
     place = F.col("doc_id") * (F.col("pos") + 1)
     return (
-        tokens.tokenize(documents(spark, sf))
+        tokens.tokenize(texts(spark, sf))
         .groupBy("token")
         .agg(F.count("*").alias("n"), F.sum("pos").alias("sum_pos"), F.sum(place).alias("sum_place"))
     )
@@ -218,7 +223,7 @@ def _(spark, sf):
 
 @query("t2_build_vocab", f"WITH {TOKENS_SQL}, {vocab_sql()} SELECT token, token_id, n FROM vocab")
 def _(spark, sf):
-    return vocabulary(documents(spark, sf))
+    return vocabulary(texts(spark, sf))
 
 
 @query(
@@ -228,7 +233,7 @@ def _(spark, sf):
     FROM toks LEFT JOIN vocab USING (token) GROUP BY 1""",
 )
 def _(spark, sf):
-    docs = documents(spark, sf)
+    docs = texts(spark, sf)
     ids = tokens.lookup_ids(tokens.tokenize(docs), vocabulary(docs), vocab_size=VOCAB_SIZE)
     place = F.sum(F.col("doc_id") * (F.col("pos") + 1))
     return ids.groupBy("token_id").agg(F.count("*").alias("n"), place.alias("sum_place"))
@@ -236,7 +241,7 @@ def _(spark, sf):
 
 def content_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of whole texts, without markers, truncation or padding."""
-    docs = documents(spark, sf)
+    docs = texts(spark, sf)
     to_ids = tokens.id_array_lookup(vocabulary(docs))
     return docs.select("doc_id", to_ids(enc.token_array(F.col("text"))).alias("ids"))
 
@@ -274,7 +279,7 @@ def _(spark, sf):
 
 @query("t7_attention_mask", f"{ENCODED_SQL} SELECT doc_id, array_to_string(attention_mask, ',') AS mask FROM encoded")
 def _(spark, sf):
-    lengths = documents(spark, sf).select(
+    lengths = texts(spark, sf).select(
         "doc_id", (F.size(enc.truncate(enc.token_array(F.col("text")), ROOM)) + 2).alias("n")
     )
     return lengths.select("doc_id", joined(enc.attention_mask(F.col("n"), LENGTH)).alias("mask"))
@@ -286,7 +291,7 @@ def _(spark, sf):
         array_to_string(attention_mask, ',') AS attention_mask, seqlen::INT AS seqlen FROM encoded""",
 )
 def _(spark, sf):
-    return encoded(documents(spark, sf)).select(
+    return encoded(texts(spark, sf)).select(
         "doc_id",
         joined("input_ids").alias("input_ids"),
         joined("attention_mask").alias("attention_mask"),
@@ -296,7 +301,7 @@ def _(spark, sf):
 
 @query("t8_encode_large_vocab", ORACLES["t8_encode"])
 def _(spark, sf):
-    docs = documents(spark, sf)
+    docs = texts(spark, sf)
     rows = tokens.encode(docs, vocabulary(docs), vocab_size=VOCAB_SIZE, limit=0)
     return rows.select(
         "doc_id",
@@ -317,7 +322,7 @@ def _(spark, sf):
 
 @query("b2_seq_lengths", f"{ENCODED_SQL} SELECT doc_id, list_sum(attention_mask)::INT AS seqlen FROM encoded")
 def _(spark, sf):
-    return batching.seq_lengths(encoded(documents(spark, sf)).drop("seqlen")).select("doc_id", "seqlen")
+    return batching.seq_lengths(encoded(texts(spark, sf)).drop("seqlen")).select("doc_id", "seqlen")
 
 
 @query("b3_max_seqlen", f"{ENCODED_SQL} SELECT batch_id, max(seqlen)::INT AS max_seqlen FROM batches GROUP BY batch_id")
@@ -352,7 +357,7 @@ def _(spark, sf):
 
 @query("b4_cu_seqlens_global", f"{OFFSETS_SQL} SELECT doc_id, all_end - seqlen AS cu_start, all_end AS cu_end FROM offsets")
 def _(spark, sf):
-    rows = encoded(documents(spark, sf)).select("doc_id", "seqlen")
+    rows = encoded(texts(spark, sf)).select("doc_id", "seqlen")
     return batching.cu_seqlens(rows, by=None, order="doc_id").select("doc_id", "cu_start", "cu_end")
 
 
@@ -461,7 +466,7 @@ def _(spark, sf):
         GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    pairs = neighbours.band_pairs(tokens.tokenize(documents(spark, sf)), "doc_id", "pos", BAND, carry=("token",))
+    pairs = neighbours.band_pairs(tokens.tokenize(texts(spark, sf)), "doc_id", "pos", BAND, carry=("token",))
     equal = (F.col("token_i") == F.col("token_j")).cast("bigint")
     return pairs.groupBy("doc_id", (F.col("j") - F.col("i")).alias("distance")).agg(
         F.count("*").alias("n"), F.sum(equal).alias("n_equal")

@@ -15,7 +15,7 @@ from textloom.operators import batching, catalogue, head, labels, losses, neighb
 from textloom.operators.joins import BROADCAST_ENTRIES
 from textloom.operators.optimizer import AdamParams
 from textloom.plans import workflows
-from textloom.plans.text_queries import CLASSES, ORACLES, documents, encoded_sql, query
+from textloom.plans.text_queries import CLASSES, ORACLES, documents, encoded_sql, query, texts
 from textloom.session import work_path
 from textloom.sources import parameters
 
@@ -70,18 +70,21 @@ def gelu_sql(x: str) -> str:
     return f"(0.5 * {x} * (1 + {erf}))"
 
 
-NORM_SQL = f"""{CELLS_SQL},
+NORM_STEPS_SQL = f"""
 centred AS (SELECT *, x - avg(x) OVER (PARTITION BY vec_id) AS c FROM cells),
 normed AS (
   SELECT vec_id, label, d, c / sqrt(avg(c * c) OVER (PARTITION BY vec_id) + {EPS}) * (1 + (d % 5) / 10.0) AS x
   FROM centred)"""
 
-HIDDEN_SQL = f"""{NORM_SQL},
+HIDDEN_STEPS_SQL = f"""{NORM_STEPS_SQL},
 active AS (SELECT vec_id, label, d, {gelu_sql("x")} AS x FROM normed),
 hidden AS (
   SELECT vec_id, label, o, sum(x * (((o * 7 + d * 11) % 17 - 8) / 20.0)) AS x
   FROM active, (SELECT unnest(range({DIMS})) AS o) GROUP BY vec_id, label, o)"""
 
+NORM_SQL = f"{CELLS_SQL}, {NORM_STEPS_SQL}"
+HIDDEN_SQL = f"{CELLS_SQL}, {HIDDEN_STEPS_SQL}"
+
 
 def classifier_sql(source: str, dim: str) -> str:
     return f"""
@@ -145,7 +148,7 @@ def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
         {r(f"sum(embedding[{DIMS}]::DOUBLE * pos)")} AS last FROM embedded GROUP BY doc_id""",
 )
 def embedded_tokens(spark: SparkSession, sf: str, limit: int = BROADCAST_ENTRIES) -> DataFrame:
-    docs = documents(spark, sf)
+    docs = texts(spark, sf)
     vocab = workflows.build_vocab(workflows.tokenize(docs), TOKEN_VOCAB)
     encoded = workflows.encode(docs, vocab, vocab_size=TOKEN_VOCAB)
     ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
@@ -194,13 +197,13 @@ def _(spark, sf):
         GROUP BY doc_id, dim""",
 )
 def _(spark, sf):
-    pooled = workflows.document_vectors(documents(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB)
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB)
     return long_form(pooled, "doc_id", "pooled")
 
 
 @query("v3_pool_mean_documents_large_table", ORACLES["v3_pool_mean_documents"])
 def _(spark, sf):
-    pooled = workflows.document_vectors(documents(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, limit=0)
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, limit=0)
     return long_form(pooled, "doc_id", "pooled")
 
 
@@ -210,7 +213,7 @@ def _(spark, sf):
         {r("unnest(embedding)::DOUBLE")} AS value FROM embedded WHERE pos = 0""",
 )
 def _(spark, sf):
-    pooled = workflows.document_vectors(documents(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, "cls")
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, "cls")
     return long_form(pooled, "doc_id", "pooled")
 
 
@@ -524,14 +527,21 @@ w0 AS (
   SELECT c, d, ((c * 31 + d * 17) % 13 - 6) / 10.0 AS theta
   FROM (SELECT unnest(range({N_CLASSES})) AS c), (SELECT unnest(range({DIMS})) AS d)
   UNION ALL SELECT c, {DIMS}, (c - 5) / 20.0 FROM (SELECT unnest(range({N_CLASSES})) AS c)),
-inputs AS (SELECT vec_id, label, d, x FROM cells UNION ALL SELECT vec_id, label, {DIMS}, 1 FROM embeddings)"""
+half AS (
+  SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // ((SELECT count(*) + 1 FROM embeddings) // 2) AS batch
+  FROM embeddings),
+inputs AS (
+  SELECT vec_id, label, d, x, batch FROM cells JOIN half USING (vec_id)
+  UNION ALL SELECT vec_id, label, {DIMS}, 1, batch FROM embeddings JOIN half USING (vec_id))"""
 
 
-def gradient_sql(step: int, weights: str, source: str) -> str:
+def gradient_sql(step: int, weights: str, source: str, batch: int | None = None) -> str:
     """Gradient of the mean loss; the bias is column ``DIMS`` with an input of 1."""
+    rows = "" if batch is None else f"WHERE batch = {batch}"
     shared = f"""
+i{step} AS (SELECT vec_id, label, d, x FROM inputs {rows}),
 z{step} AS (
-  SELECT vec_id, label, c, sum(x * theta) AS z FROM inputs JOIN {weights} USING (d) GROUP BY vec_id, label, c),
+  SELECT vec_id, label, c, sum(x * theta) AS z FROM i{step} JOIN {weights} USING (d) GROUP BY vec_id, label, c),
 e{step} AS (SELECT *, exp(z - max(z) OVER w) AS e FROM z{step} WINDOW w AS (PARTITION BY vec_id)),
 p{step} AS (SELECT vec_id, label, c, z, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM e{step}),
 q{step} AS (
@@ -540,8 +550,8 @@ q{step} AS (
     own = "-ln(p)" if source == "logits" else "-ln(r + 1)"
     return f"""{shared},
 dz{step} AS (SELECT vec_id, c, {dz} AS dz FROM q{step}),
-g{step} AS (SELECT c, d, avg(dz * x) AS grad FROM dz{step} JOIN inputs USING (vec_id) GROUP BY c, d),
-loss{step} AS (SELECT avg({own}) AS loss FROM q{step} WHERE c = label)"""
+g{step} AS (SELECT c, d, avg(dz * x) AS grad FROM dz{step} JOIN i{step} USING (vec_id) GROUP BY c, d),
+loss{step} AS (SELECT avg({own}) AS loss, count(*) AS batch_size FROM q{step} WHERE c = label)"""
 
 
 def gradient_query(name: str, source: str) -> None:
@@ -564,31 +574,43 @@ TRAIN_HP = AdamParams(lr=0.01)
 TRAIN_EPOCHS = 3
 
 
-def training_sql(lifetime: str, source: str) -> str:
-    """Epochs of one batch each, written out."""
+def training_steps_sql(lifetime: str, source: str, lr: float, batches: int = 1) -> str:
+    """The steps of all epochs, written out; the last weights are in ``trained``."""
     ctes, weights = [], "w0"
-    for e in range(TRAIN_EPOCHS):
-        t = 1 if lifetime == "step" else e + 1
-        old = "0" if e == 0 or lifetime == "step" else None
-        m, v = (old, old) if old else ("m", "v")
+    steps = TRAIN_EPOCHS * batches
+    for i in range(steps):
+        t = 1 if lifetime == "step" else i + 1
+        m, v = ("0", "0") if t == 1 else ("m", "v")
         ctes.append(
-            f"""{gradient_sql(e, weights, source)},
-u{e} AS (
+            f"""{gradient_sql(i, weights, source, i % batches if batches > 1 else None)},
+u{i} AS (
   SELECT c, d, theta, 0.9 * {m} + 0.1 * grad AS m, 0.999 * {v} + (1 - 0.999) * grad * grad AS v
-  FROM {weights} JOIN g{e} USING (c, d)),
-t{e} AS (
-  SELECT c, d, m, v, theta - {TRAIN_HP.lr} * (m / (1 - pow(0.9, {t}))) / (sqrt(v / (1 - pow(0.999, {t}))) + 1e-8) AS theta
-  FROM u{e})"""
+  FROM {weights} JOIN g{i} USING (c, d)),
+t{i} AS (
+  SELECT c, d, m, v, theta - {lr} * (m / (1 - pow(0.9, {t}))) / (sqrt(v / (1 - pow(0.999, {t}))) + 1e-8) AS theta
+  FROM u{i})"""
         )
-        weights = f"t{e}"
-    return f"WITH {CELLS_SQL}, {WEIGHTS_SQL}, {', '.join(ctes)}"
+        weights = f"t{i}"
+    return ", ".join(ctes) + f", trained AS (SELECT * FROM {weights})"
+
+
+def training_sql(lifetime: str, source: str, batches: int = 1) -> str:
+    return f"WITH {CELLS_SQL}, {WEIGHTS_SQL}, {training_steps_sql(lifetime, source, TRAIN_HP.lr, batches)}"
 
 
 def trained_params_sql(lifetime: str, source: str) -> str:
     return f"""{training_sql(lifetime, source)}
 SELECT CASE WHEN d < {DIMS} THEN '{head.CLASSIFIER_WEIGHT}' ELSE '{head.CLASSIFIER_BIAS}' END AS param,
   (CASE WHEN d < {DIMS} THEN c ELSE 0 END)::INT AS "row", (CASE WHEN d < {DIMS} THEN d ELSE c END)::INT AS "col",
-  round(theta, 4) + 0.0 AS theta FROM t{TRAIN_EPOCHS - 1}"""
+  round(theta, 4) + 0.0 AS theta FROM trained"""
+
+
+def metrics_sql(lifetime: str, source: str, batches: int) -> str:
+    rows = (
+        f"SELECT {i // batches} AS epoch, {i % batches} AS step, batch_size, {r('loss')} AS loss FROM loss{i}"
+        for i in range(TRAIN_EPOCHS * batches)
+    )
+    return f"{training_sql(lifetime, source, batches)} {' UNION ALL '.join(rows)}"
 
 
 def train(spark: SparkSession, sf: str, lifetime: str, source: str, batch_size: int = training.BATCH_SIZE):
@@ -613,22 +635,16 @@ def _(spark, sf):
     return params.withColumn("theta", F.round("theta", 4) + 0.0)
 
 
-@query(
-    "a10_train_head_metrics",
-    f"""{training_sql("run", "probs")} """
-    + " UNION ALL ".join(
-        f"SELECT {e} AS epoch, 0 AS step, (SELECT count(*) FROM embeddings) AS batch_size, {r('loss')} AS loss FROM loss{e}"
-        for e in range(TRAIN_EPOCHS)
-    ),
-)
+@query("a10_train_head_metrics", metrics_sql("run", "probs", 1))
 def _(spark, sf):
     metrics = train(spark, sf, "run", "probs")[1]
     return metrics.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
-@query("a10_train_head_batches")
+@query("a10_train_head_batches", metrics_sql("run", "probs", 2))
 def _(spark, sf):
-    metrics = train(spark, sf, "run", "probs", batch_size=250)[1]
+    half = (embeddings(spark, sf).count() + 1) // 2
+    metrics = train(spark, sf, "run", "probs", half)[1]
     return metrics.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
@@ -645,14 +661,39 @@ def _(spark, sf):
     return parameters.read_parameters(spark, path).withColumn("theta", F.round("theta", 4) + 0.0)
 
 
-@query("train_document_classifier")
+DOCUMENT_HP = AdamParams(lr=0.05)
+
+DOCUMENT_CLASSIFIER_SQL = f"""{TOKEN_SQL},
+langs AS (
+  SELECT (row_number() OVER (ORDER BY lang) - 1)::INT AS label, lang FROM (SELECT DISTINCT lang FROM documents)),
+cells AS (
+  SELECT v.doc_id AS vec_id, l.label, v.d, v.x FROM (
+    SELECT doc_id, d, avg(x) AS x FROM (
+      SELECT doc_id, generate_subscripts(embedding, 1) - 1 AS d, unnest(embedding)::DOUBLE AS x FROM embedded)
+    GROUP BY doc_id, d) v JOIN documents USING (doc_id) JOIN langs l USING (lang)),
+{HIDDEN_STEPS_SQL},
+w0 AS (
+  SELECT c, d, ((c * 31 + d * 17) % 13 - 6) / 10.0 AS theta
+  FROM (SELECT label AS c FROM langs), (SELECT unnest(range({DIMS})) AS d)
+  UNION ALL SELECT label, {DIMS}, (label - 5) / 20.0 FROM langs),
+inputs AS (
+  SELECT vec_id, label, o AS d, x FROM hidden UNION ALL SELECT DISTINCT vec_id, label, {DIMS}, 1 FROM hidden),
+{training_steps_sql("run", "probs", DOCUMENT_HP.lr)},
+final AS (
+  SELECT vec_id, label, c, sum(x * theta) AS z FROM inputs JOIN trained USING (d) GROUP BY vec_id, label, c
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY sum(x * theta) DESC, c) = 1)
+SELECT a.lang, b.lang AS predicted_label, count(*) AS n
+FROM final f JOIN langs a ON a.label = f.label JOIN langs b ON b.label = f.c GROUP BY 1, 2"""
+
+
+@query("train_document_classifier", DOCUMENT_CLASSIFIER_SQL)
 def _(spark, sf):
-    """From texts to predicted languages, with the token vectors and head given."""
+    """From texts to predicted languages, with the token vectors and the first weights given."""
     m = model()
     classes = documents(spark, sf, "lang").select("lang").distinct().count()
-    four = head.Head(m.norm, m.dense, m.weight[:classes], m.bias[:classes], m.eps)
+    start = head.Head(m.norm, m.dense, m.weight[:classes], m.bias[:classes], m.eps)
     done = workflows.train_document_classifier(
-        documents(spark, sf, "lang"), "lang", token_vectors(spark, sf), four, TOKEN_VOCAB, AdamParams(lr=0.05), 3, 5000
+        texts(spark, sf, "lang"), "lang", token_vectors(spark, sf), start, TOKEN_VOCAB, DOCUMENT_HP, TRAIN_EPOCHS
     )
     return done.predictions.groupBy("lang", "predicted_label").agg(F.count("*").alias("n"))
 

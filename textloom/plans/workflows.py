@@ -16,8 +16,9 @@ from textloom.operators.labels import encode_labels, label_map_from
 from textloom.operators.optimizer import AdamParams
 from textloom.operators.ordering import build_order_index
 from textloom.operators.tokens import build_vocab, encode, tokenize
-from textloom.operators.training import train_head
+from textloom.operators.training import BATCH_SIZE, EPOCHS, train_head
 from textloom.operators.vectors import embed_tokens, pool_cls, pool_ids, pool_mean
+from textloom.session import stored
 from textloom.sources.parameters import matrix
 
 
@@ -86,16 +87,19 @@ def train_document_classifier(
     head: Head,
     vocab_size: int,
     hp: AdamParams,
-    epochs: int,
-    batch_size: int,
+    epochs: int = EPOCHS,
+    batch_size: int = BATCH_SIZE,
     pooling: str = "mean",
     input: str = "probs",
     optimizer_lifetime: str = "run",
 ) -> TrainedClassifier:
-    """Encode, pool, train the classifier layer of ``head`` and classify the corpus with it."""
+    """Encode, pool, train the classifier layer of ``head`` and classify the corpus with it.
+
+    The pooled vectors are stored once; training and prediction read them, not the texts.
+    """
     classes = label_map_from(docs, label_col)
     vectors = document_vectors(docs, token_vectors, head.dense.shape[1], vocab_size, pooling, keep=(label_col,))
-    samples = encode_labels(vectors, classes, label_col)
+    samples = stored(encode_labels(vectors, classes, label_col), "samples")
     featured = head_vector(samples, "pooled", head)
     params, metrics = train_head(
         featured.withColumnRenamed("label_id", "target"),

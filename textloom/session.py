@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "textloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,3 +37,10 @@ def work_path(spark: SparkSession, name: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
         root = context.getCheckpointDir()
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so later jobs do not repeat its work."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

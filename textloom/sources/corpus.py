@@ -14,8 +14,9 @@ def read_documents(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
     multi_line: bool = True,
+    spread: bool = False,
 ) -> DataFrame:
-    """``(doc_id, text, *keep)`` from Parquet or CSV.
+    """``(doc_id, text, *keep)`` from Parquet or CSV; see ``spread_rows`` for ``spread``.
 
     CSV needs a header. Quoted line breaks need ``multi_line``, which makes a file one split;
     turn it off for large files without them.
@@ -35,4 +36,15 @@ def read_documents(
         )
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    return raw.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    docs = raw.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    return spread_rows(docs, "doc_id") if spread else docs
+
+
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input with fewer splits than there are cores over all of them.
+
+    A file of a single row group would keep one core busy. Such an input is smaller than one
+    split per core, so the shuffle is small too; a larger input stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
