@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textloom.functions import dense, encoding
 from textloom.functions import math as fm
 from textloom.operators import batching, labels, losses, neighbours, optimizer, tokens, vectors
+from textloom.operators.head import Head, predict, score_head
 from textloom.operators.optimizer import AdamParams
 from textloom.sources import metrics, parameters
 from textloom.sources.corpus import read_documents
@@ -361,3 +362,20 @@ def test_all_masked_within_band_is_uniform_over_band(spark):
 def test_max_len_is_checked(spark):
     with pytest.raises(PySparkException, match="not below max_len"):
         pool(spark, [1, 1, 1], None, max_len=2)
+
+
+def test_null_vectors_stay_null(spark):
+    head = Head(np.ones(2), np.eye(2), np.array([[1.0, 0.0], [0.0, 1.0]]), np.zeros(2))
+    rows = [(0, [3.0, 1.0]), (1, None), (2, [1.0, 3.0])]
+    df = spark.createDataFrame(rows, "id INT, v ARRAY<DOUBLE>").coalesce(1)
+    got = predict(score_head(df, "v", head)).sort("id").collect()
+    assert [r["predicted"] for r in got] == [0, None, 1]
+    assert got[1]["probs"] is None and got[1]["logits"] is None
+    ys = df.select("id", vectors.linear(F.col("v"), np.array([[1.0, 1.0]])).alias("y")).sort("id").collect()
+    assert [r["y"] for r in ys] == [[4.0], None, [4.0]]
+    nothing = df.where("id = 1").select(vectors.linear(F.col("v"), np.eye(2)).alias("y"))
+    assert nothing.first()["y"] is None
+
+
+def test_layer_norm_of_nothing_is_null(spark):
+    assert values(spark, fm.layer_norm(F.col("x")), []) is None or values(spark, fm.layer_norm(F.col("x")), []) == []

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
 from textloom.functions.math import ERF_COEFFICIENTS, ERF_P
 
+VECTOR = pa.list_(pa.float64())
+
 
 def to_matrix(column: pa.Array) -> np.ndarray:
     """Rows of equal length as one matrix."""
@@ -29,6 +33,17 @@ def to_lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(matrix.ravel()))
 
 
+def map_rows(column: pa.Array, fn: Callable[[np.ndarray], pa.Array], empty: pa.DataType) -> pa.Array:
+    """Apply a function of a matrix to the vectors that are present; NULL stays NULL."""
+    present = column.is_valid().to_numpy(zero_copy_only=False)
+    if not present.any():
+        return pa.nulls(len(column), empty)
+    if present.all():
+        return fn(to_matrix(column))
+    rows = np.cumsum(present) - 1
+    return fn(to_matrix(column.drop_null())).take(pa.array(rows, mask=~present))
+
+
 def gelu(x: np.ndarray) -> np.ndarray:
     a1, a2, a3, a4, a5 = ERF_COEFFICIENTS
     z = x / np.sqrt(2.0)

@@ -46,11 +46,11 @@ def layer_norm(vector: Column, weight: Column | None = None, eps: float = 1e-5)
         return scaled if weight is None else F.zip_with(scaled, weight, lambda x, w: x * w)
 
     size = F.size(values)
-    mean = total(values) / size
+    mean = F.try_divide(total(values), size)  # NULL for an empty vector
 
     def with_variance(mu: Column) -> Column:
         squares = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu))
-        return _bind(F.struct(mu.alias("mean"), (squares / size).alias("var")), normalise)
+        return _bind(F.struct(mu.alias("mean"), F.try_divide(squares, size).alias("var")), normalise)
 
     return _bind(mean, with_variance)
 

@@ -57,23 +57,25 @@ def head_vector(df: DataFrame, vec_col: str, head: Head, out: str = "features")
     @F.arrow_udf("array<double>")
     def transform(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            x = dense.to_matrix(batch)
-            yield dense.to_lists(hidden(x, norm, weight, eps) if len(x) else np.zeros((0, len(weight))))
+            yield dense.map_rows(batch, lambda x: dense.to_lists(hidden(x, norm, weight, eps)), dense.VECTOR)
 
     return df.withColumn(out, transform(vec_col))
 
 
 def score_head(df: DataFrame, vec_col: str, head: Head) -> DataFrame:
-    """Add ``logits`` and ``probs``. Stateless, so it also runs on a stream."""
+    """Add ``logits`` and ``probs``; NULL for a NULL vector. Stateless, so it also runs on a stream."""
     norm, inner, weight, bias, eps = head.norm, head.dense, head.weight, head.bias, head.eps
 
+    def scores(x: np.ndarray) -> pa.Array:
+        z = hidden(x, norm, inner, eps) @ weight.T + bias
+        return pa.StructArray.from_arrays([dense.to_lists(z), dense.to_lists(dense.softmax(z))], ["logits", "probs"])
+
+    kind = pa.struct([("logits", dense.VECTOR), ("probs", dense.VECTOR)])
+
     @F.arrow_udf("struct<logits: array<double>, probs: array<double>>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            x = dense.to_matrix(batch)
-            z = hidden(x, norm, inner, eps) @ weight.T + bias if len(x) else np.zeros((0, len(weight)))
-            p = dense.softmax(z) if len(x) else z
-            yield pa.StructArray.from_arrays([dense.to_lists(z), dense.to_lists(p)], ["logits", "probs"])
+            yield dense.map_rows(batch, scores, kind)
 
     return df.withColumn("_score", score(vec_col)).select(
         *df.columns, F.col("_score.logits").alias("logits"), F.col("_score.probs").alias("probs")

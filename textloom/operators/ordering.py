@@ -9,8 +9,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_RANGES = 8
-MAX_RANGES = 4096
+# Ranges per core, and the most there are.
+RANGES_PER_CORE = 4
+MAX_RANGES = 16_384
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,7 @@ def build_order_index(df: DataFrame, key: str, value: str | None = None, ranges:
     the value; at most ``MAX_RANGES`` totals reach the driver.
     """
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(MAX_RANGES, max(MIN_RANGES, ranges))
+        ranges = min(MAX_RANGES, RANGES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
     cuts = [i / ranges for i in range(1, ranges)]
     inner = sorted(set(df.approxQuantile(key, cuts, 0.25 / ranges))) if cuts else []
     bounds = (float("-inf"), *inner, float("inf"))

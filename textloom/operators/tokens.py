@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.encoding import (
@@ -25,7 +25,7 @@ from textloom.functions.encoding import (
     token_array,
     truncate,
 )
-from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from textloom.operators.joins import BROADCAST_ROWS, lookup_join
 
 
 def tokenize(
@@ -68,18 +68,22 @@ def lookup_ids(
     return joined.withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
 
 
-def id_array_lookup(vocab: DataFrame, unk_id: int = UNK_ID, limit: int = BROADCAST_ROWS):
+def small_vocab(vocab: DataFrame, vocab_size: int | None = None, limit: int = BROADCAST_ROWS) -> pa.Table | None:
+    """The whole vocabulary if it has at most ``limit`` entries, else None."""
+    if limit < 1 or (vocab_size or 0) > limit:
+        return None
+    table = vocab.select("token", "token_id").limit(limit + 1).toArrow()
+    return table.combine_chunks() if len(table) <= limit else None
+
+
+def id_array_lookup(spark: SparkSession, table: pa.Table, unk_id: int = UNK_ID):
     """A function from a token array to its id array, for a vocabulary that is small enough.
 
     The vocabulary is held by every worker and looked up a batch at a time, so encoding a
     document needs no shuffle.
     """
-    table = vocab.select("token", "token_id").limit(limit + 1).toArrow().combine_chunks()
-    if len(table) > limit:
-        raise ValueError(f"the vocabulary has more than the {limit} entries a worker may hold")
-    known = vocab.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), table["token_id"].to_numpy().astype(np.int32))
-    )
+    names = table["token"].combine_chunks() if len(table) else pa.array([], pa.string())
+    known = spark.sparkContext.broadcast((names, table["token_id"].to_numpy().astype(np.int32)))
 
     @F.arrow_udf("array<int>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -112,14 +116,15 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, *keep, input_ids, attention_mask, seqlen)``, both arrays ``max_length`` long.
 
-    ``vocab_size`` is the bound the vocabulary was built with; without it the vocabulary is
-    counted. Up to ``limit`` entries it is held by every worker, and the encoding is one
+    A vocabulary of up to ``limit`` entries is held by every worker, and the encoding is one
     projection. A larger one is joined token by token and the ids are gathered per document.
+    ``vocab_size`` is the bound the vocabulary was built with, if known.
     """
     room = content_length(max_length, add_special)
     content = truncate(token_array(F.col(text_col), pattern), room)
-    if fits_broadcast(vocab, vocab_size, limit):
-        to_ids = id_array_lookup(vocab, unk_id, limit)
+    table = small_vocab(vocab, vocab_size, limit)
+    if table is not None:
+        to_ids = id_array_lookup(df.sparkSession, table, unk_id)
         coded = df.select(id_col, *keep, to_ids(content).alias("ids"))
     else:
         coded = _encode_by_join(df.select(id_col, *keep, content.alias("tokens")), vocab, unk_id, id_col, keep)

@@ -95,8 +95,7 @@ def linear(vec: Column, weight: np.ndarray, bias: np.ndarray | None = None) -> C
     @F.arrow_udf("array<double>")
     def multiply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            x = dense.to_matrix(batch)
-            yield dense.to_lists(x @ weight.T + shift if len(x) else np.zeros((0, len(weight))))
+            yield dense.map_rows(batch, lambda x: dense.to_lists(x @ weight.T + shift), dense.VECTOR)
 
     return multiply(vec)
 

@@ -242,7 +242,7 @@ def _(spark, sf):
 def content_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of whole texts, without markers, truncation or padding."""
     docs = texts(spark, sf)
-    to_ids = tokens.id_array_lookup(vocabulary(docs))
+    to_ids = tokens.id_array_lookup(spark, tokens.small_vocab(vocabulary(docs)))
     return docs.select("doc_id", to_ids(enc.token_array(F.col("text"))).alias("ids"))
 
 
