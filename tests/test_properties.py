@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from textloom.functions import math as fm
 from textloom.operators import batching, catalogue, neighbours, tokens, vectors
+from textloom.operators.joins import lookup_join
 from textloom.operators.ordering import build_order_index, running_sum
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -65,6 +67,14 @@ def test_order_is_not_made_in_one_partition(spark):
     assert "SinglePartition" not in plan
 
 
+def test_order_key_must_be_known(spark):
+    keys = spark.createDataFrame([(1,), (2,), (None,)], "k BIGINT")
+    with pytest.raises(PySparkException, match="no place in the order"):
+        batching.assign_batches(keys, "k", 2).collect()
+    index = build_order_index(spark.range(4, 8), "id", ranges=2)
+    assert batching.assign_batches(spark.range(4, 8), "id", 2, index).count() == 4
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 11])
 def test_batches_do_not_depend_on_partitions(spark, partitions):
     df = spark.range(0, 500, 1, partitions).select((F.col("id") * 7919 % 100003).alias("k"))
@@ -187,3 +197,13 @@ def test_hot_token_with_large_vocabulary(spark):
     small = tokens.encode(docs, vocab, 8).sort("doc_id").collect()
     large = tokens.encode(docs, vocab, 8, limit=0).sort("doc_id").collect()
     assert small == large
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_hot_class(spark, limit):
+    """A class with most of the rows, with the class map taken as small or as large."""
+    rows = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("c"))
+    table = spark.createDataFrame([("hot", 0), ("5", 1)], "c STRING, n INT")
+    got = lookup_join(rows, table, "c", spread=["id"], limit=limit, salts=4)
+    counts = {r["n"]: r["count"] for r in got.groupBy("n").count().collect()}
+    assert counts == {0: 400, 1: 1, None: 99}

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.joins import lookup_join
+
 LABEL_SCHEMA = "label_id INT, label STRING"
 
 # More classes than this is taken for a wrong column.
@@ -30,13 +32,13 @@ def label_map_from(df: DataFrame, col: str, max_classes: int = MAX_CLASSES) -> D
 def encode_labels(df: DataFrame, labels: DataFrame, col: str, out: str = "label_id") -> DataFrame:
     """Name to id; an unknown name gets NULL."""
     names = labels.select(F.col("label").alias(col), F.col("label_id").alias(out))
-    return df.join(names, col, "left")
+    return lookup_join(df, names, col, spread=df.columns)
 
 
 def decode_labels(df: DataFrame, labels: DataFrame, col: str, out: str = "label") -> DataFrame:
     """Id to name; an unknown id gets NULL."""
     ids = labels.select(F.col("label_id").alias(col), F.col("label").alias(out))
-    return df.join(ids, col, "left")
+    return lookup_join(df, ids, col, spread=df.columns)
 
 
 def num_classes(labels: DataFrame | None) -> int:

@@ -43,9 +43,10 @@ def build_order_index(df: DataFrame, key: str, value: str | None = None, ranges:
 
 
 def _with_range(df: DataFrame, key: str, bounds: tuple[float, ...]) -> DataFrame:
+    missing = F.raise_error(F.lit(f"{key} is NULL and has no place in the order"))
+    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("double"), missing.cast("double")))
     if len(bounds) == 2:
-        return df.withColumn("_range", F.lit(0))
-    keyed = df.withColumn("_key", F.col(key).cast("double"))
+        return keyed.withColumn("_range", F.when(F.col("_key").isNotNull(), 0)).drop("_key")
     cut = Bucketizer(splits=list(bounds), inputCol="_key", outputCol="_range", handleInvalid="error")
     return cut.transform(keyed).withColumn("_range", F.col("_range").cast("int")).drop("_key")
 
@@ -57,7 +58,8 @@ def running_sum(df: DataFrame, index: OrderIndex, value: str | None, out: str) -
     within = Window.partitionBy("_range").orderBy(index.key)
     local = F.sum(amount.cast("bigint")).over(within.rowsBetween(Window.unboundedPreceding, 0))
     ranged = _with_range(df, index.key, index.bounds).withColumn(out, local)
-    # as many rows as there are ranges, MAX_RANGES at most
-    return (
-        ranged.join(F.broadcast(offsets), "_range").withColumn(out, F.col(out) + F.col("_offset")).drop("_range", "_offset")
-    )
+    # as many offsets as there are ranges, MAX_RANGES at most; left, so that no row can get lost
+    placed = ranged.join(F.broadcast(offsets), "_range", "left")
+    unknown = F.raise_error(F.lit(f"{index.key} lies outside the table the index was built from"))
+    offset = F.coalesce("_offset", unknown.cast("bigint"))
+    return placed.withColumn(out, F.col(out) + offset).drop("_range", "_offset")

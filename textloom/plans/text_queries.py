@@ -116,11 +116,11 @@ def _(spark, sf):
 
 
 def steps(spark: SparkSession, sf: str) -> DataFrame:
-    """One step per batch of documents, with the mean text length in place of a loss."""
+    """One step per batch of documents, with the mean log of the text length in place of a loss."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "n_chars")
     rows = batching.assign_batches(docs, "doc_id", BATCH)
     return rows.groupBy("batch_id").agg(
-        F.count("*").alias("batch_size"), (F.avg("n_chars") / 1000).alias("loss")
+        F.count("*").alias("batch_size"), F.avg(F.ln(F.col("n_chars") + 1)).alias("loss")
     ).select(
         F.lit("lengths").alias("run_id"),
         F.lit(0).alias("epoch"),
@@ -134,16 +134,19 @@ STEPS_SQL = f"""
 WITH numbered AS (
   SELECT n_chars, (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS step FROM documents),
 steps AS (
-  SELECT 'lengths' AS run_id, 0 AS epoch, step::INT AS step, count(*) AS batch_size, avg(n_chars) / 1000 AS loss
+  SELECT 'lengths' AS run_id, 0 AS epoch, step::INT AS step, count(*) AS batch_size, avg(ln(n_chars + 1)) AS loss
   FROM numbered GROUP BY step)"""
 
 
-@query("s3_write_metrics", f"{STEPS_SQL} SELECT run_id, epoch, step, batch_size, round(loss, 6) AS loss FROM steps")
-def _(spark, sf):
+def step_log(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "metrics")
     metrics.write_metrics(steps(spark, sf), path)
-    stored = metrics.read_metrics(spark, path, "lengths")
-    return stored.select("run_id", "epoch", "step", "batch_size", F.round("loss", 6).alias("loss"))
+    return metrics.read_metrics(spark, path, "lengths")
+
+
+@query("s3_write_metrics", f"{STEPS_SQL} SELECT run_id, epoch, step, batch_size, round(loss, 6) AS loss FROM steps")
+def _(spark, sf):
+    return step_log(spark, sf).select("run_id", "epoch", "step", "batch_size", F.round("loss", 6).alias("loss"))
 
 
 # ---- labels
@@ -482,5 +485,5 @@ def _(spark, sf):
         WHERE (step + 1) % {EVERY} = 0 OR step = (SELECT max(step) FROM steps)""",
 )
 def _(spark, sf):
-    logged = losses.sample_steps(steps(spark, sf), EVERY)
+    logged = losses.sample_steps(step_log(spark, sf), EVERY)
     return logged.select("epoch", "step", "batch_size", F.round("loss", 6).alias("loss"))
