@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import BROADCAST_ENTRIES, lookup_join, vectors_fit_broadcast
+from textloom.operators.joins import BROADCAST_ENTRIES, SALTS, lookup_join, salt, vectors_fit_broadcast
 
 # Vector entries gathered at a time within a task (64 MB of doubles).
 ENTRIES_AT_ONCE = 8_000_000
@@ -101,7 +101,7 @@ def linear(vec: Column, weight: np.ndarray, bias: np.ndarray | None = None) -> C
 
 
 def linear_by_join(
-    df: DataFrame, id_col: str, vec: str, weight: DataFrame, bias: DataFrame | None = None, salts: int = 8
+    df: DataFrame, id_col: str, vec: str, weight: DataFrame, bias: DataFrame | None = None, salts: int = SALTS
 ) -> DataFrame:
     """The same map for a weight too large for one process, as ``(id, row, value)``.
 
@@ -109,7 +109,7 @@ def linear_by_join(
     column number; a column is one key for all vectors, so it is salted by the vector id.
     """
     entries = df.select(id_col, F.posexplode(vec).alias("col", "x")).withColumn(
-        "_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
+        "_salt", salt([id_col], salts)
     )
     copies = weight.select("row", "col", "theta").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

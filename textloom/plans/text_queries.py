@@ -314,6 +314,21 @@ def _(spark, sf):
     )
 
 
+TURNS_SQL = """
+documents AS (SELECT conv_id * 1048576 + turn AS doc_id, text FROM conversations)"""
+
+
+@query(
+    "t8_encode_conversations",
+    ENCODED_SQL.replace("WITH", f"WITH {TURNS_SQL},", 1)
+    + """ SELECT doc_id, array_to_string(input_ids, ',') AS input_ids, seqlen::INT AS seqlen FROM encoded""",
+)
+def _(spark, sf):
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    docs = turns.select((F.col("conv_id") * 1048576 + F.col("turn")).alias("doc_id"), "text")
+    return encoded(docs).select("doc_id", joined("input_ids").alias("input_ids"), "seqlen")
+
+
 # ---- batches and packing
 
 
