@@ -199,11 +199,11 @@ def test_hot_token_with_large_vocabulary(spark):
     assert small == large
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_hot_class(spark, limit):
+@pytest.mark.parametrize("small", [None, False])
+def test_hot_class(spark, small):
     """A class with most of the rows, with the class map taken as small or as large."""
     rows = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("c"))
     table = spark.createDataFrame([("hot", 0), ("5", 1)], "c STRING, n INT")
-    got = lookup_join(rows, table, "c", spread=["id"], limit=limit, salts=4)
+    got = lookup_join(rows, table, "c", spread=["id"], small=small, salts=4)
     counts = {r["n"]: r["count"] for r in got.groupBy("n").count().collect()}
     assert counts == {0: 400, 1: 1, None: 99}

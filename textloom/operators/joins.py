@@ -34,17 +34,17 @@ def lookup_join(
     on: str,
     spread: list[str],
     how: str = "left",
-    bound: int | None = None,
-    limit: int = BROADCAST_ROWS,
+    small: bool | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which is unique on ``on``.
 
-    A small table is broadcast. For a larger one both sides shuffle on the key and a salt that
-    comes from the columns ``spread``, so that a key holding a third of all rows meets
-    ``salts`` copies of its table row in as many tasks.
+    A small table is broadcast; it is counted unless the caller has checked its size and says
+    ``small``. For a larger one both sides shuffle on the key and a salt that comes from the
+    columns ``spread``, so that a key holding a third of all rows meets ``salts`` copies of
+    its table row in as many tasks.
     """
-    if fits_broadcast(table, bound, limit):
+    if fits_broadcast(table) if small is None else small:
         return rows.join(F.broadcast(table), on, how)
     salted = rows.withColumn("_salt", salt(spread, salts))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

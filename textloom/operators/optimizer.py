@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = ["param", "row", "col"]
@@ -43,27 +43,28 @@ def init_state(params: DataFrame, hp: AdamParams) -> DataFrame:
 def adam_step(state: DataFrame, grads: DataFrame, hp: AdamParams, t: int) -> DataFrame:
     """One update; ``t`` counts steps from 1, with or without a gradient for a given row.
 
-    A row without gradient keeps its value and moments, and is not decayed either.
+    ``grads`` is ``(param, row, col, grad)``. A row without gradient keeps its value and
+    moments, and is not decayed either.
     """
-    theta, grad = F.col("theta"), F.col("grad")
+    theta, grad = "theta", "grad"
     if hp.decay and hp.decay[0] == "l2":
-        grad = grad + F.lit(hp.decay[1]) * theta
+        grad = f"(grad + {_double(hp.decay[1])} * theta)"
     if hp.decay and hp.decay[0] == "decoupled":
-        theta = theta * F.lit(1.0 - hp.lr * hp.decay[1])
-    m = F.lit(hp.beta_1) * F.col("m") + F.lit(1.0 - hp.beta_1) * grad
-    v = F.lit(hp.beta_2) * F.col("v") + F.lit(1.0 - hp.beta_2) * grad * grad
+        theta = f"theta * {_double(1.0 - hp.lr * hp.decay[1])}"
+    m = f"({_double(hp.beta_1)} * m + {_double(1.0 - hp.beta_1)} * {grad})"
+    v = f"({_double(hp.beta_2)} * v + {_double(1.0 - hp.beta_2)} * {grad} * {grad})"
     new = {"m": m, "v": v}
-    scale = F.col("_v")
+    scale = v
     if hp.amsgrad:
-        scale = F.col("_vmax")
-        new["vmax"] = F.greatest(F.col("vmax"), v)
-    m_hat = F.col("_m") / F.lit(1.0 - hp.beta_1**t)
-    v_hat = scale / F.lit(1.0 - hp.beta_2**t)
-    moved = theta - m_hat * F.lit(hp.lr) / (F.sqrt(v_hat) + F.lit(hp.eps))
-
-    def updated(value: Column, old: str) -> Column:
-        return F.when(F.col("grad").isNull(), F.col(old)).otherwise(value).alias(old)
-
-    joined = state.join(grads.select(*KEY, "grad"), KEY, "left")
-    staged = joined.select("*", *[value.alias(f"_{name}") for name, value in new.items()])
-    return staged.select(*KEY, updated(moved, "theta"), *[updated(F.col(f"_{name}"), name) for name in new])
+        scale = new["vmax"] = f"greatest(vmax, {v})"
+    m_hat = f"{m} / {_double(1.0 - hp.beta_1**t)}"
+    v_hat = f"{scale} / {_double(1.0 - hp.beta_2**t)}"
+    moved = f"{theta} - {m_hat} * {_double(hp.lr)} / (sqrt({v_hat}) + {_double(hp.eps)})"
+    updates = {"theta": moved, **new}
+    return state.join(grads, KEY, "left").selectExpr(
+        *KEY, *[f"CASE WHEN grad IS NULL THEN {old} ELSE {value} END AS {old}" for old, value in updates.items()]
+    )
+
+
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"

@@ -25,7 +25,7 @@ from textloom.functions.encoding import (
     token_array,
     truncate,
 )
-from textloom.operators.joins import BROADCAST_ROWS, lookup_join
+from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 
 
 def tokenize(
@@ -64,7 +64,8 @@ def lookup_ids(
 ) -> DataFrame:
     """Add ``token_id``; a token outside the vocabulary gets ``unk_id``."""
     ids = vocab.select("token", "token_id")
-    joined = lookup_join(tokens, ids, "token", spread=[id_col, "pos"], bound=vocab_size, limit=limit)
+    small = fits_broadcast(ids, vocab_size, limit)
+    joined = lookup_join(tokens, ids, "token", spread=[id_col, "pos"], small=small)
     return joined.withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
 
 
@@ -146,7 +147,7 @@ def _encode_by_join(
     df: DataFrame, vocab: DataFrame, unk_id: int, id_col: str, keep: tuple[str, ...]
 ) -> DataFrame:
     tokens = df.select(id_col, *keep, F.posexplode_outer("tokens").alias("pos", "token"))
-    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", spread=[id_col, "pos"], limit=0)
+    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", spread=[id_col, "pos"], small=False)
     entry = F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("token_id"))
     present: Column = F.when(F.col("pos").isNotNull(), entry)  # a document without tokens keeps its row
     gathered = found.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(present)).alias("entries"))

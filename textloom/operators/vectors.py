@@ -27,7 +27,7 @@ def embed_tokens(
     ``table`` is ``(token_id, vector)``. ``spread`` are columns that tell rows of one token apart.
     """
     small = vectors_fit_broadcast(table, "vector", limit)
-    found = lookup_join(token_rows, table, "token_id", spread, "left", bound=0, limit=1 if small else 0)
+    found = lookup_join(token_rows, table, "token_id", spread, small=small)
     missing = F.raise_error(F.concat(F.lit("no vector for token "), F.col("token_id").cast("string")))
     return found.withColumn("vector", F.coalesce("vector", missing))
 

@@ -11,7 +11,19 @@ from textloom.functions import dense
 from textloom.functions import encoding as enc
 from textloom.functions import math
 from textloom.functions.math import ERF_COEFFICIENTS, ERF_P
-from textloom.operators import batching, catalogue, head, labels, losses, neighbours, optimizer, scoring, training, vectors
+from textloom.operators import (
+    batching,
+    catalogue,
+    head,
+    labels,
+    losses,
+    neighbours,
+    optimizer,
+    scoring,
+    tokens,
+    training,
+    vectors,
+)
 from textloom.operators.joins import BROADCAST_ENTRIES
 from textloom.operators.optimizer import AdamParams
 from textloom.plans import workflows
@@ -149,8 +161,8 @@ def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
 )
 def embedded_tokens(spark: SparkSession, sf: str, limit: int = BROADCAST_ENTRIES) -> DataFrame:
     docs = texts(spark, sf)
-    vocab = workflows.build_vocab(workflows.tokenize(docs), TOKEN_VOCAB)
-    encoded = workflows.encode(docs, vocab, vocab_size=TOKEN_VOCAB)
+    vocab = tokens.build_vocab(tokens.tokenize(docs), TOKEN_VOCAB)
+    encoded = tokens.encode(docs, vocab, vocab_size=TOKEN_VOCAB)
     ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
     rows = vectors.embed_tokens(encoded.select("doc_id", ids), token_vectors(spark, sf), ["doc_id", "pos"], limit)
     first = F.get("vector", F.lit(0)).cast("double")

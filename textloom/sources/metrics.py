@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRIC_SCHEMA = "run_id STRING, epoch INT, step INT, batch_size BIGINT, loss DOUBLE"
@@ -13,6 +13,6 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").partitionBy("run_id").parquet(path)
 
 
-def read_metrics(spark, path: str, run_id: str | None = None) -> DataFrame:
+def read_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     metrics = spark.read.schema(METRIC_SCHEMA).parquet(path)
     return metrics if run_id is None else metrics.where(F.col("run_id") == run_id)
