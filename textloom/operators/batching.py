@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.encoding import PAD_ID, sequence_length
@@ -116,11 +118,20 @@ def repad(tokens: DataFrame, seq_len: int, pad_id: int = PAD_ID) -> DataFrame:
     Each token goes back to its ``pos``. A row without any token has no token rows and cannot
     come back.
     """
-    cells = F.map_from_entries(F.collect_list(F.struct("pos", "token_id")))
-    positions = F.sequence(F.lit(0), F.lit(seq_len - 1))
+    cells = F.array_sort(F.collect_list(F.struct("pos", "token_id")))
     rows = tokens.groupBy("batch_id", "slot").agg(cells.alias("cells"))
-    ids = F.transform(positions, lambda p: F.coalesce(F.element_at("cells", p), F.lit(pad_id)))
-    mask = F.transform(positions, lambda p: F.map_contains_key("cells", p).cast("int"))
+
+    def fill(value: Callable[[Column], Column], filler: int) -> Column:
+        """The value of each token, with the filler at all positions between and after them."""
+
+        def with_gap(cell: Column, i: Column) -> Column:
+            before = F.coalesce(F.get("cells", i - 1)["pos"], F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(filler), cell["pos"] - before - 1), F.array(value(cell)))
+
+        rest = F.lit(seq_len - 1) - F.element_at("cells", -1)["pos"]
+        return F.concat(F.flatten(F.transform("cells", with_gap)), F.array_repeat(F.lit(filler), rest))
+
+    ids, mask = fill(lambda cell: cell["token_id"], pad_id), fill(lambda cell: F.lit(1), 0)
     return rows.select("batch_id", "slot", ids.alias("input_ids"), mask.alias("attention_mask"))
 
 
