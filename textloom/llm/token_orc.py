@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from textloom.llm.hf_tokens import hf_tokens
 
@@ -96,7 +97,7 @@ def lookup_tokens(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataF
     return spark.read.orc(folder).where(F.col("doc_id").isin(doc_ids)).select("doc_id", "n_tokens", "ids")
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(LongType())
 def ids_crc32(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Unsigned CRC-32 of an array of ids as little-endian unsigned 32-bit integers."""
     for batch in batches:
