@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
+from textloom.llm.simhash import near_duplicates
 from textloom.llm.token_counts import count_tokens
 from textloom.llm.token_orc import ids_crc32, read_token_orc, write_token_orc
 from textloom.session import work_path
@@ -45,3 +47,9 @@ def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return round_trip_digests(docs, public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN)
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, budget=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
