@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
+from textloom.llm.decontaminate import contamination_report
 from textloom.llm.simhash import near_duplicates
 from textloom.llm.token_counts import count_tokens
 from textloom.llm.token_orc import ids_crc32, read_token_orc, write_token_orc
@@ -53,3 +54,39 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, budget=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op8_decontamination"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS win
+  FROM item_words, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(i)
+  WHERE len(w) > 0
+), doc_windows AS (
+  SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM doc_words, (SELECT DISTINCT k FROM windows), unnest(range(1, len(w) - k + 2)) AS t(i)
+), found AS (
+  SELECT d.doc_id, d.i, d.k, b.item_id FROM doc_windows d JOIN windows b ON d.k = b.k AND d.win = b.win
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + k)) AS t(p) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
