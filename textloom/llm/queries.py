@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
 from textloom.llm.decontaminate import contamination_report
+from textloom.llm.pq_dedup import near_duplicate_vectors
 from textloom.llm.simhash import near_duplicates
 from textloom.llm.token_counts import count_tokens
 from textloom.llm.token_orc import ids_crc32, read_token_orc, write_token_orc
@@ -90,3 +91,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+ORACLES["op1_pq_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, row_number() OVER () AS r, CAST(embedding AS DOUBLE[]) AS e,
+         embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings
+), n AS (
+  SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE ok
+), links AS (
+  SELECT a.r AS a, a.vec_id AS a_id, b.r AS b, b.vec_id AS b_id
+  FROM n a JOIN n b ON a.r <> b.r AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+), reach(r, id) AS (
+  SELECT r, vec_id FROM v UNION SELECT l.a, x.id FROM links l JOIN reach x ON l.b = x.r
+), lowest AS (
+  SELECT r, min(id) AS component_id FROM reach GROUP BY r
+), counts AS (
+  SELECT a AS r, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN lowest USING (r) LEFT JOIN counts USING (r)
+"""
