@@ -1,4 +1,9 @@
-"""Token ids and counts as the ``tokenizers`` library gives them for a byte-level BPE file."""
+"""Token ids and counts as the ``tokenizers`` library gives them for a byte-level BPE file.
+
+A worker remembers the codes of the runs between two single spaces, up to a bound. Most runs of
+a text are known, so a text costs one split and a lookup for each run; the library encodes new
+runs, many at a time.
+"""
 
 from __future__ import annotations
 
@@ -7,74 +12,87 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
-import numpy as np
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 from tokenizers import Tokenizer  # noqa: E402
 
-from textloom.llm.pieces import Pieces
+from textloom.llm.pieces import MIXED  # noqa: E402
 
-# The pattern of the library's byte-level pre-tokenizer (fixed value).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Runs a worker remembers, the longest such run, and the texts looked up together.
+RUNS = 1 << 20
+RUN_LENGTH = 48
+TEXTS = 512
 
-# Above these letters Unicode tables of two libraries may differ in age; the library cuts such texts itself.
-_NEWER = regex.compile(r"[^\x00-\x1B\x20-ɏͰ-ϿЀ-ӿ‐-‧€]")
+# White space to the library and to Python alike but for these; a text with them is not cut here.
+_CONTROLS = regex.compile(r"[\x1C-\x1F]")
 
 
 class HfTokens:
-    """One tokenizer file: ids as little-endian unsigned 32-bit integers, and counts."""
+    """One tokenizer file: the ids of texts, or their counts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, counting: bool):
         self._library = Tokenizer.from_file(path)
         # strings of added tokens are found by the library before it cuts the text
         added = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self._ids = Pieces(PATTERN, self._ask, b"".join)
-        self.known_counts = Pieces(PATTERN, lambda piece: len(self._ask(piece)) // 4, sum)
-
-    def _ask(self, text: str) -> bytes:
-        return _packed(self._library.encode(text, add_special_tokens=False).ids)
-
-    def _ask_many(self, texts: list[str]) -> Iterator[bytes]:
-        return (_packed(e.ids) for e in self._library.encode_batch_fast(texts, add_special_tokens=False))
-
-    def plain(self, text: str) -> bool:
-        """Whether pieces can be encoded one by one with the library's result."""
-        return not (_NEWER.search(text) or self._added and self._added.search(text))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out = []
-        for some in _runs_of(texts):
-            plain = [self.plain(text) for text in some]
-            self._ids.learn([text for text, easy in zip(some, plain) if easy], self._ask_many)
-            out += [self._ids.code(text) if easy else self._ask(text) for text, easy in zip(some, plain)]
-        return out
-
-    def counts(self, texts: list[str]) -> list[int]:
-        """The number of ids of each text."""
-        out = []
-        for some in _runs_of(texts):
-            plain = [self.plain(text) for text in some]
-            easy_texts = [text for text, easy in zip(some, plain) if easy]
-            self.known_counts.learn(easy_texts, lambda new: (len(ids) // 4 for ids in self._ask_many(new)))
-            out += [self.known_counts.code(text) if easy else len(self._ask(text)) // 4 for text, easy in zip(some, plain)]
-        return out
+        self._code, self._join = (len, sum) if counting else (_packed, b"".join)
+        self._runs: dict = {}
+        self._known: dict = {}
+
+    def know(self, codes: dict) -> None:
+        """A first tier of codes of runs, each taken with the space before it; it is never forgotten."""
+        if codes is not self._known:
+            self._known = codes
+            self._runs.update(codes)
+
+    def _ask(self, texts: list[str]) -> Iterator:
+        return (self._code(found.ids) for found in self._library.encode_batch_fast(texts, add_special_tokens=False))
+
+    def _whole(self, text: str) -> bool:
+        """Whether a run may depend on its neighbours, so that the library must see the text whole."""
+        return bool(MIXED.search(text) or _CONTROLS.search(text) or self._added and self._added.search(text))
+
+    def codes(self, texts: list[str]) -> Iterator:
+        """The code of each text: ids as little-endian unsigned 32-bit integers, or their number."""
+        for i in range(0, len(texts), TEXTS):
+            yield from self._some(texts[i : i + TEXTS])
+
+    def _some(self, texts: list[str]) -> Iterator:
+        # the tokenizer's pattern takes a space together with what follows it, so no piece spans two runs
+        cut = [None if self._whole(text) else text.split(" ") for text in texts]
+        firsts = self._ask([text if runs is None else runs.pop(0) for text, runs in zip(texts, cut)])
+        runs = self._runs
+        new = [run for run in set(chain.from_iterable(filter(None, cut))) if run not in runs]
+        short = [run for run in new if len(run) <= RUN_LENGTH]
+        if len(runs) + len(short) > RUNS + len(self._known):
+            runs.clear()
+            runs.update(self._known)
+            new = [run for run in set(chain.from_iterable(filter(None, cut))) if run not in runs]
+            short = [run for run in new if len(run) <= RUN_LENGTH]
+        runs.update(zip(short, self._ask([" " + run for run in short])))
+        long = [run for run in new if len(run) > RUN_LENGTH]
+        once = dict(zip(long, self._ask([" " + run for run in long])))
+        for first, rest in zip(firsts, cut):
+            if not rest:
+                yield first
+            elif long:
+                yield self._join((first, *(once[run] if run in once else runs[run] for run in rest)))
+            else:
+                yield self._join((first, self._join(map(runs.__getitem__, rest))))
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
-
-
-def _runs_of(texts: list[str], size: int = 512) -> Iterator[list[str]]:
-    for i in range(0, len(texts), size):
-        yield texts[i : i + size]
+    codes = array("I", ids)
+    if sys.byteorder == "big":
+        codes.byteswap()
+    return codes.tobytes()
 
 
 @lru_cache(maxsize=2)
-def hf_tokens(path: str) -> HfTokens:
-    """One for each worker process; its caches outlive a task."""
-    return HfTokens(path)
+def hf_tokens(path: str, counting: bool = False) -> HfTokens:
+    """One for each worker process; what it remembers outlives a task."""
+    return HfTokens(path, counting)

@@ -14,7 +14,7 @@ from typing import Any
 import regex
 
 # A space next to other white space: there the pattern looks across the space.
-_MIXED = regex.compile(r" \s|\s ")
+MIXED = regex.compile(r" \s|\s ")
 
 # Entries of each cache, and the longest run that is remembered.
 CACHE_ENTRIES = 1 << 19
@@ -22,18 +22,17 @@ CACHED_LENGTH = 64
 
 
 class Cache(dict):
-    """Values by key, made on demand; forgets all but ``fixed`` when it is full."""
+    """Values by key, made on demand; forgets everything when it is full."""
 
     def __init__(self, make: Callable[[str], Any], entries: int = CACHE_ENTRIES):
         super().__init__()
-        self._make, self.entries, self.fixed = make, entries, {}
+        self._make, self._entries = make, entries
 
     def __missing__(self, key: str) -> Any:
         value = self._make(key)
         if len(key) <= CACHED_LENGTH:
-            if len(self) >= self.entries + len(self.fixed):
+            if len(self) >= self._entries:
                 self.clear()
-                self.update(self.fixed)
             self[key] = value
         return value
 
@@ -53,28 +52,12 @@ class Pieces:
         self._pieces = Cache(encode, entries)
         self._runs = Cache(lambda run: self._cut(" " + run), entries)
 
-    def know(self, runs: dict[str, Any]) -> None:
-        """A shared first tier: codes of runs, each taken with the space before it."""
-        self._runs.fixed = runs
-        self._runs.update(runs)
-
-    def learn(self, texts: list[str], encode_many: Callable[[list[str]], Any]) -> None:
-        """Encode the new pieces of many texts at once, for an encoder that is faster so."""
-        runs: set[str] = set()
-        for text in texts:
-            runs.update(text.split(" "))
-        new = {piece for run in runs if run not in self._runs for piece in self._split(" " + run)}
-        new = [piece for piece in new if piece not in self._pieces and len(piece) <= CACHED_LENGTH]
-        if len(self._pieces) + len(new) > self._pieces.entries:
-            self._pieces.clear()
-        self._pieces.update(zip(new, encode_many(new)))
-
     def _cut(self, text: str) -> Any:
         return self._join(map(self._pieces.__getitem__, self._split(text)))
 
     def code(self, text: str) -> Any:
         """The joined codes of the whole text."""
-        if _MIXED.search(text):
+        if MIXED.search(text):
             return self._cut(text)
         first, *runs = text.split(" ")  # every piece with a space begins with it, so runs are independent
         return self._join((self._cut(first), self._join(map(self._runs.__getitem__, runs))))

@@ -62,7 +62,7 @@ def write_token_orc(docs: DataFrame, folder: str, path: str, end_id: int = 0, id
         for batch in batches:
             keys, coded, held = [], [], 0
             texts = [text or "" for text in batch.column(1).to_pylist()]
-            for key, ids in zip(batch.column(0).to_pylist(), library.ids(texts)):
+            for key, ids in zip(batch.column(0).to_pylist(), library.codes(texts)):
                 keys.append(key)
                 coded.append(ids + end)
                 held += len(coded[-1]) // 4
