@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
 from textloom.llm.decontaminate import contamination_report
+from textloom.llm.language import language_report
 from textloom.llm.pq_dedup import near_duplicate_vectors
+from textloom.llm.quality import quality_report
 from textloom.llm.simhash import near_duplicates
 from textloom.llm.token_counts import count_tokens
 from textloom.llm.token_orc import ids_crc32, read_token_orc, write_token_orc
@@ -119,3 +121,13 @@ WITH RECURSIVE v AS (
 SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN lowest USING (r) LEFT JOIN counts USING (r)
 """
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
