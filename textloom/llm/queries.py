@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
 from textloom.llm.decontaminate import contamination_report
+from textloom.llm.html_extract import extract_main_text
 from textloom.llm.language import language_report
 from textloom.llm.pq_dedup import near_duplicate_vectors
 from textloom.llm.quality import quality_report
@@ -131,3 +132,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
