@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import round_trip_digests
+from textloom.llm.chat import CONTROLS, FOREIGN, conversation_digests, format_turns
 from textloom.llm.decontaminate import contamination_report
 from textloom.llm.html_extract import extract_main_text
 from textloom.llm.language import language_report
@@ -138,3 +139,40 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+# A conversation whose texts hold control strings and a backslash before one.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id bigint, turn bigint, role string, text string")
+    folder = work_path(spark, "op3_chat_format")
+    path = public_tokenizers.path(BYTE_BPE)
+    format_turns(rows.union(tricky), path).write.parquet(folder)
+    return conversation_digests(spark.read.parquet(folder), path)
+
+
+def _escaped_length(column: str) -> str:
+    """SQL for the length of a text with its backslashes doubled and control strings broken."""
+    found = f"len({column}) - len(replace({column}, chr(92), ''))"
+    for control in (*CONTROLS, *FOREIGN):
+        found += f" + (len({column}) - len(replace({column}, '{control}', ''))) // {len(control)}"
+    return f"(len({column}) + {found})"
+
+
+ORACLES["op3_chat_format"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICKY}'
+  UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  CAST(sum({len("".join(CONTROLS))} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
