@@ -12,7 +12,10 @@ at once. A walk spans at most the longest token, which bounds the lookahead.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +28,10 @@ from pyspark.sql.types import ArrayType, IntegerType
 from textloom.llm.pieces import Pieces
 
 # Deterministic states a worker keeps; with more it starts a new automaton.
-STATES = 1 << 17
+STATES = 3 << 16
+
+# The token before the first.
+NOTHING = -1
 
 # Ids decoded at a time.
 DECODE_IDS = 1 << 16
@@ -65,7 +71,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], states: int = STATES):
         self._ranks, self._limit = ranks, states
         self._bytes = {rank: token for token, rank in ranks.items()}
-        self._pairs: dict[tuple[int | None, int], bool] = {}
+        self._pairs: dict[tuple[int, int], bool] = {}
         self._spines: dict[tuple[int, int], list[int] | None] = {}
         self._next: list[dict[int, int]] = [{}]
         self._token: list[int | None] = [None]
@@ -78,7 +84,8 @@ class Transducer:
                     self._token.append(None)
                 node = self._next[node][byte]
             self._token[node] = rank
-        self._start = State(((0, None, ()),), ())
+        self._start = State(((0, NOTHING, ()),), ())
+        self._walks: dict[tuple, tuple] = {}
         self._states = {self._start.walks: self._start}
 
     def _spine(self, token: int, side: int) -> list[int] | None:
@@ -96,19 +103,17 @@ class Transducer:
             self._spines[key] = spine or None
         return self._spines[key]
 
-    def _stays_apart(self, last: int | None, token: int) -> bool:
+    def _stays_apart(self, last: int, token: int) -> bool:
         """Whether no merge joins the end of ``last`` with the beginning of ``token``.
 
         Both grow from bytes at the border, in order of rank. While two parts face each other,
         a merge of both with a lower rank than those that will consume them comes first.
         """
-        left, right = [None] if last is None else self._spine(last, 1), self._spine(token, 0)
+        if last == NOTHING:
+            return self._spine(token, 0) is not None or merge(self._bytes[token], self._ranks) == [token]
+        left, right = self._spine(last, 1), self._spine(token, 0)
         if left is None or right is None:
-            before = b"" if last is None else self._bytes[last]
-            alone = [token] if last is None else [last, token]
-            return merge(before + self._bytes[token], self._ranks) == alone
-        if last is None:
-            return True
+            return merge(self._bytes[last] + self._bytes[token], self._ranks) == [last, token]
         i, j, ranks, endless = len(left) - 1, len(right) - 1, self._ranks, len(self._ranks) << 1
         while True:
             joined = ranks.get(self._bytes[left[i]] + self._bytes[right[j]])
@@ -126,7 +131,7 @@ class Transducer:
             else:
                 j -= 1
 
-    def _may_follow(self, last: int | None, token: int) -> bool:
+    def _may_follow(self, last: int, token: int) -> bool:
         key = (last, token)
         found = self._pairs.get(key)
         if found is None:
@@ -134,31 +139,37 @@ class Transducer:
                 self._pairs.clear()
             found = self._pairs[key] = self._stays_apart(last, token)
         return found
+
     def _expand(self, state: State, byte: int) -> tuple[State, tuple]:
-        walks = []
-        for node, last, pending in state.walks:
-            child = self._next[node].get(byte)
+        walks, ended, nexts, tokens = [], False, self._next, self._token
+        for walk in state.walks:
+            node, last, pending = walk
+            child = nexts[node].get(byte)
             if child is None:
                 continue
-            token = self._token[child]
-            if token is not None and self._may_follow(last, token):
+            token = tokens[child]
+            if not ended and token is not None and self._may_follow(last, token):
                 walks.append((0, token, (*pending, token)))
-            if self._next[child]:
+                ended = True  # a string has one segmentation
+            if nexts[child]:
                 walks.append((child, last, pending))
-        if not any(node == 0 for node, _, _ in walks):
+        if not ended:
             raise ValueError(f"byte {byte} cannot be encoded with this vocabulary")
         agreed = 0
-        first, *others = [pending for _, _, pending in walks]
-        while agreed < len(first) and all(len(p) > agreed and p[agreed] == first[agreed] for p in others):
+        first = min((pending for _, _, pending in walks), key=len)
+        while agreed < len(first) and all([pending[agreed] == first[agreed] for _, _, pending in walks]):
             agreed += 1
-        key = tuple(sorted((node, -1 if last is None else last, pending[agreed:]) for node, last, pending in walks))
+        if agreed:
+            walks = [(node, last, pending[agreed:]) for node, last, pending in walks]
+        key = tuple(sorted(walks))
         after = self._states.get(key)
         if after is None:
             if len(self._states) >= self._limit:
-                self._states = {self._start.walks: self._start}
-                self._start.steps.clear()
-            open_walks = tuple((node, None if last < 0 else last, pending) for node, last, pending in key)
-            final = next(pending for node, _, pending in open_walks if node == 0)
+                for old in self._states.values():
+                    old.steps.clear()  # states point at each other
+                self._states, self._walks = {self._start.walks: self._start}, {}
+            open_walks = tuple(self._walks.setdefault(walk, walk) for walk in key)
+            final = next(pending for node, _, pending in key if node == 0)
             after = self._states[key] = State(open_walks, final)
         step = state.steps[byte] = (after, first[:agreed])
         return step
@@ -240,8 +251,10 @@ class RankTokens:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)  # a piece that is a token is that token, whatever the merges say
-        ids = self.transducer.encode(data) if whole is None else [whole]
-        return np.array(ids, dtype="<u4").tobytes()
+        ids = array("I", self.transducer.encode(data) if whole is None else [whole])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -258,6 +271,7 @@ class RankTokens:
 @lru_cache(maxsize=2)
 def rank_tokens(path: str, pattern: str) -> RankTokens:
     """One for each worker process; its caches outlive a task."""
+    gc.set_threshold(1_000_000, 50, 50)  # walking millions of remembered tuples costs more than it frees
     return RankTokens(path, pattern)
 
 
