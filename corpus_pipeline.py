@@ -1,4 +1,8 @@
-"""From raw documents to token ids: the stages of the pipeline, in order."""
+"""From raw documents to token ids: the stages of the pipeline, in order.
+
+Each stage takes what its predecessor kept, whole, and returns rows with the columns of documents;
+the last returns ids.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,52 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textloom.llm.bpe_fst import encode_texts
+from textloom.llm.decontaminate import drop_contaminated
+from textloom.llm.language import keep_identified
+from textloom.llm.quality import keep_quality
+from textloom.llm.simhash import drop_near_duplicates
 from textloom.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every kept text."""
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores 0.3 or more."""
+    return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.3)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that is identified with a score of one half or more."""
+    return keep_identified(docs, least=0.5)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints of 4-word shingles differ in 4 bits at most."""
+    return drop_near_duplicates(docs, shingle=4, budget=4)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty lies in a passage of the benchmark."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, ids, n_tokens)`` of every document that is left."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return encode_texts(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    encoded = encode_texts(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, out="ids")
+    return encoded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"))
 
 
-STAGES: list[tuple[str, Stage]] = [("encode", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
 
 # Learned models, fingerprints and merges are beyond SQL.
 ORACLE_SQL: str | None = None
