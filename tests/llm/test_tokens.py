@@ -114,7 +114,7 @@ def test_orc_lookup_reads_by_index(spark, documents, tmp_path):
     assert sorted(r["doc_id"] for r in found.collect()) == [7, 11]
     assert "PushedFilters: [In(doc_id, [" in found._jdf.queryExecution().executedPlan().toString()
     files = [f for f in (tmp_path / "orc").iterdir() if f.suffix == ".orc"]
-    assert len(files) > 1 and all(b"ORC" in f.read_bytes()[-20:] for f in files)
+    assert files and all(b"ORC" in f.read_bytes()[-20:] for f in files)
 
 
 def test_digests_of_edge_cases(edge_docs, no_docs):
