@@ -18,6 +18,9 @@ MAX_LENGTH = 70
 # A run of letters or digits, or one other character that is not a space.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
+# Most tokens that one prefix pattern takes; its repetition is nested as deep.
+PREFIX_TOKENS = 512
+
 # Fixed value: smallest 32-bit float, the bias of a masked key.
 MASKED_BIAS = -3.4028234663852886e38
 
@@ -27,6 +30,19 @@ def token_array(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(pattern), F.lit(0))
 
 
+def first_tokens(text: Column, count: int, pattern: str = TOKEN_PATTERN) -> Column:
+    """The first ``count`` tokens of a text, as ``token_array`` gives them.
+
+    For the default pattern the text is cut behind its last wanted token first, so a long text
+    costs as much as a short one.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+    if pattern == TOKEN_PATTERN and 0 < count <= PREFIX_TOKENS:
+        one = r"\s*+(?:[\p{L}\p{N}]++|[^\p{L}\p{N}\s])"
+        low = F.regexp_extract(low, f"^(?:{one}){{0,{count}}}+", 0)
+    return truncate(F.regexp_extract_all(low, F.lit(pattern), F.lit(0)), count)
+
+
 def content_length(max_length: int, add_special: bool) -> int:
     """How many text tokens fit beside the two markers."""
     room = max_length - 2 if add_special else max_length

@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.encoding import PAD_ID, sequence_length
-from textloom.operators.ordering import OrderIndex, build_order_index, running_sum
+from textloom.operators.ordering import OrderIndex, build_order_index, rank_rows, running_sum
 
 
 def assign_batches(
-    df: DataFrame, order_by: str, batch_size: int, index: OrderIndex | None = None
+    df: DataFrame, order_by: str | Sequence[str], batch_size: int, index: OrderIndex | None = None
 ) -> DataFrame:
     """Add ``batch_id`` and ``slot``: chunks of ``batch_size`` rows in the order of a unique key.
 
-    ``index`` may come from another table with the same keys, such as the key column of the
-    source, which is cheaper to read than a derived ``df``.
+    The key is a number, or several columns of any type. Rows with equal keys would have no
+    order of their own, so they are an error. ``index`` may come from another table with the
+    same keys, such as the key column of the source, which is cheaper to read than a derived ``df``.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    if index is None:
-        index = build_order_index(df, order_by)
+    if isinstance(order_by, str):
+        if index is None:
+            index = build_order_index(df, order_by)
+        ranked = running_sum(df, index, None, "_rank", unique=True)
+    else:
+        ranked = rank_rows(df, order_by, "_rank", unique=True)
     rank = F.col("_rank") - 1
     return (
-        running_sum(df, index, None, "_rank")
-        .withColumn("batch_id", F.floor(rank / batch_size))
+        ranked.withColumn("batch_id", F.floor(rank / batch_size))
         .withColumn("slot", F.pmod(rank, F.lit(batch_size)).cast("int"))
         .drop("_rank")
     )
@@ -112,27 +116,29 @@ def unpad(df: DataFrame) -> DataFrame:
     )
 
 
-def repad(tokens: DataFrame, seq_len: int, pad_id: int = PAD_ID) -> DataFrame:
+def repad(tokens: DataFrame, seq_len: int, pad_id: int = PAD_ID, rows: DataFrame | None = None) -> DataFrame:
     """Rows of fixed length from token rows: ``(batch_id, slot, input_ids, attention_mask)``.
 
-    Each token goes back to its ``pos``. A row without any token has no token rows and cannot
-    come back.
+    Each token goes back to its ``pos``. ``rows`` are the ``(batch_id, slot)`` there are; with
+    them a row without any token comes back as padding, which token rows cannot tell of.
     """
     cells = F.array_sort(F.collect_list(F.struct("pos", "token_id")))
-    rows = tokens.groupBy("batch_id", "slot").agg(cells.alias("cells"))
-
-    def fill(value: Callable[[Column], Column], filler: int) -> Column:
-        """The value of each token, with the filler at all positions between and after them."""
-
-        def with_gap(cell: Column, i: Column) -> Column:
-            before = F.coalesce(F.get("cells", i - 1)["pos"], F.lit(-1))
-            return F.concat(F.array_repeat(F.lit(filler), cell["pos"] - before - 1), F.array(value(cell)))
-
-        rest = F.lit(seq_len - 1) - F.element_at("cells", -1)["pos"]
-        return F.concat(F.flatten(F.transform("cells", with_gap)), F.array_repeat(F.lit(filler), rest))
-
-    ids, mask = fill(lambda cell: cell["token_id"], pad_id), fill(lambda cell: F.lit(1), 0)
-    return rows.select("batch_id", "slot", ids.alias("input_ids"), mask.alias("attention_mask"))
+    found = tokens.groupBy("batch_id", "slot").agg(cells.alias("cells"))
+    if rows is not None:
+        found = rows.select("batch_id", "slot").join(found, ["batch_id", "slot"], "left")
+        found = found.withColumn("cells", F.coalesce("cells", F.array().cast(found.schema["cells"].dataType)))
+    blank = F.struct(F.lit(pad_id).alias("id"), F.lit(0).alias("bit"))
+
+    def with_gap(cell: Column, i: Column) -> Column:
+        """A token behind the padding since the token before it."""
+        before = F.coalesce(F.get("cells", i - 1)["pos"], F.lit(-1))
+        token = F.struct(cell["token_id"].cast("int").alias("id"), F.lit(1).alias("bit"))
+        return F.concat(F.array_repeat(blank, (cell["pos"] - before - 1).cast("int")), F.array(token))
+
+    last = F.coalesce(F.get("cells", F.size("cells") - 1)["pos"], F.lit(-1))
+    places = F.concat(F.flatten(F.transform("cells", with_gap)), F.array_repeat(blank, (F.lit(seq_len - 1) - last).cast("int")))
+    filled = found.select("batch_id", "slot", places.alias("places"))
+    return filled.select("batch_id", "slot", F.col("places.id").alias("input_ids"), F.col("places.bit").alias("attention_mask"))
 
 
 def collect_batches(df: DataFrame, label: str | None = None) -> DataFrame:

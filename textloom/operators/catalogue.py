@@ -6,24 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import BROADCAST_ENTRIES, vectors_fit_broadcast
+from textloom.operators.joins import BROADCAST_ENTRIES
+from textloom.session import work_path
 
-# Rows of a block when the catalogue is too large for one process.
+# Rows of a block of the catalogue.
 BLOCK_ROWS = 4096
 
 # Scores computed at a time within a task (64 MB of doubles).
 SCORES_AT_ONCE = 8_000_000
 
-
-def _local_catalogue(catalogue: DataFrame, bias: DataFrame | None):
-    table = _with_bias(catalogue, bias).sort("item_id").toArrow().combine_chunks()
-    items = table["item_id"].to_numpy()
-    return items, dense.to_matrix(table["vector"]), table["bias"].to_numpy()
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _with_bias(catalogue: DataFrame, bias: DataFrame | None) -> DataFrame:
@@ -40,7 +36,8 @@ def _chunks(rows: int, width: int) -> Iterator[slice]:
 
 
 def _top(scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best of each row, the earlier one among ties."""
+    """Positions of the k best of each row, the earlier one among ties; NaN comes last."""
+    scores = np.where(np.isnan(scores), -np.inf, scores)
     rows, width = scores.shape
     if k >= width:
         return np.argsort(-scores, axis=1, kind="stable")
@@ -51,36 +48,42 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return col[order][first[:, None] + np.arange(k)]
 
 
-def _tiles(queries: DataFrame, catalogue: DataFrame, bias: DataFrame | None, block_rows: int) -> DataFrame:
-    """Rows of both sides, each sent to the tiles of its own block; see ``_split``.
+def _slices(catalogue: DataFrame, bias: DataFrame | None, limit: int, block_rows: int) -> Iterator[list[Block]]:
+    """The catalogue in slices of at most ``limit`` vector entries (or one block), each a list of blocks.
 
-    Blocks come from a hash of the id. A group of ``(l_block, r_block)`` holds about
-    ``block_rows`` rows of either side, however many there are in all.
+    A block holds about ``block_rows`` items by a hash of the id, whatever the limit is. More
+    than one slice is stored first, a folder for each, so that a slice reads only its own.
     """
-    vector = F.col("vector").cast("array<double>").alias("vector")
-    left = queries.select(F.col("query_id").cast("bigint").alias("id"), vector, F.lit(0.0).alias("bias"))
-    right = _with_bias(catalogue, bias).select(F.col("item_id").cast("bigint").alias("id"), vector, "bias")
-    n_left = -(-max(queries.count(), 1) // block_rows)
-    n_right = -(-max(catalogue.count(), 1) // block_rows)
-
-    def spread(rows: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int, side: int) -> DataFrame:
-        own_block = F.pmod(F.xxhash64("id"), F.lit(own_blocks)).cast("int")
-        others = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
-        return rows.withColumn(own, own_block).withColumn(other, others).withColumn("side", F.lit(side))
-
-    return spread(left, "l_block", n_left, "r_block", n_right, 0).unionByName(
-        spread(right, "r_block", n_right, "l_block", n_left, 1)
-    )
-
-
-def _split(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, ascending item ids, and the scores of one tile."""
-    q = tile.filter(pc.equal(tile["side"], 0))
-    c = tile.filter(pc.equal(tile["side"], 1)).sort_by("id")
-    if not len(q) or not len(c):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 0))
-    scores = dense.to_matrix(q["vector"]) @ dense.to_matrix(c["vector"]).T + c["bias"].to_numpy()
-    return q["id"].to_numpy(), c["id"].to_numpy(), scores
+    spark = catalogue.sparkSession
+    first = catalogue.select(F.size("vector").alias("dims")).first()
+    if first is None:
+        return
+    rows = catalogue.count()
+    blocks = -(-rows // block_rows)
+    per_slice = min(blocks, max(1, limit // (block_rows * max(1, first["dims"]))))
+    if rows * first["dims"] <= limit:
+        per_slice = blocks
+    number = F.pmod(F.xxhash64(F.col("item_id").cast("bigint")), F.lit(blocks)).cast("int")
+    table = _with_bias(catalogue, bias).withColumn("block", number)
+    parts = -(-blocks // per_slice)
+    if parts > 1:
+        path = work_path(spark, "catalogue")
+        table.withColumn("slice", (F.col("block") / per_slice).cast("int")).write.partitionBy("slice").parquet(path)
+        table = spark.read.parquet(path)
+    for part in range(parts):
+        own = table if parts == 1 else table.where(F.col("slice") == part)
+        found = own.select("block", F.col("item_id").cast("bigint").alias("item_id"), "vector", "bias").sort("block", "item_id")
+        yield _blocks(found.toArrow().combine_chunks())
+
+
+def _blocks(table: pa.Table) -> list[Block]:
+    numbers = table["block"].to_numpy()
+    cuts = np.flatnonzero(np.diff(numbers, prepend=-1, append=-1)) if len(numbers) else np.zeros(1, int)
+    found = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        rows = table.slice(a, b - a).combine_chunks()
+        found.append((int(numbers[a]), rows["item_id"].to_numpy(), dense.to_matrix(rows["vector"]), rows["bias"].to_numpy()))
+    return found
 
 
 def score_catalogue(
@@ -90,40 +93,34 @@ def score_catalogue(
     limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Dot product with each catalogue vector plus the bias of that item.
+    """All scores: the dot product with each catalogue vector plus the bias of that item.
 
     ``queries`` is ``(query_id, vector)``, ``catalogue`` is ``(item_id, vector)`` and ``bias``
-    is ``(item_id, bias)``. The result has dense rows, ``(query_id, block, item_ids, scores)``
-    with items ascending: one per query if the catalogue fits into one process, else one per
-    query and block of the catalogue.
+    is ``(item_id, bias)``. The result has dense rows, ``(query_id, block, item_ids, scores)``,
+    one for each query and block of the catalogue, with items ascending; a block holds about
+    ``block_rows`` items by a hash of their id. Query rows are never shuffled: the catalogue
+    comes to them in slices of at most ``limit`` entries. The result has queries times items
+    scores by its definition; ``topk_catalogue`` is the one to use where the best will do.
     """
     schema = "query_id BIGINT, block INT, item_ids ARRAY<BIGINT>, scores ARRAY<DOUBLE>"
-    if vectors_fit_broadcast(catalogue, "vector", limit):
-        shared = queries.sparkSession.sparkContext.broadcast(_local_catalogue(catalogue, bias))
+    asked = queries.select(F.col("query_id").cast("bigint"), "vector")
+    scored = queries.sparkSession.createDataFrame([], schema)
+    for found in _slices(catalogue, bias, limit, block_rows):
+        shared = queries.sparkSession.sparkContext.broadcast(found)
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, vectors, shift = shared.value
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in _chunks(batch.num_rows, len(items)):
-                    rows = batch.slice(part.start, part.stop - part.start)
-                    scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
-                    names = np.broadcast_to(items, scores.shape)
-                    columns = [
-                        rows.column(0), pa.array(np.zeros(len(scores)), pa.int32()), dense.to_lists(names), dense.to_lists(scores),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "block", "item_ids", "scores"])
-
-        return queries.select(F.col("query_id").cast("bigint"), "vector").mapInArrow(score, schema)
-
-    def score_tile(tile: pa.Table) -> pa.Table:
-        ids, items, scores = _split(tile)
-        names = np.broadcast_to(items, scores.shape)
-        block = np.full(len(ids), tile["r_block"][0].as_py(), np.int32)
-        columns = [pa.array(ids), pa.array(block), dense.to_lists(names), dense.to_lists(scores)]
-        return pa.Table.from_arrays(columns, ["query_id", "block", "item_ids", "scores"])
+                for number, items, vectors, shift in shared.value:
+                    for part in _chunks(batch.num_rows, len(items)):
+                        rows = batch.slice(part.start, part.stop - part.start)
+                        scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
+                        names = np.broadcast_to(items, scores.shape)
+                        block = pa.array(np.full(len(scores), number), pa.int32())
+                        columns = [rows.column(0), block, dense.to_lists(names), dense.to_lists(scores)]
+                        yield pa.RecordBatch.from_arrays(columns, ["query_id", "block", "item_ids", "scores"])
 
-    tiles = _tiles(queries, catalogue, bias, block_rows)
-    return tiles.groupBy("l_block", "r_block").applyInArrow(score_tile, schema)
+        scored = scored.unionByName(asked.mapInArrow(score, schema))
+    return scored
 
 
 def topk_catalogue(
@@ -134,39 +131,29 @@ def topk_catalogue(
     limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``(query_id, item_id, score, rank)`` of the k best items, ties to the lower item.
+    """``(query_id, item_id, score, rank)`` of the k best items, ties to the lower item, NaN last.
 
-    Each task keeps only the k best of its block, so the scores are never all written out.
+    As in ``score_catalogue`` the slices of the catalogue come to the queries. Of each block a
+    task keeps the k best, so the scores are never all written out.
     """
     schema = "query_id BIGINT, item_id BIGINT, score DOUBLE"
-    if vectors_fit_broadcast(catalogue, "vector", limit):
-        shared = queries.sparkSession.sparkContext.broadcast(_local_catalogue(catalogue, bias))
+    asked = queries.select(F.col("query_id").cast("bigint"), "vector")
+    partial = queries.sparkSession.createDataFrame([], schema)
+    for found in _slices(catalogue, bias, limit, block_rows):
+        shared = queries.sparkSession.sparkContext.broadcast(found)
 
-        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, vectors, shift = shared.value
+        def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in _chunks(batch.num_rows, len(items)):
-                    rows = batch.slice(part.start, part.stop - part.start)
-                    scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
-                    top = _top(scores, k)
-                    ranked = pa.array(np.tile(np.arange(1, top.shape[1] + 1), len(top)), pa.int32())
-                    ids = np.repeat(rows.column(0).to_numpy(), top.shape[1])
-                    chosen = np.take_along_axis(scores, top, axis=1).ravel()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids), pa.array(items[top.ravel()]), pa.array(chosen), ranked],
-                        ["query_id", "item_id", "score", "rank"],
-                    )
-
-        return queries.select(F.col("query_id").cast("bigint"), "vector").mapInArrow(best, schema + ", rank INT")
-
-    def best_of_tile(tile: pa.Table) -> pa.Table:
-        ids, items, scores = _split(tile)
-        top = _top(scores, k)
-        chosen = np.take_along_axis(scores, top, axis=1).ravel()
-        columns = [pa.array(np.repeat(ids, top.shape[1])), pa.array(items[top.ravel()]), pa.array(chosen)]
-        return pa.Table.from_arrays(columns, ["query_id", "item_id", "score"])
-
-    tiles = _tiles(queries, catalogue, bias, block_rows)
-    partial = tiles.groupBy("l_block", "r_block").applyInArrow(best_of_tile, schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "item_id")
+                for _, items, vectors, shift in shared.value:
+                    for part in _chunks(batch.num_rows, len(items)):
+                        rows = batch.slice(part.start, part.stop - part.start)
+                        scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
+                        top = _top(scores, k)
+                        ids = np.repeat(rows.column(0).to_numpy(), top.shape[1])
+                        chosen = np.take_along_axis(scores, top, axis=1).ravel()
+                        columns = [pa.array(ids), pa.array(items[top.ravel()]), pa.array(chosen)]
+                        yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score"])
+
+        partial = partial.unionByName(asked.mapInArrow(best, schema))
+    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "item_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

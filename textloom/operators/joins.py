@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import stored
+
 # A table of ids with at most this many rows is broadcast.
 BROADCAST_ROWS = 200_000
 
 # A table of vectors with at most this many entries in all is broadcast (256 MB of doubles).
 BROADCAST_ENTRIES = 32_000_000
 
-# Copies of a larger table, so that one hot key spreads over as many tasks.
-SALTS = 32
+# Rows of one key that meet one copy of its table row; a hotter key gets more copies.
+ROWS_PER_COPY = 1_000_000
 
 
 def fits_broadcast(table: DataFrame, bound: int | None = None, limit: int = BROADCAST_ROWS) -> bool:
@@ -32,25 +34,34 @@ def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     on: str,
-    spread: list[str],
+    spread: list[str] | None,
     how: str = "left",
     small: bool | None = None,
-    salts: int = SALTS,
+    per_copy: int = ROWS_PER_COPY,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which is unique on ``on``.
 
     A small table is broadcast; it is counted unless the caller has checked its size and says
-    ``small``. For a larger one both sides shuffle on the key and a salt that comes from the
-    columns ``spread``, so that a key holding a third of all rows meets ``salts`` copies of
-    its table row in as many tasks.
+    ``small``. For a larger one the rows of each key are counted first. A key with more than
+    ``per_copy`` rows gets as many copies of its table row as its share asks for, and its rows
+    are dealt over them by a hash of the columns ``spread``, or by the row itself if there are
+    none that tell rows apart. All other table rows are shuffled once.
     """
     if fits_broadcast(table) if small is None else small:
         return rows.join(F.broadcast(table), on, how)
-    salted = rows.withColumn("_salt", salt(spread, salts))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = heavy_keys(rows, on, per_copy)
+    if heavy.isEmpty():
+        return rows.join(table, on, how)
+    heavy = F.broadcast(heavy)  # one row for each ``per_copy`` rows at most
+    number = F.monotonically_increasing_id() if spread is None else F.xxhash64(*spread)
+    own = F.pmod(number, F.coalesce("_copies", F.lit(1))).cast("int")
+    salted = rows.join(heavy, on, "left").withColumn("_salt", own).drop("_copies")
+    last = F.coalesce("_copies", F.lit(1)) - 1
+    copies = table.join(heavy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_copies")
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def salt(columns: list[str], salts: int) -> Column:
-    """The same salt for the same row in every attempt of a task."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def heavy_keys(rows: DataFrame, on: str, per_copy: int = ROWS_PER_COPY) -> DataFrame:
+    """``(key, _copies)`` of the keys with more than ``per_copy`` rows, stored."""
+    counts = rows.groupBy(on).agg(F.ceil(F.count("*") / per_copy).cast("int").alias("_copies"))
+    return stored(counts.where((F.col("_copies") > 1) & F.col(on).isNotNull()), "heavy")

@@ -8,37 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.joins import lookup_join
+from textloom.operators.ordering import rank_rows
 
 LABEL_SCHEMA = "label_id INT, label STRING"
 
-# More classes than this is taken for a wrong column.
-MAX_CLASSES = 100_000
-
 
 def label_map(spark: SparkSession, classes: Sequence[str]) -> DataFrame:
     """``(label_id, label)``; the id of a class is its position."""
     return spark.createDataFrame([(i, c) for i, c in enumerate(classes)], LABEL_SCHEMA)
 
 
-def label_map_from(df: DataFrame, col: str, max_classes: int = MAX_CLASSES) -> DataFrame:
-    """Class map of the distinct values of a column, in their order."""
+def label_map_from(df: DataFrame, col: str) -> DataFrame:
+    """Class map of the distinct values of a column, in their order; any number of them."""
     found = df.select(F.col(col).cast("string").alias("label")).where("label IS NOT NULL").distinct()
-    names = [r["label"] for r in found.limit(max_classes + 1).collect()]
-    if len(names) > max_classes:
-        raise ValueError(f"column {col!r} has more than {max_classes} classes")
-    return label_map(df.sparkSession, sorted(names))
+    ranked = rank_rows(found, ["label"], "_rank")
+    return ranked.select((F.col("_rank") - 1).cast("int").alias("label_id"), "label")
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, col: str, out: str = "label_id") -> DataFrame:
     """Name to id; an unknown name gets NULL."""
     names = labels.select(F.col("label").alias(col), F.col("label_id").alias(out))
-    return lookup_join(df, names, col, spread=df.columns)
+    return lookup_join(df, names, col, spread=None)
 
 
 def decode_labels(df: DataFrame, labels: DataFrame, col: str, out: str = "label") -> DataFrame:
     """Id to name; an unknown id gets NULL."""
     ids = labels.select(F.col("label_id").alias(col), F.col("label").alias(out))
-    return lookup_join(df, ids, col, spread=df.columns)
+    return lookup_join(df, ids, col, spread=None)
 
 
 def num_classes(labels: DataFrame | None) -> int:

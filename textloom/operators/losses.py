@@ -14,7 +14,8 @@ LOG_EVERY = 10
 def _own_class(logp: Column, label: Column) -> Column:
     """Log-probability of the row's class; a label outside the classes is an error."""
     wrong = F.raise_error(F.concat(F.lit("label out of range: "), F.coalesce(label.cast("string"), F.lit("NULL"))))
-    return F.coalesce(F.get(logp, label), wrong)
+    unscored = F.raise_error(F.lit("a row has no scores"))
+    return F.coalesce(F.get(logp, label), F.when(logp.isNull(), unscored).otherwise(wrong))
 
 
 def nll(df: DataFrame, logp: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:

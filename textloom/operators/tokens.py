@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +21,9 @@ from textloom.functions.encoding import (
     add_special_ids,
     attention_mask,
     content_length,
+    first_tokens,
     pad,
     token_array,
-    truncate,
 )
 from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 
@@ -99,6 +99,22 @@ def id_array_lookup(spark: SparkSession, table: pa.Table, unk_id: int = UNK_ID):
     return look_up
 
 
+def encoded_lengths(
+    df: DataFrame,
+    max_length: int = MAX_LENGTH,
+    add_special: bool = True,
+    id_col: str | Sequence[str] = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
+    pattern: str = TOKEN_PATTERN,
+) -> DataFrame:
+    """``(doc_id, *keep, attention_mask, seqlen)`` as ``encode`` gives them; lengths need no vocabulary."""
+    room = content_length(max_length, add_special)
+    size = F.size(first_tokens(F.col(text_col), room, pattern)) + F.lit(max_length - room)
+    sized = df.select(*_names(id_col), *keep, size.alias("seqlen"))
+    return sized.select(*_names(id_col), *keep, attention_mask(F.col("seqlen"), max_length).alias("attention_mask"), "seqlen")
+
+
 def encode(
     df: DataFrame,
     vocab: DataFrame,
@@ -108,7 +124,7 @@ def encode(
     cls_id: int = CLS_ID,
     sep_id: int = SEP_ID,
     add_special: bool = True,
-    id_col: str = "doc_id",
+    id_col: str | Sequence[str] = "doc_id",
     text_col: str = "text",
     keep: tuple[str, ...] = (),
     pattern: str = TOKEN_PATTERN,
@@ -117,38 +133,41 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, *keep, input_ids, attention_mask, seqlen)``, both arrays ``max_length`` long.
 
-    A vocabulary of up to ``limit`` entries is held by every worker, and the encoding is one
-    projection. A larger one is joined token by token and the ids are gathered per document.
-    ``vocab_size`` is the bound the vocabulary was built with, if known.
+    One row for each input row, also where ids repeat; ``id_col`` may be several columns. A
+    vocabulary of up to ``limit`` entries is held by every worker, and the encoding is one
+    projection. A larger one is joined token by token and the ids are gathered per row; the
+    result is the same. ``vocab_size`` is the bound the vocabulary was built with, if known.
     """
-    room = content_length(max_length, add_special)
-    content = truncate(token_array(F.col(text_col), pattern), room)
+    names, room = _names(id_col), content_length(max_length, add_special)
+    cut = df.select(*names, *keep, first_tokens(F.col(text_col), room, pattern).alias("_tokens"))
+    cut = cut.withColumn("seqlen", F.size("_tokens") + F.lit(max_length - room))
     table = small_vocab(vocab, vocab_size, limit)
     if table is not None:
-        to_ids = id_array_lookup(df.sparkSession, table, unk_id)
-        coded = df.select(id_col, *keep, to_ids(content).alias("ids"))
+        coded = cut.withColumn("ids", id_array_lookup(df.sparkSession, table, unk_id)(F.col("_tokens")))
     else:
-        coded = _encode_by_join(df.select(id_col, *keep, content.alias("tokens")), vocab, unk_id, id_col, keep)
+        coded = _encode_by_join(cut, vocab, unk_id, [*names, *keep, "seqlen"])
     ids = add_special_ids(F.col("ids"), cls_id, sep_id) if add_special else F.col("ids")
-    return (
-        coded.withColumn("ids", ids)
-        .withColumn("seqlen", F.size("ids"))
-        .select(
-            id_col,
-            *keep,
-            pad(F.col("ids"), max_length, pad_id).alias("input_ids"),
-            attention_mask(F.col("seqlen"), max_length).alias("attention_mask"),
-            "seqlen",
-        )
+    return coded.select(
+        *names,
+        *keep,
+        pad(ids, max_length, pad_id).alias("input_ids"),
+        attention_mask(F.col("seqlen"), max_length).alias("attention_mask"),
+        "seqlen",
     )
 
 
-def _encode_by_join(
-    df: DataFrame, vocab: DataFrame, unk_id: int, id_col: str, keep: tuple[str, ...]
-) -> DataFrame:
-    tokens = df.select(id_col, *keep, F.posexplode_outer("tokens").alias("pos", "token"))
-    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", spread=[id_col, "pos"], small=False)
+def _names(columns: str | Sequence[str]) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns)
+
+
+def _encode_by_join(df: DataFrame, vocab: DataFrame, unk_id: int, columns: list[str]) -> DataFrame:
+    """Equal rows are counted, encoded once and given back as often; rows that only share ids stay apart."""
+    key = F.md5(F.to_json("_tokens")).alias("_key")
+    rows = df.select(*columns, "_tokens", key).groupBy(*columns, "_key").agg(F.first("_tokens").alias("_tokens"), F.count("*").alias("_times"))
+    tokens = rows.select(*columns, "_key", "_times", F.posexplode_outer("_tokens").alias("pos", "token"))
+    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", spread=["_key", "pos"], small=False)
     entry = F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("token_id"))
-    present: Column = F.when(F.col("pos").isNotNull(), entry)  # a document without tokens keeps its row
-    gathered = found.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(present)).alias("entries"))
-    return gathered.select(id_col, *keep, F.col("entries.token_id").alias("ids"))
+    present: Column = F.when(F.col("pos").isNotNull(), entry)  # a row without tokens keeps its place
+    gathered = found.groupBy(*columns, "_key", "_times").agg(F.array_sort(F.collect_list(present)).alias("entries"))
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))
+    return gathered.select(*columns, F.col("entries.token_id").alias("ids"), times.alias("_time")).drop("_time")

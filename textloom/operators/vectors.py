@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import BROADCAST_ENTRIES, SALTS, lookup_join, salt, vectors_fit_broadcast
+from textloom.operators.catalogue import score_catalogue
+from textloom.operators.joins import BROADCAST_ENTRIES, lookup_join, vectors_fit_broadcast
 
 # Vector entries gathered at a time within a task (64 MB of doubles).
 ENTRIES_AT_ONCE = 8_000_000
@@ -29,19 +30,51 @@ def embed_tokens(
     small = vectors_fit_broadcast(table, "vector", limit)
     found = lookup_join(token_rows, table, "token_id", spread, small=small)
     missing = F.raise_error(F.concat(F.lit("no vector for token "), F.col("token_id").cast("string")))
-    return found.withColumn("vector", F.coalesce("vector", missing))
-
-
-def pool_ids(df: DataFrame, table: DataFrame, pooling: str, ids: str = "input_ids", mask: str = "attention_mask") -> DataFrame:
-    """Add ``pooled``: lookup and pooling of a whole id array at once, for a small table.
+    known = F.when(F.col("token_id").isNull(), F.col("vector")).otherwise(F.coalesce("vector", missing))
+    return found.withColumn("vector", known)
+
+
+def pool_tokens(
+    df: DataFrame,
+    table: DataFrame,
+    pooling: str,
+    dims: int,
+    by: Sequence[str],
+    ids: str = "input_ids",
+    mask: str = "attention_mask",
+    limit: int = BROADCAST_ENTRIES,
+) -> DataFrame:
+    """``(*by, pooled)``, one row for each input row: lookup and pooling of its id array.
 
-    The vectors are held by every worker, so no token row is made and nothing is shuffled.
-    The result is that of ``embed_tokens`` with ``pool_cls`` or ``pool_mean``.
+    ``pooling`` is ``"cls"``, the vector of the first id, or ``"mean"``, that of the unmasked
+    ids. A small vector table is held by every worker, and a document stays one row. With a
+    larger one the ids that count are joined to their vectors; the result is the same. Rows
+    that only share ``by`` stay apart.
     """
-    if not vectors_fit_broadcast(table, "vector"):
-        raise ValueError("the vector table is too large to hold whole; use embed_tokens")
     if pooling not in ("cls", "mean"):
         raise ValueError(f"unknown pooling {pooling!r}")
+    if vectors_fit_broadcast(table, "vector", limit):
+        return _pool_ids(df, table, pooling, ids, mask).select(*by, "pooled")
+    if pooling == "cls":
+        wanted = F.slice(ids, 1, 1)
+    else:
+        cells = F.filter(F.arrays_zip(F.col(ids).alias("id"), F.col(mask).alias("bit")), lambda c: c["bit"] == 1)
+        wanted = F.transform(cells, lambda c: c["id"])
+    rows = df.select(*by, wanted.alias("_ids")).withColumn("_key", F.md5(F.array_join("_ids", ",")))
+    rows = rows.groupBy(*by, "_key").agg(F.first("_ids").alias("_ids"), F.count("*").alias("_times"))
+    group = [*by, "_key", "_times"]
+    places = rows.select(*group, F.posexplode_outer("_ids").alias("pos", "token_id"))
+    found = embed_tokens(places, table, ["_key", "pos"], limit)
+    if pooling == "cls":
+        pooled = found.select(*group, F.col("vector").alias("pooled"))
+    else:
+        pooled = pool_mean(found.withColumn("mask", F.col("token_id").isNotNull().cast("int")), group, dims)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))
+    return pooled.select(*by, "pooled", times.alias("_time")).drop("_time")
+
+
+def _pool_ids(df: DataFrame, table: DataFrame, pooling: str, ids: str, mask: str) -> DataFrame:
+    """Add ``pooled`` with a table that every worker holds."""
     local = table.select("token_id", "vector").sort("token_id").toArrow().combine_chunks()
     shared = df.sparkSession.sparkContext.broadcast((local["token_id"].to_numpy(), dense.to_matrix(local["vector"])))
 
@@ -68,23 +101,27 @@ def pool_ids(df: DataFrame, table: DataFrame, pooling: str, ids: str = "input_id
 
 
 def pool_cls(rows: DataFrame, by: str, vec: str = "vector", pos: str = "pos") -> DataFrame:
-    """The vector at the first position of each group."""
+    """The vector at the first position of each group, which may be any number.
+
+    Where texts start at position 0, a filter on the position is the cheaper form.
+    """
     return rows.groupBy(by).agg(F.min_by(vec, pos).alias("pooled"))
 
 
-def pool_mean(rows: DataFrame, by: str, dims: int, vec: str = "vector", mask: str = "mask") -> DataFrame:
+def pool_mean(rows: DataFrame, by: str | Sequence[str], dims: int, vec: str = "vector", mask: str = "mask") -> DataFrame:
     """Sum of mask times vector over the sum of the mask; NULL for a group that is all masked.
 
     Every task adds up its own part of a group before the shuffle.
     """
     zeros = F.array_repeat(F.lit(0.0), dims)
     masked = F.when(F.col(mask) == 1, F.col(vec).cast("array<double>")).otherwise(zeros)
-    sums = rows.groupBy(by).agg(
+    names = [by] if isinstance(by, str) else list(by)
+    sums = rows.groupBy(*names).agg(
         Summarizer.metrics("sum").summary(array_to_vector(masked)).alias("summary"),
         F.sum((F.col(mask) == 1).cast("bigint")).alias("n"),
     )
     mean = F.transform(vector_to_array(F.col("summary.sum")), lambda x: F.try_divide(x, F.col("n")))
-    return sums.select(by, F.when(F.col("n") > 0, mean).alias("pooled"))
+    return sums.select(*names, F.when(F.col("n") > 0, mean).alias("pooled"))
 
 
 def linear(vec: Column, weight: np.ndarray, bias: np.ndarray | None = None) -> Column:
@@ -101,23 +138,28 @@ def linear(vec: Column, weight: np.ndarray, bias: np.ndarray | None = None) -> C
 
 
 def linear_by_join(
-    df: DataFrame, id_col: str, vec: str, weight: DataFrame, bias: DataFrame | None = None, salts: int = SALTS
+    df: DataFrame,
+    id_col: str,
+    vec: str,
+    weight: DataFrame,
+    bias: DataFrame | None = None,
+    limit: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """The same map for a weight too large for one process, as ``(id, row, value)``.
 
-    ``weight`` is ``(row, col, theta)`` and ``bias`` is ``(row, theta)``. Entries meet on the
-    column number; a column is one key for all vectors, so it is salted by the vector id.
+    ``weight`` is ``(row, col, theta)`` without gaps, ``bias`` is ``(row, theta)``, and the id is a
+    number. The rows of the weight are the items of a catalogue, which comes to the vectors
+    in slices of at most ``limit`` entries; vectors are not shuffled.
     """
-    entries = df.select(id_col, F.posexplode(vec).alias("col", "x")).withColumn(
-        "_salt", salt([id_col], salts)
-    )
-    copies = weight.select("row", "col", "theta").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    cells = weight.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("col", "theta"))).alias("cells"))
+    dense_row = F.col("cells")["col"] == F.transform("cells", lambda _, i: i)
+    gap = F.raise_error(F.concat(F.lit("weight has gaps in row "), F.col("row").cast("string")))
+    whole = F.when(dense_row, F.transform("cells", lambda c: c["theta"].cast("double"))).otherwise(gap)
+    items = cells.select(F.col("row").alias("item_id"), whole.alias("vector"))
+    shift = None if bias is None else bias.select(F.col("row").alias("item_id"), F.col("theta").alias("bias"))
+    asked = df.select(F.col(id_col).alias("query_id"), F.col(vec).alias("vector"))
+    scores = score_catalogue(asked, items, shift, limit)
+    rows = scores.select("query_id", F.explode(F.arrays_zip("item_ids", "scores")).alias("cell"))
+    return rows.select(
+        F.col("query_id").alias(id_col), F.col("cell.item_ids").cast("int").alias("row"), F.col("cell.scores").alias("value")
     )
-    terms = entries.join(copies, ["col", "_salt"])
-    sums = terms.groupBy(id_col, "row").agg(F.sum(F.col("x").cast("double") * F.col("theta")).alias("value"))
-    if bias is None:
-        return sums
-    shift = bias.select("row", F.col("theta").alias("shift"))
-    shifted = lookup_join(sums, shift, "row", spread=[id_col])
-    return shifted.select(id_col, "row", (F.col("value") + F.coalesce("shift", F.lit(0.0))).alias("value"))

@@ -45,7 +45,7 @@ def documents(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     """The same for queries that work on the text itself."""
-    return read_documents(spark, f"{sf}/documents.parquet", keep=keep, spread=True)
+    return documents(spark, sf, *keep)
 
 
 def vocabulary(docs: DataFrame, size: int = VOCAB_SIZE) -> DataFrame:
@@ -60,6 +60,10 @@ def batches(spark: SparkSession, sf: str) -> DataFrame:
     return workflows.packed_batches(texts(spark, sf), VOCAB_SIZE, BATCH)
 
 
+def lengths(spark: SparkSession, sf: str) -> DataFrame:
+    return workflows.packed_lengths(texts(spark, sf), BATCH)
+
+
 def joined(ids: str | Column) -> Column:
     return F.array_join(F.col(ids).cast("array<string>") if isinstance(ids, str) else ids.cast("array<string>"), ",")
 
@@ -282,10 +286,7 @@ def _(spark, sf):
 
 @query("t7_attention_mask", f"{ENCODED_SQL} SELECT doc_id, array_to_string(attention_mask, ',') AS mask FROM encoded")
 def _(spark, sf):
-    lengths = texts(spark, sf).select(
-        "doc_id", (F.size(enc.truncate(enc.token_array(F.col("text")), ROOM)) + 2).alias("n")
-    )
-    return lengths.select("doc_id", joined(enc.attention_mask(F.col("n"), LENGTH)).alias("mask"))
+    return tokens.encoded_lengths(texts(spark, sf)).select("doc_id", joined("attention_mask").alias("mask"))
 
 
 @query(
@@ -315,18 +316,22 @@ def _(spark, sf):
 
 
 TURNS_SQL = """
-documents AS (SELECT conv_id * 1048576 + turn AS doc_id, text FROM conversations)"""
+documents AS (SELECT (conv_id, turn) AS doc_id, text FROM conversations)"""
 
 
 @query(
     "t8_encode_conversations",
     ENCODED_SQL.replace("WITH", f"WITH {TURNS_SQL},", 1)
-    + """ SELECT doc_id, array_to_string(input_ids, ',') AS input_ids, seqlen::INT AS seqlen FROM encoded""",
+    + """ SELECT doc_id[1] AS conv_id, doc_id[2] AS turn, batch_id, slot::INT AS slot,
+        array_to_string(input_ids, ',') AS input_ids, seqlen::INT AS seqlen FROM batches""",
 )
 def _(spark, sf):
+    """Turns of conversations, which two columns name and order."""
     turns = spark.read.parquet(f"{sf}/conversations.parquet")
-    docs = turns.select((F.col("conv_id") * 1048576 + F.col("turn")).alias("doc_id"), "text")
-    return encoded(docs).select("doc_id", joined("input_ids").alias("input_ids"), "seqlen")
+    vocab = vocabulary(turns.select(F.struct("conv_id", "turn").alias("doc_id"), "text"))
+    rows = tokens.encode(turns, vocab, id_col=["conv_id", "turn"], vocab_size=VOCAB_SIZE)
+    placed = batching.assign_batches(rows, ["conv_id", "turn"], BATCH)
+    return placed.select("conv_id", "turn", "batch_id", "slot", joined("input_ids").alias("input_ids"), "seqlen")
 
 
 # ---- batches and packing
@@ -340,12 +345,12 @@ def _(spark, sf):
 
 @query("b2_seq_lengths", f"{ENCODED_SQL} SELECT doc_id, list_sum(attention_mask)::INT AS seqlen FROM encoded")
 def _(spark, sf):
-    return batching.seq_lengths(encoded(texts(spark, sf)).drop("seqlen")).select("doc_id", "seqlen")
+    return batching.seq_lengths(tokens.encoded_lengths(texts(spark, sf)).drop("seqlen")).select("doc_id", "seqlen")
 
 
 @query("b3_max_seqlen", f"{ENCODED_SQL} SELECT batch_id, max(seqlen)::INT AS max_seqlen FROM batches GROUP BY batch_id")
 def _(spark, sf):
-    return batching.max_seqlen(batches(spark, sf))
+    return batching.max_seqlen(lengths(spark, sf))
 
 
 OFFSETS_SQL = f"""{ENCODED_SQL},
@@ -360,7 +365,7 @@ offsets AS (
     f"{OFFSETS_SQL} SELECT doc_id, batch_id, slot::INT AS slot, cu_end - seqlen AS cu_start, cu_end FROM offsets",
 )
 def _(spark, sf):
-    return batching.cu_seqlens(batches(spark, sf)).select("doc_id", "batch_id", "slot", "cu_start", "cu_end")
+    return batching.cu_seqlens(lengths(spark, sf)).select("doc_id", "batch_id", "slot", "cu_start", "cu_end")
 
 
 @query(
@@ -369,13 +374,13 @@ def _(spark, sf):
         FROM offsets GROUP BY batch_id""",
 )
 def _(spark, sf):
-    rows = batching.cu_seqlens(batches(spark, sf), as_array=True)
+    rows = batching.cu_seqlens(lengths(spark, sf), as_array=True)
     return rows.select("batch_id", joined("cu_seqlens").alias("cu_seqlens"))
 
 
 @query("b4_cu_seqlens_global", f"{OFFSETS_SQL} SELECT doc_id, all_end - seqlen AS cu_start, all_end AS cu_end FROM offsets")
 def _(spark, sf):
-    rows = encoded(texts(spark, sf)).select("doc_id", "seqlen")
+    rows = tokens.encoded_lengths(texts(spark, sf)).select("doc_id", "seqlen")
     return batching.cu_seqlens(rows, by=None, order="doc_id").select("doc_id", "cu_start", "cu_end")
 
 
@@ -438,6 +443,35 @@ def _(spark, sf):
     )
 
 
+EMPTY_SQL = f"""
+WITH {TOKENS_SQL}, {vocab_sql()},
+content AS (
+  SELECT t.doc_id, list(coalesce(v.token_id, 1) ORDER BY t.pos) AS ids
+  FROM toks t LEFT JOIN vocab v USING (token) WHERE t.pos < {LENGTH} AND t.doc_id % 3 <> 0 GROUP BY t.doc_id),
+plain AS (
+  SELECT (row_number() OVER (ORDER BY d.doc_id) - 1) // {BATCH} AS batch_id,
+         (row_number() OVER (ORDER BY d.doc_id) - 1) % {BATCH} AS slot, coalesce(c.ids, []) AS ids
+  FROM documents d LEFT JOIN content c USING (doc_id))"""
+
+
+@query(
+    "b8_repad_empty",
+    f"""{EMPTY_SQL} SELECT batch_id, slot::INT AS slot, array_to_string(list_resize(ids, {LENGTH}, 0), ',') AS input_ids,
+        array_to_string(list_transform(range({LENGTH}), lambda p: CASE WHEN p < len(ids) THEN 1 ELSE 0 END), ',')
+          AS attention_mask FROM plain""",
+)
+def _(spark, sf):
+    """Without markers, every third text blank: rows that have no token at all come back too."""
+    docs = texts(spark, sf)
+    some = docs.withColumn("text", F.when(F.col("doc_id") % 3 != 0, F.col("text")))
+    rows = tokens.encode(some, vocabulary(docs), add_special=False, vocab_size=VOCAB_SIZE)
+    placed = batching.assign_batches(rows, "doc_id", BATCH)
+    back = batching.repad(batching.unpad(placed), LENGTH, rows=placed)
+    return back.select(
+        "batch_id", "slot", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask")
+    )
+
+
 @query(
     "b9_collect_batches",
     f"""{ENCODED_SQL} SELECT batch_id, string_agg(array_to_string(input_ids, ','), ';' ORDER BY slot) AS input_ids,
@@ -459,7 +493,7 @@ def _(spark, sf):
         max(seqlen)::INT AS max_seqlen FROM batches GROUP BY batch_id""",
 )
 def _(spark, sf):
-    return workflows.packing_report(batches(spark, sf))
+    return workflows.packing_report(lengths(spark, sf))
 
 
 # ---- neighbours of a token

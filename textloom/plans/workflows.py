@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from textloom.functions.encoding import MAX_LENGTH
 from textloom.operators.batching import assign_batches
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, Head, head_vector, predict, score_head
-from textloom.operators.joins import BROADCAST_ENTRIES, vectors_fit_broadcast
+from textloom.operators.joins import BROADCAST_ENTRIES
 from textloom.operators.labels import encode_labels, label_map_from
 from textloom.operators.optimizer import AdamParams
 from textloom.operators.ordering import build_order_index
-from textloom.operators.tokens import build_vocab, encode, tokenize
+from textloom.operators.tokens import build_vocab, encode, encoded_lengths, tokenize
 from textloom.operators.training import BATCH_SIZE, EPOCHS, train_head
-from textloom.operators.vectors import embed_tokens, pool_cls, pool_ids, pool_mean
+from textloom.operators.vectors import pool_tokens
 from textloom.session import stored
 from textloom.sources.parameters import matrix
 
@@ -36,6 +36,13 @@ def packed_batches(
     return assign_batches(encoded, "doc_id", batch_size, index)
 
 
+def packed_lengths(docs: DataFrame, batch_size: int, max_length: int = MAX_LENGTH) -> DataFrame:
+    """The same without ids, ``(doc_id, seqlen, batch_id, slot)``: no vocabulary is built."""
+    lengths = encoded_lengths(docs, max_length).select("doc_id", "seqlen")
+    index = build_order_index(docs.select("doc_id"), "doc_id")
+    return assign_batches(lengths, "doc_id", batch_size, index)
+
+
 def packing_report(batches: DataFrame) -> DataFrame:
     """One row per batch: documents, tokens without padding, longest sequence."""
     return batches.groupBy("batch_id").agg(
@@ -57,20 +64,11 @@ def document_vectors(
 ) -> DataFrame:
     """``(doc_id, *keep, pooled)``: vectors of the encoded tokens, pooled per document.
 
-    ``pooling`` is ``"cls"`` or ``"mean"``. With a small vector table a document stays one row
-    all the way; with a large one its tokens are joined to their vectors, padding left out.
+    ``pooling`` is ``"cls"`` or ``"mean"``; see ``pool_tokens`` for small and large vector tables.
     """
     vocab = build_vocab(tokenize(docs), vocab_size)
     encoded = encode(docs, vocab, max_length, vocab_size=vocab_size, keep=keep)
-    if vectors_fit_broadcast(token_vectors, "vector", limit):
-        return pool_ids(encoded, token_vectors, pooling).select("doc_id", *keep, "pooled")
-    ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
-    rows = embed_tokens(encoded.select("doc_id", ids), token_vectors, ["doc_id", "pos"], limit)
-    if pooling == "cls":
-        pooled = pool_cls(rows, "doc_id")
-    else:
-        pooled = pool_mean(rows.withColumn("mask", F.lit(1)), "doc_id", dims)
-    return docs.select("doc_id", *keep).join(pooled, "doc_id") if keep else pooled
+    return pool_tokens(encoded, token_vectors, pooling, dims, ["doc_id", *keep], limit=limit)
 
 
 @dataclass(frozen=True)

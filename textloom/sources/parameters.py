@@ -29,9 +29,15 @@ def read_parameters(spark: SparkSession, path: str, name: str | None = None, sha
 def check_shape(params: DataFrame, name: str, shape: tuple[int, int]) -> None:
     rows, cols = shape
     inside = F.col("row").between(0, rows - 1) & F.col("col").between(0, cols - 1)
-    got = params.agg(F.count("*").alias("n"), F.sum(F.when(inside, 1).otherwise(0)).alias("inside")).first()
-    if got["n"] != rows * cols or got["inside"] != rows * cols:
-        raise ValueError(f"parameter {name!r} does not have shape {rows}x{cols} (found {got['n']} entries)")
+    places = params.groupBy("row", "col").agg(F.count("*").alias("n"), F.max(inside).alias("inside"))
+    got = places.agg(
+        F.count("*").alias("places"), F.sum("n").alias("n"), F.sum(F.col("inside").cast("int")).alias("inside")
+    ).first()
+    if not got["places"] == got["n"] == got["inside"] == rows * cols:
+        raise ValueError(
+            f"parameter {name!r} does not have shape {rows}x{cols} "
+            f"(found {got['n']} entries at {got['places']} places, {got['inside']} of them inside)"
+        )
 
 
 def write_parameters(params: DataFrame, path: str) -> None:
@@ -56,8 +62,7 @@ def matrix(params: DataFrame, name: str) -> np.ndarray:
     if not size["n"]:
         raise KeyError(name)
     rows, cols = size["r"] + 1, size["c"] + 1
-    if size["n"] != rows * cols:
-        raise ValueError(f"parameter {name!r} has {size['n']} entries, expected {rows}x{cols}")
+    check_shape(found, name, (rows, cols))
     if size["n"] > MAX_LOCAL_ENTRIES:
         raise ValueError(f"parameter {name!r} is too large to hold whole; use the long-form operators")
     entries = found.select("row", "col", "theta").toPandas()
