@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
 from textloom.functions.encoding import MASKED_BIAS
-from textloom.functions.math import total
 
-# Positions per block of a long group, for a band and for all-against-all work.
+# Positions per block of a long group, for pairs within a band and for all-against-all work.
 BLOCK = 1024
 TILE = 4096
 
+# A block of a band is this many times its width, so most scores that are computed count.
+BANDS_PER_BLOCK = 8
+
 # Scores computed at a time within a task (64 MB of doubles).
 SCORES_AT_ONCE = 8_000_000
 
@@ -31,6 +35,15 @@ def _band_blocks(rows: DataFrame, pos: str, w: int, block: int) -> DataFrame:
     return rows.withColumn("_block", F.explode(F.sequence(first, last))).withColumn("_centre", F.col("_block") == own)
 
 
+def band_pairs_of_arrays(rows: DataFrame, by: str, items: str, w: int) -> DataFrame:
+    """The pairs of ``band_pairs`` within an array, as ``(by, i, j, item_i, item_j)``; nothing is shuffled."""
+    place = rows.select(by, F.col(items).alias("_items"), F.posexplode(items).alias("_i", "item_i"))
+    first = F.greatest(F.col("_i") - w, F.lit(0))
+    near = F.slice("_items", first + 1, F.col("_i") + w + 1 - first)
+    pairs = place.select(by, F.col("_i").cast("bigint").alias("i"), first.alias("_first"), "item_i", F.posexplode(near).alias("_j", "item_j"))
+    return pairs.select(by, "i", (F.col("_first") + F.col("_j")).cast("bigint").alias("j"), "item_i", "item_j")
+
+
 def band_pairs(
     rows: DataFrame, by: str, pos: str, w: int, carry: tuple[str, ...] = (), block: int = BLOCK
 ) -> DataFrame:
@@ -90,8 +103,8 @@ def neighbour_pool(
 
     A weight is the softmax, over the keys of the group or of the band ``abs(j - i) <= w``, of
     the dot product over the root of the width, plus 0 or the smallest float if the key is
-    masked. Masked rows are still queries. If all keys in reach are masked the weights are
-    equal. ``(by, pos)`` is unique.
+    masked, which a NULL mask means too. Masked rows are still queries. If all keys in reach
+    are masked the weights are equal. ``(by, pos)`` is unique.
 
     With ``w`` the work is cut into blocks of positions. Without it, it grows with the square
     of the group: ``max_len`` promises that positions stay below it, as in texts of fixed
@@ -99,31 +112,30 @@ def neighbour_pool(
     and the partial sums of a query are combined afterwards.
     """
     key, value = key or query, value or query
+    parts = {name: f"_v{i}" for i, name in enumerate(dict.fromkeys((query, key, value)))}
     table = rows.select(
         F.col(by),
         F.col(pos).cast("bigint").alias("_pos"),
-        F.col(query).cast("array<double>").alias("_q"),
-        F.col(key).cast("array<double>").alias("_k"),
-        F.col(value).cast("array<double>").alias("_v"),
-        F.col(mask).cast("int").alias("_mask"),
+        *[F.col(name).alias(part) for name, part in parts.items()],  # a column that serves twice travels once
+        F.coalesce(F.col(mask).cast("int"), F.lit(0)).alias("_mask"),
     )
+    roles = (parts[query], parts[key], parts[value])
     by_type = rows.schema[by].dataType.simpleString()
     if w is not None:
-        return _pool_band(table, by, by_type, pos, w, block or BLOCK)
+        return _pool_band(table, roles, by, by_type, pos, w, block or max(64, BANDS_PER_BLOCK * w))
     if max_len is not None and max_len <= (block or TILE):
-        return _pool_whole(table, by, by_type, pos, max_len)
-    return _pool_tiles(table, by, by_type, pos, block or TILE)
+        return _pool_whole(table, roles, by, by_type, pos, max_len)
+    return _pool_tiles(table, roles, by, by_type, pos, block or TILE)
 
 
-def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _columns(
+    table: pa.Table, roles: tuple[str, str, str]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions, query, key and value vectors in double precision, and the bias of each key."""
     bias = (1 - table["_mask"].to_numpy()) * MASKED_BIAS
-    return (
-        table["_pos"].to_numpy(),
-        dense.to_matrix(table["_q"]),
-        dense.to_matrix(table["_k"]),
-        dense.to_matrix(table["_v"]),
-        bias,
-    )
+    dense_parts = {name: dense.to_matrix(table[name]).astype(np.float64) for name in dict.fromkeys(roles)}
+    q, k, v = (dense_parts[name] for name in roles)
+    return table["_pos"].to_numpy(), q, k, v, bias
 
 
 def _result(table: pa.Table, by: str, pos: str, positions: np.ndarray, pooled: np.ndarray) -> pa.Table:
@@ -131,9 +143,9 @@ def _result(table: pa.Table, by: str, pos: str, positions: np.ndarray, pooled: n
     return pa.Table.from_arrays([group, pa.array(positions), dense.to_lists(pooled)], [by, pos, "pooled"])
 
 
-def _pool_whole(table: DataFrame, by: str, by_type: str, pos: str, max_len: int) -> DataFrame:
+def _pool_whole(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, max_len: int) -> DataFrame:
     def pool(group: pa.Table) -> pa.Table:
-        positions, q, k, v, bias = _columns(group)
+        positions, q, k, v, bias = _columns(group, roles)
         if positions.max() >= max_len:
             raise ValueError(f"position {positions.max()} is not below max_len {max_len}")
         _, weight, summed = _partial_pool(q, k, v, bias, None)
@@ -142,9 +154,9 @@ def _pool_whole(table: DataFrame, by: str, by_type: str, pos: str, max_len: int)
     return table.groupBy(by).applyInArrow(pool, f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>")
 
 
-def _pool_band(table: DataFrame, by: str, by_type: str, pos: str, w: int, block: int) -> DataFrame:
+def _pool_band(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, w: int, block: int) -> DataFrame:
     def pool(part: pa.Table) -> pa.Table:
-        positions, q, k, v, bias = _columns(part)
+        positions, q, k, v, bias = _columns(part, roles)
         centre = part["_centre"].to_numpy()
         _, weight, summed = _partial_pool(q[centre], k, v, bias, (positions[centre], positions), w)
         return _result(part, by, pos, positions[centre], summed / weight[:, None])
@@ -159,7 +171,7 @@ def _pool_band(table: DataFrame, by: str, by_type: str, pos: str, w: int, block:
     return blocks.groupBy(by, "_block").applyInArrow(pool_centres, schema)
 
 
-def _pool_tiles(table: DataFrame, by: str, by_type: str, pos: str, block: int) -> DataFrame:
+def _pool_tiles(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, block: int) -> DataFrame:
     cut = table.withColumn("_block", F.floor(F.col("_pos") / block))
     blocks = cut.select(by, "_block").distinct()
     pairs = blocks.withColumnRenamed("_block", "_l").join(blocks.withColumnRenamed("_block", "_r"), by)
@@ -168,26 +180,20 @@ def _pool_tiles(table: DataFrame, by: str, by_type: str, pos: str, block: int) -
 
     def pool(tile: pa.Table) -> pa.Table:
         is_query = tile["_side"].to_numpy() == 0
-        positions, q, k, v, bias = _columns(tile)
+        positions, q, k, v, bias = _columns(tile, roles)
         top, weight, summed = _partial_pool(q[is_query], k[~is_query], v[~is_query], bias[~is_query], None)
         out = _result(tile, by, pos, positions[is_query], summed)
         return out.append_column("top", pa.array(top)).append_column("weight", pa.array(weight))
 
     schema = f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>, top DOUBLE, weight DOUBLE"
     partial = queries.unionByName(keys).groupBy(by, "_l", "_r").applyInArrow(pool, schema)
-    gathered = partial.groupBy(by, pos).agg(F.collect_list(F.struct("top", "weight", "pooled")).alias("parts"))
-    highest = gathered.withColumn("top", F.array_max("parts.top"))
-    scaled = highest.withColumn(
-        "parts",
-        F.transform(
-            "parts",
-            lambda p: F.struct(F.exp(p["top"] - F.col("top")).alias("share"), p["weight"].alias("weight"), p["pooled"].alias("pooled")),
-        ),
+    # partial sums of one query come from as many tasks as its group has blocks; none is gathered
+    highest = partial.groupBy(by, pos).agg(F.max("top").alias("highest"))
+    share = F.exp(F.col("top") - F.col("highest"))
+    scaled = partial.join(highest, [by, pos]).select(
+        by, pos, (share * F.col("weight")).alias("weight"), F.transform("pooled", lambda x: x * share).alias("pooled")
     )
-    weight: Column = total(F.transform("parts", lambda p: p["share"] * p["weight"]))
-    zeros = F.transform(F.get("parts", F.lit(0))["pooled"], lambda x: F.lit(0.0))
-    summed = F.aggregate(
-        "parts", zeros, lambda acc, p: F.zip_with(acc, p["pooled"], lambda a, x: a + p["share"] * x)
+    sums = scaled.groupBy(by, pos).agg(
+        F.sum("weight").alias("weight"), Summarizer.metrics("sum").summary(array_to_vector("pooled")).alias("summary")
     )
-    whole = scaled.select(by, pos, summed.alias("summed"), weight.alias("weight"))
-    return whole.select(by, pos, F.transform("summed", lambda x: x / F.col("weight")).alias("pooled"))
+    return sums.select(by, pos, F.transform(vector_to_array(F.col("summary.sum")), lambda x: x / F.col("weight")).alias("pooled"))

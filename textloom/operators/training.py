@@ -16,9 +16,9 @@ from textloom.functions import dense
 from textloom.operators.batching import assign_batches
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
 from textloom.operators.optimizer import AdamParams, adam_step, init_state
-from textloom.session import work_path
+from textloom.session import remove_path, work_path
 from textloom.sources.metrics import METRIC_SCHEMA
-from textloom.sources.parameters import PARAMETER_SCHEMA, matrix_rows
+from textloom.sources.parameters import FLOAT_TYPES, MAX_LOCAL_ENTRIES, PARAMETER_SCHEMA, matrix_rows
 
 # Settings of the training programs.
 LEARNING_RATE = 2e-5
@@ -60,6 +60,8 @@ def head_gradient(
                 continue
             x = dense.to_matrix(part.column(0))
             y = part.column(1).to_numpy(zero_copy_only=False)
+            if part.column(0).null_count:
+                raise ValueError("a row has no features")
             if part.column(1).null_count or ((y < 0) | (y >= classes)).any():
                 raise ValueError(f"a label is outside 0..{classes - 1}; see audit_labels")
             y = y.astype(np.int64)
@@ -129,22 +131,27 @@ def train_head(
     optimizer_lifetime: str = "run",
     schedule: Mapping[int, tuple[float, float, float]] | None = None,
     run_id: str | None = None,
+    dtypes: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Train the classifier layer; returns ``(params, metrics)``.
 
     Batches are consecutive rows in the order of ``order_by``. ``optimizer_lifetime="step"``
     starts with new moments at each batch, as the training programs do; ``"run"`` keeps them.
     ``schedule`` maps a step, counted from 0 over the whole run, to the learning rate and
-    betas that hold from there on. The parameter table has classes x (width + 1) rows; it
-    returns to the driver after each step, which also ends its lineage.
+    betas that hold from there on. ``dtypes`` names the type of a parameter; one whose type is
+    no float type is not trained. The parameter table has classes x (width + 1) rows; it
+    returns to the driver after each step, which also ends its lineage, and must be small
+    enough to be held whole. The stored batches are removed when the run ends.
     """
+    if np.size(weight) + np.size(bias) > MAX_LOCAL_ENTRIES:
+        raise ValueError("the classifier is too large to hold whole")
+    fixed = [name for name, kind in (dtypes or {}).items() if kind not in FLOAT_TYPES]
     if optimizer_lifetime not in ("run", "step"):
         raise ValueError(f"unknown optimizer_lifetime {optimizer_lifetime!r}")
     spark = df.sparkSession
     run_id = run_id or uuid.uuid4().hex
     path = work_path(spark, "batches")
     batches = write_batches(df, order_by, batch_size, features, label, path)
-    stored = spark.read.parquet(path)
 
     weight, bias = np.array(weight, dtype=np.float64), np.array(bias, dtype=np.float64).ravel()
     values = matrix_rows(CLASSIFIER_WEIGHT, weight) + matrix_rows(CLASSIFIER_BIAS, bias)
@@ -160,17 +167,19 @@ def train_head(
             t += 1
             if optimizer_lifetime == "step":
                 state = init_state(state, hp)
-            batch = stored.where(F.col("batch_id") == batch_id)
+            batch = spark.read.parquet(f"{path}/batch_id={batch_id}")  # no other folder is listed
             seen = Observation()
             gradient = head_gradient(batch, weight, bias, input, with_loss=True).observe(
                 seen, F.max(F.when(F.col("param") == LOSS, F.col("grad"))).alias(LOSS)
             )
-            # one gradient row per row of the parameter table, which the driver holds anyway
-            moved = adam_step(state, F.broadcast(gradient), hp, 1 if optimizer_lifetime == "step" else t).toArrow()
+            trained = gradient.where(~F.col("param").isin(fixed)) if fixed else gradient
+            # one gradient row per row of the parameter table, whose size is checked above
+            moved = adam_step(state, F.broadcast(trained), hp, 1 if optimizer_lifetime == "step" else t).toArrow()
             is_weight = pc.equal(moved["param"], CLASSIFIER_WEIGHT).to_numpy()
             row, col, theta = (moved[c].to_numpy() for c in ("row", "col", "theta"))
             weight[row[is_weight], col[is_weight]] = theta[is_weight]
             bias[col[~is_weight]] = theta[~is_weight]
             state = spark.createDataFrame(moved)
             log.append((run_id, epoch, step, size, float(seen.get[LOSS])))
+    remove_path(spark, path)
     return state, spark.createDataFrame(log, METRIC_SCHEMA)

@@ -74,7 +74,7 @@ toks AS (
   FROM (SELECT doc_id, regexp_extract_all(lower(text), '{enc.TOKEN_PATTERN}') AS ts FROM documents))"""
 
 
-def vocab_sql(size: int = VOCAB_SIZE) -> str:
+def vocab_sql(size: int | str = VOCAB_SIZE) -> str:
     return f"""
 vocab AS (
   SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::INT AS token_id, n
@@ -82,7 +82,7 @@ vocab AS (
   QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {size})"""
 
 
-def encoded_sql(size: int = VOCAB_SIZE) -> str:
+def encoded_sql(size: int | str = VOCAB_SIZE) -> str:
     return f"""
 WITH {TOKENS_SQL}, {vocab_sql(size)},
 content AS (
@@ -525,6 +525,17 @@ def _(spark, sf):
     )
 
 
+@query("n2_band_pairs_arrays", ORACLES["n2_band_pairs"])
+def _(spark, sf):
+    """The same from token arrays, which need no shuffle to pair their own places."""
+    rows = texts(spark, sf).select("doc_id", enc.token_array(F.col("text")).alias("tokens"))
+    pairs = neighbours.band_pairs_of_arrays(rows, "doc_id", "tokens", BAND)
+    equal = (F.col("item_i") == F.col("item_j")).cast("bigint")
+    return pairs.groupBy("doc_id", (F.col("j") - F.col("i")).alias("distance")).agg(
+        F.count("*").alias("n"), F.sum(equal).alias("n_equal")
+    )
+
+
 # ---- step log
 
 

@@ -29,15 +29,17 @@ from textloom.operators.optimizer import AdamParams
 from textloom.plans import workflows
 from textloom.plans.text_queries import CLASSES, ORACLES, documents, encoded_sql, query, texts
 from textloom.session import work_path
-from textloom.sources import parameters
+from textloom.sources import metrics, parameters
 
 DIMS = 64
 N_CLASSES = len(CLASSES)
 EPS = head.NORM_EPS
-TOKEN_VOCAB = 400  # with the reserved ids still below the number of vectors
+# As many tokens as there are vectors beside those of the reserved ids.
+TOKEN_VOCAB_SQL = f"(SELECT count(*) - {enc.RESERVED_IDS} FROM embeddings)"
 TOP = 5
 STEP_BATCH = 64
 POOL_BAND = 40
+TEXT_BAND = 3
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +146,7 @@ def _(spark, sf):
 
 # ---- vectors
 
-TOKEN_SQL = f"""{encoded_sql(TOKEN_VOCAB)},
+TOKEN_SQL = f"""{encoded_sql(TOKEN_VOCAB_SQL)},
 rows AS (
   SELECT doc_id, generate_subscripts(ids, 1) - 1 AS pos, unnest(ids) AS token_id FROM marked),
 embedded AS (SELECT r.doc_id, r.pos, r.token_id, e.embedding FROM rows r JOIN embeddings e ON e.vec_id = r.token_id)"""
@@ -154,6 +156,10 @@ def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings(spark, sf).select(F.col("vec_id").cast("int").alias("token_id"), F.col("embedding").alias("vector"))
 
 
+def token_vocab(spark: SparkSession, sf: str) -> int:
+    return embeddings(spark, sf).count() - enc.RESERVED_IDS
+
+
 @query(
     "v1_embed_tokens",
     f"""{TOKEN_SQL} SELECT doc_id, count(*) AS n, {r("sum(embedding[1]::DOUBLE)")} AS first,
@@ -161,8 +167,8 @@ def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
 )
 def embedded_tokens(spark: SparkSession, sf: str, limit: int = BROADCAST_ENTRIES) -> DataFrame:
     docs = texts(spark, sf)
-    vocab = tokens.build_vocab(tokens.tokenize(docs), TOKEN_VOCAB)
-    encoded = tokens.encode(docs, vocab, vocab_size=TOKEN_VOCAB)
+    size = token_vocab(spark, sf)
+    encoded = tokens.encode(docs, tokens.build_vocab(tokens.tokenize(docs), size), vocab_size=size)
     ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
     rows = vectors.embed_tokens(encoded.select("doc_id", ids), token_vectors(spark, sf), ["doc_id", "pos"], limit)
     first = F.get("vector", F.lit(0)).cast("double")
@@ -209,13 +215,13 @@ def _(spark, sf):
         GROUP BY doc_id, dim""",
 )
 def _(spark, sf):
-    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB)
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, token_vocab(spark, sf))
     return long_form(pooled, "doc_id", "pooled")
 
 
 @query("v3_pool_mean_documents_large_table", ORACLES["v3_pool_mean_documents"])
 def _(spark, sf):
-    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, limit=0)
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, token_vocab(spark, sf), limit=0)
     return long_form(pooled, "doc_id", "pooled")
 
 
@@ -225,10 +231,31 @@ def _(spark, sf):
         {r("unnest(embedding)::DOUBLE")} AS value FROM embedded WHERE pos = 0""",
 )
 def _(spark, sf):
-    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, TOKEN_VOCAB, "cls")
+    pooled = workflows.document_vectors(texts(spark, sf), token_vectors(spark, sf), DIMS, token_vocab(spark, sf), "cls")
     return long_form(pooled, "doc_id", "pooled")
 
 
+@query(
+    "n4_documents_cls",
+    f"""{TOKEN_SQL},
+pairs AS (
+  SELECT a.doc_id, b.embedding::DOUBLE[] AS v,
+         list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) * pow({DIMS}, -0.5) AS s
+  FROM embedded a JOIN embedded b ON a.doc_id = b.doc_id AND a.pos = 0 AND b.pos <= {TEXT_BAND}),
+weights AS (SELECT doc_id, v, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM pairs),
+cells AS (SELECT doc_id, e, (generate_subscripts(v, 1) - 1)::INT AS dim, unnest(v) AS x FROM weights)
+SELECT doc_id, dim, {r("sum(e * x) / sum(e)")} AS value FROM cells GROUP BY doc_id, dim""",
+)
+def _(spark, sf):
+    """The first position of each text after it has looked at its neighbours."""
+    docs, size = texts(spark, sf), token_vocab(spark, sf)
+    encoded = tokens.encode(docs, tokens.build_vocab(tokens.tokenize(docs), size), vocab_size=size)
+    ids = F.posexplode(F.slice("input_ids", F.lit(1), F.col("seqlen"))).alias("pos", "token_id")
+    rows = vectors.embed_tokens(encoded.select("doc_id", ids), token_vectors(spark, sf), ["doc_id", "pos"])
+    pooled = neighbours.neighbour_pool(rows.withColumn("mask", F.lit(1)), "doc_id", w=TEXT_BAND)
+    return long_form(pooled.where("pos = 0"), "doc_id", "pooled")
+
+
 @query("v4_layer_norm", f"WITH {NORM_SQL} SELECT vec_id, d::INT AS dim, {r('x')} AS value FROM normed")
 def _(spark, sf):
     weight = F.lit([float(w) for w in model().norm])
@@ -353,6 +380,22 @@ def _(spark, sf):
     return whole.select("query_id", "n", *[rounded(c).alias(c) for c in ("total", "top", "weighted", "log_sum")])
 
 
+def whole_scores(dense_rows: DataFrame) -> DataFrame:
+    cells = dense_rows.select("query_id", F.explode(F.arrays_zip("item_ids", "scores")).alias("cell"))
+    return cells.groupBy("query_id").agg(F.count("*").alias("n"), F.sum("cell.scores").alias("total"), F.max("cell.scores").alias("top"))
+
+
+@query(
+    "v11_score_catalogue_blocks",
+    f"""{CATALOGUE_SQL} SELECT query_id, count(*) AS n, {r("sum(score)")} AS total, {r("max(score)")} AS top
+        FROM scores GROUP BY query_id""",
+)
+def _(spark, sf):
+    """The same with blocks of 100 items, each a slice of its own."""
+    found = catalogue.score_catalogue(*catalogue_inputs(spark, sf), limit=0, block_rows=100)
+    return whole_scores(found).select("query_id", "n", rounded("total").alias("total"), rounded("top").alias("top"))
+
+
 @query(
     "v12_topk_catalogue",
     f"""{CATALOGUE_SQL} SELECT query_id, item_id, {r("score")} AS score,
@@ -368,7 +411,7 @@ def _(spark, sf):
 @query("v12_topk_catalogue_blocks", ORACLES["v12_topk_catalogue"])
 def _(spark, sf):
     queries, items, bias = catalogue_inputs(spark, sf)
-    best = catalogue.topk_catalogue(queries, items, TOP, bias, limit=0)
+    best = catalogue.topk_catalogue(queries, items, TOP, bias, limit=0, block_rows=100)
     return best.select("query_id", "item_id", rounded("score").alias("score"), "rank")
 
 
@@ -402,6 +445,12 @@ def _(spark, sf):
     return pooled_cells(neighbours.neighbour_pool(masked(spark, sf), "label"))
 
 
+@query("n3_neighbour_pool_tiles", ORACLES["n3_neighbour_pool"])
+def _(spark, sf):
+    """The same with many blocks in a group, whose partial sums are combined."""
+    return pooled_cells(neighbours.neighbour_pool(masked(spark, sf), "label", block=64))
+
+
 @query("n4_neighbour_pool_band", pool_sql(-0.05, POOL_BAND))
 def _(spark, sf):
     return pooled_cells(neighbours.neighbour_pool(masked(spark, sf), "label", w=POOL_BAND))
@@ -583,35 +632,45 @@ gradient_query("a9_head_gradient_probs", "probs")
 gradient_query("a9_head_gradient_logits", "logits")
 
 TRAIN_HP = AdamParams(lr=0.01)
+SAMPLE_EVERY = 10
 TRAIN_EPOCHS = 3
 
+# From a step on: learning rate and betas.
+Schedule = dict[int, tuple[float, float, float]]
+SCHEDULE: Schedule = {1: (0.005, 0.9, 0.999), 3: (0.02, 0.8, 0.99)}
+
 
-def training_steps_sql(lifetime: str, source: str, lr: float, batches: int = 1) -> str:
+def training_steps_sql(
+    lifetime: str, source: str, lr: float, batches: int = 1, schedule: Schedule | None = None, fixed_bias: bool = False
+) -> str:
     """The steps of all epochs, written out; the last weights are in ``trained``."""
     ctes, weights = [], "w0"
     steps = TRAIN_EPOCHS * batches
+    beta_1, beta_2 = 0.9, 0.999
     for i in range(steps):
+        lr, beta_1, beta_2 = (schedule or {}).get(i, (lr, beta_1, beta_2))
         t = 1 if lifetime == "step" else i + 1
         m, v = ("0", "0") if t == 1 else ("m", "v")
         ctes.append(
             f"""{gradient_sql(i, weights, source, i % batches if batches > 1 else None)},
 u{i} AS (
-  SELECT c, d, theta, 0.9 * {m} + 0.1 * grad AS m, 0.999 * {v} + (1 - 0.999) * grad * grad AS v
+  SELECT c, d, theta, {beta_1} * {m} + (1 - {beta_1}) * grad AS m, {beta_2} * {v} + (1 - {beta_2}) * grad * grad AS v
   FROM {weights} JOIN g{i} USING (c, d)),
 t{i} AS (
-  SELECT c, d, m, v, theta - {lr} * (m / (1 - pow(0.9, {t}))) / (sqrt(v / (1 - pow(0.999, {t}))) + 1e-8) AS theta
+  SELECT c, d, m, v, CASE WHEN {fixed_bias} AND d = {DIMS} THEN theta ELSE
+    theta - {lr} * (m / (1 - pow({beta_1}, {t}))) / (sqrt(v / (1 - pow({beta_2}, {t}))) + 1e-8) END AS theta
   FROM u{i})"""
         )
         weights = f"t{i}"
     return ", ".join(ctes) + f", trained AS (SELECT * FROM {weights})"
 
 
-def training_sql(lifetime: str, source: str, batches: int = 1) -> str:
-    return f"WITH {CELLS_SQL}, {WEIGHTS_SQL}, {training_steps_sql(lifetime, source, TRAIN_HP.lr, batches)}"
+def training_sql(lifetime: str, source: str, batches: int = 1, **change) -> str:
+    return f"WITH {CELLS_SQL}, {WEIGHTS_SQL}, {training_steps_sql(lifetime, source, TRAIN_HP.lr, batches, **change)}"
 
 
-def trained_params_sql(lifetime: str, source: str) -> str:
-    return f"""{training_sql(lifetime, source)}
+def trained_params_sql(lifetime: str, source: str, batches: int = 1, **change) -> str:
+    return f"""{training_sql(lifetime, source, batches, **change)}
 SELECT CASE WHEN d < {DIMS} THEN '{head.CLASSIFIER_WEIGHT}' ELSE '{head.CLASSIFIER_BIAS}' END AS param,
   (CASE WHEN d < {DIMS} THEN c ELSE 0 END)::INT AS "row", (CASE WHEN d < {DIMS} THEN d ELSE c END)::INT AS "col",
   round(theta, 4) + 0.0 AS theta FROM trained"""
@@ -625,7 +684,7 @@ def metrics_sql(lifetime: str, source: str, batches: int) -> str:
     return f"{training_sql(lifetime, source, batches)} {' UNION ALL '.join(rows)}"
 
 
-def train(spark: SparkSession, sf: str, lifetime: str, source: str, batch_size: int = training.BATCH_SIZE):
+def train(spark: SparkSession, sf: str, lifetime: str, source: str, batch_size: int = training.BATCH_SIZE, **change):
     m = model()
     return training.train_head(
         embeddings(spark, sf),
@@ -638,9 +697,68 @@ def train(spark: SparkSession, sf: str, lifetime: str, source: str, batch_size:
         features="embedding",
         input=source,
         optimizer_lifetime=lifetime,
+        **change,
     )
 
 
+def half_batch(spark: SparkSession, sf: str) -> int:
+    return (embeddings(spark, sf).count() + 1) // 2
+
+
+def trained_values(params: DataFrame) -> DataFrame:
+    return parameters.current_values(params).withColumn("theta", F.round("theta", 4) + 0.0)
+
+
+@query("a10_program_batch", trained_params_sql("step", "probs", 2))
+def _(spark, sf):
+    """Both programs: loss from probabilities, a new optimiser at each step, several batches an epoch."""
+    return trained_values(train(spark, sf, "step", "probs", half_batch(spark, sf))[0])
+
+
+def program_steps_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT {i // 2} AS epoch, {i % 2} AS step, batch_size, loss FROM loss{i}" for i in range(TRAIN_EPOCHS * 2)
+    )
+    return f"{training_sql('step', 'probs', 2)}, steps AS ({rows})"
+
+
+@query(
+    "a10_program_epoch_loss",
+    f"""{program_steps_sql()}
+SELECT epoch, {r("sum(loss * batch_size) / sum(batch_size)")} AS loss FROM steps GROUP BY epoch""",
+)
+def _(spark, sf):
+    """M4 over the step losses that the training run itself reports."""
+    steps = train(spark, sf, "step", "probs", half_batch(spark, sf))[1]
+    return losses.epoch_loss(steps, weighted=True).withColumn("loss", rounded("loss"))
+
+
+@query(
+    "a10_program_sample_log",
+    f"""{program_steps_sql()} SELECT epoch, step, batch_size, {r("loss")} AS loss FROM steps
+        WHERE (step + 1) % {SAMPLE_EVERY} = 0 OR step = 1""",
+)
+def _(spark, sf):
+    """The step losses of a run, written, read back and thinned out."""
+    path = work_path(spark, "metrics")
+    metrics.write_metrics(train(spark, sf, "step", "probs", half_batch(spark, sf), run_id="sample")[1], path)
+    logged = losses.sample_steps(metrics.read_metrics(spark, path, "sample"), SAMPLE_EVERY)
+    return logged.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
+
+
+@query("a7_schedule", trained_params_sql("run", "logits", 2, schedule=SCHEDULE))
+def _(spark, sf):
+    """Learning rate and betas change between steps."""
+    return trained_values(train(spark, sf, "run", "logits", half_batch(spark, sf), schedule=SCHEDULE)[0])
+
+
+@query("a5_trainable", trained_params_sql("run", "logits", 2, fixed_bias=True))
+def _(spark, sf):
+    """A parameter that is no float is left as it is."""
+    kinds = {head.CLASSIFIER_WEIGHT: "f32", head.CLASSIFIER_BIAS: "i64"}
+    return trained_values(train(spark, sf, "run", "logits", half_batch(spark, sf), dtypes=kinds)[0])
+
+
 @query("a10_train_head", trained_params_sql("run", "logits"))
 def _(spark, sf):
     params = parameters.current_values(train(spark, sf, "run", "logits")[0])
@@ -649,15 +767,14 @@ def _(spark, sf):
 
 @query("a10_train_head_metrics", metrics_sql("run", "probs", 1))
 def _(spark, sf):
-    metrics = train(spark, sf, "run", "probs")[1]
-    return metrics.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
+    steps = train(spark, sf, "run", "probs")[1]
+    return steps.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
 @query("a10_train_head_batches", metrics_sql("run", "probs", 2))
 def _(spark, sf):
-    half = (embeddings(spark, sf).count() + 1) // 2
-    metrics = train(spark, sf, "run", "probs", half)[1]
-    return metrics.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
+    steps = train(spark, sf, "run", "probs", half_batch(spark, sf))[1]
+    return steps.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
 @query("a11_train_head_step_lifetime", trained_params_sql("step", "logits"))
@@ -705,7 +822,7 @@ def _(spark, sf):
     classes = documents(spark, sf, "lang").select("lang").distinct().count()
     start = head.Head(m.norm, m.dense, m.weight[:classes], m.bias[:classes], m.eps)
     done = workflows.train_document_classifier(
-        texts(spark, sf, "lang"), "lang", token_vectors(spark, sf), start, TOKEN_VOCAB, DOCUMENT_HP, TRAIN_EPOCHS
+        texts(spark, sf, "lang"), "lang", token_vectors(spark, sf), start, token_vocab(spark, sf), DOCUMENT_HP, TRAIN_EPOCHS
     )
     return done.predictions.groupBy("lang", "predicted_label").agg(F.count("*").alias("n"))
 
