@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import batching, neighbours, tokens, training
+from textloom.operators import batching, catalogue, joins, neighbours, ordering, tokens, training
 from textloom.operators.head import score_head
-from textloom.plans import vector_queries
-from textloom.sources.corpus import read_documents, spread_rows
+from textloom.plans import text_queries, vector_queries, workflows
+from textloom.sources.corpus import read_documents
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,8 +74,58 @@ def test_step_reads_one_batch(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(batch_id" in plan(step)
 
 
-def test_only_small_inputs_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, cores + 1)
-    assert spread_rows(few, "id").rdd.getNumPartitions() == cores
-    assert spread_rows(many, "id") is many
+@pytest.fixture
+def no_broadcast(spark):
+    """Both of Spark's own size rules off, so that what is planned as a shuffle runs as one."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_large_vocabulary_is_shuffled_once(spark, docs, no_broadcast):
+    vocab = spark.createDataFrame([("the", 4), ("and", 5)], "token STRING, token_id INT")
+    text = plan(tokens.encode(docs, vocab, limit=0))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_only_hot_keys_are_copied(spark, no_broadcast):
+    rows = spark.range(1000).select("id", F.when(F.col("id") < 600, "hot").otherwise(F.col("id").cast("string")).alias("c"))
+    table = rows.select("c").distinct().withColumn("n", F.lit(1))
+    joined = joins.lookup_join(rows, table, "c", ["id"], small=False, per_copy=100)
+    assert "_salt" in plan(joined) and joined.count() == 1000
+    copies = joins.heavy_keys(rows, "c", 100).collect()
+    assert [tuple(r) for r in copies] == [("hot", 6)]
+    assert "_salt" not in plan(joins.lookup_join(rows, table, "c", ["id"], small=False))
+
+
+def test_lengths_need_no_vocabulary(docs):
+    text = plan(workflows.packing_report(workflows.packed_lengths(docs, 32)))
+    assert "Arrow" not in text and text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "ArrowEvalPython" not in plan(batching.seq_lengths(tokens.encoded_lengths(docs).drop("seqlen")))
+
+
+def test_encoding_does_not_move_texts(spark):
+    rows = text_queries.QUERIES["t8_encode"](spark, SF)
+    assert "Exchange" not in plan(rows)
+
+
+def test_array_pairs_are_not_shuffled(docs):
+    rows = docs.select("doc_id", F.split("text", " ").alias("tokens"))
+    assert "Exchange" not in plan(neighbours.band_pairs_of_arrays(rows, "doc_id", "tokens", 3))
+
+
+def test_queries_of_a_catalogue_stay_put(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet")
+    queries = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    items = rows.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    scored = catalogue.score_catalogue(queries, items, limit=0, block_rows=100)
+    assert "Exchange" not in plan(scored) and plan(scored).count("MapInArrow") > 2
+
+
+def test_ranges_follow_the_rows():
+    assert ordering.range_count(100_000_000) == 100 * ordering.range_count(1_000_000) == 400

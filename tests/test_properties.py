@@ -7,10 +7,12 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from textloom.functions import encoding
 from textloom.functions import math as fm
 from textloom.operators import batching, catalogue, neighbours, tokens, vectors
 from textloom.operators.joins import lookup_join
-from textloom.operators.ordering import build_order_index, running_sum
+from textloom.operators.ordering import build_order_index, rank_rows, running_sum
+from textloom.sources import parameters
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -31,7 +33,31 @@ def test_encoding_laws(spark, data, max_length, limit):
         assert r["input_ids"][0] == 2 and r["input_ids"][r["seqlen"] - 1] == 3
 
 
-masks = st.lists(st.lists(st.integers(0, 1), min_size=6, max_size=6).filter(any), min_size=1, max_size=20)
+@few
+@given(data=st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["a b", "a b", "c", "", None])), max_size=12))
+def test_encoding_is_the_same_on_both_paths(spark, data):
+    """Also where ids and whole rows repeat."""
+    docs = spark.createDataFrame([(i, t, "k") for i, t in data], "doc_id BIGINT, text STRING, lang STRING")
+    vocab = spark.createDataFrame([("a", 4), ("c", 5)], "token STRING, token_id INT")
+    small, large = (sorted(map(repr, tokens.encode(docs, vocab, 6, keep=("lang",), limit=n).collect())) for n in (1000, 0))
+    assert small == large and len(small) == len(data)
+    table = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "token_id INT, vector ARRAY<DOUBLE>")
+    encoded = tokens.encode(docs, vocab, 6, keep=("lang",))
+    for pooling in ("mean", "cls"):
+        pooled = [vectors.pool_tokens(encoded, table, pooling, 2, ["doc_id", "lang"], limit=n).collect() for n in (1000, 0)]
+        assert sorted(map(repr, pooled[0])) == sorted(map(repr, pooled[1])) and len(pooled[0]) == len(data)
+
+
+@few
+@given(text=st.text(alphabet="aé1 ,.\n漢\u0130", max_size=60), count=st.integers(0, 9))
+def test_first_tokens_are_those_of_the_whole_text(spark, text, count):
+    row = spark.createDataFrame([(text,)], "t STRING").select(
+        encoding.first_tokens(F.col("t"), count).alias("first"), encoding.token_array(F.col("t")).alias("all")
+    ).first()
+    assert row["first"] == row["all"][:count]
+
+
+masks = st.lists(st.lists(st.integers(0, 1), min_size=6, max_size=6), min_size=1, max_size=20)
 
 
 @few
@@ -44,7 +70,7 @@ def test_unpad_repad_round_trip(spark, rows, size):
     places = sorted((r["batch_id"], r["flat_pos"]) for r in flat.collect())
     totals = {r["batch_id"]: r["n"] for r in batches.groupBy("batch_id").agg(F.sum("seqlen").alias("n")).collect()}
     assert places == [(b, p) for b in sorted(totals) for p in range(totals[b])]
-    back = {(r["batch_id"], r["slot"]): (r["input_ids"], r["attention_mask"]) for r in batching.repad(flat, 6).collect()}
+    back = {(r["batch_id"], r["slot"]): (r["input_ids"], r["attention_mask"]) for r in batching.repad(flat, 6, rows=batches).collect()}
     assert back == {(r["batch_id"], r["slot"]): (r["input_ids"], r["attention_mask"]) for r in batches.collect()}
 
 
@@ -61,9 +87,27 @@ def test_running_sum_over_any_keys(spark, keys, ranges):
     assert got == dict(zip(order, np.cumsum([abs(k) % 11 for k in order]).tolist(), strict=True))
 
 
+@few
+@given(keys=st.lists(st.tuples(st.text(alphabet="abé", max_size=3), st.integers(-3, 3)), min_size=1, max_size=40, unique=True))
+def test_ranks_over_several_columns(spark, keys):
+    df = spark.createDataFrame(keys, "a STRING, b INT")
+    got = {(r["a"], r["b"]): r["n"] for r in rank_rows(df, ["a", "b"], "n", unique=True, per_range=5).collect()}
+    assert got == {key: i + 1 for i, key in enumerate(sorted(keys, key=lambda k: (k[0].encode(), k[1])))}
+
+
+def test_equal_keys_have_no_order(spark):
+    twice = spark.createDataFrame([(1, "x"), (2, "x"), (1, "y")], "k BIGINT, v STRING")
+    with pytest.raises(PySparkException, match="occurs twice"):
+        batching.assign_batches(twice, "k", 2).collect()
+    with pytest.raises(PySparkException, match="occurs twice"):
+        batching.assign_batches(twice, ["k"], 2).collect()
+    assert batching.assign_batches(twice, ["k", "v"], 2).count() == 3
+
+
 def test_order_is_not_made_in_one_partition(spark):
     df = spark.range(1000).withColumn("v", F.lit(1))
-    plan = batching.assign_batches(df, "id", 10)._jdf.queryExecution().executedPlan().toString()
+    index = build_order_index(df, "id", per_range=100)
+    plan = batching.assign_batches(df, "id", 10, index)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
 
@@ -173,6 +217,41 @@ def test_all_scores_against_numpy(scores, options):
     assert np.allclose(got, want)
 
 
+def test_scores_that_are_no_numbers_come_last(spark):
+    queries = spark.createDataFrame([(0, [1.0])], "query_id BIGINT, vector ARRAY<DOUBLE>")
+    items = spark.createDataFrame([(0, [float("nan")]), (1, [2.0]), (2, [float("-inf")])], "item_id BIGINT, vector ARRAY<DOUBLE>")
+    for options in ({}, {"limit": 0, "block_rows": 1}):
+        best = catalogue.topk_catalogue(queries, items, 3, **options).sort("rank").collect()
+        assert best[0]["item_id"] == 1 and {r["item_id"] for r in best} == {0, 1, 2}
+        assert [r["item_id"] for r in catalogue.topk_catalogue(queries, items, 1, **options).collect()] == [1]
+    assert catalogue.score_catalogue(queries, items.limit(0)).count() == 0
+
+
+def test_grain_of_scores_does_not_depend_on_the_limit(scores):
+    queries, items, bias, _ = scores
+    found = [
+        sorted((r["query_id"], r["block"], r["item_ids"]) for r in catalogue.score_catalogue(queries, items, bias, n, 7).collect())
+        for n in (10**6, 100, 0)
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 30
+
+
+def test_unknown_mask_counts_as_masked(spark):
+    rows = [(0, 0, [1.0, 0.0], 1), (0, 1, [0.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "g INT, pos INT, vector ARRAY<DOUBLE>, mask INT")
+    for options in ({}, {"w": 1}, {"max_len": 2}, {"block": 1}):
+        got = neighbours.neighbour_pool(df, "g", **options).collect()
+        assert [r["pooled"] for r in got] == [pytest.approx([1.0, 0.0])] * 2
+
+
+def test_repeated_entries_are_no_matrix(spark):
+    cells = [("w", 0, 0, 9.0), ("w", 0, 0, 8.0), ("w", 0, 1, 2.0), ("w", 1, 1, 3.0)]
+    params = spark.createDataFrame(cells, parameters.PARAMETER_SCHEMA)
+    for check in (lambda: parameters.check_shape(params, "w", (2, 2)), lambda: parameters.matrix(params, "w")):
+        with pytest.raises(ValueError, match="2x2"):
+            check()
+
+
 def test_linear_paths_agree(spark):
     rng = np.random.default_rng(4)
     x, w, b = rng.normal(size=(20, 6)), rng.normal(size=(3, 6)), rng.normal(size=3)
@@ -183,9 +262,10 @@ def test_linear_paths_agree(spark):
     dense = df.select("id", vectors.linear(F.col("v"), w, b).alias("y")).sort("id").collect()
     assert np.allclose([r["y"] for r in dense], x @ w.T + b)
     long = np.full((20, 3), np.nan)
-    for r in vectors.linear_by_join(df, "id", "v", weight, bias).collect():
-        long[r["id"], r["row"]] = r["value"]
-    assert np.allclose(long, x @ w.T + b)
+    for limit in (1000, 0):
+        for r in vectors.linear_by_join(df, "id", "v", weight, bias, limit).collect():
+            long[r["id"], r["row"]] = r["value"]
+        assert np.allclose(long, x @ w.T + b)
 
 
 def test_hot_token_with_large_vocabulary(spark):
@@ -204,6 +284,6 @@ def test_hot_class(spark, small):
     """A class with most of the rows, with the class map taken as small or as large."""
     rows = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("c"))
     table = spark.createDataFrame([("hot", 0), ("5", 1)], "c STRING, n INT")
-    got = lookup_join(rows, table, "c", spread=["id"], small=small, salts=4)
+    got = lookup_join(rows, table, "c", spread=["id"], small=small, per_copy=50)
     counts = {r["n"]: r["count"] for r in got.groupBy("n").count().collect()}
     assert counts == {0: 400, 1: 1, None: 99}

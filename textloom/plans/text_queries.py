@@ -116,7 +116,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = work_path(spark, "corpus-csv")
     documents(spark, sf).write.option("header", True).option("escape", '"').csv(path)
-    return read_documents(spark, path, fmt="csv").select("doc_id", F.md5("text").alias("text_md5"))
+    return read_documents(spark, path, fmt="csv", multi_line=True).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 def steps(spark: SparkSession, sf: str) -> DataFrame:

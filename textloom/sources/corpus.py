@@ -13,19 +13,23 @@ def read_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: tuple[str, ...] = (),
-    multi_line: bool = True,
-    spread: bool = False,
+    multi_line: bool | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """``(doc_id, text, *keep)`` from Parquet or CSV; see ``spread_rows`` for ``spread``.
+    """``(doc_id, text, *keep)`` from Parquet or CSV with a header.
 
-    CSV needs a header. Quoted line breaks need ``multi_line``, which makes a file one split;
-    turn it off for large files without them.
+    For CSV, ``multi_line`` must be chosen: quoted line breaks need it, and it makes a file
+    one task; without it large files are split. ``schema`` gives the types of all columns of a
+    CSV; by default the id is a number and all else text.
     """
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     elif fmt == "csv":
-        names = spark.read.option("header", True).csv(path).columns
-        schema = ", ".join(f"`{n}` {'BIGINT' if n == id_col else 'STRING'}" for n in names)
+        if multi_line is None:
+            raise ValueError("say whether quoted line breaks occur (multi_line)")
+        if schema is None:
+            names = spark.read.option("header", True).csv(path).columns
+            schema = ", ".join(f"`{n}` {'BIGINT' if n == id_col else 'STRING'}" for n in names)
         raw = (
             spark.read.schema(schema)
             .option("header", True)
@@ -36,15 +40,4 @@ def read_documents(
         )
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    docs = raw.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    return spread_rows(docs, "doc_id") if spread else docs
-
-
-def spread_rows(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input with fewer splits than there are cores over all of them.
-
-    A file of a single row group would keep one core busy. Such an input is smaller than one
-    split per core, so the shuffle is small too; a larger input stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return raw.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
