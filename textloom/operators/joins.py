@@ -51,14 +51,14 @@ def lookup_join(
         return rows.join(F.broadcast(table), on, how)
     heavy = heavy_keys(rows, on, per_copy)
     if heavy.isEmpty():
-        return rows.join(table, on, how)
+        return rows.join(table.hint("merge"), on, how)
     heavy = F.broadcast(heavy)  # one row for each ``per_copy`` rows at most
     number = F.monotonically_increasing_id() if spread is None else F.xxhash64(*spread)
     own = F.pmod(number, F.coalesce("_copies", F.lit(1))).cast("int")
     salted = rows.join(heavy, on, "left").withColumn("_salt", own).drop("_copies")
     last = F.coalesce("_copies", F.lit(1)) - 1
     copies = table.join(heavy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_copies")
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
 def heavy_keys(rows: DataFrame, on: str, per_copy: int = ROWS_PER_COPY) -> DataFrame:

@@ -235,6 +235,29 @@ def _(spark, sf):
     return long_form(pooled, "doc_id", "pooled")
 
 
+@query(
+    "v4_norms_around_lookup",
+    f"""{TOKEN_SQL},
+parts AS (SELECT doc_id, pos, (generate_subscripts(embedding, 1) - 1)::INT AS dim, unnest(embedding)::DOUBLE AS x FROM embedded),
+normed_centred AS (SELECT *, x - avg(x) OVER (PARTITION BY doc_id, pos) AS c FROM parts),
+normed AS (
+  SELECT * EXCLUDE (x, c), c / sqrt(avg(c * c) OVER (PARTITION BY doc_id, pos) + {EPS}) * (1 + (dim % 5) / 10.0) AS x
+  FROM normed_centred),
+means AS (SELECT doc_id, dim, avg(x) AS x FROM normed GROUP BY doc_id, dim),
+pooled_centred AS (SELECT *, x - avg(x) OVER (PARTITION BY doc_id) AS c FROM means),
+pooled AS (
+  SELECT * EXCLUDE (x, c), c / sqrt(avg(c * c) OVER (PARTITION BY doc_id) + {EPS}) * (1 + (dim % 5) / 10.0) AS x
+  FROM pooled_centred)
+SELECT doc_id, dim, {r("x")} AS value FROM pooled""",
+)
+def _(spark, sf):
+    """Vectors normalised before the lookup, pooled, and normalised again."""
+    pooled = workflows.document_vectors(
+        texts(spark, sf), token_vectors(spark, sf), DIMS, token_vocab(spark, sf), norm=model().norm, eps=EPS
+    )
+    return long_form(pooled, "doc_id", "pooled")
+
+
 @query(
     "n4_documents_cls",
     f"""{TOKEN_SQL},

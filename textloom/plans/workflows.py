@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.encoding import MAX_LENGTH
+from textloom.functions.math import layer_norm
 from textloom.operators.batching import assign_batches
-from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, Head, head_vector, predict, score_head
+from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, NORM_EPS, Head, head_vector, predict, score_head
 from textloom.operators.joins import BROADCAST_ENTRIES
 from textloom.operators.labels import encode_labels, label_map_from
 from textloom.operators.optimizer import AdamParams
@@ -61,11 +63,20 @@ def document_vectors(
     max_length: int = MAX_LENGTH,
     keep: tuple[str, ...] = (),
     limit: int = BROADCAST_ENTRIES,
+    norm: Sequence[float] | None = None,
+    eps: float = NORM_EPS,
 ) -> DataFrame:
     """``(doc_id, *keep, pooled)``: vectors of the encoded tokens, pooled per document.
 
     ``pooling`` is ``"cls"`` or ``"mean"``; see ``pool_tokens`` for small and large vector tables.
+    With the weights ``norm``, the vectors are normalised before they are looked up and the
+    pooled ones once more, as the model does around its embedding.
     """
+    if norm is not None:
+        weight = F.lit([float(w) for w in norm])
+        normed = token_vectors.withColumn("vector", layer_norm(F.col("vector"), weight, eps))
+        plain = document_vectors(docs, normed, dims, vocab_size, pooling, max_length, keep, limit)
+        return plain.withColumn("pooled", layer_norm(F.col("pooled"), weight, eps))
     vocab = build_vocab(tokenize(docs), vocab_size)
     encoded = encode(docs, vocab, max_length, vocab_size=vocab_size, keep=keep)
     return pool_tokens(encoded, token_vectors, pooling, dims, ["doc_id", *keep], limit=limit)
