@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(~is_held_out("doc_id") & drawn)
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     stats = texts.select("doc_id", _statistics("text").alias("stats"), calibrates.alias("calibrates"))
-    rows = stored(stats.join(known.where(drawn), "doc_id").coalesce(TRAINING_TASKS), "training")
+    rows = stored(stats.join(known.where(drawn), "doc_id").repartition(TRAINING_TASKS), "training")
     spread = [F.avg(F.get("stats", F.lit(i))).alias(f"m{i}") for i in range(len(STATISTICS))]
     spread += [F.stddev_pop(F.get("stats", F.lit(i))).alias(f"s{i}") for i in range(len(STATISTICS))]
     found = rows.agg(F.avg("label").alias("mean"), F.min("label").alias("least"), F.max("label").alias("most"), *spread).first()
