@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import oracle_check
+from textloom.plans import text_queries
 
 SF = "/root/testdata/sf0.001"
 ORACLES = spark_entry.oracle_sql()
@@ -14,7 +15,11 @@ def duck():
     return oracle_check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+def test_all_are_registered():
+    assert set(text_queries.QUERIES) <= set(spark_entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(text_queries.QUERIES))
 def test_query(spark, duck, name):
     got = spark_entry.queries()[name](spark, SF).toArrow()
     assert got.num_rows > 0
