@@ -78,8 +78,8 @@ class Scorer:
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the probability; ``und`` and 0 without letters or languages."""
         words = _WORD.findall((text or "").lower())
-        if not words or not self._model.languages:
-            return UNKNOWN, 0.0
+        if not self._model.languages or not any(c.isalpha() for word in words for c in word):
+            return UNKNOWN, 0.0  # a word may be a sign such as a raised two
         total = np.zeros(len(self._model.languages))
         for i in range(0, len(words), 1 << 16):
             if len(self._rows) > self._limit:
