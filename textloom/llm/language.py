@@ -100,9 +100,8 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) == 0, F.lit(True))
 
 
-def _table(counts: DataFrame, key: str, size: int, languages: tuple[str, ...]) -> dict[str, tuple[float, ...]]:
+def _table(counts: DataFrame, totals: dict[str, int], key: str, size: int, languages: tuple[str, ...]) -> dict[str, tuple[float, ...]]:
     """Log frequencies of the ``size`` most frequent keys, smoothed by a half, less their mean."""
-    totals = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     each = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"_{i}") for i, lang in enumerate(languages)]
     top = counts.groupBy(key).agg(F.sum("n").alias("_n"), *each).orderBy(F.desc("_n"), key).limit(size).collect()
     found = {}
@@ -113,6 +112,13 @@ def _table(counts: DataFrame, key: str, size: int, languages: tuple[str, ...]) -
     return found
 
 
+def _grams(framed: Column, length: int) -> Column:
+    """All n-grams of one length of a framed word, with the length."""
+    places = F.sequence(F.lit(1), F.length(framed) - (length - 1))
+    cut = F.transform(places, lambda i: F.struct(F.lit(length).alias("length"), framed.substr(i, F.lit(length)).alias("gram")))
+    return F.when(F.length(framed) >= length, cut).otherwise(F.array().cast("array<struct<length: int, gram: string>>"))
+
+
 def learn(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """A model from labelled rows: all of a language, or about ``per_language`` of them by a hash of the id.
 
@@ -130,13 +136,13 @@ def learn(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
     words = sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = stored(words.where(F.length("word") <= LONGEST).groupBy("word", "lang").agg(F.count("*").alias("n")), "words")
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    grams = []
-    for length in LENGTHS:
-        places = F.sequence(F.lit(1), F.length(framed) - (length - 1))
-        cut = F.when(F.length(framed) >= length, F.transform(places, lambda i: framed.substr(i, F.lit(length))))
-        found = counts.select("lang", "n", F.explode(cut).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-        grams.append((length, _table(stored(found, "grams"), "gram", GRAMS, languages)))
-    return Model(languages, _table(counts, "word", WORDS, languages), tuple(grams))
+    cut = counts.select("lang", "n", F.explode(F.concat(*[_grams(framed, length) for length in LENGTHS])).alias("cut"))
+    grams = stored(cut.groupBy("cut.length", "cut.gram", "lang").agg(F.sum("n").alias("n")), "grams")
+    sums = counts.groupBy(F.lit(0).alias("length"), "lang").agg(F.sum("n").alias("n"))
+    sums = sums.union(grams.groupBy("length", "lang").agg(F.sum("n").alias("n"))).collect()  # a row for each length and language
+    totals = {length: {row["lang"]: row["n"] for row in sums if row["length"] == length} for length in (0, *LENGTHS)}
+    tables = [(length, _table(grams.where(F.col("length") == length), totals[length], "gram", GRAMS, languages)) for length in LENGTHS]
+    return Model(languages, _table(counts, totals[0], "word", WORDS, languages), tuple(tables))
 
 
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
