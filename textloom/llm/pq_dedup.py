@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ SUBSPACES = 8
 
 # Lists are the square root of the number of vectors, up to this many; the index is fitted on a
 # sample of this many vectors for each list.
-MAX_LISTS = 8192
+MAX_LISTS = 4096
 SAMPLE_PER_LIST = 64
 
 # Vectors of a list that one task holds; more are dealt over blocks, and queries visit each block.
@@ -49,6 +50,11 @@ class Index:
     reach: float
     margin: float
 
+    @cached_property
+    def between(self) -> np.ndarray:
+        """Distances between all centres."""
+        return np.sqrt(_squares(self.centres, self.centres)).astype(np.float32)
+
     def codes(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code words of residuals and the length of what they leave out."""
         parts = _parts(residuals, self.words.shape[2])
@@ -64,8 +70,7 @@ class Index:
         """The own list of each vector, and which lists it visits (its own included)."""
         far = _squares(units, self.centres)
         own = far.argmin(1)
-        between = np.sqrt(_squares(self.centres, self.centres))
-        border = (far - far[np.arange(len(own)), own][:, None]) <= 2 * self.margin * between[own]
+        border = (far - far[np.arange(len(own)), own][:, None]) <= 2 * self.margin * self.between[own]
         border[np.arange(len(own)), own] = True
         return own, border
 
@@ -122,6 +127,12 @@ def _comparable(column: Column, dims: int) -> Column:
     return F.coalesce((F.size(column) == dims) & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
+def _matrix(classes: DataFrame, dims: int) -> np.ndarray:
+    """The vectors of a bounded table on the driver."""
+    column = classes.select("vector").toArrow()["vector"].combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+
+
 CELL = "list int, block int, is_query boolean, key bigint, n bigint, own int, vector binary, codes binary, error double"
 
 
@@ -139,10 +150,10 @@ def cosine_links(classes: DataFrame, dims: int, threshold: float = 0.9, sigmas:
         return spark.createDataFrame([], "a bigint, links bigint, b bigint")
     lists = int(min(max_lists, max(1, round(total**0.5))))
     share = min(1.0, max(SAMPLE_PER_LIST * lists, 4096) / total)
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1  # 64 x 8192 vectors at most, about
-    sample = np.array([row["vector"] for row in classes.where(drawn).select("vector").collect()], dtype=np.float64).reshape(-1, dims)
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1  # 64 x 4096 vectors at most, about
+    sample = _matrix(classes.where(drawn), dims)
     if not len(sample):
-        sample = np.array([row["vector"] for row in classes.limit(4096).select("vector").collect()], dtype=np.float64)
+        sample = _matrix(classes.limit(4096), dims)
     shared = spark.sparkContext.broadcast(fit_index(_units(sample), lists, threshold, sigmas))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
