@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,8 @@ def _slices(catalogue: DataFrame, bias: DataFrame | None, limit: int, block_rows
     for part in range(parts):
         own = table if parts == 1 else table.where(F.col("slice") == part)
         found = own.select("block", F.col("item_id").cast("bigint").alias("item_id"), "vector", "bias").sort("block", "item_id")
-        yield _blocks(found.toArrow().combine_chunks())
+        if filled := _blocks(found.toArrow().combine_chunks()):  # the hash may leave a slice empty
+            yield filled
 
 
 def _blocks(table: pa.Table) -> list[Block]:
@@ -133,27 +135,47 @@ def topk_catalogue(
 ) -> DataFrame:
     """``(query_id, item_id, score, rank)`` of the k best items, ties to the lower item, NaN last.
 
-    As in ``score_catalogue`` the slices of the catalogue come to the queries. Of each block a
-    task keeps the k best, so the scores are never all written out.
+    As in ``score_catalogue`` the slices of the catalogue come to the queries. A task keeps the
+    k best of a slice, so the scores are never all written out; only several slices need a
+    shuffle, of k rows for each query and slice.
     """
-    schema = "query_id BIGINT, item_id BIGINT, score DOUBLE"
+    schema = "query_id BIGINT, item_id BIGINT, score DOUBLE, rank INT"
     asked = queries.select(F.col("query_id").cast("bigint"), "vector")
-    partial = queries.sparkSession.createDataFrame([], schema)
+    partial = []
     for found in _slices(catalogue, bias, limit, block_rows):
         shared = queries.sparkSession.sparkContext.broadcast(found)
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            widest = max(len(items) for _, items, _, _ in shared.value)
             for batch in batches:
-                for _, items, vectors, shift in shared.value:
-                    for part in _chunks(batch.num_rows, len(items)):
-                        rows = batch.slice(part.start, part.stop - part.start)
-                        scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
-                        top = _top(scores, k)
-                        ids = np.repeat(rows.column(0).to_numpy(), top.shape[1])
-                        chosen = np.take_along_axis(scores, top, axis=1).ravel()
-                        columns = [pa.array(ids), pa.array(items[top.ravel()]), pa.array(chosen)]
-                        yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score"])
-
-        partial = partial.unionByName(asked.mapInArrow(best, schema))
+                for part in _chunks(batch.num_rows, widest):
+                    rows = batch.slice(part.start, part.stop - part.start)
+                    items, scores = _best(dense.to_matrix(rows.column(1)), shared.value, k)
+                    ranks = np.tile(np.arange(1, items.shape[1] + 1, dtype=np.int32), len(items))
+                    ids = np.repeat(rows.column(0).to_numpy(), items.shape[1])
+                    columns = [pa.array(ids), pa.array(items.ravel()), pa.array(scores.ravel()), pa.array(ranks)]
+                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score", "rank"])
+
+        partial.append(asked.mapInArrow(best, schema))
+    if not partial:
+        return queries.sparkSession.createDataFrame([], schema)
+    if len(partial) == 1:
+        return partial[0]
     order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "item_id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    merged = reduce(DataFrame.unionByName, partial).withColumn("rank", F.row_number().over(order))
+    return merged.where(F.col("rank") <= k)
+
+
+def _best(x: np.ndarray, blocks: list[Block], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Items and scores of the k best of all blocks, for each row."""
+    names, values = [], []
+    for _, items, vectors, shift in blocks:
+        scores = x @ vectors.T + shift
+        top = _top(scores, k)
+        names.append(items[top])
+        values.append(np.take_along_axis(scores, top, axis=1))
+    item, score = np.concatenate(names, axis=1), np.concatenate(values, axis=1)
+    if len(blocks) > 1:
+        order = np.lexsort((item, -np.where(np.isnan(score), -np.inf, score)), axis=1)[:, :k]
+        item, score = np.take_along_axis(item, order, axis=1), np.take_along_axis(score, order, axis=1)
+    return item, score
