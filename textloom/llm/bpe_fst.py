@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from textloom.llm.pieces import Pieces
+from textloom.llm.worker import held
 
 # Deterministic states a worker keeps; with more it starts a new automaton.
 STATES = 3 << 16
@@ -268,11 +269,10 @@ class RankTokens:
         yield decoder.end()
 
 
-@lru_cache(maxsize=2)
 def rank_tokens(path: str, pattern: str) -> RankTokens:
     """One for each worker process; its caches outlive a task."""
     gc.set_threshold(1_000_000, 50, 50)  # walking millions of remembered tuples costs more than it frees
-    return RankTokens(path, pattern)
+    return held(("ranks", path, pattern), lambda: RankTokens(path, pattern))
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, out: str = "ids", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from textloom.llm.worker import held
 from textloom.session import stored
 
 # The template: begin of a turn, end of its role, end of its text.
@@ -88,9 +88,9 @@ class Assembler:
         return "".join((CONTROLS[0], self.decode(ids[1:at].tolist()), CONTROLS[1], self.decode(ids[at + 1 : -1].tolist()), CONTROLS[2]))
 
 
-@lru_cache(maxsize=2)
 def assembler(path: str) -> Assembler:
-    return Assembler(path)
+    """One for each worker process."""
+    return held(("assembler", path), lambda: Assembler(path))
 
 
 FORMATTED = "struct<ids: array<int>, loss_mask: array<tinyint>>"

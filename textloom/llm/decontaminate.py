@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.worker import held
+
 # Words of a window.
 WINDOW = 13
 
@@ -128,7 +130,7 @@ def _scan(rows: DataFrame, size: int, spans: bool):
 
     @F.arrow_udf(HITS)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        finder = _finder(key, lambda: Finder(shared.value, size))
+        finder = held(("finder", key), lambda: Finder(shared.value, size))
         for batch in batches:
             found = [finder.find(text, spans) for text in batch.to_pylist()]
             n_words, hits, names, places = zip(*found) if found else ((), (), (), ())
@@ -145,18 +147,6 @@ def _scan(rows: DataFrame, size: int, spans: bool):
     return scan
 
 
-_FINDERS: dict[str, Finder] = {}
-
-
-def _finder(key: str, make) -> Finder:
-    """The last automata of this worker; building one costs more than a small task."""
-    if key not in _FINDERS:
-        if len(_FINDERS) >= 2:
-            _FINDERS.pop(next(iter(_FINDERS)))
-        _FINDERS[key] = make()
-    return _FINDERS[key]
-
-
 def is_contaminated(found: Column, share: int = 20) -> Column:
     """Whether any word is hit and hits are at least one in ``share`` of all words."""
     hits = F.size(found["hits"])

@@ -11,7 +11,6 @@ import os
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import regex
@@ -21,6 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 from tokenizers import Tokenizer  # noqa: E402
 
 from textloom.llm.pieces import MIXED  # noqa: E402
+from textloom.llm.worker import held  # noqa: E402
 
 # Runs a worker remembers, the longest such run, and the texts looked up together.
 RUNS = 1 << 20
@@ -92,7 +92,6 @@ def _packed(ids: list[int]) -> bytes:
     return codes.tobytes()
 
 
-@lru_cache(maxsize=2)
 def hf_tokens(path: str, counting: bool = False) -> HfTokens:
     """One for each worker process; what it remembers outlives a task."""
-    return HfTokens(path, counting)
+    return held(("library", path, counting), lambda: HfTokens(path, counting))

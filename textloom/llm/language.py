@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from textloom.llm.worker import held
 from textloom.session import stored
 
 # Labelled documents learned from, per language, and the entries kept of words and of each n-gram length.
@@ -159,7 +160,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: str = "
 
     @F.arrow_udf(PREDICTION)
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(shared.value)
+        model = shared.value
+        scorer = held(("scorer", id(model)), lambda: Scorer(model))  # the scorer holds the model, so its id stays its own
         for batch in batches:
             found = [scorer.predict(text) for text in batch.to_pylist()]
             names, scores = zip(*found) if found else ((), ())

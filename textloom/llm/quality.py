@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from textloom.llm.language import is_held_out
+from textloom.llm.worker import release
 from textloom.session import stored
 
 # Labelled rows learned from, at most about, and the tasks that sum them up.
@@ -133,6 +134,7 @@ def rising(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 @F.arrow_udf(ArrayType(DoubleType(), False))
 def _statistics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    release()
     for batch in batches:
         yield pa.array([statistics(text) for text in batch.to_pylist()], pa.list_(pa.float64()))
 
@@ -206,6 +208,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
 
     @F.arrow_udf(DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             stats = np.array([statistics(text) for text in batch.to_pylist()]).reshape(-1, len(STATISTICS))
             yield pa.array(np.clip(shared.value.score(stats), 0.0, 1.0))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from textloom.llm.components import connected_components
+from textloom.llm.worker import release
 from textloom.session import stored
 
 BITS = 64
@@ -64,6 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = SEED, out: str =
 
     @F.arrow_udf(LongType())
     def of_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             found = [fingerprint(text, shingle, seed) for text in batch.to_pylist()]
             yield pa.array(np.array(found, dtype=np.uint64).view(np.int64))
