@@ -154,7 +154,12 @@ def is_contaminated(found: Column, share: int = 20) -> Column:
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, one row for each input row."""
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, one row for each input row.
+
+    See ``find_passages`` for NULL, empty and repeated texts and items. ``items_sha256`` is the
+    digest of the item ids, sorted as strings and joined by commas, of nothing for none. Other
+    columns are left out, whatever their names.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = F.col("found")
     return find_passages(rows, benchmark, size, spans=False).select(

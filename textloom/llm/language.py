@@ -171,7 +171,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: str = "
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``(doc_id, held_out, lang_pred, score)`` for every row; held-out rows teach nothing."""
+    """``(doc_id, held_out, lang_pred, score)``, one row for each input row; held-out rows teach nothing.
+
+    A row without id is held out. Repeated rows teach and are predicted one by one, whole texts
+    of any length are read, of equal scores the first language by name wins, and without any
+    labelled row, as in an empty table, all texts are ``und``. Other columns are left out.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("lang"), F.col(text_col).alias("text"), is_held_out(id_col).alias("held_out"))
     model = learn(rows.where(~F.col("held_out")), "lang", "doc_id", "text")
     found = identify(rows.select("doc_id", "held_out", "text"), model)
@@ -179,7 +184,11 @@ def language_report(docs: DataFrame, id_col: str = "doc_id", label_col: str = "l
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", label_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """The rows whose language is known with a score of ``least`` or more, columns as they are."""
+    """The rows whose language is known with a score of ``least`` or more, columns as they are.
+
+    NULL and texts without letters go; repeated rows stay or go together. Columns whose names
+    clash with results of the operator stay what they were.
+    """
     teachers = docs.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     model = learn(teachers.where(~is_held_out("doc_id")), "lang", "doc_id", "text")
     found = identify(docs, model, text_col, "_language")

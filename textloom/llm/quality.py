@@ -217,7 +217,12 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for every row of ``docs``; held-out rows teach nothing."""
+    """``(doc_id, held_out, score, predicted)``, one row for each row of ``docs``; held-out rows teach nothing.
+
+    NULL and empty texts have a score like any other, that of statistics which are all zero.
+    Whole texts of any length are read. A row without id is held out; repeated rows have equal
+    scores; other columns are left out. See ``fit`` for labels that are missing or disagree.
+    """
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), is_held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     scored = score_quality(rows, model)
@@ -225,6 +230,6 @@ def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, i
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose score is ``threshold`` or more, columns as they are."""
+    """The rows whose score is ``threshold`` or more, columns as they are; repeated rows stay or go together."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     return score_quality(docs, model, text_col, "_score").where(F.col("_score") >= threshold).drop("_score")
