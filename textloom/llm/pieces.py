@@ -17,7 +17,7 @@ import regex
 MIXED = regex.compile(r" \s|\s ")
 
 # Entries of each cache, and the longest run that is remembered.
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 3 << 17
 CACHED_LENGTH = 64
 
 
