@@ -29,7 +29,7 @@ from textloom.llm.pieces import Pieces
 from textloom.llm.worker import held
 
 # Deterministic states a worker keeps; with more it starts a new automaton.
-STATES = 1 << 17
+STATES = 3 << 16
 
 # The token before the first.
 NOTHING = -1
