@@ -123,6 +123,26 @@ def test_vectors_against_all_pairs(spark, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+@pytest.mark.parametrize("rank", [3, 4])
+def test_no_link_is_lost_on_low_rank(spark, rank):
+    draws = np.random.default_rng(rank)
+    vectors = draws.normal(size=(1500, rank)) @ draws.normal(size=(rank, 64))
+    units = vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    degree = (units @ units.T >= 0.9).sum(axis=1) - 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in pq_dedup.near_duplicate_vectors(rows).collect()}
+    assert [got[i] for i in range(len(vectors))] == degree.tolist()
+
+
+def test_vectors_of_each_length_are_a_group(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted(tuple(r) for r in pq_dedup.near_duplicate_vectors(frame).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True), (6, 0, 6, True)]
+    only = {r["vec_id"]: r["n_links"] for r in pq_dedup.near_duplicate_vectors(frame, dims=2).collect()}
+    assert only == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0, 6: 0}
+
+
 def test_vectors_that_cannot_be_compared(spark):
     bad = [None, [], [0.0, 0.0], [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 2.0, 3.0]]
     good = [[1.0, 0.0], [2.0, 0.0], [0.0, 1e-30], [1.0, 0.0], [1e30, 1.0], [-1.0, 0.0]]

@@ -2,8 +2,9 @@
 
 Vectors are scaled to length one, where a cosine of ``t`` is a distance of ``sqrt(2 - 2 t)``. A
 vector is stored in the list of its nearest centre as eight code bytes of its residual, and it
-visits further lists: those whose border with its own list is near enough for a neighbour to lie
-behind. In a list a table of distances to all code words gives the distance to a coded vector in
+visits further lists: those whose border with its own list is at most half the reach away. Of two
+vectors within reach on either side of a border one is that near, so one visits the other's list
+and no link is lost. In a list a table of distances to all code words gives the distance to a coded vector in
 eight lookups. The coding error of every vector is known, so a pair is left only if even that
 error cannot bring it within reach; all others get the exact cosine.
 """
@@ -35,8 +36,8 @@ SAMPLE_PER_LIST = 64
 # Vectors of a list that one task holds; more are dealt over blocks, and queries visit each block.
 BLOCK = 4096
 
-# How far behind a border, in standard deviations of a neighbour's offset across it, lists are visited.
-SIGMAS = 2.25
+# Added to the distance to a border, so that rounding keeps no vector from a list.
+SLACK = 1e-6
 
 ROUNDS = 8
 
@@ -48,7 +49,6 @@ class Index:
     centres: np.ndarray
     words: np.ndarray  # subspace, word, dimension
     reach: float
-    margin: float
 
     @cached_property
     def between(self) -> np.ndarray:
@@ -70,7 +70,8 @@ class Index:
         """The own list of each vector, and which lists it visits (its own included)."""
         far = _squares(units, self.centres)
         own = far.argmin(1)
-        border = (far - far[np.arange(len(own)), own][:, None]) <= 2 * self.margin * self.between[own]
+        # the difference over twice the distance of the centres is the distance to the border
+        border = (far - far[np.arange(len(own)), own][:, None]) <= (self.reach + SLACK) * self.between[own]
         border[np.arange(len(own)), own] = True
         return own, border
 
@@ -104,15 +105,14 @@ def _means(x: np.ndarray, count: int, seed: int) -> np.ndarray:
     return centres
 
 
-def fit_index(sample: np.ndarray, lists: int, threshold: float, sigmas: float = SIGMAS) -> Index:
+def fit_index(sample: np.ndarray, lists: int, threshold: float) -> Index:
     """Centres and code words from a sample of unit vectors."""
     centres = _means(sample, lists, seed=1)
     residuals = sample - centres[_squares(sample, centres).argmin(1)]
     width = -(-sample.shape[1] // SUBSPACES)
     parts = _parts(residuals, width)
     words = [_means(parts[:, m], WORDS, seed=2 + m) for m in range(parts.shape[1])]
-    reach = float(np.sqrt(2 - 2 * threshold))
-    return Index(centres, np.stack(words), reach, sigmas * reach / float(np.sqrt(sample.shape[1])))
+    return Index(centres, np.stack(words), float(np.sqrt(2 - 2 * threshold)))
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -121,10 +121,11 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return wide / np.sqrt((wide * wide).sum(axis=1, keepdims=True))
 
 
-def _comparable(column: Column, dims: int) -> Column:
-    """Whether a vector has the right length, only finite components and one that is not zero."""
+def _comparable(column: Column, dims: int | None) -> Column:
+    """Whether a vector has the right length, if one is given, only finite components and one that is not zero."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce((F.size(column) == dims) & finite & F.exists(column, lambda x: x != 0), F.lit(False))
+    length = F.lit(True) if dims is None else F.size(column) == dims
+    return F.coalesce(length & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
 def _matrix(classes: DataFrame, dims: int) -> np.ndarray:
@@ -136,7 +137,7 @@ def _matrix(classes: DataFrame, dims: int) -> np.ndarray:
 CELL = "list int, block int, is_query boolean, key bigint, n bigint, own int, vector binary, codes binary, error double"
 
 
-def cosine_links(classes: DataFrame, dims: int, threshold: float = 0.9, sigmas: float = SIGMAS, block: int = BLOCK, max_lists: int = MAX_LISTS) -> DataFrame:
+def cosine_links(classes: DataFrame, dims: int, threshold: float = 0.9, block: int = BLOCK, max_lists: int = MAX_LISTS) -> DataFrame:
     """``(a, links, b)`` from distinct vectors ``(key, n, vector)`` that are ``n`` rows each.
 
     The sum of ``links`` over rows with one ``a`` is the number of rows that its vector is linked
@@ -154,7 +155,7 @@ def cosine_links(classes: DataFrame, dims: int, threshold: float = 0.9, sigmas:
     sample = _matrix(classes.where(drawn), dims)
     if not len(sample):
         sample = _matrix(classes.limit(4096), dims)
-    shared = spark.sparkContext.broadcast(fit_index(_units(sample), lists, threshold, sigmas))
+    shared = spark.sparkContext.broadcast(fit_index(_units(sample), lists, threshold))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -282,7 +283,6 @@ def near_duplicate_vectors(
     vectors: DataFrame,
     threshold: float = 0.9,
     dims: int | None = None,
-    sigmas: float = SIGMAS,
     block: int = BLOCK,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
@@ -291,21 +291,21 @@ def near_duplicate_vectors(
 
     Two rows are linked if the cosine of their vectors is ``threshold`` or more. ``n_links``
     counts the other rows linked, ``component_id`` is the smallest id reachable by links, and
-    ``kept`` says whether it is the row's own. Links with a lower cosine are never made; a link is
-    missed only if neither vector visits the other's list (``sigmas``). Equal vectors are one
-    class before any search, so copies cost nothing. A vector that is NULL, zero, has NULL or
-    non-finite components or not ``dims`` of them (by default the commonest length) links with
-    nothing. Repeated rows link with each other; a NULL id is never the smallest.
+    ``kept`` says whether it is the row's own. Links with a lower cosine are never made and none
+    is missed. Equal vectors are one class before any search, so copies cost nothing. Vectors of
+    each length are searched on their own, one length after the other; with ``dims`` those of
+    other lengths link with nothing, as does a vector that is NULL, zero or has NULL or
+    non-finite components. Repeated rows link with each other; a NULL id is never the smallest.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vector"))
-    if dims is None:
-        lengths = rows.where(F.size("vector") > 0).groupBy(F.size("vector").alias("dims")).count()
-        common = lengths.orderBy(F.desc("count"), "dims").first()
-        dims = common["dims"] if common else 1
     rows = rows.withColumn("vector", F.when(_comparable(F.col("vector"), dims), F.transform("vector", lambda x: x + 0)))
     grouped = rows.where(F.col("vector").isNotNull()).groupBy("vector").agg(F.min("vec_id").alias("low_id"), F.count("*").alias("n"))
     classes = stored(grouped.withColumn("key", F.monotonically_increasing_id()), "classes")
-    links = stored(cosine_links(classes.select("key", "n", "vector"), dims, threshold, sigmas, block), "cosine_links")
+    lengths = classes.groupBy(F.size("vector").alias("dims")).count().orderBy("dims").collect()  # a row for each length
+    links = vectors.sparkSession.createDataFrame([], "a bigint, links bigint, b bigint")
+    for length in (row["dims"] for row in lengths if row["count"] > 1):
+        group = classes.where(F.size("vector") == length).select("key", "n", "vector")
+        links = links.union(stored(cosine_links(group, length, threshold, block), "cosine_links"))
     counts = links.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     components = connected_components(links, "a", "b").select(F.col("node").alias("key"), "component")
     joined = classes.join(counts, "key", "left").join(components, "key", "left")
