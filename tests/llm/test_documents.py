@@ -209,6 +209,28 @@ def test_any_markup_is_read(source):
     html_extract.main_text(source)
 
 
+LONG = "A sentence of the story. " * 60
+SHORT = "A short part of it. " * 10
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div class='story'", "body"])
+def test_the_whole_article_is_taken(outer):
+    def read(inner):
+        page = f"<nav><a href='/'>Home</a></nav><{outer}>{inner}</{outer.split()[0]}><footer>us</footer>"
+        return html_extract.main_text(page).split("\n\n")
+
+    assert read(f"<h1>Title</h1><p>{SHORT}</p><div class='body'><p>{LONG}</p></div>") == ["Title", SHORT.strip(), LONG.strip()]
+    assert read(f"<section><p>{LONG}</p></section><section><p>{SHORT}</p></section>") == [LONG.strip(), SHORT.strip()]
+    rows = f"<table><tr><td><p>{LONG}</p></td><td><a href='/x'>{SHORT}</a></td></tr></table>"
+    if outer.startswith(("div", "body")):
+        assert read(rows) == [LONG.strip()]
+
+
+def test_the_body_is_not_the_article():
+    page = f"<div class='a'><div class='b'><p>{LONG}</p></div></div><div class='c'><p>{SHORT}</p></div>Imprint"
+    assert html_extract.main_text(page) == LONG.strip()
+
+
 def test_hosts_vote(spark):
     good = PAGE.replace("{tag}", "div")
     rows = [(i, "http://Host.example/a", good.replace("{n}", str(i)), "x") for i in range(5)]

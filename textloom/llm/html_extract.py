@@ -6,6 +6,7 @@ import html as markup
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,9 @@ BROADCAST_CHARS = 1 << 25
 # What an inner container passes on of the score of its text.
 DECAY = 0.7
 
+# Of the winner's length, the text directly in the body that makes the whole body the article.
+LOOSE = 0.1
+
 CONTAINERS = frozenset("article main section div td body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -91,6 +95,7 @@ class Page:
             element = self.parents[element]
         return ">".join(reversed(steps))
 
+    @cached_property
     def scores(self) -> dict[int, float]:
         """For each container the text of its own paragraphs, and a falling part of that of inner containers."""
         found: dict[int, float] = {}
@@ -105,12 +110,52 @@ class Page:
 
     def best(self, path: str | None = None) -> int | None:
         """The container with the highest score, the first of equals; of those with the path if given."""
-        scores = self.scores()
+        scores = self.scores
         if path is not None:
             last = path.rpartition(">")[2]
             scores = {e: s for e, s in scores.items() if (e > 0 and self.steps[e] == last or e == 0 and not path) and self.path(e) == path}
         return max(sorted(scores), key=scores.__getitem__) if scores else None
 
+    def container(self, element: int) -> int:
+        """The nearest container around the element, itself included."""
+        while self.tags[element] not in CONTAINERS:
+            element = self.parents[element]
+        return element
+
+    def whole(self, element: int) -> int:
+        """The container of the whole article that the element is part of.
+
+        This is the outermost article around it, else the outermost main. Without these it is the
+        outermost container that is reached by adding mostly unlinked text, none of it in a
+        container with a higher score. The body holds all of a page, so it counts only if it has
+        considerable text of its own, or parts with the element's tag and classes.
+        """
+        around = [element]
+        while around[-1] > 0:
+            around.append(self.parents[around[-1]])
+        for tag in ("article", "main"):
+            if marked := [e for e in around if self.tags[e] == tag]:
+                return marked[-1]
+        top, score = element, self.scores.get(element, 0.0)
+        for outer in around[1:]:
+            if self.tags[outer] not in CONTAINERS:
+                continue
+            start, end = top, self.ends[top]
+            limit = self.ends[outer] if outer else len(self.tags)
+            added = [(e, len(text), linked) for e, text, linked in self.blocks if outer <= e < start or end <= e < limit]
+            if added:
+                if 2 * sum(linked for _, _, linked in added) > sum(size for _, size, _ in added):
+                    break
+                if any(s > score for e, s in self.scores.items() if outer < e < start and e not in around or end <= e < limit):
+                    break
+                if outer == 0:
+                    loose = sum(size - 2 * linked for e, size, linked in added if self.container(e) == 0)
+                    alike = any(self.parents[e] == self.parents[top] and self.steps[e] == self.steps[top] for e in self.scores if e != top)
+                    if loose < LOOSE * len(self.text(top)) and not alike:
+                        break
+            top = outer
+        return top
+
     def text(self, element: int) -> str:
         end = self.ends[element] if element else len(self.tags)
         return "\n\n".join(text for e, text, _ in self.blocks if element <= e < end)
@@ -161,7 +206,7 @@ def parse(source: str | None) -> Page:
             page.ends[element] = len(page.tags)
             if tag not in INLINE:
                 flush()
-            elif tag in ("td", "th"):
+            elif tag in ("td", "th") and words:  # text that follows belongs to the cell it stands in
                 words.append(" ")
             links -= tag == "a"
 
@@ -258,14 +303,14 @@ def best_path(source: str | None) -> str | None:
 
 
 def main_text(source: str | None, paths: list[str] | None = None) -> str:
-    """Blocks of the first of ``paths`` that holds text in this page, else of its own best container."""
+    """Blocks of the article around the first of ``paths`` that holds text in this page, else around its own best container."""
     page = parse(source)
     for path in paths or ():
         found = page.best(path)
-        if found is not None and (text := page.text(found)):
-            return text
+        if found is not None and page.text(found):
+            return page.text(page.whole(found))
     found = page.best()
-    return "" if found is None else page.text(found)
+    return "" if found is None else page.text(page.whole(found))
 
 
 @F.arrow_udf(StringType())
@@ -303,7 +348,8 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
 
     Every page votes with the path of its best container; it is then read by the path with most
     votes on its host that holds text in it, or by its own best container where it has none of
-    the host's paths or no host. Whole pages are read. Menus, headers, footers, sidebars, notices,
+    the host's paths or no host. From there the text is that of the whole article around it, with
+    its title, lead and all sections (``Page.whole``). Whole pages are read. Menus, headers, footers, sidebars, notices,
     adverts, forms, scripts, styles and reader comments are left out, by element, role, class and
     id. Character references are decoded; white space in a block becomes one space. NULL and
     pages without text give the empty text. Rows keep all their columns and repeat as they do.
