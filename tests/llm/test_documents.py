@@ -1,6 +1,7 @@
 """Language, quality, decontamination, chat and HTML operators."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -226,6 +227,25 @@ def test_the_whole_article_is_taken(outer):
         assert read(rows) == [LONG.strip()]
 
 
+@pytest.mark.parametrize("start", ["<div class='elementor-widget'>", "<div class='related-article'>", "<form action='/p.aspx'>", "<div id='search-page'>", "<form><div class='overlay'>"])
+@pytest.mark.parametrize("article", ["article", "div", "section class='share'"])
+def test_the_article_in_a_dropped_element(start, article):
+    end = "".join(f"</{tag}>" for tag in reversed(re.findall("<([a-z]+)", start)))
+    menu, side = "<nav><a href='/'>Home</a></nav>", f"<div class='sidebar'><p>{SHORT}</p></div>"
+    talk = f"<div class='comments'><p>{LONG * 3}</p></div>"
+    story = f"<{article}><h1>Title</h1><p>{LONG}</p></{article.split()[0]}>"
+    for page in (menu + start + story + end + side + talk, start + menu + story + side + talk + end):
+        assert html_extract.main_text(page) == f"Title\n\n{LONG.strip()}"
+    assert html_extract.main_text(f"<article><h1>Title</h1>{start}<p>{LONG}</p>{end}{talk}</article>") == f"Title\n\n{LONG.strip()}"
+
+
+def test_furniture_stays_out():
+    rest = "".join(f"<div class='{name}'><p>{SHORT}</p></div>" for name in ("widget", "related-article", "share", "sidebar", "cookie-notice"))
+    cards = f"<div class='related'><article><p>{SHORT}</p></article></div>"
+    assert html_extract.main_text(f"<article><p>{LONG}</p>{rest}</article>{rest}{cards}<footer>{SHORT}</footer>") == LONG.strip()
+    assert html_extract.main_text(f"<div class='comments'><article><p>{LONG}</p></article></div><article><p>{SHORT}</p></article>") == SHORT.strip()
+
+
 def test_the_body_is_not_the_article():
     page = f"<div class='a'><div class='b'><p>{LONG}</p></div></div><div class='c'><p>{SHORT}</p></div>Imprint"
     assert html_extract.main_text(page) == LONG.strip()

@@ -24,6 +24,12 @@ BROADCAST_CHARS = 1 << 25
 # What an inner container passes on of the score of its text.
 DECAY = 0.7
 
+# Share of the page's unlinked text above which a dropped element holds the article; of the unlikely ones.
+MOST, NEARLY_ALL = 0.5, 0.9
+
+# What drops an element: nothing, an element or name that gives way to much text, or more so, or one that never does.
+NOT, SOFT, UNLIKE, HARD, OUT = range(5)
+
 # Of the winner's length, the text directly in the body that makes the whole body the article.
 LOOSE = 0.1
 
@@ -47,6 +53,15 @@ FURNITURE = frozenset(
     "share sharing social comment comments commentlist respond disqus replies related recommended recommendations "
     "widget widgets pagination pager login search".split()
 )
+# of the dropped elements those that may hold the article all the same
+LIFTED = frozenset("nav header footer aside form dialog menu".split())
+# names that stay dropped however much text they hold
+KEPT_OUT = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored cookie cookies consent gdpr "
+    "comment comments commentlist respond disqus replies".split()
+)
+# names and elements that are the article only if nearly all text is theirs
+UNLIKELY = frozenset("nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar toolbar header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 # a class such as has-sidebar tells of the page, not of the element
 ABOUT_PAGE = ("has", "with", "no", "without", "is", "page", "single")
@@ -85,7 +100,9 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [-1])
     steps: list[str] = field(default_factory=lambda: ["body"])
     ends: list[int] = field(default_factory=lambda: [0])
+    reasons: list[int] = field(default_factory=lambda: [NOT])
     dropped: list[bool] = field(default_factory=lambda: [False])
+    runs: list[list[tuple[int, str, int]]] = field(default_factory=list)  # blocks of any element, in pieces
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # element, text, characters in links
 
     def path(self, element: int) -> str:
@@ -95,6 +112,54 @@ class Page:
             element = self.parents[element]
         return ">".join(reversed(steps))
 
+    def settle(self) -> None:
+        """Decide what is dropped, then fill the blocks.
+
+        A dropped element is lifted if it holds the page's largest article or main, unless one
+        that is not dropped is there and larger than the rest; or if it holds most of the unlinked
+        text, of that article where it is inside.
+        """
+        count = len(self.tags)
+        worth, never = [0] * count, [False] * count
+        for run in self.runs:
+            for element, text, linked in run:
+                if element >= 0 and not linked:
+                    worth[element] += len(text.strip())
+        for e in range(1, count):
+            never[e] = never[self.parents[e]] or self.reasons[e] >= HARD
+        for e in range(count - 1, 0, -1):
+            if not never[e]:
+                worth[self.parents[e]] += worth[e]
+        free = [False] * count  # under nothing that may drop it
+        free[0] = True
+        for e in range(1, count):
+            free[e] = free[self.parents[e]] and self.reasons[e] == NOT
+        marked = [e for e in range(1, count) if self.tags[e] in ("article", "main") and not never[e] and worth[e]]
+        article = max(marked, key=worth.__getitem__, default=0)  # the outermost of equals
+        alone = article > 0 and (not any(free[e] for e in marked) or worth[article] > MOST * worth[0])
+
+        def lifts(e: int) -> bool:
+            if self.reasons[e] >= HARD:
+                return False
+            if alone and e <= article < self.ends[e]:
+                return True
+            inside = 0 < article < e < self.ends[article]
+            least = NEARLY_ALL if self.reasons[e] == UNLIKE or article and not inside else MOST
+            return worth[e] > least * worth[article if inside else 0]
+
+        for e in range(1, count):
+            parent = self.parents[e]
+            drop = self.dropped[parent] or self.reasons[e] != NOT and not lifts(e)
+            if drop and self.tags[e] in HEADINGS and _in_article_header(self, parent):
+                drop = False  # the title of an article may stand in a header of its own
+            self.dropped[e] = drop
+        for run in self.runs:
+            kept = [piece for piece in run if piece[0] < 0 or not self.dropped[piece[0]]]
+            owner = next((e for e, _, _ in kept if e >= 0), None)
+            if owner is not None and (text := " ".join("".join(text for _, text, _ in kept).split())):
+                self.blocks.append((owner, text, min(sum(linked for _, _, linked in kept), len(text))))
+        self.runs.clear()
+
     @cached_property
     def scores(self) -> dict[int, float]:
         """For each container the text of its own paragraphs, and a falling part of that of inner containers."""
@@ -161,17 +226,23 @@ class Page:
         return "\n\n".join(text for e, text, _ in self.blocks if element <= e < end)
 
 
-def _is_furniture(names: list[tuple[str, str]]) -> bool:
+def _reason(tag: str, names: list[tuple[str, str]]) -> int:
+    """What drops the element, the strongest of its tag, role, classes and id."""
+    found = NOT
+    if tag in DROPPED:
+        found = HARD if tag not in LIFTED else UNLIKE if tag in UNLIKELY else SOFT
     for kind, value in names:
         if kind == "role":
-            if value.strip().lower() in ROLES:
-                return True
+            if (role := value.strip().lower()) in ROLES:
+                found = max(found, SOFT if role in ("search", "form", "dialog", "alertdialog", "alert") else UNLIKE)
             continue
         for name in value.lower().split():
             parts = _PARTS.findall(name)
-            if parts and parts[0] not in ABOUT_PAGE and (parts[0] in FURNITURE or parts[-1] in FURNITURE):
-                return True
-    return False
+            if parts and parts[0] not in ABOUT_PAGE:
+                for part in (parts[0], parts[-1]):
+                    if part in FURNITURE:
+                        found = max(found, OUT if part in KEPT_OUT else UNLIKE if part in UNLIKELY else SOFT)
+    return found
 
 
 def _step(tag: str, names: list[tuple[str, str]]) -> str:
@@ -184,19 +255,15 @@ def parse(source: str | None) -> Page:
     """Elements and blocks of a page; markup that is not closed or badly nested is read as browsers do, roughly."""
     page, source = Page(), source or ""
     open_ = [0]  # elements from the body down
-    words: list[str] = []
-    linked = links = 0
-    owner = 0
+    words: list[tuple[int, str, int]] = []  # element, text, characters in links
+    links = 0
+    hidden = [False]  # by element, whether its text is never read
     at, end = 0, len(source)
 
     def flush() -> None:
-        nonlocal linked
         if words:
-            text = " ".join("".join(words).split())
-            if text:
-                page.blocks.append((owner, text, min(linked, len(text))))
+            page.runs.append(words.copy())
             words.clear()
-        linked = 0
 
     def close(count: int) -> None:
         nonlocal links
@@ -207,21 +274,16 @@ def parse(source: str | None) -> Page:
             if tag not in INLINE:
                 flush()
             elif tag in ("td", "th") and words:  # text that follows belongs to the cell it stands in
-                words.append(" ")
+                words.append((-1, " ", 0))
             links -= tag == "a"
 
     def say(text: str) -> None:
-        nonlocal owner, linked
         element = open_[-1]
-        if page.dropped[element]:
+        if hidden[element]:
             return
         if "&" in text:
             text = markup.unescape(text)
-        if not words:
-            owner = element
-        words.append(text)
-        if links > 0:
-            linked += len(text)
+        words.append((element, text, len(text) if links > 0 else 0))
 
     while at < end:
         token = _TOKEN.search(source, at)
@@ -268,14 +330,14 @@ def parse(source: str | None) -> Page:
                     break
         parent = open_[-1]
         element = len(page.tags)
-        drop = page.dropped[parent] or tag in DROPPED or bool(names) and _is_furniture(names)
-        if drop and tag in HEADINGS and _in_article_header(page, parent):
-            drop = False  # the title of an article may stand in a header of its own
+        reason = _reason(tag, names)
         page.tags.append(tag)
         page.parents.append(parent)
         page.steps.append(_step(tag, names) if tag in CONTAINERS else tag)
         page.ends.append(element + 1)
-        page.dropped.append(drop)
+        page.reasons.append(reason)
+        page.dropped.append(False)
+        hidden.append(hidden[parent] or reason == HARD)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
         if tag in RAW:
@@ -286,6 +348,7 @@ def parse(source: str | None) -> Page:
         links += tag == "a"
     close(1)
     flush()
+    page.settle()
     return page
 
 
@@ -351,7 +414,7 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     the host's paths or no host. From there the text is that of the whole article around it, with
     its title, lead and all sections (``Page.whole``). Whole pages are read. Menus, headers, footers, sidebars, notices,
     adverts, forms, scripts, styles and reader comments are left out, by element, role, class and
-    id. Character references are decoded; white space in a block becomes one space. NULL and
+    id, except where one such element holds the article (``Page.settle``). Character references are decoded; white space in a block becomes one space. NULL and
     pages without text give the empty text. Rows keep all their columns and repeat as they do.
     """
     winners = host_paths(pages, url_col, html_col).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"))
