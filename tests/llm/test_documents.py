@@ -265,3 +265,21 @@ def test_hosts_vote(spark):
     got = {r["page_id"]: r["text"] for r in out.collect()}
     assert got == {**{i: TEXT for i in (0, 1, 2, 3, 4, 9, 10, None)}, 11: "", 12: ""}
     assert html_extract.extract_main_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [html_extract.BROADCAST_CHARS, 0])
+def test_every_path_of_a_host_counts(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_extract, "BROADCAST_CHARS", limit)
+    kinds = "abcdefghijkl"
+    page = "<body><div class='{0}'><p>Story {0}.</p></div>{1}</body>"
+    rows = [(100 * k + i, "http://host/x", page.format(c, "")) for k, c in enumerate(kinds) for i in range(14 - k)]
+    box = "<div class='box'><p>" + "filler " * 200 + "</p></div>"
+    rows += [(5000 + k, "http://host/y", page.format(c, box)) for k, c in enumerate(kinds)] + [(6000, "http://host/x", None), (6001, None, page.format("a", ""))]
+    # each template has more votes than the box
+    rows += [(7000 + 100 * k + i, "http://host/x", page.format(c, "")) for k, c in enumerate(kinds) for i in range(14)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    out = html_extract.extract_main_text(frame)
+    assert out.columns == [*frame.columns, "text"]
+    got = {r["page_id"]: r["text"] for r in out.collect()}
+    want = {i: f"Story {h.split(chr(39))[1]}." if h else "" for i, _, h in rows}
+    assert got == want

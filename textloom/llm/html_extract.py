@@ -9,16 +9,14 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from textloom.session import stored
 
-# Paths kept for a host, by votes; a page that has none of them is read by its own best container.
-PATHS = 8
-
-# Characters of all hosts' paths that are broadcast; beyond, pages and paths are joined by host.
+# Characters of all hosts' paths that are broadcast; beyond, each set of paths that pages of a host
+# contain is joined to the votes by host and path.
 BROADCAST_CHARS = 1 << 25
 
 # What an inner container passes on of the score of its text.
@@ -173,12 +171,22 @@ class Page:
                 element = self.parents[element]
         return found
 
-    def best(self, path: str | None = None) -> int | None:
-        """The container with the highest score, the first of equals; of those with the path if given."""
+    def paths(self) -> dict[int, str]:
+        """The path of each container that holds text."""
+        return {element: self.path(element) for element in self.scores}
+
+    def best(self, votes: dict[str, int] | None = None) -> int | None:
+        """The container with the highest score, the first of equals.
+
+        It is sought among those with the path of most votes, the first by name of equals, if the page has any with votes.
+        """
         scores = self.scores
-        if path is not None:
-            last = path.rpartition(">")[2]
-            scores = {e: s for e, s in scores.items() if (e > 0 and self.steps[e] == last or e == 0 and not path) and self.path(e) == path}
+        if votes:
+            paths = self.paths()
+            known = [(-votes[path], path) for path in paths.values() if path in votes]
+            if known:
+                winner = min(known)[1]
+                scores = {e: s for e, s in scores.items() if paths[e] == winner}
         return max(sorted(scores), key=scores.__getitem__) if scores else None
 
     def container(self, element: int) -> int:
@@ -365,14 +373,10 @@ def best_path(source: str | None) -> str | None:
     return None if found is None else page.path(found)
 
 
-def main_text(source: str | None, paths: list[str] | None = None) -> str:
-    """Blocks of the article around the first of ``paths`` that holds text in this page, else around its own best container."""
+def main_text(source: str | None, votes: dict[str, int] | None = None) -> str:
+    """Blocks of the article around the container whose path has most votes of those in this page, else around its own best."""
     page = parse(source)
-    for path in paths or ():
-        found = page.best(path)
-        if found is not None and page.text(found):
-            return page.text(page.whole(found))
-    found = page.best()
+    found = page.best(votes)
     return "" if found is None else page.text(page.whole(found))
 
 
@@ -382,10 +386,16 @@ def _best_path(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([best_path(source) for source in batch.to_pylist()], pa.string())
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _paths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([sorted(set(parse(source).paths().values())) for source in batch.to_pylist()], pa.list_(pa.string()))
+
+
 @F.arrow_udf(StringType())
-def _main_text(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _text_by_path(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for sources, paths in batches:
-        yield pa.array([main_text(s, p) for s, p in zip(sources.to_pylist(), paths.to_pylist())], pa.string())
+        yield pa.array([main_text(s, None if p is None else {p: 1}) for s, p in zip(sources.to_pylist(), paths.to_pylist())], pa.string())
 
 
 def host_of(url):
@@ -394,32 +404,52 @@ def host_of(url):
     return F.when(F.length(host) > 0, host)
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", paths: int = PATHS) -> DataFrame:
-    """``(host, paths)``: for each host the container paths with most votes, one vote a page.
+def host_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, path, n)``: for each host all container paths with votes, one vote a page.
 
     Votes are counted before the shuffle, so a host may have any share of the pages.
     """
     votes = pages.select(host_of(F.col(url_col)).alias("host"), _best_path(html_col).alias("path"))
-    counts = votes.where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "path"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= paths)
-    return top.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path")))["path"].alias("paths"))
+    return votes.where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n"))
+
+
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, paths)``: the paths of ``host_votes``, most votes first."""
+    ranked = host_votes(pages, url_col, html_col).groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("ranked"))
+    return ranked.select("host", F.col("ranked.path").alias("paths"))
 
 
 def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text") -> DataFrame:
     """Add ``out``, the blocks of the page's main text joined by two line breaks.
 
     Every page votes with the path of its best container; it is then read by the path with most
-    votes on its host that holds text in it, or by its own best container where it has none of
-    the host's paths or no host. From there the text is that of the whole article around it, with
+    votes on its host that holds text in it, however many paths the host has, or by its own best
+    container where it has none of the host's paths or no host. From there the text is that of the whole article around it, with
     its title, lead and all sections (``Page.whole``). Whole pages are read. Menus, headers, footers, sidebars, notices,
     adverts, forms, scripts, styles and reader comments are left out, by element, role, class and
     id, except where one such element holds the article (``Page.settle``). Character references are decoded; white space in a block becomes one space. NULL and
     pages without text give the empty text. Rows keep all their columns and repeat as they do.
     """
-    winners = host_paths(pages, url_col, html_col).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"))
-    winners = stored(winners, "host_paths")
-    size = winners.agg(F.coalesce(F.sum(F.length("_host") + F.length(F.concat_ws("", "_paths"))), F.lit(0)).alias("n")).first()["n"]
-    winners = F.broadcast(winners) if size <= BROADCAST_CHARS else winners
-    joined = pages.withColumn("_host", host_of(F.col(url_col))).join(winners, "_host", "left")
-    return joined.withColumn(out, _main_text(F.col(html_col), F.col("_paths"))).drop("_host", "_paths")
+    votes = stored(host_votes(pages, url_col, html_col), "host_votes")
+    size = votes.agg(F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0)).alias("n")).first()["n"]
+    if size <= BROADCAST_CHARS:
+        hosts: dict[str, dict[str, int]] = {}
+        for batch in votes.toArrow().to_batches():
+            for host, path, n in zip(*(column.to_pylist() for column in batch.columns)):
+                hosts.setdefault(host, {})[path] = n
+        shared = pages.sparkSession.sparkContext.broadcast(hosts)
+
+        @F.arrow_udf(StringType())
+        def text_by_votes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for sources, names in batches:
+                yield pa.array([main_text(s, shared.value.get(h)) for s, h in zip(sources.to_pylist(), names.to_pylist())], pa.string())
+
+        return pages.withColumn(out, text_by_votes(F.col(html_col), host_of(F.col(url_col))))
+    # pages of a host with the same paths are read alike, so votes are joined once for each such set
+    marked = pages.withColumn("_host", host_of(F.col(url_col))).withColumn("_paths", _paths(F.col(html_col)))
+    marked = marked.withColumn("_set", F.sha2(F.to_json("_paths"), 256))
+    sets = marked.where("_host IS NOT NULL").groupBy("_host", "_set").agg(F.first("_paths").alias("_paths"))
+    found = sets.select("_host", "_set", F.explode("_paths").alias("path")).join(votes.withColumnRenamed("host", "_host"), ["_host", "path"])
+    chosen = found.groupBy("_host", "_set").agg(F.min(F.struct((-F.col("n")).alias("n"), "path"))["path"].alias("_path"))
+    joined = marked.drop("_paths").join(stored(chosen, "chosen_paths"), ["_host", "_set"], "left")
+    return joined.withColumn(out, _text_by_path(F.col(html_col), F.col("_path"))).drop("_host", "_set", "_path")
