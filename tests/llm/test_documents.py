@@ -53,6 +53,22 @@ def test_new_words_fall_back_to_shorter_grams():
 # ---- quality
 
 
+def test_long_runs_are_read_whole():
+    grams = tuple((n, {"ab": (1.0, -1.0), "ba": (1.0, -1.0), "xx": (-1.0, 1.0)} if n == 2 else {}) for n in language.LENGTHS)
+    model = language.Model(("a", "x"), {}, grams)
+    assert language.Scorer(model).predict("x" * 40 + "ab" * 500 + "x" * 40)[0] == "a"
+    seam = "a" + "q" * 40 + "r" * 40 + "b"
+    glued = language.Model(("a", "x"), {}, ((2, {"qr": (1.0, -1.0), "rr": (-1.0, 1.0)}),))
+    assert glued.word_scores(seam) == ((1.0 - 39) / 40, (-1.0 + 39) / 40)
+
+
+def test_long_runs_teach(spark):
+    rows = [(i, "漢字仮名" * 40 if i % 2 else "ไทยภาษา" * 40, "ja" if i % 2 else "th") for i in range(40)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert language.Scorer(model).predict("仮名漢字" * 100)[0] == "ja"
+    assert language.Scorer(model).predict("ภาษาไทย" * 100)[0] == "th"
+
+
 def test_held_out_accuracy_of_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

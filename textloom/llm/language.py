@@ -24,10 +24,10 @@ LENGTHS = (5, 4, 3, 2, 1)
 # Words of one document that the score counts as independent evidence at most.
 EVIDENCE = 20
 
-# Words each worker remembers.
+# Words each worker remembers; a longer one counts once more for each LONGEST characters.
 REMEMBERED = 1 << 18
 
-# Longer words are looked at by their first and last characters; no language has such words.
+# Longer runs of letters, as of scripts without spaces, teach in consecutive pieces of this length.
 LONGEST = 64
 
 UNKNOWN = "und"
@@ -48,11 +48,11 @@ class Model:
         known = self.words.get(word)
         if known is not None:
             return known
-        framed = f"<{word if len(word) <= LONGEST else word[: LONGEST // 2] + word[-LONGEST // 2 :]}>"
+        framed = f"<{word}>"
         for length, grams in self.grams:
             found = [grams[g] for i in range(len(framed) - length + 1) if (g := framed[i : i + length]) in grams]
             if found:
-                return tuple(sum(column) / len(found) for column in zip(*found))
+                return tuple(sum(scores[i] for scores in found) / len(found) for i in range(len(self.languages)))
         return (0.0,) * len(self.languages)
 
 
@@ -65,12 +65,14 @@ class Scorer:
 
     def _forget(self) -> None:
         self._rows: dict[str, int] = {}
+        self._held = 0
         self._scores = np.zeros((1024, len(self._model.languages)))
 
     def _row(self, word: str) -> int:
         row = self._rows.get(word)
         if row is None:
             row = self._rows[word] = len(self._rows)
+            self._held += 1 + len(word) // (LONGEST + 1)
             if row == len(self._scores):
                 self._scores = np.concatenate((self._scores, np.zeros_like(self._scores)))
             self._scores[row] = self._model.word_scores(word)
@@ -83,7 +85,7 @@ class Scorer:
             return UNKNOWN, 0.0  # a word may be a sign such as a raised two
         total = np.zeros(len(self._model.languages))
         for i in range(0, len(words), 1 << 16):
-            if len(self._rows) > self._limit:
+            if self._held > self._limit:
                 self._forget()
             some = words[i : i + (1 << 16)]
             rows = list(map(self._rows.get, some))
@@ -124,7 +126,7 @@ def learn(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
     """A model from labelled rows: all of a language, or about ``per_language`` of them by a hash of the id.
 
     Counts are made by Spark; the driver gets ``WORDS`` words and ``GRAMS`` n-grams of each
-    length at most. Rows whose label or text is NULL teach nothing.
+    length at most. Runs of more than ``LONGEST`` letters teach in consecutive pieces. Rows whose label or text is NULL teach nothing.
     """
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = labelled.groupBy(F.col(label_col).alias("lang")).count().collect()
@@ -134,8 +136,8 @@ def learn(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
     shares = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, per_language / row["count"]))])
     drawn = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < shares[F.col(label_col)] * (1 << 30)
     sample = labelled.where(drawn).select(F.col(label_col).alias("lang"), F.lower(text_col).alias("text"))
-    words = sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    counts = stored(words.where(F.length("word") <= LONGEST).groupBy("word", "lang").agg(F.count("*").alias("n")), "words")
+    words = sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(rf"\p{{L}}{{1,{LONGEST}}}"), F.lit(0))).alias("word"))
+    counts = stored(words.groupBy("word", "lang").agg(F.count("*").alias("n")), "words")
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     cut = counts.select("lang", "n", F.explode(F.concat(*[_grams(framed, length) for length in LENGTHS])).alias("cut"))
     grams = stored(cut.groupBy("cut.length", "cut.gram", "lang").agg(F.sum("n").alias("n")), "grams")
