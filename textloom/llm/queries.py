@@ -15,9 +15,12 @@ from textloom.llm.html_extract import extract_main_text
 from textloom.llm.language import language_report
 from textloom.llm.pq_dedup import near_duplicate_vectors
 from textloom.llm.quality import quality_report
+from textloom.llm.sharding import read_shards, shuffle_to_shards
 from textloom.llm.simhash import near_duplicates
+from textloom.llm.spelling import spelling_report
 from textloom.llm.token_counts import count_tokens
 from textloom.llm.token_orc import ids_crc32, read_token_orc, write_token_orc
+from textloom.llm.vector_codes import compression_report
 from textloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +179,77 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   CAST(sum({len("".join(CONTROLS))} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_report(table(spark, sf_dir, "embeddings"))
+
+
+def _assign_sql(turn: int) -> str:
+    """SQL that gives each part the nearest entry of ``book{turn}``."""
+    return f"""
+near{turn} AS (
+  SELECT vec_id, label, part, entry, distance FROM (
+    SELECT p.vec_id, p.label, p.part, b.entry, d.distance,
+           row_number() OVER (PARTITION BY p.vec_id, p.part ORDER BY d.distance, b.entry) AS place
+    FROM parts p JOIN book{turn} b ON p.part = b.part,
+      LATERAL (SELECT list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance) d
+  ) WHERE place = 1
+)"""
+
+
+def _mean_sql(turn: int) -> str:
+    """SQL for ``book{turn + 1}``: the means of what ``near{turn}`` assigned, rounded down."""
+    return f"""
+sums{turn} AS (
+  SELECT part, entry, list(total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END ORDER BY place) AS x
+  FROM (
+    SELECT part, entry, place, sum(value)::BIGINT AS total, count(*) AS n
+    FROM (SELECT n.part, n.entry, generate_subscripts(p.x, 1) AS place, unnest(p.x) AS value
+          FROM near{turn} n JOIN parts p ON n.vec_id = p.vec_id AND n.part = p.part)
+    GROUP BY part, entry, place)
+  GROUP BY part, entry
+), book{turn + 1} AS (
+  SELECT b.part, b.entry, coalesce(s.x, b.x) AS x FROM book{turn} b LEFT JOIN sums{turn} s ON b.part = s.part AND b.entry = s.entry
+)"""
+
+
+ORACLES["op11_vector_codes"] = f"""
+WITH ints AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, label, part, list_slice(v, part * len(v) // 16 + 1, (part + 1) * len(v) // 16) AS x FROM ints, range(16) AS t(part)
+), book0 AS (
+  SELECT part, entry, x FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM ints) USING (vec_id) WHERE entry < 64
+), {_assign_sql(0)}, {_mean_sql(0)}, {_assign_sql(1)}, {_mean_sql(1)}, {_assign_sql(2)},
+digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+  FROM near2 GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, digest
+"""
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "op12_sharding")
+    shuffle_to_shards(table(spark, sf_dir, "documents"), folder, shards=8)
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    return read_shards(spark, folder).select(
+        "doc_id",
+        (F.octet_length(data) + 1).cast("bigint").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_report(table(spark, sf_dir, "documents"))
