@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -13,10 +14,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from textloom.llm import bpe_fst, hf_tokens, token_counts, token_orc
+from textloom.llm import bpe_fst, hf_tokens, pieces, token_counts, token_orc
 
 JSON, RANKS = public.path("byte_bpe_50k.json"), public.path("byte_bpe_multi_50k.tiktoken")
 LIBRARY = Tokenizer.from_file(JSON)
+TOKENS, COUNTS = hf_tokens.HfTokens(JSON, counting=False), hf_tokens.HfTokens(JSON, counting=True)
 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -35,8 +37,8 @@ def numbers(data):
 @given(text=texts)
 def test_ids_and_counts_are_the_librarys(text):
     ids = library_ids(text)
-    assert numbers(next(hf_tokens.hf_tokens(JSON).codes([text]))) == ids
-    assert list(hf_tokens.hf_tokens(JSON, counting=True).codes([text])) == [len(ids)]
+    assert numbers(TOKENS.code(text)) == ids
+    assert COUNTS.code(text) == len(ids)
 
 
 @settings(max_examples=300, deadline=None)
@@ -63,10 +65,10 @@ def test_transducer_that_forgets_its_states(documents):
 
 @pytest.mark.parametrize("data", ["né漢🎉".encode(), b"a\xff\xc3", b"\xe6\xbc", b"\xf0\x9f\x8e", b"\xed\xa0\x80x", b"\xc3\xc3\xa9"])
 def test_streaming_decoder_equals_decoding_at_once(data):
-    single = {i: bytes([i]) for i in range(256)}
+    single = bpe_fst.TokenBytes({i: bytes([i]) for i in range(256)})
     for size in (1, 2, 3, 100):
         decoder = bpe_fst.StreamDecoder(single)
-        parts = [decoder.feed(list(data[i : i + size])) for i in range(0, len(data), size)]
+        parts = [decoder.feed(np.frombuffer(data[i : i + size], np.uint8).astype(np.int64)) for i in range(0, len(data), size)]
         assert "".join(parts) + decoder.end() == data.decode("utf-8", "replace")
 
 
@@ -85,8 +87,50 @@ def test_counts_of_documents(documents):
 
 
 def test_frequent_runs_are_counted(spark):
-    docs = spark.createDataFrame([("x a b a",), ("y a b",), (None,)], "text string").coalesce(1)
-    assert [tuple(r) for r in token_counts.frequent_runs(docs, size=2).collect()] == [("a", 3), ("b", 2)]
+    docs = spark.createDataFrame([("x a b a c",), ("y a b c",), (None,)], "text string").coalesce(1)
+    assert token_counts.frequent_runs(docs, size=2) == ["a", "b"]
+    assert token_counts.frequent_runs(docs.limit(0)) == []
+
+
+def test_the_first_tier_never_changes_a_count(documents):
+    counts = [sorted(token_counts.count_tokens(documents, JSON, table_size=n).collect()) for n in (1, 16_384)]
+    assert counts[0] == counts[1]
+
+
+def test_merges_by_rank_are_the_librarys():
+    """Whole files of the plain kind only; there, any letters give the library's ids."""
+    assert len(hf_tokens.plain_ranks(JSON)) == 50_256 and hf_tokens.plain_ranks(public.path("word_bpe_49k.json")) is None
+    rng = random.Random(4)
+    alphabets = ["ab", "aeinorst", "abcdefghijklmnopqrstuvwxyz", "éèüñß", "".join(map(chr, range(33, 127))), "".join(map(chr, range(0xA1, 0x250)))]
+    words = [" " * rng.randint(0, 1) + "".join(rng.choices(rng.choice(alphabets), k=rng.randint(1, 24))) for _ in range(30_000)]
+    for word, found in zip(words, LIBRARY.encode_batch(words, add_special_tokens=False)):
+        assert numbers(TOKENS.code(word)) == found.ids, word
+
+
+def test_files_of_other_kinds_are_the_librarys():
+    path = public.path("word_bpe_49k.json")
+    library, tokens = Tokenizer.from_file(path), hf_tokens.HfTokens(path, counting=False)
+    words = ["one", " one", "Two words"]
+    assert [numbers(tokens._ask(w)) for w in words] == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_caches_are_bounded_by_bytes():
+    cache = pieces.Cache(lambda key: key.encode() * 2, size=20_000, known={"k": b"known"})
+    for i in range(1000):
+        assert cache[f"w{i}"] == f"w{i}w{i}".encode() and cache["k"] == b"known"
+    assert len(cache) + len(cache._older) < 20_000 // 120 + 3
+    recent = pieces.Recent(10)
+    for i in range(100):
+        recent.put(i, str(i))
+    assert recent.get(99) == "99" and recent.get(1) is None
+
+
+def test_stretches_with_other_white_space_are_cut_too():
+    text = "one two  three\nfour \n five\tsix seven"
+    asked = []
+    runs = pieces.Runs(lambda run: asked.append(run) or run, "".join)
+    assert runs.code(text) == text
+    assert asked == ["one", " two  three\nfour \n five\tsix", " seven"]
 
 
 def test_orc_of_edge_cases(spark, edge_docs, no_docs, tmp_path):

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from textloom.llm.pieces import Pieces
+from textloom.llm.pieces import Pieces, Recent
 from textloom.llm.worker import held
 
-# Deterministic states a worker keeps; with more it starts a new automaton.
-STATES = 3 << 16
+# Deterministic states a worker keeps; half of them, the older ones, go when there are more.
+STATES = 5 << 16
 
 # The token before the first.
 NOTHING = -1
@@ -60,10 +60,12 @@ def merge(data: bytes, ranks: dict[bytes, int], least: int = 1) -> list[int]:
 
 
 class State:
+    """Open walks: trie node, last token, and tokens not yet emitted; the one at the root first, then the later ones first."""
+
     __slots__ = ("steps", "final", "walks")
 
-    def __init__(self, walks: tuple, final: tuple):
-        self.steps, self.final, self.walks = {}, final, walks
+    def __init__(self, walks: tuple):
+        self.steps, self.final, self.walks = {}, walks[0][2], walks
 
 
 class Transducer:
@@ -72,8 +74,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], states: int = STATES):
         self._ranks, self._limit = ranks, states
         self._bytes = {rank: token for token, rank in ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._spines: dict[tuple[int, int], list[int] | None] = {}
+        self._pairs = Recent(2 * states)
+        self._parts: dict[int, tuple[int, int] | None] = {}
+        self._spines: dict[tuple[int, int], tuple[int, ...] | None] = {}
         self._next: list[dict[int, int]] = [{}]
         self._token: list[int | None] = [None]
         for token, rank in ranks.items():
@@ -85,23 +88,27 @@ class Transducer:
                     self._token.append(None)
                 node = self._next[node][byte]
             self._token[node] = rank
-        self._start = State(((0, NOTHING, ()),), ())
-        self._walks: dict[tuple, tuple] = {}
-        self._states = {self._start.walks: self._start}
-
-    def _spine(self, token: int, side: int) -> list[int] | None:
-        """The token, then its part at one end (0 left, 1 right), and so on down to a byte.
-
-        None if the merges do not make this token, or a part has a higher rank than the whole.
-        """
+        self._start = State(((0, NOTHING, ()),))
+        self._states: dict[tuple, State] = {}
+        self._older: dict[tuple, State] = {}
+
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens of the last merge; None if the merges do not make it, or from a higher rank."""
+        if token not in self._parts:
+            parts = merge(self._bytes[token], self._ranks, 2)
+            self._parts[token] = (parts[0], parts[1]) if len(parts) == 2 and max(parts) < token else None
+        return self._parts[token]
+
+    def _spine(self, token: int, side: int) -> tuple[int, ...] | None:
+        """The token, then its part at one end (0 left, 1 right), and so on down to a byte; None as above."""
         key = (token, side)
         if key not in self._spines:
-            spine = [token]
-            while spine and len(self._bytes[spine[-1]]) > 1:
-                parts = merge(self._bytes[spine[-1]], self._ranks, 2)
-                whole = len(parts) == 2 and max(parts) < spine[-1]
-                spine = [*spine, parts[side]] if whole else []
-            self._spines[key] = spine or None
+            spine: tuple[int, ...] | None = (token,)
+            if len(self._bytes[token]) > 1:
+                halves = self._halves(token)
+                below = self._spine(halves[side], side) if halves else None
+                spine = (token, *below) if below else None
+            self._spines[key] = spine
         return self._spines[key]
 
     def _stays_apart(self, last: int, token: int) -> bool:
@@ -132,57 +139,62 @@ class Transducer:
             else:
                 j -= 1
 
-    def _may_follow(self, last: int, token: int) -> bool:
-        key = (last, token)
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) >= 8 * self._limit:
-                self._pairs.clear()
-            found = self._pairs[key] = self._stays_apart(last, token)
-        return found
-
     def _expand(self, state: State, byte: int) -> tuple[State, tuple]:
-        walks, ended, nexts, tokens = [], False, self._next, self._token
-        for walk in state.walks:
-            node, last, pending = walk
+        nexts, tokens, root, walks = self._next, self._token, None, []
+        for node, last, pending in state.walks:
             child = nexts[node].get(byte)
             if child is None:
                 continue
             token = tokens[child]
-            if not ended and token is not None and self._may_follow(last, token):
-                walks.append((0, token, (*pending, token)))
-                ended = True  # a string has one segmentation
+            if root is None and token is not None:  # a string has one segmentation
+                key = (last + 1) * len(tokens) + token
+                apart = self._pairs.get(key)
+                if apart is None:
+                    apart = self._pairs.put(key, self._stays_apart(last, token))
+                if apart:
+                    root = (0, token, (*pending, token))
             if nexts[child]:
                 walks.append((child, last, pending))
-        if not ended:
+        if root is None:
             raise ValueError(f"byte {byte} cannot be encoded with this vocabulary")
-        agreed = 0
-        first = min((pending for _, _, pending in walks), key=len)
-        while agreed < len(first) and all([pending[agreed] == first[agreed] for _, _, pending in walks]):
-            agreed += 1
+        if not walks:
+            step = state.steps[byte] = (self._state(((0, root[1], ()),)), root[2])
+            return step
+        first, agreed = root[2], len(root[2])
+        for _, _, pending in walks:  # what all walks have in common is emitted
+            if agreed > len(pending):
+                agreed = len(pending)
+            while first[:agreed] != pending[:agreed]:
+                agreed -= 1
         if agreed:
-            walks = [(node, last, pending[agreed:]) for node, last, pending in walks]
-        key = tuple(sorted(walks))
-        after = self._states.get(key)
-        if after is None:
-            if len(self._states) >= self._limit:
-                for old in self._states.values():
-                    old.steps.clear()  # states point at each other
-                self._states, self._walks = {self._start.walks: self._start}, {}
-            open_walks = tuple(self._walks.setdefault(walk, walk) for walk in key)
-            final = next(pending for node, _, pending in key if node == 0)
-            after = self._states[key] = State(open_walks, final)
-        step = state.steps[byte] = (after, first[:agreed])
+            key = ((0, root[1], first[agreed:]), *[(node, last, pending[agreed:]) for node, last, pending in walks])
+        else:
+            key = (root, *walks)
+        step = state.steps[byte] = (self._state(key), first[:agreed])
         return step
 
+    def _state(self, walks: tuple) -> State:
+        """The state of these walks. When the newer half of the states is full, the older is dropped."""
+        found = self._states.get(walks)
+        if found is None:
+            if len(self._states) >= self._limit // 2:
+                gone = {id(old) for walks, old in self._older.items() if walks not in self._states}
+                for old in self._older.values():
+                    if id(old) in gone:
+                        old.steps.clear()
+                for held in (self._start, *self._states.values()):
+                    held.steps = {byte: step for byte, step in held.steps.items() if id(step[0]) not in gone}
+                self._older, self._states = self._states, {}
+            found = self._states[walks] = self._older.get(walks) or State(walks)
+        return found
+
     def encode(self, data: bytes) -> list[int]:
         """Token ids of the bytes as one piece."""
         state, out = self._start, []
         for byte in data:
-            step = state.steps.get(byte) or self._expand(state, byte)
-            state = step[0]
-            if step[1]:
-                out.extend(step[1])
+            state, emitted = state.steps.get(byte) or self._expand(state, byte)
+            if emitted:
+                out.extend(emitted)
         out.extend(state.final)
         return out
 
@@ -223,14 +235,33 @@ class Utf8Machine:
         return 0
 
 
+class TokenBytes:
+    """The bytes of all tokens behind each other, to gather those of many ids at once."""
+
+    def __init__(self, token_bytes: dict[int, bytes]):
+        self._sizes = np.zeros(max(token_bytes, default=-1) + 1, np.int64)
+        for token, data in token_bytes.items():
+            self._sizes[token] = len(data)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._flat = np.frombuffer(b"".join(token_bytes[t] for t in sorted(token_bytes)), np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        sizes = self._sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id is outside the vocabulary")
+        ends = np.cumsum(sizes)
+        shifts = np.repeat(self._starts[ids] - ends + sizes, sizes)
+        return self._flat[shifts + np.arange(len(shifts))].tobytes()
+
+
 class StreamDecoder:
     """Text from token ids as they come; a character cut by a token's end waits for the rest."""
 
-    def __init__(self, token_bytes: dict[int, bytes]):
-        self._bytes, self._open = token_bytes.__getitem__, b""
+    def __init__(self, tokens: TokenBytes):
+        self._tokens, self._open = tokens, b""
 
-    def feed(self, ids: list[int]) -> str:
-        data = self._open + b"".join(map(self._bytes, ids))
+    def feed(self, ids: np.ndarray) -> str:
+        data = self._open + self._tokens.join(ids)
         cut = len(data) - Utf8Machine.open_bytes(data)
         self._open = data[cut:]
         return data[:cut].decode("utf-8", "replace")
@@ -245,7 +276,7 @@ class RankTokens:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = load_ranks(path)
-        self.bytes = {rank: token for token, rank in self.ranks.items()}
+        self._bytes = TokenBytes({rank: token for token, rank in self.ranks.items()})
         self.transducer = Transducer(self.ranks)
         self._pieces = Pieces(pattern, self._piece, b"".join)
 
@@ -263,9 +294,9 @@ class RankTokens:
 
     def decode(self, ids: bytes) -> Iterator[str]:
         numbers = np.frombuffer(ids, dtype="<u4")
-        decoder = StreamDecoder(self.bytes)
+        decoder = StreamDecoder(self._bytes)
         for i in range(0, len(numbers), DECODE_IDS):
-            yield decoder.feed(numbers[i : i + DECODE_IDS].tolist())
+            yield decoder.feed(numbers[i : i + DECODE_IDS])
         yield decoder.end()
 
 

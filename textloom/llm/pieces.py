@@ -8,56 +8,105 @@ runs and pieces only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Hashable, Mapping
 from typing import Any
 
 import regex
 
 # A space next to other white space: there the pattern looks across the space.
-MIXED = regex.compile(r" \s|\s ")
+_MIXED = regex.compile(r" \s|\s ")
+_OTHER_SPACE = regex.compile(r"[^\S \n]")
+_SAFE_SPACE = regex.compile(r"(?<=\S) (?=\S)")
 
-# Entries of each cache, and the longest run that is remembered.
-CACHE_ENTRIES = 1 << 19
+# Bytes of each cache, what an entry takes beside its key and value, and the longest run that is remembered.
+CACHE_BYTES = 120 << 20
+ENTRY_BYTES = 120
 CACHED_LENGTH = 64
 
 
+def mixed(text: str) -> bool:
+    """Whether a space stands next to other white space."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return True
+    return bool(_OTHER_SPACE.search(text) and _MIXED.search(text))
+
+
+class Recent:
+    """Values by key in two generations: when the newer is full the older is forgotten."""
+
+    def __init__(self, entries: int):
+        self._half, self._newer, self._older = max(1, entries // 2), {}, {}
+        self.get = self._newer.get
+
+    def put(self, key: Hashable, value: Any) -> Any:
+        """Remember a value that ``get`` does not give; one that the older generation has is kept."""
+        if len(self._newer) >= self._half:
+            self._older, self._newer = self._newer, {}
+            self.get = self._newer.get
+        self._newer[key] = self._older.get(key, value)
+        return value
+
+
 class Cache(dict):
-    """Values by key, made on demand; forgets everything when it is full."""
+    """Values by key, made on demand and bounded by bytes, in two generations, so that what is in use stays.
+
+    ``known`` are values that are never forgotten.
+    """
 
-    def __init__(self, make: Callable[[str], Any], entries: int = CACHE_ENTRIES):
-        super().__init__()
-        self._make, self._entries = make, entries
+    def __init__(self, make: Callable[[str], Any], size: int = CACHE_BYTES, known: Mapping[str, Any] | None = None):
+        super().__init__(known or {})
+        self._make, self._half, self._known = make, size // 2, known or {}
+        self._left, self._older = self._half, {}
 
     def __missing__(self, key: str) -> Any:
-        value = self._make(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
         if len(key) <= CACHED_LENGTH:
-            if len(self) >= self._entries:
+            self._left -= ENTRY_BYTES + len(key) + (33 + len(value) if isinstance(value, bytes) else 0)
+            if self._left < 0:
+                self._older, self._left = dict(self), self._half
                 self.clear()
+                self.update(self._known)
             self[key] = value
         return value
 
 
-class Pieces:
-    """The codes of all pieces of a text, by ``encode`` of one piece and ``join`` of many codes."""
+class Runs:
+    """The codes of all runs of a text, by ``encode`` of one run with the space before it and ``join`` of many codes.
 
-    def __init__(
-        self,
-        pattern: str,
-        encode: Callable[[str], Any],
-        join: Callable[[Any], Any],
-        entries: int = CACHE_ENTRIES,
-    ):
-        self._split = regex.compile(pattern).findall
-        self._join = join
-        self._pieces = Cache(encode, entries)
-        self._runs = Cache(lambda run: self._cut(" " + run), entries)
+    ``known`` are codes of frequent runs, each taken with the space before it.
+    """
 
-    def _cut(self, text: str) -> Any:
-        return self._join(map(self._pieces.__getitem__, self._split(text)))
+    def __init__(self, encode: Callable[[str], Any], join: Callable[[Any], Any], size: int = CACHE_BYTES, known: Mapping[str, Any] | None = None):
+        self._encode, self._join = encode, join
+        self._runs = Cache(lambda run: encode(" " + run), size, known)
 
     def code(self, text: str) -> Any:
         """The joined codes of the whole text."""
-        if MIXED.search(text):
-            return self._cut(text)
-        first, *runs = text.split(" ")  # every piece with a space begins with it, so runs are independent
-        return self._join((self._cut(first), self._join(map(self._runs.__getitem__, runs))))
+        # every piece with a space begins with it, so runs behind a space between other signs are independent
+        first, *runs = _SAFE_SPACE.split(text) if mixed(text) else text.split(" ")
+        return self._join((self._encode(first), self._join(map(self._runs.__getitem__, runs))))
+
+
+# Fixed value: the pattern for which a word of letters, and the marks behind it, are known to be pieces.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_MARKS = ",.;:!?"
+
+
+class Pieces(Runs):
+    """The codes of all pieces of a text, by ``encode`` of one piece; pieces of new runs are remembered too."""
+
+    def __init__(self, pattern: str, encode: Callable[[str], Any], join: Callable[[Any], Any], size: int = CACHE_BYTES):
+        super().__init__(self._cut, join, size)
+        self._split = regex.compile(pattern).findall
+        self._plain = pattern == WORD_PATTERN
+        self._pieces = Cache(encode, size)
+
+    def _cut(self, text: str) -> Any:
+        if self._plain and text.isascii():
+            word = text.rstrip(_MARKS)
+            if word[:1] == " " and word[1:].isalpha():
+                code = self._pieces[word]
+                return code if len(word) == len(text) else self._join((code, self._pieces[text[len(word) :]]))
+        return self._join(map(self._pieces.__getitem__, self._split(text)))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from textloom.llm.hf_tokens import hf_tokens
+from textloom.llm.worker import release
 
 ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
@@ -100,6 +101,7 @@ def lookup_tokens(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataF
 @F.arrow_udf(LongType())
 def ids_crc32(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Unsigned CRC-32 of an array of ids as little-endian unsigned 32-bit integers."""
+    release()  # what encoding remembered is not needed to read
     for batch in batches:
         flat = memoryview(batch.flatten().to_numpy().astype("<u4").tobytes())
         ends = 4 * np.concatenate(([0], np.cumsum(batch.value_lengths().fill_null(0).to_numpy()))).astype(np.int64)
