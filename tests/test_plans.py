@@ -123,8 +123,24 @@ def test_queries_of_a_catalogue_stay_put(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     queries = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     items = rows.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    scored = catalogue.score_catalogue(queries, items, limit=0, block_rows=100)
-    assert "Exchange" not in plan(scored) and plan(scored).count("MapInArrow") > 2
+    store = catalogue.store_catalogue(items, block_rows=100)
+    asked = queries.withColumn("target", F.lit(1))
+    found = catalogue.score_catalogue(queries, store), catalogue.topk_catalogue(queries, store, 3), catalogue.catalogue_loss(asked, store)
+    for scored in found:
+        text = plan(scored)
+        assert "Exchange" not in text and "Broadcast" not in text
+        assert text.count("MapInArrow") == 1 and text.count("FileScan parquet") == 1
+
+
+def test_vectors_of_a_group_are_shuffled_once(spark, monkeypatch):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").selectExpr("label", "vec_id", "embedding", "1 AS mask")
+    seen = []
+    keep = neighbours.stored
+    monkeypatch.setattr(neighbours, "stored", lambda df, name: seen.append(plan(df)) or keep(df, name))
+    pooled = neighbours.neighbour_pool(rows, "label", pos="vec_id", query="embedding", block=100)
+    assert len(seen) == 1 and seen[0].count("Exchange hashpartitioning") == 1 and "Join" not in seen[0]
+    text = plan(pooled)  # what is left moves names of blocks only
+    assert "_mask" not in text and "embedding" not in text and "MapInArrow" in text
 
 
 def test_ranges_follow_the_rows():

@@ -1,6 +1,7 @@
 """Laws that hold for any input, and results that do not depend on the chosen path."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,7 @@ from textloom.functions import math as fm
 from textloom.operators import batching, catalogue, neighbours, tokens, vectors
 from textloom.operators.joins import lookup_join
 from textloom.operators.ordering import build_order_index, rank_rows, running_sum
-from textloom.sources import parameters
+from textloom.sources import blocks, parameters
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -197,7 +198,7 @@ def scores(spark):
     return queries, items, shift, q @ c.T + bias
 
 
-@pytest.mark.parametrize("options", [{}, {"limit": 0, "block_rows": 7}])
+@pytest.mark.parametrize("options", [{}, {"block_rows": 7}])
 def test_topk_against_numpy_with_ties(scores, options):
     queries, items, bias, want = scores
     got = catalogue.topk_catalogue(queries, items, 6, bias, **options).sort("query_id", "rank").collect()
@@ -207,7 +208,7 @@ def test_topk_against_numpy_with_ties(scores, options):
     assert [(r["query_id"], r["item_id"], r["score"], r["rank"]) for r in got] == expected
 
 
-@pytest.mark.parametrize("options", [{}, {"limit": 0, "block_rows": 7}])
+@pytest.mark.parametrize("options", [{}, {"block_rows": 7}])
 def test_all_scores_against_numpy(scores, options):
     queries, items, bias, want = scores
     got = np.full(want.shape, np.nan)
@@ -220,20 +221,71 @@ def test_all_scores_against_numpy(scores, options):
 def test_scores_that_are_no_numbers_come_last(spark):
     queries = spark.createDataFrame([(0, [1.0])], "query_id BIGINT, vector ARRAY<DOUBLE>")
     items = spark.createDataFrame([(0, [float("nan")]), (1, [2.0]), (2, [float("-inf")])], "item_id BIGINT, vector ARRAY<DOUBLE>")
-    for options in ({}, {"limit": 0, "block_rows": 1}):
+    for options in ({}, {"block_rows": 1}):
         best = catalogue.topk_catalogue(queries, items, 3, **options).sort("rank").collect()
-        assert best[0]["item_id"] == 1 and {r["item_id"] for r in best} == {0, 1, 2}
+        assert [r["item_id"] for r in best] == [1, 2, 0]
         assert [r["item_id"] for r in catalogue.topk_catalogue(queries, items, 1, **options).collect()] == [1]
     assert catalogue.score_catalogue(queries, items.limit(0)).count() == 0
 
 
-def test_grain_of_scores_does_not_depend_on_the_limit(scores):
-    queries, items, bias, _ = scores
-    found = [
-        sorted((r["query_id"], r["block"], r["item_ids"]) for r in catalogue.score_catalogue(queries, items, bias, n, 7).collect())
-        for n in (10**6, 100, 0)
-    ]
-    assert found[0] == found[1] == found[2] and len(found[0]) > 30
+def test_a_stored_catalogue_serves_several_questions(spark, scores):
+    queries, items, bias, want = scores
+    store = catalogue.store_catalogue(items, bias, block_rows=7)
+    assert sum(rows for _, rows in store.blocks) == 50 and len(store.blocks) > 3
+    assert sorted(i for _, ids, _, _ in store.read() for i in ids) == list(range(50))
+    top = catalogue.topk_catalogue(queries, store, 1).sort("query_id").collect()
+    assert [r["item_id"] for r in top] == want.argmax(axis=1).tolist()
+    assert catalogue.score_catalogue(queries, store).count() == 30 * len(store.blocks)
+    with pytest.raises(ValueError, match="its bias already"):
+        catalogue.score_catalogue(queries, store, bias)
+    store.remove(spark)
+    with pytest.raises(FileNotFoundError):
+        list(store.read())
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 7}, {"block_rows": 1}])
+def test_loss_against_the_whole_catalogue(scores, options, monkeypatch):
+    queries, items, bias, want = scores
+    monkeypatch.setattr(catalogue, "QUERY_ENTRIES", 20)
+    target = np.arange(30) * 11 % 50
+    asked = queries.withColumn("target", F.col("query_id") * 11 % 50)
+    got = {r["query_id"]: r["loss"] for r in catalogue.catalogue_loss(asked, items, bias, **options).collect()}
+    plain = np.log(np.exp(want).sum(axis=1)) - want[np.arange(30), target]
+    assert np.allclose([got[i] for i in range(30)], plain, rtol=1e-12)
+
+
+def test_loss_of_large_scores_and_unknown_targets(spark):
+    queries = spark.createDataFrame([(0, [1.0], 1)], "query_id BIGINT, vector ARRAY<DOUBLE>, target BIGINT")
+    items = spark.createDataFrame([(0, [-2000.0]), (1, [2000.0]), (2, [1999.0]), (3, [float("-inf")])], "item_id BIGINT, vector ARRAY<DOUBLE>")
+    for rows in (1, 4096):
+        (row,) = catalogue.catalogue_loss(queries, items, block_rows=rows).collect()
+        assert row["loss"] == pytest.approx(np.log1p(np.exp(-1.0)))
+    for target in (9, None):
+        asked = queries.withColumn("target", F.lit(target).cast("bigint"))
+        with pytest.raises(Exception, match="no item of the catalogue|has no target"):
+            catalogue.catalogue_loss(asked, items).collect()
+
+
+def test_blocks_are_files_of_one_batch(tmp_path):
+    rows = pa.table({"a": [1, 2, 3]})
+    for address in (f"{tmp_path}/x/1.arrow", f"file://{tmp_path}/y z/2.arrow", f"file:{tmp_path}/x/1.arrow"):
+        blocks.write_block(address, rows)
+        blocks.write_block(address, rows)  # a repeated task
+        assert blocks.read_block(address).equals(rows)
+    assert sorted(p.name for p in tmp_path.rglob("*.arrow*")) == ["1.arrow", "2.arrow"]
+
+
+def test_triples_merge_in_any_order():
+    rng = np.random.default_rng(1)
+    q, k, v = rng.normal(size=(5, 4)), rng.normal(size=(12, 4)) * 9, rng.normal(size=(12, 3))
+    bias = np.where(rng.random(12) < 0.3, neighbours.MASKED_BIAS, 0.0)
+    _, weight, summed = neighbours._partial_pool(q, k, v, bias, None)
+    for order in (range(3), (2, 0, 1)):
+        triple = np.full(5, -np.inf), np.zeros(5), np.zeros((5, 3))
+        for i in order:
+            part = slice(4 * i, 4 * i + 4)
+            triple = neighbours._merged(triple, neighbours._partial_pool(q, k[part], v[part], bias[part], None))
+        assert np.allclose(triple[2] / triple[1][:, None], summed / weight[:, None], rtol=1e-12)
 
 
 def test_unknown_mask_counts_as_masked(spark):
@@ -262,8 +314,8 @@ def test_linear_paths_agree(spark):
     dense = df.select("id", vectors.linear(F.col("v"), w, b).alias("y")).sort("id").collect()
     assert np.allclose([r["y"] for r in dense], x @ w.T + b)
     long = np.full((20, 3), np.nan)
-    for limit in (1000, 0):
-        for r in vectors.linear_by_join(df, "id", "v", weight, bias, limit).collect():
+    for block_rows in (1000, 1):
+        for r in vectors.linear_by_join(df, "id", "v", weight, bias, block_rows).collect():
             long[r["id"], r["row"]] = r["value"]
         assert np.allclose(long, x @ w.T + b)
 

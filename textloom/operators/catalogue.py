@@ -1,34 +1,89 @@
-"""Scores of query vectors against every row of an embedding table."""
+"""Scores of query vectors against every row of an embedding table.
+
+The catalogue is stored once in the shared folder, in blocks with a manifest of their sizes. Queries
+stay where they are: a task holds some of its queries and goes through the blocks one at a time,
+reading each from the folder itself. Neither the driver nor a broadcast sees a catalogue row.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.joins import BROADCAST_ENTRIES
-from textloom.session import work_path
+from textloom.session import remove_path, work_path
+from textloom.sources.blocks import read_block, write_block
 
 # Rows of a block of the catalogue.
 BLOCK_ROWS = 4096
 
-# Scores computed at a time within a task (64 MB of doubles).
+# Scores computed at a time within a task (64 MB of doubles), and vector entries of the queries it holds (32 MB).
 SCORES_AT_ONCE = 8_000_000
+QUERY_ENTRIES = 4_000_000
 
 Block = tuple[int, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _with_bias(catalogue: DataFrame, bias: DataFrame | None) -> DataFrame:
-    if bias is None:
-        return catalogue.select("item_id", "vector", F.lit(0.0).alias("bias"))
-    return catalogue.join(bias, "item_id", "left").select(
-        "item_id", "vector", F.coalesce(F.col("bias").cast("double"), F.lit(0.0)).alias("bias")
-    )
+@dataclass(frozen=True)
+class StoredCatalogue:
+    """The folder of a catalogue and, for each of its blocks, the number and the count of rows."""
+
+    folder: str
+    blocks: tuple[tuple[int, int], ...]
+
+    def read(self) -> Iterator[Block]:
+        """Number, items, vectors and bias of one block after the other, items ascending."""
+        for number, _ in self.blocks:
+            rows = read_block(f"{self.folder}/{number}.arrow")
+            yield number, rows["item_id"].to_numpy(), dense.to_matrix(rows["vector"]), rows["bias"].to_numpy()
+
+    def widest(self) -> int:
+        return max((rows for _, rows in self.blocks), default=0)
+
+    def remove(self, spark: SparkSession) -> None:
+        """Remove the files; results that are not computed yet cannot be after that."""
+        remove_path(spark, self.folder)
+
+
+def store_catalogue(catalogue: DataFrame, bias: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> StoredCatalogue:
+    """Store ``(item_id, vector)`` and the ``(item_id, bias)`` of its items for the functions below.
+
+    A block holds about ``block_rows`` items by a hash of the id. Items are shuffled once, to the
+    tasks that write their blocks; the driver gets two numbers for each block. An item without
+    bias has bias 0.
+    """
+    spark = catalogue.sparkSession
+    folder = work_path(spark, "catalogue")
+    blocks = max(1, -(-catalogue.count() // block_rows))
+    item = F.col("item_id").cast("bigint").alias("item_id")
+    table = catalogue.select(item, "vector", F.lit(0.0).alias("bias"))
+    if bias is not None:
+        shifts = bias.select(item, F.col("bias").cast("double").alias("bias"))
+        table = catalogue.select(item, "vector").join(shifts, "item_id", "left").withColumn("bias", F.coalesce("bias", F.lit(0.0)))
+    table = table.select("item_id", F.col("vector").cast("array<double>").alias("vector"), "bias")
+
+    def write(rows: pa.Table) -> pa.Table:
+        number = rows["block"][0].as_py()
+        dense.to_matrix(rows["vector"])  # vectors of a block are present and of one length
+        write_block(f"{folder}/{number}.arrow", rows.select(["item_id", "vector", "bias"]).sort_by("item_id"))
+        return pa.table({"block": pa.array([number], pa.int64()), "rows": pa.array([rows.num_rows], pa.int64())})
+
+    numbered = table.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
+    manifest = numbered.groupBy("block").applyInArrow(write, "block BIGINT, rows BIGINT").collect()
+    return StoredCatalogue(folder, tuple(sorted((row["block"], row["rows"]) for row in manifest)))
+
+
+def _stored(catalogue: DataFrame | StoredCatalogue, bias: DataFrame | None, block_rows: int) -> StoredCatalogue:
+    if isinstance(catalogue, StoredCatalogue):
+        if bias is not None:
+            raise ValueError("a stored catalogue has its bias already")
+        return catalogue
+    return store_catalogue(catalogue, bias, block_rows)
 
 
 def _chunks(rows: int, width: int) -> Iterator[slice]:
@@ -36,146 +91,148 @@ def _chunks(rows: int, width: int) -> Iterator[slice]:
     return (slice(i, min(i + step, rows)) for i in range(0, rows, step))
 
 
+def _groups(batches: Iterator[pa.RecordBatch], widest: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Query rows, gathered until they hold ``QUERY_ENTRIES`` vector entries, and their vectors.
+
+    A group is also small enough that its scores against one block may be held.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def handed_on() -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()
+        held.clear()
+        for batch in rows:
+            for part in _chunks(batch.num_rows, widest):
+                own = batch.slice(part.start, part.stop - part.start)
+                yield own, dense.to_matrix(own.column(1))
+
+    entries = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            entries += len(batch.column(1).flatten())
+        if entries >= QUERY_ENTRIES:
+            yield from handed_on()
+            entries = 0
+    if held:
+        yield from handed_on()
+
+
 def _top(scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best of each row, the earlier one among ties; NaN comes last."""
-    scores = np.where(np.isnan(scores), -np.inf, scores)
+    """Positions of the k best of each row, the earlier one among ties; NaN comes last, behind minus infinity."""
+    missing = np.isnan(scores)
+    scores = np.where(missing, -np.inf, scores)
     rows, width = scores.shape
     if k >= width:
-        return np.argsort(-scores, axis=1, kind="stable")
+        return np.lexsort((missing, -scores), axis=1)
     least = np.partition(scores, width - k, axis=1)[:, width - k, None]
     row, col = np.nonzero(scores >= least)  # all that tie with the k-th too
-    order = np.lexsort((col, -scores[row, col], row))
+    order = np.lexsort((col, missing[row, col], -scores[row, col], row))
     first = np.searchsorted(row, np.arange(rows))
     return col[order][first[:, None] + np.arange(k)]
 
 
-def _slices(catalogue: DataFrame, bias: DataFrame | None, limit: int, block_rows: int) -> Iterator[list[Block]]:
-    """The catalogue in slices of at most ``limit`` vector entries (or one block), each a list of blocks.
-
-    A block holds about ``block_rows`` items by a hash of the id, whatever the limit is. More
-    than one slice is stored first, a folder for each, so that a slice reads only its own.
-    """
-    spark = catalogue.sparkSession
-    first = catalogue.select(F.size("vector").alias("dims")).first()
-    if first is None:
-        return
-    rows = catalogue.count()
-    blocks = -(-rows // block_rows)
-    per_slice = min(blocks, max(1, limit // (block_rows * max(1, first["dims"]))))
-    if rows * first["dims"] <= limit:
-        per_slice = blocks
-    number = F.pmod(F.xxhash64(F.col("item_id").cast("bigint")), F.lit(blocks)).cast("int")
-    table = _with_bias(catalogue, bias).withColumn("block", number)
-    parts = -(-blocks // per_slice)
-    if parts > 1:
-        path = work_path(spark, "catalogue")
-        table.withColumn("slice", (F.col("block") / per_slice).cast("int")).write.partitionBy("slice").parquet(path)
-        table = spark.read.parquet(path)
-    for part in range(parts):
-        own = table if parts == 1 else table.where(F.col("slice") == part)
-        found = own.select("block", F.col("item_id").cast("bigint").alias("item_id"), "vector", "bias").sort("block", "item_id")
-        if filled := _blocks(found.toArrow().combine_chunks()):  # the hash may leave a slice empty
-            yield filled
-
-
-def _blocks(table: pa.Table) -> list[Block]:
-    numbers = table["block"].to_numpy()
-    cuts = np.flatnonzero(np.diff(numbers, prepend=-1, append=-1)) if len(numbers) else np.zeros(1, int)
-    found = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        rows = table.slice(a, b - a).combine_chunks()
-        found.append((int(numbers[a]), rows["item_id"].to_numpy(), dense.to_matrix(rows["vector"]), rows["bias"].to_numpy()))
-    return found
-
-
 def score_catalogue(
     queries: DataFrame,
-    catalogue: DataFrame,
+    catalogue: DataFrame | StoredCatalogue,
     bias: DataFrame | None = None,
-    limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """All scores: the dot product with each catalogue vector plus the bias of that item.
 
-    ``queries`` is ``(query_id, vector)``, ``catalogue`` is ``(item_id, vector)`` and ``bias``
-    is ``(item_id, bias)``. The result has dense rows, ``(query_id, block, item_ids, scores)``,
-    one for each query and block of the catalogue, with items ascending; a block holds about
-    ``block_rows`` items by a hash of their id. Query rows are never shuffled: the catalogue
-    comes to them in slices of at most ``limit`` entries. The result has queries times items
-    scores by its definition; ``topk_catalogue`` is the one to use where the best will do.
+    ``queries`` is ``(query_id, vector)``, ``catalogue`` is ``(item_id, vector)`` or a stored one,
+    and ``bias`` is ``(item_id, bias)``. The result has dense rows, ``(query_id, block,
+    item_ids, scores)``, one for each query and block of the catalogue, with items ascending. No
+    query row is shuffled. The result has queries times items scores by its definition;
+    ``topk_catalogue`` and ``catalogue_loss`` are the ones to use where the best, or one score
+    beside the sum of all, will do.
     """
-    schema = "query_id BIGINT, block INT, item_ids ARRAY<BIGINT>, scores ARRAY<DOUBLE>"
-    asked = queries.select(F.col("query_id").cast("bigint"), "vector")
-    scored = queries.sparkSession.createDataFrame([], schema)
-    for found in _slices(catalogue, bias, limit, block_rows):
-        shared = queries.sparkSession.sparkContext.broadcast(found)
+    store = _stored(catalogue, bias, block_rows)
 
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for number, items, vectors, shift in shared.value:
-                    for part in _chunks(batch.num_rows, len(items)):
-                        rows = batch.slice(part.start, part.stop - part.start)
-                        scores = dense.to_matrix(rows.column(1)) @ vectors.T + shift
-                        names = np.broadcast_to(items, scores.shape)
-                        block = pa.array(np.full(len(scores), number), pa.int32())
-                        columns = [rows.column(0), block, dense.to_lists(names), dense.to_lists(scores)]
-                        yield pa.RecordBatch.from_arrays(columns, ["query_id", "block", "item_ids", "scores"])
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, x in _groups(batches, store.widest()):
+            for number, items, vectors, shift in store.read():
+                scores = x @ vectors.T + shift
+                names = np.broadcast_to(items, scores.shape)
+                block = pa.array(np.full(len(scores), number), pa.int32())
+                columns = [rows.column(0), block, dense.to_lists(names), dense.to_lists(scores)]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "block", "item_ids", "scores"])
 
-        scored = scored.unionByName(asked.mapInArrow(score, schema))
-    return scored
+    asked = queries.select(F.col("query_id").cast("bigint"), "vector")
+    return asked.mapInArrow(score, "query_id BIGINT, block INT, item_ids ARRAY<BIGINT>, scores ARRAY<DOUBLE>")
 
 
 def topk_catalogue(
     queries: DataFrame,
-    catalogue: DataFrame,
+    catalogue: DataFrame | StoredCatalogue,
     k: int,
     bias: DataFrame | None = None,
-    limit: int = BROADCAST_ENTRIES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(query_id, item_id, score, rank)`` of the k best items, ties to the lower item, NaN last.
 
-    As in ``score_catalogue`` the slices of the catalogue come to the queries. A task keeps the
-    k best of a slice, so the scores are never all written out; only several slices need a
-    shuffle, of k rows for each query and slice.
+    A task carries the k best of its queries from block to block, so nothing is shuffled and
+    the scores are never all held.
     """
-    schema = "query_id BIGINT, item_id BIGINT, score DOUBLE, rank INT"
+    store = _stored(catalogue, bias, block_rows)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, x in _groups(batches, store.widest()):
+            item, score = np.empty((len(x), 0), np.int64), np.empty((len(x), 0))
+            for _, items, vectors, shift in store.read():
+                scores = x @ vectors.T + shift
+                top = _top(scores, k)
+                item = np.concatenate((item, items[top]), axis=1)
+                score = np.concatenate((score, np.take_along_axis(scores, top, axis=1)), axis=1)
+                missing = np.isnan(score)
+                order = np.lexsort((item, missing, -np.where(missing, -np.inf, score)), axis=1)[:, :k]
+                item, score = np.take_along_axis(item, order, axis=1), np.take_along_axis(score, order, axis=1)
+            ranks = np.tile(np.arange(1, item.shape[1] + 1, dtype=np.int32), len(item))
+            ids = np.repeat(rows.column(0).to_numpy(), item.shape[1])
+            columns = [pa.array(ids), pa.array(item.ravel()), pa.array(score.ravel()), pa.array(ranks)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score", "rank"])
+
     asked = queries.select(F.col("query_id").cast("bigint"), "vector")
-    partial = []
-    for found in _slices(catalogue, bias, limit, block_rows):
-        shared = queries.sparkSession.sparkContext.broadcast(found)
-
-        def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            widest = max(len(items) for _, items, _, _ in shared.value)
-            for batch in batches:
-                for part in _chunks(batch.num_rows, widest):
-                    rows = batch.slice(part.start, part.stop - part.start)
-                    items, scores = _best(dense.to_matrix(rows.column(1)), shared.value, k)
-                    ranks = np.tile(np.arange(1, items.shape[1] + 1, dtype=np.int32), len(items))
-                    ids = np.repeat(rows.column(0).to_numpy(), items.shape[1])
-                    columns = [pa.array(ids), pa.array(items.ravel()), pa.array(scores.ravel()), pa.array(ranks)]
-                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score", "rank"])
-
-        partial.append(asked.mapInArrow(best, schema))
-    if not partial:
-        return queries.sparkSession.createDataFrame([], schema)
-    if len(partial) == 1:
-        return partial[0]
-    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "item_id")
-    merged = reduce(DataFrame.unionByName, partial).withColumn("rank", F.row_number().over(order))
-    return merged.where(F.col("rank") <= k)
-
-
-def _best(x: np.ndarray, blocks: list[Block], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Items and scores of the k best of all blocks, for each row."""
-    names, values = [], []
-    for _, items, vectors, shift in blocks:
-        scores = x @ vectors.T + shift
-        top = _top(scores, k)
-        names.append(items[top])
-        values.append(np.take_along_axis(scores, top, axis=1))
-    item, score = np.concatenate(names, axis=1), np.concatenate(values, axis=1)
-    if len(blocks) > 1:
-        order = np.lexsort((item, -np.where(np.isnan(score), -np.inf, score)), axis=1)[:, :k]
-        item, score = np.take_along_axis(item, order, axis=1), np.take_along_axis(score, order, axis=1)
-    return item, score
+    return asked.mapInArrow(best, "query_id BIGINT, item_id BIGINT, score DOUBLE, rank INT")
+
+
+def catalogue_loss(
+    queries: DataFrame,
+    catalogue: DataFrame | StoredCatalogue,
+    bias: DataFrame | None = None,
+    target: str = "target",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``(query_id, loss)``: the negative log-softmax, over all items, of the score of the query's own item.
+
+    ``queries`` is ``(query_id, vector, target)``. A task carries three numbers of a query from
+    block to block: the largest score, the sum of powers relative to it, and the score of the own
+    item. Score rows are never made, and nothing is shuffled. A target that is no item is an error.
+    """
+    store = _stored(catalogue, bias, block_rows)
+
+    def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, x in _groups(batches, store.widest()):
+            wanted = rows.column(2)
+            if wanted.null_count:
+                raise ValueError("a query has no target")
+            wanted = wanted.to_numpy()
+            top, powers, own = np.full(len(x), -np.inf), np.zeros(len(x)), np.full(len(x), np.nan)
+            found = np.zeros(len(x), bool)
+            for _, items, vectors, shift in store.read():
+                scores = x @ vectors.T + shift
+                higher = np.maximum(top, scores.max(axis=1))
+                base = np.where(np.isneginf(higher), 0.0, higher)  # without a score above minus infinity all powers are 0
+                powers = powers * np.exp(top - base) + np.exp(scores - base[:, None]).sum(axis=1)
+                top = higher
+                at = np.minimum(np.searchsorted(items, wanted), len(items) - 1)
+                here = items[at] == wanted
+                own[here] = scores[here, at[here]]
+                found |= here
+            if not found.all():
+                raise ValueError(f"target {wanted[~found][0]} is no item of the catalogue")
+            loss = np.log(powers) + top - own
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(loss)], ["query_id", "loss"])
+
+    asked = queries.select(F.col("query_id").cast("bigint"), "vector", F.col(target).cast("bigint"))
+    return asked.mapInArrow(lose, "query_id BIGINT, loss DOUBLE")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
 from textloom.functions.encoding import MASKED_BIAS
+from textloom.session import stored, work_path
+from textloom.sources.blocks import read_block, write_block
 
 # Positions per block of a long group, for pairs within a band and for all-against-all work.
 BLOCK = 1024
@@ -19,6 +21,9 @@ TILE = 4096
 # A block of a band is this many times its width, so most scores that are computed count.
 BANDS_PER_BLOCK = 8
 
+# Tasks that blocks of queries are dealt over at most.
+MOST_TASKS = 10_000
+
 # Scores computed at a time within a task (64 MB of doubles).
 SCORES_AT_ONCE = 8_000_000
 
@@ -108,8 +113,9 @@ def neighbour_pool(
 
     With ``w`` the work is cut into blocks of positions. Without it, it grows with the square
     of the group: ``max_len`` promises that positions stay below it, as in texts of fixed
-    length; otherwise groups are cut into blocks, each pair of blocks is a task of its own,
-    and the partial sums of a query are combined afterwards.
+    length; otherwise groups are cut into blocks that are shuffled once and stored. A block of
+    queries is a task; the keys of its group stream past it a block at a time, and each query
+    carries its largest score, its sum of powers and its weighted sum along.
     """
     key, value = key or query, value or query
     parts = {name: f"_v{i}" for i, name in enumerate(dict.fromkeys((query, key, value)))}
@@ -172,28 +178,40 @@ def _pool_band(table: DataFrame, roles: tuple[str, str, str], by: str, by_type:
 
 
 def _pool_tiles(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, block: int) -> DataFrame:
-    cut = table.withColumn("_block", F.floor(F.col("_pos") / block))
-    blocks = cut.select(by, "_block").distinct()
-    pairs = blocks.withColumnRenamed("_block", "_l").join(blocks.withColumnRenamed("_block", "_r"), by)
-    queries = cut.withColumnRenamed("_block", "_l").join(pairs, [by, "_l"]).withColumn("_side", F.lit(0))
-    keys = cut.withColumnRenamed("_block", "_r").join(pairs, [by, "_r"]).withColumn("_side", F.lit(1))
-
-    def pool(tile: pa.Table) -> pa.Table:
-        is_query = tile["_side"].to_numpy() == 0
-        positions, q, k, v, bias = _columns(tile, roles)
-        top, weight, summed = _partial_pool(q[is_query], k[~is_query], v[~is_query], bias[~is_query], None)
-        out = _result(tile, by, pos, positions[is_query], summed)
-        return out.append_column("top", pa.array(top)).append_column("weight", pa.array(weight))
-
-    schema = f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>, top DOUBLE, weight DOUBLE"
-    partial = queries.unionByName(keys).groupBy(by, "_l", "_r").applyInArrow(pool, schema)
-    # partial sums of one query come from as many tasks as its group has blocks; none is gathered
-    highest = partial.groupBy(by, pos).agg(F.max("top").alias("highest"))
-    share = F.exp(F.col("top") - F.col("highest"))
-    scaled = partial.join(highest, [by, pos]).select(
-        by, pos, (share * F.col("weight")).alias("weight"), F.transform("pooled", lambda x: x * share).alias("pooled")
-    )
-    sums = scaled.groupBy(by, pos).agg(
-        F.sum("weight").alias("weight"), Summarizer.metrics("sum").summary(array_to_vector("pooled")).alias("summary")
-    )
-    return sums.select(by, pos, F.transform(vector_to_array(F.col("summary.sum")), lambda x: x / F.col("weight")).alias("pooled"))
+    """Blocks are stored once; a task holds one block of queries and the blocks of its group stream past."""
+    spark = table.sparkSession
+    folder = work_path(spark, "tiles")
+    name = F.coalesce(F.md5(F.col(by).cast("string").cast("binary")), F.lit("null"))
+    cut = table.withColumn("_block", F.floor(F.col("_pos") / block)).withColumn("_group", name)
+    kept = [by, "_pos", *dict.fromkeys(roles), "_mask"]
+
+    def store(rows: pa.Table) -> pa.Table:
+        group, number = rows["_group"][0].as_py(), rows["_block"][0].as_py()
+        write_block(f"{folder}/{group}/{number}.arrow", rows.select(kept).sort_by("_pos"))
+        return pa.table({"group": pa.array([group], pa.string()), "block": pa.array([number], pa.int64())})
+
+    manifest = stored(cut.groupBy("_group", "_block").applyInArrow(store, "group STRING, block BIGINT"), "tiles")
+    blocks = manifest.groupBy("group").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
+    tasks = max(1, min(MOST_TASKS, manifest.count()))
+    work = manifest.join(blocks, "group").repartition(tasks)
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = read_block(f"{folder}/{row['group']}/{row['block']}.arrow")
+                positions, q, _, v, _ = _columns(own, roles)
+                triple = np.full(len(q), -np.inf), np.zeros(len(q)), np.zeros((len(q), v.shape[1]))
+                for number in row["blocks"]:
+                    _, _, key, value, bias = _columns(read_block(f"{folder}/{row['group']}/{number}.arrow"), roles)
+                    triple = _merged(triple, _partial_pool(q, key, value, bias, None))
+                _, weight, summed = triple
+                yield from _result(own, by, pos, positions, summed / weight[:, None]).to_batches()
+
+    return work.mapInArrow(pool, f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>")
+
+
+def _merged(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple:
+    """Largest score, sum of powers and weighted sum over the keys of both; in any order."""
+    top = np.maximum(a[0], b[0])
+    left, right = np.exp(a[0] - top), np.exp(b[0] - top)
+    return top, a[1] * left + b[1] * right, a[2] * left[:, None] + b[2] * right[:, None]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators.catalogue import score_catalogue
+from textloom.operators.catalogue import BLOCK_ROWS, score_catalogue
 from textloom.operators.joins import BROADCAST_ENTRIES, lookup_join, vectors_fit_broadcast
 
 # Vector entries gathered at a time within a task (64 MB of doubles).
@@ -143,13 +143,13 @@ def linear_by_join(
     vec: str,
     weight: DataFrame,
     bias: DataFrame | None = None,
-    limit: int = BROADCAST_ENTRIES,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The same map for a weight too large for one process, as ``(id, row, value)``.
 
     ``weight`` is ``(row, col, theta)`` without gaps, ``bias`` is ``(row, theta)``, and the id is a
-    number. The rows of the weight are the items of a catalogue, which comes to the vectors
-    in slices of at most ``limit`` entries; vectors are not shuffled.
+    number. The rows of the weight are the items of a catalogue, whose blocks the tasks read one
+    after the other; vectors are not shuffled, and no weight passes through the driver.
     """
     cells = weight.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("col", "theta"))).alias("cells"))
     dense_row = F.col("cells")["col"] == F.transform("cells", lambda _, i: i)
@@ -158,7 +158,7 @@ def linear_by_join(
     items = cells.select(F.col("row").alias("item_id"), whole.alias("vector"))
     shift = None if bias is None else bias.select(F.col("row").alias("item_id"), F.col("theta").alias("bias"))
     asked = df.select(F.col(id_col).alias("query_id"), F.col(vec).alias("vector"))
-    scores = score_catalogue(asked, items, shift, limit)
+    scores = score_catalogue(asked, items, shift, block_rows)
     rows = scores.select("query_id", F.explode(F.arrays_zip("item_ids", "scores")).alias("cell"))
     return rows.select(
         F.col("query_id").alias(id_col), F.col("cell.item_ids").cast("int").alias("row"), F.col("cell.scores").alias("value")

@@ -414,8 +414,8 @@ def whole_scores(dense_rows: DataFrame) -> DataFrame:
         FROM scores GROUP BY query_id""",
 )
 def _(spark, sf):
-    """The same with blocks of 100 items, each a slice of its own."""
-    found = catalogue.score_catalogue(*catalogue_inputs(spark, sf), limit=0, block_rows=100)
+    """The same with blocks of 100 items."""
+    found = catalogue.score_catalogue(*catalogue_inputs(spark, sf), block_rows=100)
     return whole_scores(found).select("query_id", "n", rounded("total").alias("total"), rounded("top").alias("top"))
 
 
@@ -434,10 +434,24 @@ def _(spark, sf):
 @query("v12_topk_catalogue_blocks", ORACLES["v12_topk_catalogue"])
 def _(spark, sf):
     queries, items, bias = catalogue_inputs(spark, sf)
-    best = catalogue.topk_catalogue(queries, items, TOP, bias, limit=0, block_rows=100)
+    best = catalogue.topk_catalogue(queries, items, TOP, bias, block_rows=100)
     return best.select("query_id", "item_id", rounded("score").alias("score"), "rank")
 
 
+@query(
+    "m2_catalogue_loss",
+    f"""{CATALOGUE_SQL}, own AS (
+  SELECT query_id, (query_id * 7 + 3) % (SELECT count(*) FROM items) AS target FROM queries)
+SELECT s.query_id, {r("ln(sum(exp(score))) - max(CASE WHEN s.item_id = o.target THEN score END)")} AS loss
+FROM scores s JOIN own o ON s.query_id = o.query_id GROUP BY s.query_id""",
+)
+def _(spark, sf):
+    """The loss of one item of the catalogue against all, without score rows."""
+    queries, items, bias = catalogue_inputs(spark, sf)
+    asked = queries.withColumn("target", F.pmod(F.col("query_id") * 7 + 3, F.lit(items.count())))
+    return catalogue.catalogue_loss(asked, items, bias, block_rows=100).select("query_id", rounded("loss").alias("loss"))
+
+
 # ---- neighbours
 
 
