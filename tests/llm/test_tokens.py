@@ -37,7 +37,7 @@ def numbers(data):
 @given(text=texts)
 def test_ids_and_counts_are_the_librarys(text):
     ids = library_ids(text)
-    assert numbers(TOKENS.code(text)) == ids
+    assert numbers(TOKENS.code(text)) == ids and isinstance(TOKENS.code(text), bytes)
     assert COUNTS.code(text) == len(ids)
 
 

@@ -84,7 +84,7 @@ class HfTokens:
             return self._code(core.encode_ordinary(text))
 
         def packed(text: str) -> Any:
-            return core.encode_to_tiktoken_buffer(text, set())
+            return bytes(core.encode_to_tiktoken_buffer(text, set()))
 
         # ids of a whole text cost the library no more than looking up all its runs; counts are looked up
         self._at_once = packed if core is not None and not counting and sys.byteorder == "little" else None
