@@ -1,5 +1,6 @@
 """Language, quality, decontamination, chat and HTML operators."""
 
+import time
 import hashlib
 import re
 import zlib
@@ -226,6 +227,31 @@ def test_any_markup_is_read(source):
     html_extract.main_text(source)
 
 
+@pytest.mark.parametrize("quote", ["\"", "'"])
+@pytest.mark.parametrize("size", [10, 8_000, 9_000, 1_000_000])
+def test_values_of_any_length_end_at_their_quote(quote, size):
+    value = "{x: 1} > " + "v" * size + "> leaked <p>words"
+    source = f"<article data-state={quote}{value}{quote} class='s'><p title = {quote}{value}{quote}>Read this</p></article>"
+    assert html_extract.main_text(source) == "Read this"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a>b", "<p>", "=", "/", "it", "&quot;", " ", "'"]), max_size=30), st.integers(1, 400))
+def test_any_quoted_value_is_no_text(parts, times):
+    assert html_extract.main_text(f'<div id="{"".join(parts) * times}"><p>Read this</p></div>') == "Read this"
+
+
+@pytest.mark.parametrize("source", ["<div>" * 4_000 + "text" + "</span>" * 40_000, "<a x=\"" * 20_000 + ">", "<a b='\">" * 20_000, "<p class=\"a'\" x'>t" * 5_000])
+def test_time_grows_with_the_page(source):
+    start = time.process_time()
+    html_extract.main_text(source)
+    assert time.process_time() - start < 5
+
+
+def test_a_stray_quote_opens_nothing():
+    assert html_extract.main_text('<p class="x"">one</p><p>it"s</p>') == 'one\n\nit"s'
+
+
 LONG = "A sentence of the story. " * 60
 SHORT = "A short part of it. " * 10
 

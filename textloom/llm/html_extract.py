@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as markup
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -82,8 +83,10 @@ CLOSED_BY = {
 # an end or a next item looks no further up than these
 BARRIERS = {"li": frozenset(["ul", "ol", "menu"]), "td": frozenset(["table"]), "th": frozenset(["table"]), "tr": frozenset(["table"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "option": frozenset(["select"])}
 
+# A quote opens a value behind an equals sign only; a value may be of any length and hold any sign. What
+# has no end as such a tag ends at the next angle bracket.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>"']++|"[^"]{0,8192}+"|'[^']{0,8192}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
     re.S,
 )
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -266,6 +269,7 @@ def parse(source: str | None) -> Page:
     words: list[tuple[int, str, int]] = []  # element, text, characters in links
     links = 0
     hidden = [False]  # by element, whether its text is never read
+    opened: Counter[str] = Counter()  # names of open elements, so that a stray end is not looked for
     at, end = 0, len(source)
 
     def flush() -> None:
@@ -278,6 +282,7 @@ def parse(source: str | None) -> Page:
         while len(open_) > count:
             element = open_.pop()
             tag = page.tags[element]
+            opened[tag] -= 1
             page.ends[element] = len(page.tags)
             if tag not in INLINE:
                 flush()
@@ -306,6 +311,8 @@ def parse(source: str | None) -> Page:
             continue
         tag, attributes = name.lower(), token[3] if token[2] else token[6]
         if token[1] or token[4]:
+            if not opened[tag]:
+                continue
             barrier = BARRIERS.get(tag, ())
             for i in range(len(open_) - 1, 0, -1):
                 if page.tags[open_[i]] == tag:
@@ -353,6 +360,7 @@ def parse(source: str | None) -> Page:
             at = stop.end() if stop else end
             continue
         open_.append(element)
+        opened[tag] += 1
         links += tag == "a"
     close(1)
     flush()
