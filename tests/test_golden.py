@@ -229,6 +229,25 @@ def test_metrics_append_per_run(spark, tmp_path):
     assert metrics.read_metrics(spark, path, "b").select("run_id", "loss").collect() == [("b", 1.5)]
 
 
+def test_metrics_written_twice_are_there_once(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    rows = [("a", 0, s, 2, float(s)) for s in range(4)] + [(None, None, 0, 2, 9.0)]
+    table = spark.createDataFrame(rows + rows[:1], metrics.METRIC_SCHEMA)
+    metrics.write_metrics(table.limit(0), path)
+    for part in (table.where("step < 2"), table, table, table.withColumn("loss", F.lit(-1.0))):
+        metrics.write_metrics(part, path)
+    assert sorted(map(str, metrics.read_metrics(spark, path).collect())) == sorted(map(str, spark.createDataFrame(rows, metrics.METRIC_SCHEMA).collect()))
+
+
+def test_metric_stream_that_starts_again(spark, tmp_path):
+    source, path = str(tmp_path / "source"), str(tmp_path / "metrics")
+    spark.createDataFrame([("a", 0, s, 2, float(s)) for s in range(4)], metrics.METRIC_SCHEMA).write.parquet(source)
+    for start in ("first", "second"):  # without the first checkpoint the stream begins anew
+        stream = spark.readStream.schema(metrics.METRIC_SCHEMA).parquet(source).writeStream.foreachBatch(metrics.metric_sink(path))
+        stream.option("checkpointLocation", str(tmp_path / start)).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["step"] for r in metrics.read_metrics(spark, path).collect()) == [0, 1, 2, 3]
+
+
 def test_label_map(spark):
     classes = labels.label_map(spark, CLASSES)
     assert [tuple(r) for r in classes.sort("label_id").collect()] == list(enumerate(CLASSES))
