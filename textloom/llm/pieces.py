@@ -8,6 +8,7 @@ runs and pieces only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Hashable, Mapping
 from typing import Any
 
@@ -15,7 +16,7 @@ import regex
 
 # A space next to other white space: there the pattern looks across the space.
 _MIXED = regex.compile(r" \s|\s ")
-_OTHER_SPACE = regex.compile(r"[^\S \n]")
+_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SAFE_SPACE = regex.compile(r"(?<=\S) (?=\S)")
 
 # Bytes of each cache, what an entry takes beside its key and value, and the longest run that is remembered.
@@ -104,7 +105,7 @@ class Pieces(Runs):
         self._pieces = Cache(encode, size)
 
     def _cut(self, text: str) -> Any:
-        if self._plain and text.isascii():
+        if self._plain and (text.isascii() or max(text) < "\u0250"):  # letters that no version of Unicode disputes
             word = text.rstrip(_MARKS)
             if word[:1] == " " and word[1:].isalpha():
                 code = self._pieces[word]
