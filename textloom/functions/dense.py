@@ -52,6 +52,12 @@ def gelu(x: np.ndarray) -> np.ndarray:
     return 0.5 * x * (1.0 + np.sign(z) * (1.0 - series * np.exp(-z * z)))
 
 
+def gelu_slope(x: np.ndarray) -> np.ndarray:
+    """Derivative of ``gelu``: the normal distribution function plus x times its density."""
+    share = np.divide(gelu(x), x, out=np.full_like(x, 0.5), where=x != 0)
+    return share + x * np.exp(-0.5 * x * x) / np.sqrt(2.0 * np.pi)
+
+
 def layer_norm(x: np.ndarray, weight: np.ndarray, eps: float) -> np.ndarray:
     centred = x - x.mean(axis=1, keepdims=True)
     variance = (centred * centred).mean(axis=1, keepdims=True)
@@ -66,3 +72,19 @@ def softmax(z: np.ndarray) -> np.ndarray:
 def log_softmax(z: np.ndarray) -> np.ndarray:
     shifted = z - z.max(axis=1, keepdims=True)
     return shifted - np.log(np.exp(shifted).sum(axis=1, keepdims=True))
+
+
+def loss_slope(z: np.ndarray, y: np.ndarray, source: str) -> tuple[float, np.ndarray]:
+    """Sum of the losses of the rows, and the derivative of each row's loss by its logits.
+
+    The loss is the negative log-softmax, at class ``y``, of the logits (``source="logits"``) or
+    of their softmax (``source="probs"``).
+    """
+    own = np.arange(len(y)), y
+    p = softmax(z)
+    if source == "logits":
+        p[own] -= 1.0
+        return -log_softmax(z)[own].sum(), p
+    r = softmax(p)
+    r[own] -= 1.0
+    return -log_softmax(p)[own].sum(), p * (r - (p * r).sum(axis=1, keepdims=True))

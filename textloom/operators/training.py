@@ -27,7 +27,7 @@ EPOCHS = 3
 # Steps are sequential and each costs a job, so the default batch is large.
 BATCH_SIZE = 100_000
 
-GRADIENT_SCHEMA = "param STRING, row INT, col INT, grad DOUBLE"
+PARTIAL_SCHEMA = "param STRING, row INT, col INT, total DOUBLE, rows BIGINT"
 LOSS = "loss"
 
 
@@ -58,47 +58,45 @@ def head_gradient(
         for part in batches:
             if part.num_rows == 0:
                 continue
-            x = dense.to_matrix(part.column(0))
-            y = part.column(1).to_numpy(zero_copy_only=False)
-            if part.column(0).null_count:
-                raise ValueError("a row has no features")
-            if part.column(1).null_count or ((y < 0) | (y >= classes)).any():
-                raise ValueError(f"a label is outside 0..{classes - 1}; see audit_labels")
-            y = y.astype(np.int64)
-            own = np.arange(len(y)), y
-            z = x @ weight.T + shift
-            p = dense.softmax(z)
-            if input == "logits":
-                loss -= dense.log_softmax(z)[own].sum()
-                p[own] -= 1.0
-                dz = p
-            else:
-                loss -= dense.log_softmax(p)[own].sum()
-                r = dense.softmax(p)
-                r[own] -= 1.0
-                dz = p * (r - (p * r).sum(axis=1, keepdims=True))
+            x, y = labelled_vectors(part, classes)
+            part_loss, dz = dense.loss_slope(x @ weight.T + shift, y, input)
+            loss += part_loss
             d_weight += dz.T @ x
             d_bias += dz.sum(axis=0)
             rows += len(y)
         if rows:
-            names = [CLASSIFIER_WEIGHT] * d_weight.size + [CLASSIFIER_BIAS] * classes + [LOSS]
-            row = np.concatenate([np.repeat(np.arange(classes), width), np.zeros(classes, int), [0]])
-            col = np.concatenate([np.tile(np.arange(width), classes), np.arange(classes), [0]])
-            total = np.concatenate([d_weight.ravel(), d_bias, [loss]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names),
-                    pa.array(row, pa.int32()),
-                    pa.array(col, pa.int32()),
-                    pa.array(total, pa.float64()),
-                    pa.array(np.full(len(names), rows), pa.int64()),
-                ],
-                ["param", "row", "col", "total", "rows"],
-            )
-
-    parts = batch.select(features, label).mapInArrow(
-        partial_sums, "param STRING, row INT, col INT, total DOUBLE, rows BIGINT"
-    )
+            sums = {CLASSIFIER_WEIGHT: d_weight, CLASSIFIER_BIAS: d_bias, LOSS: np.array([loss])}
+            yield from tensor_entries(sums, rows)
+
+    return mean_gradient(batch.select(features, label).mapInArrow(partial_sums, PARTIAL_SCHEMA), with_loss)
+
+
+def labelled_vectors(part: pa.RecordBatch, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and classes of a batch of two columns; one that is missing or out of range is an error."""
+    if part.column(0).null_count:
+        raise ValueError("a row has no features")
+    y = part.column(1).to_numpy(zero_copy_only=False)
+    if part.column(1).null_count or ((y < 0) | (y >= classes)).any():
+        raise ValueError(f"a label is outside 0..{classes - 1}; see audit_labels")
+    return dense.to_matrix(part.column(0)), y.astype(np.int64)
+
+
+def tensor_entries(sums: Mapping[str, np.ndarray], rows: int) -> Iterator[pa.RecordBatch]:
+    """The entries of each tensor as rows, with the number of training rows they were summed over."""
+    for name, tensor in sums.items():
+        table = np.atleast_2d(tensor)
+        row, col = np.indices(table.shape, dtype=np.int32)
+        columns = [
+            pa.array([name]).take(pa.array(np.zeros(table.size, np.int32))),
+            pa.array(row.ravel()),
+            pa.array(col.ravel()),
+            pa.array(table.ravel()),
+            pa.array(np.full(table.size, rows)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["param", "row", "col", "total", "rows"])
+
+
+def mean_gradient(parts: DataFrame, with_loss: bool) -> DataFrame:
     sums = parts.groupBy("param", "row", "col").agg((F.sum("total") / F.sum("rows")).alias("grad"))
     return sums if with_loss else sums.where(F.col("param") != LOSS)
 

@@ -12,6 +12,7 @@ from textloom.functions import encoding as enc
 from textloom.functions import math
 from textloom.functions.math import ERF_COEFFICIENTS, ERF_P
 from textloom.operators import (
+    backward,
     batching,
     catalogue,
     head,
@@ -56,6 +57,10 @@ def rounded(col: str) -> Column:
     return F.round(F.col(col).cast("double"), 6) + F.lit(0.0)
 
 
+def rounded_times(col: str, factor: int) -> Column:
+    return F.round(F.col(col) * factor, 6) + F.lit(0.0)
+
+
 def model() -> head.Head:
     """Weights by a rule that the SQL repeats."""
     c, o, d = np.arange(N_CLASSES)[:, None], np.arange(DIMS)[:, None], np.arange(DIMS)
@@ -668,6 +673,68 @@ SELECT CASE WHEN d < {DIMS} THEN '{head.CLASSIFIER_WEIGHT}' ELSE '{head.CLASSIFI
 gradient_query("a9_head_gradient_probs", "probs")
 gradient_query("a9_head_gradient_logits", "logits")
 
+
+def gelu_slope_sql(x: str) -> str:
+    return f"(CASE WHEN {x} = 0 THEN 0.5 ELSE {gelu_sql(x)} / {x} END + {x} * exp(-0.5 * {x} * {x}) / sqrt(2 * pi()))"
+
+
+def backward_sql(source: str) -> str:
+    """The head forward and back, one row for each entry of each vector on the way."""
+    dz = "p - (c = label)::INT" if source == "logits" else "p * (r - sum(p * r) OVER (PARTITION BY vec_id))"
+    return f"""WITH {CELLS_SQL},
+centred AS (SELECT *, x - avg(x) OVER (PARTITION BY vec_id) AS c FROM cells),
+scaled AS (SELECT vec_id, label, d, c, sqrt(avg(c * c) OVER (PARTITION BY vec_id) + {EPS}) AS s FROM centred),
+units AS (SELECT vec_id, label, d, s, c / s AS u, c / s * (1 + (d % 5) / 10.0) AS n FROM scaled),
+active AS (SELECT vec_id, label, d, s, u, {gelu_sql("n")} AS x, {gelu_slope_sql("n")} AS slope FROM units),
+dense AS (
+  SELECT o, d, ((o * 7 + d * 11) % 17 - 8) / 20.0 AS w
+  FROM (SELECT unnest(range({DIMS})) AS o), (SELECT unnest(range({DIMS})) AS d)),
+classifier AS (
+  SELECT c, o, ((c * 31 + o * 17) % 13 - 6) / 10.0 AS w
+  FROM (SELECT unnest(range({N_CLASSES})) AS c), (SELECT unnest(range({DIMS})) AS o)),
+hidden AS (SELECT vec_id, label, o, sum(x * w) AS h FROM active JOIN dense USING (d) GROUP BY vec_id, label, o),
+logits AS (
+  SELECT vec_id, label, c, sum(h * w) + (c - 5) / 20.0 AS z FROM hidden JOIN classifier USING (o) GROUP BY vec_id, label, c),
+powers AS (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM logits),
+probs AS (SELECT vec_id, label, c, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM powers),
+again AS (SELECT *, exp(p) / sum(exp(p)) OVER (PARTITION BY vec_id) - (c = label)::INT AS r FROM probs),
+dlogits AS (SELECT vec_id, c, {dz} AS g FROM again),
+dhidden AS (SELECT vec_id, o, sum(g * w) AS g FROM dlogits JOIN classifier USING (c) GROUP BY vec_id, o),
+dactive AS (SELECT vec_id, d, sum(g * w) AS g FROM dhidden JOIN dense USING (o) GROUP BY vec_id, d),
+dnormed AS (SELECT vec_id, d, s, u, g * slope AS g FROM dactive JOIN active USING (vec_id, d))"""
+
+
+HEAD_BACKWARD_SQL = f"""{backward_sql("probs")},
+grads AS (
+  SELECT '{head.CLASSIFIER_WEIGHT}' AS param, c AS "row", o AS "col", avg(g.g * h) AS grad
+  FROM dlogits g JOIN hidden USING (vec_id) GROUP BY c, o
+  UNION ALL SELECT '{head.CLASSIFIER_BIAS}', 0, c, avg(g) FROM dlogits GROUP BY c
+  UNION ALL SELECT '{head.DENSE_WEIGHT}', o, d, avg(g.g * x) FROM dhidden g JOIN active USING (vec_id) GROUP BY o, d
+  UNION ALL SELECT '{head.NORM_WEIGHT}', 0, d, avg(g * u) FROM dnormed GROUP BY d)
+SELECT param, "row"::INT AS "row", "col"::INT AS "col", {r("grad * 100")} AS grad FROM grads"""
+
+
+@query("a9_head_backward", HEAD_BACKWARD_SQL)
+def _(spark, sf):
+    """The gradient of all four tensors of the head."""
+    grads = backward.head_backward(embeddings(spark, sf), model(), "probs", "embedding")
+    return grads.withColumn("grad", rounded_times("grad", 100))
+
+
+VECTOR_GRADIENT_SQL = f"""{backward_sql("logits")},
+dunit AS (SELECT vec_id, d, s, u, g * (1 + (d % 5) / 10.0) AS g FROM dnormed)
+SELECT vec_id, d::INT AS dim, {r("100 * (g - avg(g) OVER w - u * avg(g * u) OVER w) / s")} AS value
+FROM dunit WINDOW w AS (PARTITION BY vec_id)"""
+
+
+@query("a9_vector_gradient", VECTOR_GRADIENT_SQL)
+def _(spark, sf):
+    """The gradient that reaches the pooled vectors."""
+    rows = backward.vector_gradient(embeddings(spark, sf), model(), "logits", "embedding")
+    cells = rows.select("vec_id", F.posexplode("grad").alias("dim", "value"))
+    return cells.withColumn("value", rounded_times("value", 100))
+
+
 TRAIN_HP = AdamParams(lr=0.01)
 SAMPLE_EVERY = 10
 TRAIN_EPOCHS = 3
