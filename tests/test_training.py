@@ -1,12 +1,14 @@
 """Gradient and training against a plain NumPy replay."""
 
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
-from textloom.operators import training
+from textloom.operators import stored_head, training
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
 from textloom.operators.optimizer import AdamParams
 from textloom.sources.parameters import matrix
@@ -134,3 +136,56 @@ def test_unknown_options(frame, sample):
         training.train_head(frame, w, b, optimizer_lifetime="epoch")
     with pytest.raises(ValueError):
         training.head_gradient(frame, w, b, "scores")
+
+
+VARIANTS = [
+    ("probs", "run", AdamParams(lr=0.05), None),
+    ("logits", "step", AdamParams(lr=0.05, decay=("l2", 0.1)), {CLASSIFIER_BIAS: "i64"}),
+    ("probs", "run", AdamParams(lr=0.05, decay=("decoupled", 0.1), amsgrad=True), {CLASSIFIER_WEIGHT: "u8"}),
+]
+
+
+@pytest.mark.parametrize("source,lifetime,hp,dtypes", VARIANTS)
+def test_blocks_train_like_one_array(spark, frame, sample, source, lifetime, hp, dtypes):
+    _, _, w, b = sample
+    same = {"hp": hp, "epochs": 2, "batch_size": 16, "input": source, "optimizer_lifetime": lifetime, "run_id": "r"}
+    same |= {"schedule": {2: (0.01, 0.8, 0.99)}, "dtypes": dtypes}
+    want, want_log = training.train_head(frame, w, b, **same)
+    # blocks of one class and of three, the last one shorter
+    for entries in (1, 3 * (WIDTH + 1)):
+        table = spark.createDataFrame(training.matrix_rows(CLASSIFIER_WEIGHT, w) + training.matrix_rows(CLASSIFIER_BIAS, b), training.PARAMETER_SCHEMA)
+        got, log = training.train_head(frame, table, limit=0, block_entries=entries, **same)
+        assert got.columns == want.columns
+        keys = ["param", "row", "col"]
+        left, right = (d.toPandas().sort_values(keys).reset_index(drop=True) for d in (got, want))
+        assert (left[keys] == right[keys]).all().all()
+        assert np.abs(left[want.columns[3:]] - right[want.columns[3:]]).max().max() < 1e-12
+        losses = [[r["loss"] for r in d.sort("epoch", "step").collect()] for d in (log, want_log)]
+        assert np.allclose(*losses, rtol=0, atol=1e-12)
+
+
+def test_blocks_refuse_holes_and_odd_rows(spark, frame, sample):
+    _, _, w, b = sample
+    entries = training.matrix_rows(CLASSIFIER_WEIGHT, w) + training.matrix_rows(CLASSIFIER_BIAS, b)
+    for broken in (entries[1:], entries + entries[:1], entries[:-1], entries[:-1] + entries[-2:-1]):
+        table = spark.createDataFrame(broken, training.PARAMETER_SCHEMA)
+        with pytest.raises(PySparkException, match="does not have one weight"):
+            training.train_head(frame, table, limit=0, epochs=1)
+    bad = frame.withColumn("label", F.lit(CLASSES))
+    with pytest.raises(PySparkException, match="audit_labels"):
+        training.train_head(bad, w, b, limit=0, epochs=1)
+    with pytest.raises(ValueError):
+        training.train_head(frame, w)
+
+
+def test_stored_folders_are_removed(frame, sample, tmp_path, monkeypatch):
+    _, _, w, b = sample
+    for module in (training, stored_head):
+        monkeypatch.setattr(module, "work_path", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    params, _ = training.train_head(frame, w, b, limit=0, batch_size=16, epochs=2)
+    assert params.count() == w.size + b.size
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["classifier"]
+    for limit in (0, 1000):
+        with pytest.raises(PySparkException):
+            training.train_head(frame.withColumn("label", F.lit(-1)), w, b, limit=limit, epochs=1)
+        assert len(list(tmp_path.iterdir())) == 1

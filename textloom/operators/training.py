@@ -9,13 +9,14 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import dense
 from textloom.operators.batching import assign_batches
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
 from textloom.operators.optimizer import AdamParams, adam_step, init_state
+from textloom.operators.stored_head import BLOCK_ENTRIES, train_stored
 from textloom.session import remove_path, work_path
 from textloom.sources.metrics import METRIC_SCHEMA
 from textloom.sources.parameters import FLOAT_TYPES, MAX_LOCAL_ENTRIES, PARAMETER_SCHEMA, matrix_rows
@@ -117,8 +118,8 @@ def write_batches(
 
 def train_head(
     df: DataFrame,
-    weight: np.ndarray,
-    bias: np.ndarray,
+    weight: np.ndarray | DataFrame,
+    bias: np.ndarray | None = None,
     hp: AdamParams = AdamParams(lr=LEARNING_RATE),
     epochs: int = EPOCHS,
     batch_size: int = BATCH_SIZE,
@@ -130,6 +131,8 @@ def train_head(
     schedule: Mapping[int, tuple[float, float, float]] | None = None,
     run_id: str | None = None,
     dtypes: Mapping[str, str] | None = None,
+    limit: int = MAX_LOCAL_ENTRIES,
+    block_entries: int = BLOCK_ENTRIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Train the classifier layer; returns ``(params, metrics)``.
 
@@ -137,20 +140,65 @@ def train_head(
     starts with new moments at each batch, as the training programs do; ``"run"`` keeps them.
     ``schedule`` maps a step, counted from 0 over the whole run, to the learning rate and
     betas that hold from there on. ``dtypes`` names the type of a parameter; one whose type is
-    no float type is not trained. The parameter table has classes x (width + 1) rows; it
-    returns to the driver after each step, which also ends its lineage, and must be small
-    enough to be held whole. The stored batches are removed when the run ends.
+    no float type is not trained. The stored batches are removed when the run ends or fails.
+
+    The layer is two arrays, or a parameter table ``(param, row, col, theta)`` with no ``bias``
+    beside it. Up to ``limit`` entries it returns to the driver after each step, which also ends
+    its lineage. A larger one stays in the shared folder in blocks of ``block_entries`` (see
+    ``stored_head``); the result is the same but for rounding.
     """
-    if np.size(weight) + np.size(bias) > MAX_LOCAL_ENTRIES:
-        raise ValueError("the classifier is too large to hold whole")
+    if isinstance(weight, DataFrame) is not (bias is None):
+        raise ValueError("give a weight and a bias, or one parameter table")
     fixed = [name for name, kind in (dtypes or {}).items() if kind not in FLOAT_TYPES]
     if optimizer_lifetime not in ("run", "step"):
         raise ValueError(f"unknown optimizer_lifetime {optimizer_lifetime!r}")
     spark = df.sparkSession
     run_id = run_id or uuid.uuid4().hex
+    large = _entries(weight, bias) > limit
     path = work_path(spark, "batches")
-    batches = write_batches(df, order_by, batch_size, features, label, path)
+    try:
+        batches = write_batches(df, order_by, batch_size, features, label, path)
+        if large:
+            params = weight if isinstance(weight, DataFrame) else _parameter_table(spark, weight, bias)
+            state, log = train_stored(
+                spark, path, batches, params, hp, epochs, input, optimizer_lifetime, schedule, run_id, tuple(fixed), block_entries
+            )
+        else:
+            if isinstance(weight, DataFrame):
+                weight, bias = matrix(weight, CLASSIFIER_WEIGHT), matrix(weight, CLASSIFIER_BIAS)
+            state, log = _train_held(spark, path, batches, weight, bias, hp, epochs, input, optimizer_lifetime, schedule, run_id, fixed)
+    finally:
+        remove_path(spark, path)
+    return state, spark.createDataFrame(log, METRIC_SCHEMA)
+
+
+def _entries(weight: np.ndarray | DataFrame, bias: np.ndarray | None) -> int:
+    if isinstance(weight, DataFrame):
+        return weight.where(F.col("param").isin(CLASSIFIER_WEIGHT, CLASSIFIER_BIAS)).count()
+    return np.size(weight) + np.size(bias)
 
+
+def _parameter_table(spark: SparkSession, weight: np.ndarray, bias: np.ndarray) -> DataFrame:
+    tensors = {CLASSIFIER_WEIGHT: np.asarray(weight, np.float64), CLASSIFIER_BIAS: np.asarray(bias, np.float64).ravel()}
+    entries = pa.Table.from_batches(tensor_entries(tensors, 0))
+    return spark.createDataFrame(entries).withColumnRenamed("total", "theta").drop("rows")
+
+
+def _train_held(
+    spark: SparkSession,
+    path: str,
+    batches: list[tuple[int, int]],
+    weight: np.ndarray,
+    bias: np.ndarray,
+    hp: AdamParams,
+    epochs: int,
+    input: str,
+    optimizer_lifetime: str,
+    schedule: Mapping[int, tuple[float, float, float]] | None,
+    run_id: str,
+    fixed: list[str],
+) -> tuple[DataFrame, list[tuple[str, int, int, int, float]]]:
+    """The steps for a layer that the driver holds."""
     weight, bias = np.array(weight, dtype=np.float64), np.array(bias, dtype=np.float64).ravel()
     values = matrix_rows(CLASSIFIER_WEIGHT, weight) + matrix_rows(CLASSIFIER_BIAS, bias)
     params = spark.createDataFrame(values, PARAMETER_SCHEMA)
@@ -179,5 +227,4 @@ def train_head(
             bias[col[~is_weight]] = theta[~is_weight]
             state = spark.createDataFrame(moved)
             log.append((run_id, epoch, step, size, float(seen.get[LOSS])))
-    remove_path(spark, path)
-    return state, spark.createDataFrame(log, METRIC_SCHEMA)
+    return state, log

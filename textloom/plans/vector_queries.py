@@ -881,6 +881,13 @@ def _(spark, sf):
     return steps.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
+@query("a10_train_stored_head", trained_params_sql("run", "probs", 2, schedule=SCHEDULE))
+def _(spark, sf):
+    """The layer in blocks of three classes, none of them in the driver."""
+    settings = {"schedule": SCHEDULE, "limit": 0, "block_entries": 3 * (DIMS + 1)}
+    return trained_values(train(spark, sf, "run", "probs", half_batch(spark, sf), **settings)[0])
+
+
 @query("a11_train_head_step_lifetime", trained_params_sql("step", "logits"))
 def _(spark, sf):
     params = parameters.current_values(train(spark, sf, "step", "logits")[0])
