@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.encoding import (
@@ -25,7 +25,8 @@ from textloom.functions.encoding import (
     pad,
     token_array,
 )
-from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast
+from textloom.operators.vocab_file import StoredVocab, store_vocab, stored_id_arrays, stored_ids
 
 
 def tokenize(
@@ -56,17 +57,23 @@ def build_vocab(tokens: DataFrame, max_size: int, min_count: int = 1) -> DataFra
 
 def lookup_ids(
     tokens: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | StoredVocab,
     unk_id: int = UNK_ID,
-    id_col: str = "doc_id",
     vocab_size: int | None = None,
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``token_id``; a token outside the vocabulary gets ``unk_id``."""
-    ids = vocab.select("token", "token_id")
-    small = fits_broadcast(ids, vocab_size, limit)
-    joined = lookup_join(tokens, ids, "token", spread=[id_col, "pos"], small=small)
-    return joined.withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
+    """Add ``token_id``; a token outside the vocabulary gets ``unk_id``.
+
+    A vocabulary of up to ``limit`` entries is broadcast. A larger one, or one that is stored
+    already, is read by the tasks themselves, and no token is shuffled.
+    """
+    if not isinstance(vocab, StoredVocab):
+        ids = vocab.select("token", "token_id")
+        if fits_broadcast(ids, vocab_size, limit):
+            joined = tokens.join(F.broadcast(ids), "token", "left")
+            return joined.select(*tokens.columns, F.coalesce("token_id", F.lit(unk_id)).alias("token_id"))
+        vocab = store_vocab(ids)
+    return tokens.withColumn("token_id", stored_ids(vocab, F.col("token"), unk_id))
 
 
 def small_vocab(vocab: DataFrame, vocab_size: int | None = None, limit: int = BROADCAST_ROWS) -> pa.Table | None:
@@ -117,7 +124,7 @@ def encoded_lengths(
 
 def encode(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | StoredVocab,
     max_length: int = MAX_LENGTH,
     pad_id: int = PAD_ID,
     unk_id: int = UNK_ID,
@@ -135,17 +142,18 @@ def encode(
 
     One row for each input row, also where ids repeat; ``id_col`` may be several columns. A
     vocabulary of up to ``limit`` entries is held by every worker, and the encoding is one
-    projection. A larger one is joined token by token and the ids are gathered per row; the
-    result is the same. ``vocab_size`` is the bound the vocabulary was built with, if known.
+    projection. A larger one, or one that is stored already, is read by the tasks themselves
+    (see ``vocab_file``); that is one projection too, and the result is the same. ``vocab_size`` is the bound the vocabulary was built with, if known.
     """
     names, room = _names(id_col), content_length(max_length, add_special)
     cut = df.select(*names, *keep, first_tokens(F.col(text_col), room, pattern).alias("_tokens"))
     cut = cut.withColumn("seqlen", F.size("_tokens") + F.lit(max_length - room))
-    table = small_vocab(vocab, vocab_size, limit)
+    table = None if isinstance(vocab, StoredVocab) else small_vocab(vocab, vocab_size, limit)
     if table is not None:
         coded = cut.withColumn("ids", id_array_lookup(df.sparkSession, table, unk_id)(F.col("_tokens")))
     else:
-        coded = _encode_by_join(cut, vocab, unk_id, [*names, *keep, "seqlen"])
+        store = vocab if isinstance(vocab, StoredVocab) else store_vocab(vocab)
+        coded = cut.withColumn("ids", stored_id_arrays(store, F.col("_tokens"), unk_id))
     ids = add_special_ids(F.col("ids"), cls_id, sep_id) if add_special else F.col("ids")
     return coded.select(
         *names,
@@ -158,16 +166,3 @@ def encode(
 
 def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
-
-
-def _encode_by_join(df: DataFrame, vocab: DataFrame, unk_id: int, columns: list[str]) -> DataFrame:
-    """Equal rows are counted, encoded once and given back as often; rows that only share ids stay apart."""
-    key = F.md5(F.to_json("_tokens")).alias("_key")
-    rows = df.select(*columns, "_tokens", key).groupBy(*columns, "_key").agg(F.first("_tokens").alias("_tokens"), F.count("*").alias("_times"))
-    tokens = rows.select(*columns, "_key", "_times", F.posexplode_outer("_tokens").alias("pos", "token"))
-    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", spread=["_key", "pos"], small=False)
-    entry = F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("token_id"))
-    present: Column = F.when(F.col("pos").isNotNull(), entry)  # a row without tokens keeps its place
-    gathered = found.groupBy(*columns, "_key", "_times").agg(F.array_sort(F.collect_list(present)).alias("entries"))
-    times = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))
-    return gathered.select(*columns, F.col("entries.token_id").alias("ids"), times.alias("_time")).drop("_time")

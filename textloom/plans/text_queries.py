@@ -233,6 +233,14 @@ def _(spark, sf):
     return vocabulary(texts(spark, sf))
 
 
+def id_places(spark: SparkSession, sf: str, **how) -> DataFrame:
+    """Each id, how often it is there, and where."""
+    docs = texts(spark, sf)
+    ids = tokens.lookup_ids(tokens.tokenize(docs), vocabulary(docs), **how)
+    place = F.sum(F.col("doc_id") * (F.col("pos") + 1))
+    return ids.groupBy("token_id").agg(F.count("*").alias("n"), place.alias("sum_place"))
+
+
 @query(
     "t3_lookup_ids",
     f"""WITH {TOKENS_SQL}, {vocab_sql()}
@@ -240,10 +248,13 @@ def _(spark, sf):
     FROM toks LEFT JOIN vocab USING (token) GROUP BY 1""",
 )
 def _(spark, sf):
-    docs = texts(spark, sf)
-    ids = tokens.lookup_ids(tokens.tokenize(docs), vocabulary(docs), vocab_size=VOCAB_SIZE)
-    place = F.sum(F.col("doc_id") * (F.col("pos") + 1))
-    return ids.groupBy("token_id").agg(F.count("*").alias("n"), place.alias("sum_place"))
+    return id_places(spark, sf, vocab_size=VOCAB_SIZE)
+
+
+@query("t3_lookup_ids_stored", ORACLES["t3_lookup_ids"])
+def _(spark, sf):
+    """By the vocabulary that tasks read, as a large one is."""
+    return id_places(spark, sf, limit=0)
 
 
 def content_ids(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,13 +18,17 @@ from pyarrow import fs as files
 
 
 def _locate(address: str) -> tuple[files.FileSystem, str, bool]:
-    parts = urlsplit(address)
-    if parts.scheme in ("", "file"):
-        return files.LocalFileSystem(), unquote(parts.path), True
+    if is_mapped(address):
+        return files.LocalFileSystem(), unquote(urlsplit(address).path), True
     system, path = files.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", address))
     return system, path, False
 
 
+def is_mapped(address: str) -> bool:
+    """Whether blocks under an address are mapped into memory and not read into it."""
+    return urlsplit(address).scheme in ("", "file")
+
+
 def write_block(address: str, rows: pa.Table) -> None:
     system, path, _ = _locate(address)
     system.create_dir(posixpath.dirname(path), recursive=True)
