@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from textloom.functions import dense
 from textloom.operators import backward
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, DENSE_WEIGHT, NORM_WEIGHT, Head
+from textloom.operators.optimizer import AdamParams
+from textloom.sources.parameters import matrix
 
 ROWS, WIDTH, INNER, CLASSES = 23, 6, 5, 4
 NAMES = {NORM_WEIGHT: "norm", DENSE_WEIGHT: "dense", CLASSIFIER_WEIGHT: "weight", CLASSIFIER_BIAS: "bias"}
@@ -71,6 +73,36 @@ def test_vectors(case, source):
     assert all(np.allclose(g, want[i], atol=2e-6) for i, g in got.items())
 
 
+@pytest.mark.parametrize("lifetime", ["run", "step"])
+def test_training_against_replay(case, lifetime):
+    x, y, head, frame = case
+    hp, size = AdamParams(lr=0.05), 9
+    got, log = backward.train_whole_head(frame, head, hp, 2, size, input="logits", optimizer_lifetime=lifetime)
+    now = Head(*(np.array(getattr(head, field)) for field in NAMES.values()))
+    moments = {field: (0.0, 0.0) for field in NAMES.values()}
+    want_log = []
+    for t in range(6):
+        part = slice(t % 3 * size, t % 3 * size + size)
+        want_log.append(losses(x[part], y[part], now, "logits").mean())
+        slopes = {f: slope(getattr(now, f), lambda: losses(x[part], y[part], now, "logits").mean()) for f in moments}
+        k = t + 1 if lifetime == "run" else 1
+        for field, g in slopes.items():
+            m, v = moments[field] if lifetime == "run" else (0.0, 0.0)
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            moments[field] = m, v
+            getattr(now, field)[...] -= hp.lr * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + hp.eps)
+    for name, field in NAMES.items():
+        assert np.allclose(matrix(got, name), np.atleast_2d(getattr(now, field)), atol=2e-3), name
+    assert np.allclose([r["loss"] for r in log.sort("epoch", "step").collect()], want_log, atol=1e-3)
+
+
+def test_a_tensor_that_is_not_trained(case):
+    _, _, head, frame = case
+    got, _ = backward.train_whole_head(frame, head, AdamParams(lr=0.1), 1, dtypes={DENSE_WEIGHT: "i8"})
+    assert (matrix(got, DENSE_WEIGHT) == head.dense).all()
+    assert (matrix(got, NORM_WEIGHT) != head.norm).all()
+
+
 def test_extremes(spark, case):
     _, _, head, frame = case
     assert backward.head_backward(frame.limit(0), head).collect() == []

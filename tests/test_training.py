@@ -11,7 +11,7 @@ from textloom.functions import dense
 from textloom.operators import stored_head, training
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
 from textloom.operators.optimizer import AdamParams
-from textloom.sources.parameters import matrix
+from textloom.sources.parameters import PARAMETER_SCHEMA, matrix, matrix_rows
 
 ROWS, WIDTH, CLASSES = 37, 5, 4
 
@@ -115,6 +115,19 @@ def test_schedule(frame, sample):
     assert np.allclose(matrix(params, CLASSIFIER_WEIGHT), want_w, atol=1e-4)
 
 
+def test_schedule_of_whole_sets(frame, sample):
+    """From the second step on the rule has decay; both ways of training follow, and AMSGrad stays off."""
+    _, _, w, b = sample
+    schedule = {1: AdamParams(lr=0.02, beta_1=0.8, decay=("l2", 0.5), amsgrad=True)}
+    same = {"hp": AdamParams(lr=0.05), "epochs": 1, "batch_size": 20, "input": "logits", "schedule": schedule}
+    with pytest.warns(UserWarning, match="AMSGrad"):
+        held, _ = training.train_head(frame, w, b, **same)
+        stored, _ = training.train_head(frame, w, b, limit=0, **same)
+    assert np.allclose(matrix(held, CLASSIFIER_WEIGHT), matrix(stored, CLASSIFIER_WEIGHT), rtol=0, atol=1e-12)
+    plain, _ = training.train_head(frame, w, b, **same | {"schedule": {1: (0.02, 0.8, 0.999)}})
+    assert not np.allclose(matrix(held, CLASSIFIER_WEIGHT), matrix(plain, CLASSIFIER_WEIGHT), atol=1e-4)
+
+
 def test_amsgrad_trains(frame, sample):
     _, _, w, b = sample
     params, metrics = training.train_head(frame, w, b, AdamParams(lr=0.05, amsgrad=True), epochs=3, input="logits")
@@ -153,7 +166,7 @@ def test_blocks_train_like_one_array(spark, frame, sample, source, lifetime, hp,
     want, want_log = training.train_head(frame, w, b, **same)
     # blocks of one class and of three, the last one shorter
     for entries in (1, 3 * (WIDTH + 1)):
-        table = spark.createDataFrame(training.matrix_rows(CLASSIFIER_WEIGHT, w) + training.matrix_rows(CLASSIFIER_BIAS, b), training.PARAMETER_SCHEMA)
+        table = training.parameter_table(spark, {CLASSIFIER_WEIGHT: w, CLASSIFIER_BIAS: b})
         got, log = training.train_head(frame, table, limit=0, block_entries=entries, **same)
         assert got.columns == want.columns
         keys = ["param", "row", "col"]
@@ -166,9 +179,9 @@ def test_blocks_train_like_one_array(spark, frame, sample, source, lifetime, hp,
 
 def test_blocks_refuse_holes_and_odd_rows(spark, frame, sample):
     _, _, w, b = sample
-    entries = training.matrix_rows(CLASSIFIER_WEIGHT, w) + training.matrix_rows(CLASSIFIER_BIAS, b)
+    entries = matrix_rows(CLASSIFIER_WEIGHT, w) + matrix_rows(CLASSIFIER_BIAS, b)
     for broken in (entries[1:], entries + entries[:1], entries[:-1], entries[:-1] + entries[-2:-1]):
-        table = spark.createDataFrame(broken, training.PARAMETER_SCHEMA)
+        table = spark.createDataFrame(broken, PARAMETER_SCHEMA)
         with pytest.raises(PySparkException, match="does not have one weight"):
             training.train_head(frame, table, limit=0, epochs=1)
     bad = frame.withColumn("label", F.lit(CLASSES))

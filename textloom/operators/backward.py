@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Mapping
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,24 @@ from pyspark.sql import functions as F
 
 from textloom.functions import dense
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT, DENSE_WEIGHT, NORM_WEIGHT, Head
-from textloom.operators.training import LOSS, PARTIAL_SCHEMA, labelled_vectors, mean_gradient, tensor_entries
+from textloom.operators.optimizer import AdamParams, Schedule
+from textloom.operators.training import (
+    BATCH_SIZE,
+    EPOCHS,
+    LEARNING_RATE,
+    LOSS,
+    PARTIAL_SCHEMA,
+    labelled_vectors,
+    mean_gradient,
+    tensor_entries,
+    train_tensors,
+    write_batches,
+)
+from textloom.session import remove_path, work_path
+from textloom.sources.metrics import METRIC_SCHEMA
+from textloom.sources.parameters import FLOAT_TYPES
+
+FIELDS = {NORM_WEIGHT: "norm", DENSE_WEIGHT: "dense", CLASSIFIER_WEIGHT: "weight", CLASSIFIER_BIAS: "bias"}
 
 # Rows that go through the head at a time within a task.
 ROWS_AT_ONCE = 4096
@@ -102,3 +121,53 @@ def vector_gradient(
         return found.take(pa.array(np.cumsum(valid) - 1, mask=~valid))
 
     return df.withColumn(out, slope(vec_col, label))
+
+
+def train_whole_head(
+    df: DataFrame,
+    head: Head,
+    hp: AdamParams = AdamParams(lr=LEARNING_RATE),
+    epochs: int = EPOCHS,
+    batch_size: int = BATCH_SIZE,
+    order_by: str = "doc_id",
+    vec_col: str = "vector",
+    label: str = "label",
+    input: str = "probs",
+    optimizer_lifetime: str = "run",
+    schedule: Schedule | None = None,
+    run_id: str | None = None,
+    dtypes: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Train every parameter of the head; returns ``(params, metrics)``, options as in ``train_head``.
+
+    The head is held by the driver and by each task, as scoring with it does.
+    """
+    _check(input)
+    if optimizer_lifetime not in ("run", "step"):
+        raise ValueError(f"unknown optimizer_lifetime {optimizer_lifetime!r}")
+    spark = df.sparkSession
+    fixed = [name for name, kind in (dtypes or {}).items() if kind not in FLOAT_TYPES]
+
+    def gradient(batch: DataFrame, held: Mapping[str, np.ndarray]) -> DataFrame:
+        current = {field: held[name] for name, field in FIELDS.items()}
+        return head_backward(batch, replace(head, **current), input, "features", with_loss=True)
+
+    path = work_path(spark, "batches")
+    try:
+        batches = write_batches(df, order_by, batch_size, vec_col, label, path)
+        state, log = train_tensors(
+            spark,
+            path,
+            batches,
+            {name: getattr(head, field) for name, field in FIELDS.items()},
+            gradient,
+            hp,
+            epochs,
+            optimizer_lifetime,
+            schedule,
+            run_id or uuid.uuid4().hex,
+            fixed,
+        )
+    finally:
+        remove_path(spark, path)
+    return state, spark.createDataFrame(log, METRIC_SCHEMA)

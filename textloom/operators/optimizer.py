@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -34,6 +35,21 @@ def change_params(current: AdamParams, new: AdamParams) -> AdamParams:
     return replace(new, amsgrad=current.amsgrad)
 
 
+# From a step on: learning rate and betas, or a whole set.
+Schedule = Mapping[int, "tuple[float, float, float] | AdamParams"]
+
+
+def scheduled(hp: AdamParams, schedule: Schedule | None, step: int) -> AdamParams:
+    """The hyperparameters of a step; steps count from 0."""
+    new = (schedule or {}).get(step)
+    if new is None:
+        return hp
+    if isinstance(new, AdamParams):
+        return change_params(hp, new)
+    lr, beta_1, beta_2 = new
+    return replace(hp, lr=lr, beta_1=beta_1, beta_2=beta_2)
+
+
 def init_state(params: DataFrame, hp: AdamParams) -> DataFrame:
     """Parameters with moments of zero."""
     moments = ["m", "v", *(["vmax"] if hp.amsgrad else [])]

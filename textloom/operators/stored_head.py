@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import dense
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
-from textloom.operators.optimizer import AdamParams
+from textloom.operators.optimizer import AdamParams, Schedule, scheduled
 from textloom.session import remove_path, work_path
 from textloom.sources.blocks import read_block, write_block
 
@@ -265,7 +265,7 @@ def train_stored(
     epochs: int,
     source: str,
     optimizer_lifetime: str,
-    schedule: Mapping[int, tuple[float, float, float]] | None,
+    schedule: Schedule | None,
     run_id: str,
     fixed: tuple[str, ...],
     block_entries: int = BLOCK_ENTRIES,
@@ -280,9 +280,7 @@ def train_stored(
     t = 0
     for epoch in range(epochs):
         for step, (batch_id, size) in enumerate(batches):
-            if schedule and t in schedule:
-                lr, beta_1, beta_2 = schedule[t]
-                hp = replace(hp, lr=lr, beta_1=beta_1, beta_2=beta_2)
+            hp = scheduled(hp, schedule, t)
             t += 1
             fresh = optimizer_lifetime == "step"
             rows_folder = work_path(spark, "rows")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
-from dataclasses import replace
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +14,11 @@ from pyspark.sql import functions as F
 from textloom.functions import dense
 from textloom.operators.batching import assign_batches
 from textloom.operators.head import CLASSIFIER_BIAS, CLASSIFIER_WEIGHT
-from textloom.operators.optimizer import AdamParams, adam_step, init_state
+from textloom.operators.optimizer import AdamParams, Schedule, adam_step, init_state, scheduled
 from textloom.operators.stored_head import BLOCK_ENTRIES, train_stored
 from textloom.session import remove_path, work_path
 from textloom.sources.metrics import METRIC_SCHEMA
-from textloom.sources.parameters import FLOAT_TYPES, MAX_LOCAL_ENTRIES, PARAMETER_SCHEMA, matrix_rows
+from textloom.sources.parameters import FLOAT_TYPES, MAX_LOCAL_ENTRIES, matrix
 
 # Settings of the training programs.
 LEARNING_RATE = 2e-5
@@ -31,6 +30,8 @@ BATCH_SIZE = 100_000
 PARTIAL_SCHEMA = "param STRING, row INT, col INT, total DOUBLE, rows BIGINT"
 LOSS = "loss"
 
+Gradient = Callable[[DataFrame, Mapping[str, np.ndarray]], DataFrame]
+
 
 def head_gradient(
     batch: DataFrame,
@@ -128,7 +129,7 @@ def train_head(
     label: str = "label",
     input: str = "probs",
     optimizer_lifetime: str = "run",
-    schedule: Mapping[int, tuple[float, float, float]] | None = None,
+    schedule: Schedule | None = None,
     run_id: str | None = None,
     dtypes: Mapping[str, str] | None = None,
     limit: int = MAX_LOCAL_ENTRIES,
@@ -138,8 +139,8 @@ def train_head(
 
     Batches are consecutive rows in the order of ``order_by``. ``optimizer_lifetime="step"``
     starts with new moments at each batch, as the training programs do; ``"run"`` keeps them.
-    ``schedule`` maps a step, counted from 0 over the whole run, to the learning rate and
-    betas that hold from there on. ``dtypes`` names the type of a parameter; one whose type is
+    ``schedule`` maps a step, counted from 0 over the whole run, to the learning rate and betas
+    that hold from there on, or to a whole set of hyperparameters (see ``change_params``). ``dtypes`` names the type of a parameter; one whose type is
     no float type is not trained. The stored batches are removed when the run ends or fails.
 
     The layer is two arrays, or a parameter table ``(param, row, col, theta)`` with no ``bias``
@@ -159,14 +160,24 @@ def train_head(
     try:
         batches = write_batches(df, order_by, batch_size, features, label, path)
         if large:
-            params = weight if isinstance(weight, DataFrame) else _parameter_table(spark, weight, bias)
+            params = weight
+            if not isinstance(weight, DataFrame):
+                tensors = {CLASSIFIER_WEIGHT: np.asarray(weight, np.float64), CLASSIFIER_BIAS: np.ravel(bias).astype(np.float64)}
+                params = parameter_table(spark, tensors)
             state, log = train_stored(
                 spark, path, batches, params, hp, epochs, input, optimizer_lifetime, schedule, run_id, tuple(fixed), block_entries
             )
         else:
             if isinstance(weight, DataFrame):
                 weight, bias = matrix(weight, CLASSIFIER_WEIGHT), matrix(weight, CLASSIFIER_BIAS)
-            state, log = _train_held(spark, path, batches, weight, bias, hp, epochs, input, optimizer_lifetime, schedule, run_id, fixed)
+
+            def gradient(batch: DataFrame, held: Mapping[str, np.ndarray]) -> DataFrame:
+                return head_gradient(batch, held[CLASSIFIER_WEIGHT], held[CLASSIFIER_BIAS], input, with_loss=True)
+
+            tensors = {CLASSIFIER_WEIGHT: np.atleast_2d(weight), CLASSIFIER_BIAS: np.ravel(bias)}
+            state, log = train_tensors(
+                spark, path, batches, tensors, gradient, hp, epochs, optimizer_lifetime, schedule, run_id, fixed
+            )
     finally:
         remove_path(spark, path)
     return state, spark.createDataFrame(log, METRIC_SCHEMA)
@@ -178,53 +189,48 @@ def _entries(weight: np.ndarray | DataFrame, bias: np.ndarray | None) -> int:
     return np.size(weight) + np.size(bias)
 
 
-def _parameter_table(spark: SparkSession, weight: np.ndarray, bias: np.ndarray) -> DataFrame:
-    tensors = {CLASSIFIER_WEIGHT: np.asarray(weight, np.float64), CLASSIFIER_BIAS: np.asarray(bias, np.float64).ravel()}
+def parameter_table(spark: SparkSession, tensors: Mapping[str, np.ndarray]) -> DataFrame:
     entries = pa.Table.from_batches(tensor_entries(tensors, 0))
-    return spark.createDataFrame(entries).withColumnRenamed("total", "theta").drop("rows")
+    return spark.createDataFrame(entries).select("param", "row", "col", F.col("total").alias("theta"))
 
 
-def _train_held(
+def train_tensors(
     spark: SparkSession,
     path: str,
     batches: list[tuple[int, int]],
-    weight: np.ndarray,
-    bias: np.ndarray,
+    tensors: Mapping[str, np.ndarray],
+    gradient: Gradient,
     hp: AdamParams,
     epochs: int,
-    input: str,
     optimizer_lifetime: str,
-    schedule: Mapping[int, tuple[float, float, float]] | None,
+    schedule: Schedule | None,
     run_id: str,
-    fixed: list[str],
+    fixed: Sequence[str] = (),
 ) -> tuple[DataFrame, list[tuple[str, int, int, int, float]]]:
-    """The steps for a layer that the driver holds."""
-    weight, bias = np.array(weight, dtype=np.float64), np.array(bias, dtype=np.float64).ravel()
-    values = matrix_rows(CLASSIFIER_WEIGHT, weight) + matrix_rows(CLASSIFIER_BIAS, bias)
-    params = spark.createDataFrame(values, PARAMETER_SCHEMA)
-    state = init_state(params, hp)
+    """The steps for tensors that the driver holds, over batches stored in ``path``; returns state and log.
+
+    ``gradient`` makes ``(param, row, col, grad)``, with the loss as a row of that name, from a
+    batch and the current tensors. Each step is one aggregation of its batch.
+    """
+    held = {name: np.array(tensor, dtype=np.float64) for name, tensor in tensors.items()}
+    state = init_state(parameter_table(spark, held), hp)
     log: list[tuple[str, int, int, int, float]] = []
     t = 0
     for epoch in range(epochs):
         for step, (batch_id, size) in enumerate(batches):
-            if schedule and t in schedule:
-                lr, beta_1, beta_2 = schedule[t]
-                hp = replace(hp, lr=lr, beta_1=beta_1, beta_2=beta_2)
+            hp = scheduled(hp, schedule, t)
             t += 1
             if optimizer_lifetime == "step":
                 state = init_state(state, hp)
             batch = spark.read.parquet(f"{path}/batch_id={batch_id}")  # no other folder is listed
             seen = Observation()
-            gradient = head_gradient(batch, weight, bias, input, with_loss=True).observe(
-                seen, F.max(F.when(F.col("param") == LOSS, F.col("grad"))).alias(LOSS)
-            )
-            trained = gradient.where(~F.col("param").isin(fixed)) if fixed else gradient
-            # one gradient row per row of the parameter table, whose size is checked above
+            found = gradient(batch, held).observe(seen, F.max(F.when(F.col("param") == LOSS, F.col("grad"))).alias(LOSS))
+            trained = found.where(~F.col("param").isin(*fixed)) if fixed else found
+            # one gradient row per row of the parameter table, whose size is checked by the caller
             moved = adam_step(state, F.broadcast(trained), hp, 1 if optimizer_lifetime == "step" else t).toArrow()
-            is_weight = pc.equal(moved["param"], CLASSIFIER_WEIGHT).to_numpy()
-            row, col, theta = (moved[c].to_numpy() for c in ("row", "col", "theta"))
-            weight[row[is_weight], col[is_weight]] = theta[is_weight]
-            bias[col[~is_weight]] = theta[~is_weight]
+            for name, tensor in held.items():
+                own = moved.filter(pc.equal(moved["param"], name))
+                np.atleast_2d(tensor)[own["row"].to_numpy(), own["col"].to_numpy()] = own["theta"].to_numpy()
             state = spark.createDataFrame(moved)
             log.append((run_id, epoch, step, size, float(seen.get[LOSS])))
     return state, log

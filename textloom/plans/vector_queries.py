@@ -704,17 +704,20 @@ dactive AS (SELECT vec_id, d, sum(g * w) AS g FROM dhidden JOIN dense USING (o)
 dnormed AS (SELECT vec_id, d, s, u, g * slope AS g FROM dactive JOIN active USING (vec_id, d))"""
 
 
-HEAD_BACKWARD_SQL = f"""{backward_sql("probs")},
+HEAD_GRADIENTS_SQL = f"""{backward_sql("probs")},
 grads AS (
-  SELECT '{head.CLASSIFIER_WEIGHT}' AS param, c AS "row", o AS "col", avg(g.g * h) AS grad
+  SELECT '{head.CLASSIFIER_WEIGHT}' AS param, c AS "row", o AS "col", any_value(((c * 31 + o * 17) % 13 - 6) / 10.0) AS theta, avg(g.g * h) AS grad
   FROM dlogits g JOIN hidden USING (vec_id) GROUP BY c, o
-  UNION ALL SELECT '{head.CLASSIFIER_BIAS}', 0, c, avg(g) FROM dlogits GROUP BY c
-  UNION ALL SELECT '{head.DENSE_WEIGHT}', o, d, avg(g.g * x) FROM dhidden g JOIN active USING (vec_id) GROUP BY o, d
-  UNION ALL SELECT '{head.NORM_WEIGHT}', 0, d, avg(g * u) FROM dnormed GROUP BY d)
-SELECT param, "row"::INT AS "row", "col"::INT AS "col", {r("grad * 100")} AS grad FROM grads"""
+  UNION ALL SELECT '{head.CLASSIFIER_BIAS}', 0, c, (c - 5) / 20.0, avg(g) FROM dlogits GROUP BY c
+  UNION ALL SELECT '{head.DENSE_WEIGHT}', o, d, ((o * 7 + d * 11) % 17 - 8) / 20.0, avg(g.g * x)
+  FROM dhidden g JOIN active USING (vec_id) GROUP BY o, d
+  UNION ALL SELECT '{head.NORM_WEIGHT}', 0, d, 1 + (d % 5) / 10.0, avg(g * u) FROM dnormed GROUP BY d)"""
 
 
-@query("a9_head_backward", HEAD_BACKWARD_SQL)
+@query(
+    "a9_head_backward",
+    f'{HEAD_GRADIENTS_SQL} SELECT param, "row"::INT AS "row", "col"::INT AS "col", {r("grad * 100")} AS grad FROM grads',
+)
 def _(spark, sf):
     """The gradient of all four tensors of the head."""
     grads = backward.head_backward(embeddings(spark, sf), model(), "probs", "embedding")
@@ -739,13 +742,11 @@ TRAIN_HP = AdamParams(lr=0.01)
 SAMPLE_EVERY = 10
 TRAIN_EPOCHS = 3
 
-# From a step on: learning rate and betas.
-Schedule = dict[int, tuple[float, float, float]]
-SCHEDULE: Schedule = {1: (0.005, 0.9, 0.999), 3: (0.02, 0.8, 0.99)}
+SCHEDULE: dict[int, tuple[float, float, float]] = {1: (0.005, 0.9, 0.999), 3: (0.02, 0.8, 0.99)}
 
 
 def training_steps_sql(
-    lifetime: str, source: str, lr: float, batches: int = 1, schedule: Schedule | None = None, fixed_bias: bool = False
+    lifetime: str, source: str, lr: float, batches: int = 1, schedule: dict | None = None, fixed_bias: bool = False
 ) -> str:
     """The steps of all epochs, written out; the last weights are in ``trained``."""
     ctes, weights = [], "w0"
@@ -881,6 +882,18 @@ def _(spark, sf):
     return steps.select("epoch", "step", "batch_size", rounded("loss").alias("loss"))
 
 
+@query(
+    "a10_train_whole_head",
+    f"""{HEAD_GRADIENTS_SQL}
+SELECT param, "row"::INT AS "row", "col"::INT AS "col",
+  round(theta - {TRAIN_HP.lr} * grad / (abs(grad) + {TRAIN_HP.eps}), 4) + 0.0 AS theta FROM grads""",
+)
+def _(spark, sf):
+    """One step of all four tensors."""
+    vectors = embeddings(spark, sf)
+    return trained_values(backward.train_whole_head(vectors, model(), TRAIN_HP, 1, order_by="vec_id", vec_col="embedding")[0])
+
+
 @query("a10_train_stored_head", trained_params_sql("run", "probs", 2, schedule=SCHEDULE))
 def _(spark, sf):
     """The layer in blocks of three classes, none of them in the driver."""
