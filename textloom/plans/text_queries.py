@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import encoding as enc
-from textloom.operators import batching, labels, losses, neighbours, tokens
+from textloom.operators import batching, labels, losses, neighbours, sparse_update, tokens
 from textloom.plans import workflows
 from textloom.session import work_path
 from textloom.sources import metrics
@@ -264,6 +264,21 @@ def content_ids(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", to_ids(enc.token_array(F.col("text"))).alias("ids"))
 
 
+@query(
+    "v1_token_gradient",
+    f"""WITH {TOKENS_SQL}, {vocab_sql()},
+sized AS (SELECT doc_id, token, count(*) OVER (PARTITION BY doc_id) AS n FROM toks)
+SELECT coalesce(token_id, 1) AS token_id, round(sum(1 / n::DOUBLE), 6) AS plain, round(sum((doc_id % 7) / n::DOUBLE), 6) AS weighted
+FROM sized LEFT JOIN vocab USING (token) GROUP BY 1""",
+)
+def _(spark, sf):
+    """What reaches the vector of each token from the mean of all vectors of a text."""
+    grad = F.array(F.lit(1.0), (F.col("doc_id") % 7).cast("double"))
+    parts = sparse_update.pooled_gradient(content_ids(spark, sf).withColumn("grad", grad))
+    sums = [F.round(F.sum(F.col("grad")[i]), 6).alias(name) for i, name in enumerate(("plain", "weighted"))]
+    return parts.groupBy(F.col("id").cast("int").alias("token_id")).agg(*sums)
+
+
 WHOLE_SQL = f"""
 WITH {TOKENS_SQL}, {vocab_sql()},
 whole AS (

@@ -21,6 +21,7 @@ from textloom.operators import (
     neighbours,
     optimizer,
     scoring,
+    sparse_update,
     tokens,
     training,
     vectors,
@@ -623,6 +624,26 @@ adam_query("a4_amsgrad_l2", AdamParams(lr=0.1, beta_2=0.5, decay=("l2", 0.1), am
 adam_query("a4_amsgrad_decoupled", AdamParams(lr=0.1, beta_2=0.5, decay=("decoupled", 0.1), amsgrad=True))
 
 
+@query("a6_sparse_vector_step", ORACLES["a1_adam_step"])
+def _(spark, sf):
+    """The same two steps on stored blocks; in the second, vectors of label 0 have no gradient."""
+    rows = embeddings(spark, sf).select(
+        F.col("vec_id").alias("id"), "label", F.col("embedding").cast("array<double>").alias("vector")
+    )
+    table = sparse_update.store_vectors(rows, HP, "id", block_rows=256)
+    first = rows.select("id", F.transform("vector", lambda x: x * 0.5 + 0.01).alias("grad"))
+    second = rows.where("label <> 0").select("id", F.transform("vector", lambda x: x * x - 0.05).alias("grad"))
+    for t, grads in enumerate((first, second), 1):
+        table = sparse_update.sparse_step(spark, table, grads, HP, t)
+    cells = sparse_update.stored_vectors(spark, table).select(
+        F.lit("embeddings").alias("param"),
+        F.col("id").cast("int").alias("row"),
+        F.posexplode(F.arrays_zip("theta", "m", "v")).alias("col", "entry"),
+    )
+    cells = cells.select("param", "row", "col", "entry.theta", "entry.m", (F.col("entry.v") * 1000).alias("v"))
+    return cells.select("param", "row", "col", *[rounded(c).alias(c) for c in ("theta", "m", "v")])
+
+
 # ---- gradient and training
 
 WEIGHTS_SQL = f"""
