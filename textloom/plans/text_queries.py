@@ -267,8 +267,8 @@ def content_ids(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "v1_token_gradient",
     f"""WITH {TOKENS_SQL}, {vocab_sql()},
-sized AS (SELECT doc_id, token, count(*) OVER (PARTITION BY doc_id) AS n FROM toks)
-SELECT coalesce(token_id, 1) AS token_id, round(sum(1 / n::DOUBLE), 6) AS plain, round(sum((doc_id % 7) / n::DOUBLE), 6) AS weighted
+sized AS (SELECT doc_id, token, count(*) OVER (PARTITION BY doc_id)::DOUBLE AS size FROM toks)
+SELECT coalesce(token_id, 1) AS token_id, round(sum(1 / size), 6) AS plain, round(sum((doc_id % 7) / size), 6) AS weighted
 FROM sized LEFT JOIN vocab USING (token) GROUP BY 1""",
 )
 def _(spark, sf):
