@@ -99,12 +99,20 @@ class StoredVocab:
 def store_vocab(vocab: DataFrame, shard_entries: int = SHARD_ENTRIES) -> StoredVocab:
     """Store ``(token, token_id)`` for lookups; a token that is there twice is an error, a NULL one is left out.
 
-    Entries are shuffled once, to the tasks that write their shards; the driver gets three numbers
-    for each shard. An empty vocabulary knows no token.
+    The vocabulary is made once and stored; its entries are shuffled once, to the tasks that write
+    their shards; the driver gets three numbers for each shard. An empty vocabulary knows no token.
     """
     spark = vocab.sparkSession
     folder = work_path(spark, "vocab")
-    entries = vocab.where("token IS NOT NULL").select("token", F.col("token_id").cast("int").alias("token_id"))
+    draft = work_path(spark, "entries")
+    vocab.where("token IS NOT NULL").select("token", F.col("token_id").cast("int").alias("token_id")).write.parquet(draft)
+    try:
+        return _store_entries(spark.read.parquet(draft), folder, shard_entries)
+    finally:
+        remove_path(spark, draft)
+
+
+def _store_entries(entries: DataFrame, folder: str, shard_entries: int) -> StoredVocab:
     count = -(-entries.count() // shard_entries)
     if not count:
         return StoredVocab(folder, ())
