@@ -119,7 +119,7 @@ def brute_passages(text, items, size=13):
                 if words[j : j + span] == other[i : i + span]:
                     hit.update(range(j, j + span))
                     names.add(item)
-    return len(words), sorted(hit), sorted(names)
+    return len(words), sorted(hit), sorted(names, key=lambda n: (n is not None, n))
 
 
 passages = st.text(alphabet="ab .É9", max_size=30)
@@ -144,6 +144,24 @@ def test_large_benchmark_is_scanned_in_parts(spark, documents):
     assert key(one) == key(many)
 
 
+def test_long_items_are_cut_into_pieces(spark, monkeypatch):
+    draws = np.random.default_rng(7)
+    words = [f"w{i}" for i in draws.integers(0, 30, 400)]
+    items = [("long", " ".join(words)), ("long", " ".join(words)), ("few", "w1 W2"), ("none", "?!"), (None, " ".join(words[:4]))]
+    texts = [" ".join(words[i : i + 9]) + " x " + " ".join(words[i + 20 : i + 22]) for i in range(0, 380, 7)] + ["", None, "w1 w2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 10)
+    table = spark.createDataFrame(items, "item_id string, text string")
+    for part_chars in (1 << 20, 200):
+        found = decontaminate.find_passages(docs, table, 3, spans=False, part_chars=part_chars).collect()
+        for r in found:
+            words_, hits, names = brute_passages(r["text"], items, 3)
+            assert (r["found"]["n_words"], r["found"]["hits"]) == (words_, hits)
+            assert r["found"]["items"] == sorted(n for n in names if n is not None)
+    with pytest.raises(ValueError, match="found"):
+        decontaminate.find_passages(docs.withColumn("FOUND", F.lit(1)), table)
+
+
 def test_decontamination_edge_cases(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, "the SAME text"), (1, "text, twice!"), (None, "words many"), (2, None), (3, ""), (4, "?!")], "item_id bigint, text string")
     rows = decontaminate.contamination_report(edge_docs, items).collect()

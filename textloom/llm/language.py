@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from textloom.llm.columns import free_name, new_column
 from textloom.llm.worker import held
 from textloom.session import stored
 
@@ -169,7 +170,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: str = "
             names, scores = zip(*found) if found else ((), ())
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return docs.withColumn(out, predict(F.col(text_col)))
+    return docs.withColumn(new_column(docs, out), predict(F.col(text_col)))
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -193,6 +194,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
     """
     teachers = docs.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     model = learn(teachers.where(~is_held_out("doc_id")), "lang", "doc_id", "text")
-    found = identify(docs, model, text_col, "_language")
-    sure = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least)
-    return found.where(sure).drop("_language")
+    out = free_name(docs, "language")
+    found = identify(docs, model, text_col, out)
+    sure = (F.col(out)["lang_pred"] != UNKNOWN) & (F.col(out)["score"] >= least)
+    return found.where(sure).drop(out)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from textloom.llm.columns import free_name, new_column
 from textloom.llm.language import is_held_out
 from textloom.llm.worker import release
 from textloom.session import stored
@@ -203,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", out: str = "score") -> DataFrame:
-    """Add ``out``, the calibrated score of the whole text between 0 and 1. NULL scores as the empty text."""
+    """Add ``out``, a new column: the calibrated score of the whole text, 0 to 1. NULL scores as the empty text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(DoubleType())
@@ -213,7 +214,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
             stats = np.array([statistics(text) for text in batch.to_pylist()]).reshape(-1, len(STATISTICS))
             yield pa.array(np.clip(shared.value.score(stats), 0.0, 1.0))
 
-    return docs.withColumn(out, score(F.col(text_col)))
+    return docs.withColumn(new_column(docs, out), score(F.col(text_col)))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,6 +231,10 @@ def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, i
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose score is ``threshold`` or more, columns as they are; repeated rows stay or go together."""
+    """The rows whose score is ``threshold`` or more, columns as they are, whatever their names.
+
+    NULL is judged as the empty text; repeated rows stay or go together; an empty table stays empty.
+    """
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    return score_quality(docs, model, text_col, "_score").where(F.col("_score") >= threshold).drop("_score")
+    score = free_name(docs, "score")
+    return score_quality(docs, model, text_col, score).where(F.col(score) >= threshold).drop(score)
