@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.joins import BROADCAST_ROWS, lookup_join
 from textloom.session import stored
 
 
@@ -40,3 +41,17 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         near = _lowest(large)
         small = near.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         pairs = stored(small.union(near.select("u", F.col("low").alias("v"))).distinct(), "links")
+
+
+def lowest_reachable(rows: DataFrame, component: str, low: str, key: str, out: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``out``, the lowest ``low`` of all rows with one ``component``; its own where that is NULL.
+
+    ``rows`` are stored. Only components count, so rows without links never meet. Up to ``limit``
+    components are broadcast; beyond it a component with very many rows is dealt over copies of
+    its result by a hash of ``key``, so no task takes it whole.
+    """
+    alone = rows.where(F.col(component).isNull()).withColumn(out, F.col(low))
+    linked = rows.where(F.col(component).isNotNull())
+    lowest = stored(linked.groupBy(component).agg(F.min(low).alias(out)), "lowest")
+    small = limit > 0 and lowest.count() <= limit
+    return alone.unionByName(lookup_join(linked, lowest, component, [key], "inner", small))

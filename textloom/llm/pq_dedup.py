@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.components import connected_components
+from textloom.llm.components import connected_components, lowest_reachable
 from textloom.llm.simhash import Groups
 from textloom.session import stored
 
@@ -93,11 +93,17 @@ def _parts(x: np.ndarray, width: int) -> np.ndarray:
     return full.reshape(len(x), count, width)
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray, cells: int = 1 << 22) -> np.ndarray:
+    """The nearest centre of each row, with ``cells`` distances (32 MB) held at a time."""
+    step = max(1, cells // len(centres))
+    return np.concatenate([_squares(x[i : i + step], centres).argmin(1) for i in range(0, len(x), step)])
+
+
 def _means(x: np.ndarray, count: int, seed: int) -> np.ndarray:
     """k-means; a centre without members stays where it is."""
     centres = x[np.random.default_rng(seed).choice(len(x), min(count, len(x)), replace=False)].copy()
     for _ in range(ROUNDS):
-        own = np.concatenate([_squares(x[i : i + 8192], centres).argmin(1) for i in range(0, len(x), 8192)])
+        own = _nearest(x, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, own, x)
         sizes = np.bincount(own, minlength=len(centres))
@@ -108,7 +114,7 @@ def _means(x: np.ndarray, count: int, seed: int) -> np.ndarray:
 def fit_index(sample: np.ndarray, lists: int, threshold: float) -> Index:
     """Centres and code words from a sample of unit vectors."""
     centres = _means(sample, lists, seed=1)
-    residuals = sample - centres[_squares(sample, centres).argmin(1)]
+    residuals = sample - centres[_nearest(sample, centres)]
     width = -(-sample.shape[1] // SUBSPACES)
     parts = _parts(residuals, width)
     words = [_means(parts[:, m], WORDS, seed=2 + m) for m in range(parts.shape[1])]
@@ -309,10 +315,10 @@ def near_duplicate_vectors(
     counts = links.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     components = connected_components(links, "a", "b").select(F.col("node").alias("key"), "component")
     joined = classes.join(counts, "key", "left").join(components, "key", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "key"))
-    lowest = joined.groupBy("component").agg(F.min("low_id").alias("component_id"))
+    joined = stored(joined, "linked")
     n_links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
-    described = joined.join(lowest, "component").select("vector", n_links.alias("n_links"), "component_id")
+    placed = lowest_reachable(joined, "component", "low_id", "key", "component_id")
+    described = placed.select("vector", n_links.alias("n_links"), "component_id")
     found = rows.join(described, "vector", "left")
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return found.select(

@@ -18,10 +18,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StructType, VariantType
 
-from textloom.llm.components import connected_components
+from textloom.llm.columns import free_name
+from textloom.llm.components import connected_components, lowest_reachable
 from textloom.llm.worker import release
+from textloom.operators.joins import BROADCAST_ROWS, lookup_join
 from textloom.session import stored
 
 BITS = 64
@@ -323,21 +325,65 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4, seed: in
     rows = stored(fingerprints(found, shingle, seed).drop("text"), "fingerprints")
     classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low_id")), "classes")
     components = connected_components(hamming_links(classes, "fingerprint", budget), "a", "b")
-    clustered = classes.join(components, classes["fingerprint"] == components["node"], "left")
-    clustered = clustered.select("fingerprint", "low_id", F.coalesce("component", "fingerprint").alias("cluster"))
-    lowest = clustered.groupBy("cluster").agg(F.min("low_id").alias("component_id"))
-    placed = clustered.select("fingerprint", "cluster").join(lowest, "cluster")
-    return rows.join(placed, "fingerprint").select("doc_id", "text_hash", "fingerprint", "cluster", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    linked = stored(classes.join(components, classes["fingerprint"] == components["node"], "left").drop("node"), "linked")
+    placed = lowest_reachable(linked, "component", "low_id", "fingerprint", "component_id")
+    placed = placed.select("fingerprint", F.coalesce("component", "fingerprint").alias("cluster"), "component_id")
+    # rows of one fingerprint may be very many
+    return lookup_join(rows, stored(placed, "placed"), "fingerprint", ["doc_id", "text_hash"], "inner").select(
+        "doc_id", "text_hash", "fingerprint", "cluster", "component_id"
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    shingle: int = 4,
+    budget: int = 4,
+    seed: int = SEED,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
     """The rows of ``docs`` of which each cluster keeps one: that of its smallest id.
 
-    Between texts with that id, and rows that repeat, one is kept. All columns stay as they are.
+    Of texts with that id the one with the lowest hash stays, and of rows with that id and text
+    the lowest by all columns that have an order; a NULL id stays only where there is no other.
+    All columns stay as they are, whatever their names. Texts that are NULL or have no words are
+    one cluster; an empty table stays empty.
+
+    What goes is decided on ids and hashes. Up to ``limit`` of them are broadcast, so texts are
+    read in place; more are joined, which shuffles texts once. Repeats of a row that stays are
+    compared with each other only.
     """
     found = near_duplicates(docs, shingle, budget, seed, id_col, text_col)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
-    kept = found.groupBy("cluster").agg(first).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_col))
-    same = hashed[id_col].eqNullSafe(kept["_kept_id"]) & (hashed["_text_hash"] == kept["_kept_hash"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    each = stored(found.groupBy("doc_id", "text_hash").agg(F.min("cluster").alias("cluster"), F.count("*").alias("n")), "texts")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = each.groupBy("cluster").agg(F.min(F.struct(order.alias("order"), "n")).alias("first"))
+    kept = stored(first.select("first.order.doc_id", "first.order.text_hash", "first.n"), "kept")
+    own, twin, mark = (free_name(docs, stem) for stem in ("text_hash", "other_id", "other_hash"))
+    named = [F.col("doc_id").alias(twin), F.col("text_hash").alias(mark)]
+    same = F.col(id_col).eqNullSafe(F.col(twin)) & (F.col(own) == F.col(mark))
+    stays = each["doc_id"].eqNullSafe(kept["doc_id"]) & (each["text_hash"] == kept["text_hash"])
+    gone = stored(each.join(kept, stays, "left_anti").select(*named), "gone")
+    repeated = stored(kept.where("n > 1").select(*named), "repeated")
+    hashed = docs.withColumn(own, F.xxhash64(text_col))
+    n_gone, n_repeated = gone.count(), repeated.count()
+
+    def bounded(table: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(table) if rows <= limit else table.hint("merge")
+
+    single = hashed.join(bounded(gone, n_gone), same, "left_anti")
+    if not n_repeated:
+        return single.drop(own)
+    single = single.join(bounded(repeated, n_repeated), same, "left_anti").drop(own)
+    copies = hashed.join(bounded(repeated, n_repeated), same, "left_semi")
+    ordered = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema if _has_order(f.dataType)])
+    lowest = copies.groupBy(id_col, own).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), ordered).alias(mark))
+    return single.union(lowest.select(f"{mark}.*"))
+
+
+def _has_order(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_has_order(field.dataType) for field in kind)
+    return not isinstance(kind, (MapType, VariantType))
