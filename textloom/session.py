@@ -5,10 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths given out within the innermost ``cleaned`` block.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def local_session(app: str = "textloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,7 +44,28 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
         root = context.getCheckpointDir()
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Remove what the block has put under ``work_path`` when it ends, also by an error.
+
+    Tables that were made in the block cannot be read after it; write what is to stay elsewhere,
+    or under a path taken before.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove_path(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
