@@ -1,5 +1,8 @@
 """The registered queries beside their SQL or a brute-force version, and the pipeline."""
 
+import os
+import re
+
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -9,6 +12,7 @@ import corpus_pipeline
 import oracle_check
 from textloom.llm import bpe_fst, queries
 from textloom.llm.decontaminate import Finder
+from textloom.session import stored, work_path
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -75,3 +79,39 @@ def test_pipeline_runs(spark):
     assert rows.columns == ["doc_id", "ids", "n_tokens"] and rows.count() > 100
 
 
+def folders(spark):
+    root = work_path(spark, "x").rsplit("/", 1)[0]
+    return set(os.listdir(re.sub("^file:", "", root))) if os.path.isdir(re.sub("^file:", "", root)) else set()
+
+
+def test_pipeline_leaves_its_last_table_only(spark, monkeypatch):
+    def first(spark, docs, sf_dir):
+        return stored(docs.limit(3), "on_the_way")
+
+    def fails(spark, docs, sf_dir):
+        stored(docs, "on_the_way")
+        raise RuntimeError("stop")
+
+    before = folders(spark)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", first), ("two", first)])
+    assert corpus_pipeline.run(spark, SF).count() == 3
+    left = folders(spark) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline_two")
+    before = folders(spark)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", first), ("two", fails)])
+    with pytest.raises(RuntimeError, match="stop"):
+        corpus_pipeline.run(spark, SF)
+    assert folders(spark) == before
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_edge_rows(spark, edge_docs, no_docs, empty):
+    """Each stage alone: NULL, empty and long texts, repeated rows, clashing names, an empty table."""
+    docs = no_docs if empty else edge_docs.withColumn("language", edge_docs["score"]).withColumn("text_hash", edge_docs["found"])
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, SF)
+        if name == "encoding":
+            assert after.columns == ["doc_id", "ids", "n_tokens"] and after.count() == docs.count()
+        else:
+            assert after.columns == docs.columns
+            assert after.exceptAll(docs).count() == 0
