@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ from textloom.sources.blocks import read_block, write_block
 BLOCK = 1024
 TILE = 4096
 
+# Rows of a strip at most: queries that a task holds, or keys that it reads at a time.
+STRIP_ROWS = 4096
+
 # A block of a band is this many times its width, so most scores that are computed count.
 BANDS_PER_BLOCK = 8
 
@@ -82,11 +86,14 @@ def _partial_pool(
     step = max(1, SCORES_AT_ONCE // len(key))
     for i in range(0, len(query), step):
         part = slice(i, i + step)
-        scores = query[part] @ key.T * query.shape[1] ** -0.5 + bias
+        scores = query[part] @ key.T
+        scores *= query.shape[1] ** -0.5
+        scores += bias
         if distance is not None:
             scores[np.abs(distance[0][part, None] - distance[1][None, :]) > w] = -np.inf
         top[part] = scores.max(axis=1)
-        powers = np.exp(scores - top[part, None])
+        scores -= top[part, None]
+        powers = np.exp(scores, out=scores)
         weight[part] = powers.sum(axis=1)
         summed[part] = powers @ value
     return top, weight, summed
@@ -103,19 +110,22 @@ def neighbour_pool(
     mask: str = "mask",
     max_len: int | None = None,
     block: int | None = None,
+    wanted: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(by, pos, pooled)``: the mean of the value vectors of a group, weighted per query row.
 
     A weight is the softmax, over the keys of the group or of the band ``abs(j - i) <= w``, of
     the dot product over the root of the width, plus 0 or the smallest float if the key is
     masked, which a NULL mask means too. Masked rows are still queries. If all keys in reach
-    are masked the weights are equal. ``(by, pos)`` is unique.
+    are masked the weights are equal. ``(by, pos)`` is unique. With ``wanted``, the first and the
+    last position that is asked for, other rows are keys only, and within a band those out of
+    reach are left out before the shuffle.
 
     With ``w`` the work is cut into blocks of positions. Without it, it grows with the square
     of the group: ``max_len`` promises that positions stay below it, as in texts of fixed
-    length; otherwise groups are cut into blocks that are shuffled once and stored. A block of
-    queries is a task; the keys of its group stream past it a block at a time, and each query
-    carries its largest score, its sum of powers and its weighted sum along.
+    length; otherwise groups are cut into blocks that are shuffled and stored once. A strip of
+    blocks of queries is a task; the keys of its group stream past it, ``block`` at a time, and
+    each query carries its largest score, its sum of powers and its weighted sum along.
     """
     key, value = key or query, value or query
     parts = {name: f"_v{i}" for i, name in enumerate(dict.fromkeys((query, key, value)))}
@@ -128,10 +138,12 @@ def neighbour_pool(
     roles = (parts[query], parts[key], parts[value])
     by_type = rows.schema[by].dataType.simpleString()
     if w is not None:
-        return _pool_band(table, roles, by, by_type, pos, w, block or max(64, BANDS_PER_BLOCK * w))
+        return _pool_band(table, roles, by, by_type, pos, w, block or max(64, BANDS_PER_BLOCK * w), wanted)
     if max_len is not None and max_len <= (block or TILE):
-        return _pool_whole(table, roles, by, by_type, pos, max_len)
-    return _pool_tiles(table, roles, by, by_type, pos, block or TILE)
+        pooled = _pool_whole(table, roles, by, by_type, pos, max_len)
+    else:
+        pooled = _pool_tiles(table, roles, by, by_type, pos, block or TILE)
+    return pooled if wanted is None else pooled.where(F.col(pos).between(*wanted))
 
 
 def _columns(
@@ -160,7 +172,7 @@ def _pool_whole(table: DataFrame, roles: tuple[str, str, str], by: str, by_type:
     return table.groupBy(by).applyInArrow(pool, f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>")
 
 
-def _pool_band(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, w: int, block: int) -> DataFrame:
+def _pool_band(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, w: int, block: int, wanted: tuple[int, int] | None) -> DataFrame:
     def pool(part: pa.Table) -> pa.Table:
         positions, q, k, v, bias = _columns(part, roles)
         centre = part["_centre"].to_numpy()
@@ -172,44 +184,81 @@ def _pool_band(table: DataFrame, roles: tuple[str, str, str], by: str, by_type:
             return _result(part, by, pos, np.zeros(0, np.int64), np.zeros((0, 0)))
         return pool(part)
 
+    if wanted is not None:
+        table = table.where(F.col("_pos").between(wanted[0] - w, wanted[1] + w))
     blocks = _band_blocks(table, "_pos", w, block)
+    if wanted is not None:
+        size = max(block, 2 * w, 1)
+        blocks = blocks.where(F.col("_block").between(wanted[0] // size, wanted[1] // size))
+        blocks = blocks.withColumn("_centre", F.col("_centre") & F.col("_pos").between(*wanted))
     schema = f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>"
     return blocks.groupBy(by, "_block").applyInArrow(pool_centres, schema)
 
 
 def _pool_tiles(table: DataFrame, roles: tuple[str, str, str], by: str, by_type: str, pos: str, block: int) -> DataFrame:
-    """Blocks are stored once; a task holds one block of queries and the blocks of its group stream past."""
+    """Rows are stored once, in strips; a task holds a strip of queries and the keys of its group stream past.
+
+    A strip is what one task of the shuffle has got of the blocks of a group, at most ``STRIP_ROWS``
+    rows, however far apart their positions are. So the files that are read grow with the square
+    of the strips, not of the blocks.
+    """
     spark = table.sparkSession
     folder = work_path(spark, "tiles")
     name = F.coalesce(F.md5(F.col(by).cast("string").cast("binary")), F.lit("null"))
     cut = table.withColumn("_block", F.floor(F.col("_pos") / block)).withColumn("_group", name)
     kept = [by, "_pos", *dict.fromkeys(roles), "_mask"]
-
-    def store(rows: pa.Table) -> pa.Table:
-        group, number = rows["_group"][0].as_py(), rows["_block"][0].as_py()
-        write_block(f"{folder}/{group}/{number}.arrow", rows.select(kept).sort_by("_pos"))
-        return pa.table({"group": pa.array([group], pa.string()), "block": pa.array([number], pa.int64())})
-
-    manifest = stored(cut.groupBy("_group", "_block").applyInArrow(store, "group STRING, block BIGINT"), "tiles")
-    blocks = manifest.groupBy("group").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
+    dealt = cut.repartition("_group", "_block").sortWithinPartitions("_group", "_pos").select("_group", *kept)
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for number, rows in enumerate(_strips(batches, STRIP_ROWS)):
+            if rows["_pos"].null_count:
+                raise ValueError("a position is NULL")
+            group, strip = rows["_group"][0].as_py(), f"{part}-{number}"
+            write_block(f"{folder}/{group}/{strip}.arrow", rows.select(kept))
+            yield pa.RecordBatch.from_pydict({"group": pa.array([group], pa.string()), "strip": pa.array([strip], pa.string())})
+
+    manifest = stored(dealt.mapInArrow(store, "group STRING, strip STRING"), "tiles")
+    strips = manifest.groupBy("group").agg(F.sort_array(F.collect_list("strip")).alias("strips"))
     tasks = max(1, min(MOST_TASKS, manifest.count()))
-    work = manifest.join(blocks, "group").repartition(tasks)
+    work = manifest.join(strips, "group").repartition(tasks)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                own = read_block(f"{folder}/{row['group']}/{row['block']}.arrow")
+                own = read_block(f"{folder}/{row['group']}/{row['strip']}.arrow")
                 positions, q, _, v, _ = _columns(own, roles)
                 triple = np.full(len(q), -np.inf), np.zeros(len(q)), np.zeros((len(q), v.shape[1]))
-                for number in row["blocks"]:
+                for number in row["strips"]:
                     _, _, key, value, bias = _columns(read_block(f"{folder}/{row['group']}/{number}.arrow"), roles)
-                    triple = _merged(triple, _partial_pool(q, key, value, bias, None))
+                    for i in range(0, len(key), block):
+                        part = slice(i, i + block)
+                        triple = _merged(triple, _partial_pool(q, key[part], value[part], bias[part], None))
                 _, weight, summed = triple
                 yield from _result(own, by, pos, positions, summed / weight[:, None]).to_batches()
 
     return work.mapInArrow(pool, f"`{by}` {by_type}, `{pos}` BIGINT, pooled ARRAY<DOUBLE>")
 
 
+def _strips(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Rows that come group by group, as tables of at most ``size`` rows of one group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        names = batch.column("_group").dictionary_encode().indices.to_numpy()
+        for piece in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(names)) + 1):
+            at = 0
+            while at < len(piece):
+                rows = sum(part.num_rows for part in held)
+                if held and (rows == size or held[0]["_group"][0] != batch["_group"][piece[at]]):
+                    yield pa.Table.from_batches(held)
+                    held, rows = [], 0
+                take = min(len(piece) - at, size - rows)
+                held.append(batch.slice(piece[at], take))
+                at += take
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _merged(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple:
     """Largest score, sum of powers and weighted sum over the keys of both; in any order."""
     top = np.maximum(a[0], b[0])
