@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from textloom.functions import dense
 from textloom.operators.optimizer import AdamParams
 from textloom.operators.stored_head import adam_block
+from textloom.operators.tokens import TOKENS_AT_ONCE, parts_of_lists
 from textloom.session import remove_path, work_path
 from textloom.sources.blocks import read_block, write_block
 
@@ -79,9 +80,9 @@ def pooled_gradient(df: DataFrame, ids: str = "ids", grad: str = "grad", scale:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sums = np.empty(0, np.int64), np.empty((0, 0))
-        for batch in batches:
-            part = pa.Table.from_batches([batch]).drop_null()
-            lists = part["ids"].combine_chunks()
+        for batch, start, rows in _parts(batches):
+            part = batch.slice(start, rows).drop_null()
+            lists = part["ids"]
             lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int32)
             if not lengths.sum():
                 continue
@@ -92,10 +93,10 @@ def pooled_gradient(df: DataFrame, ids: str = "ids", grad: str = "grad", scale:
             row = np.repeat(np.arange(len(lengths)), lengths)
             keys, times = np.unique(np.stack((flat.to_numpy(), row)), axis=1, return_counts=True)  # by id, then by row
             step = max(1, SUMS_AT_ONCE // slopes.shape[1])
-            for start in range(0, len(times), step):
-                key, own = keys[0, start : start + step], keys[1, start : start + step]
+            for i in range(0, len(times), step):
+                key, own = keys[0, i : i + step], keys[1, i : i + step]
                 found, first = np.unique(key, return_index=True)
-                added = np.add.reduceat(slopes[own] * times[start : start + step, None], first)
+                added = np.add.reduceat(slopes[own] * times[i : i + step, None], first)
                 held, sums = _merged(held, sums, found, added)
             if sums.size > SUMS_AT_ONCE:
                 yield from _rows(held, sums)
@@ -107,6 +108,15 @@ def pooled_gradient(df: DataFrame, ids: str = "ids", grad: str = "grad", scale:
     return asked.mapInArrow(partial, "id BIGINT, grad ARRAY<DOUBLE>")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int]]:
+    """Batches with the first row and the number of rows of parts that hold about ``TOKENS_AT_ONCE`` ids."""
+    for batch in batches:
+        start = 0
+        for lists in parts_of_lists(batch.column(0), TOKENS_AT_ONCE):
+            yield batch, start, len(lists)
+            start += len(lists)
+
+
 def _rows(ids: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids), dense.to_lists(sums)], ["id", "grad"])
 

@@ -28,6 +28,9 @@ from textloom.functions.encoding import (
 from textloom.operators.joins import BROADCAST_ROWS, fits_broadcast
 from textloom.operators.vocab_file import StoredVocab, store_vocab, stored_id_arrays, stored_ids
 
+# Tokens looked up, or ids summed, at a time within a task.
+TOKENS_AT_ONCE = 250_000
+
 
 def tokenize(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = TOKEN_PATTERN
@@ -87,8 +90,8 @@ def small_vocab(vocab: DataFrame, vocab_size: int | None = None, limit: int = BR
 def id_array_lookup(spark: SparkSession, table: pa.Table, unk_id: int = UNK_ID):
     """A function from a token array to its id array, for a vocabulary that is small enough.
 
-    The vocabulary is held by every worker and looked up a batch at a time, so encoding a
-    document needs no shuffle.
+    The vocabulary is held by every worker and looked up ``TOKENS_AT_ONCE`` tokens at a time, so
+    encoding a document needs no shuffle and what is held beside a batch does not grow with it.
     """
     names = table["token"].combine_chunks() if len(table) else pa.array([], pa.string())
     known = spark.sparkContext.broadcast((names, table["token_id"].to_numpy().astype(np.int32)))
@@ -97,7 +100,7 @@ def id_array_lookup(spark: SparkSession, table: pa.Table, unk_id: int = UNK_ID):
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names, numbers = known.value
         numbers = np.append(numbers, np.int32(unk_id))
-        for tokens in batches:
+        for tokens in (part for batch in batches for part in parts_of_lists(batch, TOKENS_AT_ONCE)):
             slots = pc.fill_null(pc.index_in(tokens.flatten(), value_set=names), len(names))
             lengths = pc.list_value_length(tokens).to_numpy()
             offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
@@ -164,5 +167,18 @@ def encode(
     )
 
 
+def parts_of_lists(lists: pa.Array, entries: int) -> Iterator[pa.Array]:
+    """The rows of a list array in parts with about ``entries`` entries, a longer row alone."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < len(lists):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + entries, side="right")))
+        yield lists.slice(start, stop - start)
+        start = stop
+    if not len(lists):
+        yield lists
+
+
 def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
