@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from textloom.llm.pieces import Pieces, Recent
-from textloom.llm.worker import held
+from textloom.llm.pieces import CACHE_BYTES, Pieces, Recent
+from textloom.llm.worker import held, slices
 
 # Deterministic states a worker keeps; half of them, the older ones, go when there are more.
 STATES = 5 << 16
@@ -34,6 +34,12 @@ STATES = 5 << 16
 # The token before the first.
 NOTHING = -1
 
+# Texts of a batch encoded at a time, and what a worker keeps in a stage that also writes whole id arrays:
+# states, and bytes of each cache of pieces.
+TEXTS_AT_ONCE = 512
+LEAN_STATES = STATES // 2
+LEAN_CACHE_BYTES = CACHE_BYTES // 2
+
 # Ids decoded at a time.
 DECODE_IDS = 1 << 16
 
@@ -274,11 +280,11 @@ class StreamDecoder:
 class RankTokens:
     """Encoding and decoding by one rank file and one pattern."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, states: int = STATES, cache_bytes: int = CACHE_BYTES):
         self.ranks = load_ranks(path)
         self._bytes = TokenBytes({rank: token for token, rank in self.ranks.items()})
-        self.transducer = Transducer(self.ranks)
-        self._pieces = Pieces(pattern, self._piece, b"".join)
+        self.transducer = Transducer(self.ranks, states)
+        self._pieces = Pieces(pattern, self._piece, b"".join, cache_bytes)
 
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
@@ -300,10 +306,10 @@ class RankTokens:
         yield decoder.end()
 
 
-def rank_tokens(path: str, pattern: str) -> RankTokens:
+def rank_tokens(path: str, pattern: str, states: int = STATES, cache_bytes: int = CACHE_BYTES) -> RankTokens:
     """One for each worker process; its caches outlive a task."""
     gc.set_threshold(1_000_000, 50, 50)  # walking millions of remembered tuples costs more than it frees
-    return held(("ranks", path, pattern), lambda: RankTokens(path, pattern))
+    return held(("ranks", path, pattern, states, cache_bytes), lambda: RankTokens(path, pattern, states, cache_bytes))
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, out: str = "ids", text_col: str = "text") -> DataFrame:
@@ -311,12 +317,13 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, out: str = "ids", tex
 
     Each match of ``pattern`` is encoded on its own, without special tokens. NULL and the empty
     text give an empty array. Rows keep all their columns, and equal rows stay rows of their own.
+    A worker holds the ids of ``TEXTS_AT_ONCE`` texts, and smaller caches than where only digests are made.
     """
 
     @F.arrow_udf(ArrayType(IntegerType(), False))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = rank_tokens(path, pattern)
-        for batch in batches:
+        tokens = rank_tokens(path, pattern, LEAN_STATES, LEAN_CACHE_BYTES)
+        for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             coded = [tokens.encode(text or "") for text in batch.to_pylist()]
             ends = np.cumsum([0, *(len(ids) // 4 for ids in coded)], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)))

@@ -9,6 +9,7 @@ the formatted text can be cut at them too.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from textloom.llm.worker import held
+from textloom.llm.worker import held, slices
 from textloom.session import stored
 
 # The template: begin of a turn, end of its role, end of its text.
@@ -27,6 +28,9 @@ CONTROLS = ("<turn>", "<says>", "</turn>")
 # Control strings of other templates, which are escaped as well.
 FOREIGN = ("### User:", "### Assistant:", "### System:", "<|im_start|>", "<|im_end|>", "<|endoftext|>", "[INST]", "[/INST]", "<s>", "</s>")
 
+# Turns that a worker encodes or reads at a time; beside them it holds a batch as it came.
+TURNS_AT_ONCE = 512
+
 # Turn numbers whose turns are summed in one task.
 BLOCK_TURNS = 4096
 
@@ -58,7 +62,10 @@ class Assembler:
     def turns(self, roles: list[str], texts: list[str], trained: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids and loss mask of each turn; the mask covers the text of the trained role and nothing else."""
         begin, middle, end = self.reserved
-        for role, role_ids, text_ids in zip(roles, self.encode([escape(r) for r in roles]), self.encode([escape(t) for t in texts])):
+        names = list(dict.fromkeys(roles))
+        of_role = dict(zip(names, self.encode([escape(r) for r in names])))
+        for role, text_ids in zip(roles, self.encode([escape(t) for t in texts])):
+            role_ids = of_role[role]
             segments = [[begin], role_ids, [middle], text_ids, [end]]
             learned = [False, False, False, role == trained, False]
             ends = np.cumsum([len(s) for s in segments])
@@ -89,7 +96,8 @@ class Assembler:
 
 
 def assembler(path: str) -> Assembler:
-    """One for each worker process."""
+    """One for each worker process, which has one core: threads of the library would each keep memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return held(("assembler", path), lambda: Assembler(path))
 
 
@@ -111,7 +119,7 @@ def format_turns(conversations: DataFrame, path: str, trained: str = "assistant"
     @F.arrow_udf(FORMATTED)
     def assemble(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         made = assembler(path)
-        for roles, texts in batches:
+        for roles, texts in (part for whole in batches for part in zip(*(slices(column, TURNS_AT_ONCE) for column in whole))):
             found = list(made.turns(roles.to_pylist(), texts.to_pylist(), trained))
             ends = pa.array(np.cumsum([0, *(len(ids) for ids, _ in found)]).astype(np.int32))
             flat = [pa.array(np.concatenate([x[i] for x in found])) if found else pa.array([], kind) for i, kind in ((0, pa.int32()), (1, pa.int8()))]
@@ -143,7 +151,7 @@ def conversation_digests(turns: DataFrame, path: str) -> DataFrame:
     @F.arrow_udf("struct<said: string, learned: string, chars: bigint>")
     def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         made = assembler(path)
-        for ids, masks in batches:
+        for ids, masks in (part for whole in batches for part in zip(*(slices(column, TURNS_AT_ONCE) for column in whole))):
             said, learned, chars = [], [], []
             for row, mask in zip(_rows(ids), _rows(masks)):
                 role, text, under = made.read(row, mask)
