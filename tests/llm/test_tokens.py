@@ -21,6 +21,7 @@ LIBRARY = Tokenizer.from_file(JSON)
 TOKENS, COUNTS = hf_tokens.HfTokens(JSON, counting=False), hf_tokens.HfTokens(JSON, counting=True)
 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+FORGETFUL = bpe_fst.RankTokens(RANKS, public.PATTERN, states=50, cache_bytes=1500)
 
 texts = st.one_of(st.text(max_size=40), st.text(alphabet="abe t'sl \n\t0.é漢\u00a0\x1c<|endoftx>", max_size=60))
 
@@ -63,6 +64,34 @@ def test_transducer_that_forgets_its_states(documents):
             assert small.encode(word.encode()) == bpe_fst.merge(word.encode(), ranks)
 
 
+def test_pieces_in_order_start_where_they_part_from_the_one_before(documents):
+    words = {word.encode() for row in documents.select("text").limit(3).collect() for word in row["text"].split()[:200]}
+    for machine in (bpe_fst.Transducer(ranks), bpe_fst.Transducer(ranks, states=50)):
+        read = []
+        step = machine._expand
+        machine._expand = lambda walks, byte: read.append(byte) or step(walks, byte)
+        pieces_in_order = [b"", *sorted(words), b"same", b"same"]
+        assert list(machine.encode_sorted(pieces_in_order)) == [bpe_fst.merge(piece, ranks) if piece else [] for piece in pieces_in_order]
+        assert 0 < len(read) < sum(map(len, words))  # shared beginnings are not read again
+
+
+@settings(max_examples=200, deadline=None)
+@given(some=st.lists(st.one_of(texts, st.none()), max_size=6))
+def test_texts_encoded_together_have_the_librarys_ids(some):
+    for tokens in (bpe_fst.rank_tokens(RANKS, public.PATTERN), FORGETFUL):
+        assert [numbers(ids) for ids in tokens.encode_all(some)] == [TIKTOKEN.encode_ordinary(text or "") for text in some]
+
+
+def test_a_new_piece_of_some_texts_is_encoded_once(monkeypatch):
+    tokens, asked = bpe_fst.RankTokens(RANKS, public.PATTERN), []
+    codes = tokens._pieces._encode_all
+    monkeypatch.setattr(tokens._pieces, "_encode_all", lambda fresh: asked.append(fresh) or codes(fresh))
+    some = ["a wxyzzy, wxyzzy&&& don's", "b wxyzzy wxyzzy.\nqwvx", "c (wxyzzy_ wxyzzy' 12 " + "y" * 90] * 2
+    assert [numbers(ids) for ids in tokens.encode_all(some)] == [TIKTOKEN.encode_ordinary(text) for text in some]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and asked[0].count(" wxyzzy") == 1
+    assert [len(ids) for ids in tokens.encode_all(some)] and asked[1:] == [[" " + "y" * 90]]  # too long to remember
+
+
 @pytest.mark.parametrize("data", ["né漢🎉".encode(), b"a\xff\xc3", b"\xe6\xbc", b"\xf0\x9f\x8e", b"\xed\xa0\x80x", b"\xc3\xc3\xa9"])
 def test_streaming_decoder_equals_decoding_at_once(data):
     single = bpe_fst.TokenBytes({i: bytes([i]) for i in range(256)})

@@ -4,9 +4,10 @@ Two tokens may stand side by side if merging their joined bytes gives just these
 byte string has exactly one segmentation in which all neighbours may stand side by side, and it
 is the one the merges give. So the merges become a nondeterministic transducer: it walks the
 trie of tokens, may step back to the root wherever a token ends that may follow the last one,
-and emits that token. Its subset construction is made on demand: a deterministic state holds
-the open walks, each with the tokens it has not yet emitted; what all walks agree on is emitted
-at once. A walk spans at most the longest token, which bounds the lookahead.
+and notes that token. Its subset construction is made on demand: a deterministic state holds the
+open walks, each with the token before it, and marks the place with the last token of what has
+been read. The beginning of a segmentation is the segmentation of that beginning, so the marks
+read from the end backwards are the tokens. A walk spans at most the longest token.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import gc
 import hashlib
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,12 +35,19 @@ STATES = 5 << 16
 # The token before the first.
 NOTHING = -1
 
+# An open walk is one number: its node above these bits, the node of its last token in them (0: none).
+NODE_BITS = 32
+LAST_NODE = (1 << NODE_BITS) - 1
+
 # Texts of a batch encoded at a time, and what a worker keeps in a stage that also writes whole id arrays:
 # states, and bytes of each cache of pieces.
 TEXTS_AT_ONCE = 512
 LEAN_STATES = STATES // 2
 LEAN_CACHE_BYTES = CACHE_BYTES // 2
 
+# Characters of texts whose new pieces are encoded together (one text at least).
+CHARS_AT_ONCE = 2 << 20
+
 # Ids decoded at a time.
 DECODE_IDS = 1 << 16
 
@@ -65,13 +73,20 @@ def merge(data: bytes, ranks: dict[bytes, int], least: int = 1) -> list[int]:
     return [ranks[part] for part in parts]
 
 
-class State:
-    """Open walks: trie node, last token, and tokens not yet emitted; the one at the root first, then the later ones first."""
+class State(dict):
+    """Open walks, each as trie node and node of its last token, the one at the root first, then the later ones first.
+
+    As a dictionary it gives the next state by byte; one that is not there yet is made.
+    """
+
+    __slots__ = ("walks", "last", "_made_by")
 
-    __slots__ = ("steps", "final", "walks")
+    def __init__(self, walks: tuple[int, ...], made_by: Transducer):
+        self.walks, self.last, self._made_by = walks, walks[0], made_by
 
-    def __init__(self, walks: tuple):
-        self.steps, self.final, self.walks = {}, walks[0][2], walks
+    def __missing__(self, byte: int) -> State:
+        found = self[byte] = self._made_by._expand(self.walks, byte)
+        return found
 
 
 class Transducer:
@@ -84,19 +99,21 @@ class Transducer:
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._spines: dict[tuple[int, int], tuple[int, ...] | None] = {}
         self._next: list[dict[int, int]] = [{}]
-        self._token: list[int | None] = [None]
+        self._token: list[int | None] = [NOTHING]
+        self._size = [0]
         for token, rank in ranks.items():
             node = 0
-            for byte in token:
+            for size, byte in enumerate(token, 1):
                 if byte not in self._next[node]:
                     self._next[node][byte] = len(self._next)
                     self._next.append({})
                     self._token.append(None)
+                    self._size.append(size)
                 node = self._next[node][byte]
             self._token[node] = rank
-        self._start = State(((0, NOTHING, ()),))
-        self._states: dict[tuple, State] = {}
-        self._older: dict[tuple, State] = {}
+        self._start = State((0,), self)
+        self._states: dict[tuple[int, ...], State] = {}
+        self._older: dict[tuple[int, ...], State] = {}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens of the last merge; None if the merges do not make it, or from a higher rank."""
@@ -145,41 +162,27 @@ class Transducer:
             else:
                 j -= 1
 
-    def _expand(self, state: State, byte: int) -> tuple[State, tuple]:
-        nexts, tokens, root, walks = self._next, self._token, None, []
-        for node, last, pending in state.walks:
-            child = nexts[node].get(byte)
+    def _expand(self, walks: tuple[int, ...], byte: int) -> State:
+        nexts, tokens, root, open_walks = self._next, self._token, None, [0]
+        for walk in walks:
+            child = nexts[walk >> NODE_BITS].get(byte)
             if child is None:
                 continue
-            token = tokens[child]
-            if root is None and token is not None:  # a string has one segmentation
-                key = (last + 1) * len(tokens) + token
+            last = walk & LAST_NODE
+            if root is None and tokens[child] is not None:  # a string has one segmentation
+                key = last << NODE_BITS | child
                 apart = self._pairs.get(key)
                 if apart is None:
-                    apart = self._pairs.put(key, self._stays_apart(last, token))
+                    apart = self._pairs.put(key, self._stays_apart(tokens[last], tokens[child]))
                 if apart:
-                    root = (0, token, (*pending, token))
+                    root = open_walks[0] = child
             if nexts[child]:
-                walks.append((child, last, pending))
+                open_walks.append(child << NODE_BITS | last)
         if root is None:
             raise ValueError(f"byte {byte} cannot be encoded with this vocabulary")
-        if not walks:
-            step = state.steps[byte] = (self._state(((0, root[1], ()),)), root[2])
-            return step
-        first, agreed = root[2], len(root[2])
-        for _, _, pending in walks:  # what all walks have in common is emitted
-            if agreed > len(pending):
-                agreed = len(pending)
-            while first[:agreed] != pending[:agreed]:
-                agreed -= 1
-        if agreed:
-            key = ((0, root[1], first[agreed:]), *[(node, last, pending[agreed:]) for node, last, pending in walks])
-        else:
-            key = (root, *walks)
-        step = state.steps[byte] = (self._state(key), first[:agreed])
-        return step
-
-    def _state(self, walks: tuple) -> State:
+        return self._state(tuple(open_walks))
+
+    def _state(self, walks: tuple[int, ...]) -> State:
         """The state of these walks. When the newer half of the states is full, the older is dropped."""
         found = self._states.get(walks)
         if found is None:
@@ -187,21 +190,49 @@ class Transducer:
                 gone = {id(old) for walks, old in self._older.items() if walks not in self._states}
                 for old in self._older.values():
                     if id(old) in gone:
-                        old.steps.clear()
-                for held in (self._start, *self._states.values()):
-                    held.steps = {byte: step for byte, step in held.steps.items() if id(step[0]) not in gone}
+                        old.clear()
+                for kept in (self._start, *self._states.values()):
+                    for byte in [byte for byte, state in kept.items() if id(state) in gone]:
+                        del kept[byte]
                 self._older, self._states = self._states, {}
-            found = self._states[walks] = self._older.get(walks) or State(walks)
+            found = self._older.get(walks)
+            found = self._states[walks] = State(walks, self) if found is None else found
         return found
 
     def encode(self, data: bytes) -> list[int]:
         """Token ids of the bytes as one piece."""
-        state, out = self._start, []
+        state, lasts = self._start, [0]
         for byte in data:
-            state, emitted = state.steps.get(byte) or self._expand(state, byte)
-            if emitted:
-                out.extend(emitted)
-        out.extend(state.final)
+            state = state[byte]
+            lasts.append(state.last)
+        return self._read_back(lasts)
+
+    def encode_sorted(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """Token ids of each piece; it starts from the state behind what it shares with the one before."""
+        before, states, lasts = b"", [self._start], [0]
+        for data in pieces:
+            shared = 0
+            for one, other in zip(before, data):
+                if one != other:
+                    break
+                shared += 1
+            del states[shared + 1 :], lasts[shared + 1 :]
+            state = states[shared]
+            for byte in data[shared:] if shared else data:
+                state = state[byte]
+                states.append(state)
+                lasts.append(state.last)
+            before = data
+            yield self._read_back(lasts)
+
+    def _read_back(self, lasts: list[int]) -> list[int]:
+        """The tokens, from the nodes of the last token up to each place; the one that ends a text tells where the one before it ends."""
+        out, end = [], len(lasts) - 1
+        while end:
+            node = lasts[end]
+            out.append(self._token[node])
+            end -= self._size[node]
+        out.reverse()
         return out
 
 
@@ -277,6 +308,13 @@ class StreamDecoder:
         return rest.decode("utf-8", "replace")
 
 
+def _packed(ids: list[int]) -> bytes:
+    codes = array("I", ids)
+    if sys.byteorder == "big":
+        codes.byteswap()
+    return codes.tobytes()
+
+
 class RankTokens:
     """Encoding and decoding by one rank file and one pattern."""
 
@@ -284,20 +322,32 @@ class RankTokens:
         self.ranks = load_ranks(path)
         self._bytes = TokenBytes({rank: token for token, rank in self.ranks.items()})
         self.transducer = Transducer(self.ranks, states)
-        self._pieces = Pieces(pattern, self._piece, b"".join, cache_bytes)
+        self._pieces = Pieces(pattern, self._codes, b"".join, cache_bytes)
 
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.ranks.get(data)  # a piece that is a token is that token, whatever the merges say
-        ids = array("I", self.transducer.encode(data) if whole is None else [whole])
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+    def _codes(self, pieces: list[str]) -> list[bytes]:
+        data = [piece.encode() for piece in pieces]
+        # a piece that is a token is that token, whatever the merges say
+        wholes = map(self.ranks.get, data)
+        coded = {token: _packed([whole]) for token, whole in zip(data, wholes) if whole is not None}
+        others = sorted(token for token in data if token not in coded)
+        coded.update(zip(others, map(_packed, self.transducer.encode_sorted(others))))
+        return [coded[token] for token in data]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return self._pieces.code(text)
 
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; NULL counts as the empty one. New pieces of some texts are encoded together."""
+        some, chars = [], 0
+        for text in texts:
+            some.append(text or "")
+            chars += len(some[-1])
+            if chars >= CHARS_AT_ONCE:
+                yield from self._pieces.codes(some)
+                some, chars = [], 0
+        yield from self._pieces.codes(some)
+
     def decode(self, ids: bytes) -> Iterator[str]:
         numbers = np.frombuffer(ids, dtype="<u4")
         decoder = StreamDecoder(self._bytes)
@@ -324,7 +374,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, out: str = "ids", tex
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = rank_tokens(path, pattern, LEAN_STATES, LEAN_CACHE_BYTES)
         for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
-            coded = [tokens.encode(text or "") for text in batch.to_pylist()]
+            coded = list(tokens.encode_all(batch.to_pylist()))
             ends = np.cumsum([0, *(len(ids) // 4 for ids in coded)], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)))
 
@@ -359,8 +409,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "
         tokens = rank_tokens(path, pattern)
         for batch in batches:
             sizes, of_ids, of_texts = [], [], []
-            for text in batch.to_pylist():
-                ids = tokens.encode(text or "")
+            for ids in tokens.encode_all(batch.to_pylist()):
                 decoded = hashlib.sha256()
                 for part in tokens.decode(ids):
                     decoded.update(part.encode())
