@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -121,6 +123,39 @@ def test_frequent_runs_are_counted(spark):
     assert token_counts.frequent_runs(docs.limit(0)) == []
 
 
+def test_frequent_runs_are_those_of_whole_texts_and_of_all_texts(spark):
+    """Behind the first 2,000 texts, behind the first 8,000 signs of one, at the end of one, and in one partition only."""
+    rows = ["first early early"] * 5 + [f"number{i}" for i in range(2_100)] + [None, ""]
+    rows += ["x" + " padding" * 1_200 + " deep" * 30] + ["the last"] * 9 + ["x late" + " latest" * 3] * 20 + ["y " + "z" * 65] * 50 + ["once only"]
+    seen = Counter(run for text in rows for run in (text or "").split(" ")[1:])
+    want = [run for run, n in seen.most_common() if n > 1 and len(run) <= 64]
+    assert want == ["padding", "latest", "deep", "late", "early", "last"]
+    docs = spark.createDataFrame([(text,) for text in rows], "text string")
+    for parts in (docs.coalesce(1), docs, docs.repartitionByRange(5, "text")):
+        assert token_counts.frequent_runs(parts) == want
+        assert token_counts.frequent_runs(parts, size=3) == want[:3]
+
+
+def test_frequent_runs_of_documents_are_the_most_frequent(documents):
+    seen = Counter(run for row in documents.select("text").collect() for run in row["text"].split(" ")[1:] if len(run) <= 64)
+    found = token_counts.frequent_runs(documents.repartition(4), size=1_000)
+    assert len(set(found)) == 1_000 and [seen[run] for run in found] == [n for _, n in seen.most_common(1_000)]
+
+
+def test_runs_are_counted_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(token_counts, "PART_SIGNS", 20)
+    some = ["a b c b", None, "x" * 40 + " b", "a c", "d " + "e" * 65 + " c"]
+    parts = list(token_counts._counts([pa.record_batch([pa.array(some[:2], pa.string())], ["text"]), pa.record_batch([pa.array(some[2:])], ["text"])]))
+    assert parts == [{"b": 3, "c": 1}, {"c": 2}, {}]
+
+
+def test_runs_that_moved_to_another_partition_are_found(spark):
+    docs = spark.createDataFrame([("x one",), ("x two",)], "text string").repartitionByRange(2, "text")
+    one, two = token_counts._digests(["one", "two"]).tolist()
+    assert token_counts._names(docs, {one: 1, two: 0}) == {}
+    assert token_counts._names(docs, {one: None, two: None}) == {one: "one", two: "two"}
+
+
 def test_the_first_tier_never_changes_a_count(documents):
     counts = [sorted(token_counts.count_tokens(documents, JSON, table_size=n).collect()) for n in (1, 16_384)]
     assert counts[0] == counts[1]
